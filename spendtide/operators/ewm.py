@@ -1,15 +1,20 @@
 """Exponentially weighted means as window sums.
 
-With weight a = 2 / (span + 1) and decay b = 1 - a the mean starts at the first
-value and then follows y[t] = b * y[t-1] + a * x[t]. Unrolled,
+With decay b = 1 - 2 / (span + 1) the mean starts at the first value and then
+follows y[t] = b * y[t-1] + (1 - b) * x[t]. What it lags behind the value,
+e = x - y, follows e[t] = b * (e[t-1] + x[t] - x[t-1]), so
 
-    y[t] = b^t * (x[0] + sum of a * x[k] * b^-k for k = 1..t)
+    y[t] = x[t] - b^(t+1) * (sum of (x[k] - x[k-1]) * b^-k for k = 1..t)
 
-which is a running sum, so no row waits for another one's result. b^-k leaves the
-double range after a few thousand rows. Longer series are cut into blocks with
-their own exponent origin, and each block also reads the rows of the block before
-it. A block is long enough to decay by 1e-140, so rows further back cannot change
-a double.
+which is a running sum: no row waits for another one's result. Unlike a sum of the
+values, it is exact where the series rests: a constant series is its own mean, and
+means of different spans meet exactly once they have settled, so rounding noise
+cannot make their lines cross.
+
+b^-k leaves the double range after a few thousand rows. Longer series are cut into
+blocks with their own exponent origin, and each block also reads the rows of the
+block before it. A block is long enough to decay by 1e-140, so rows further back
+cannot change a double.
 """
 
 from __future__ import annotations
@@ -23,25 +28,24 @@ from pyspark.sql import functions as F
 _BLOCK_DECAY = 140 * math.log(10)
 
 
-def _weights(span: float) -> tuple[float, float]:
+def _decay(span: float) -> float:
     if span <= 1:
         raise ValueError("span must be above 1")
-    alpha = 2.0 / (span + 1.0)
-    return alpha, 1.0 - alpha
+    return 1.0 - 2.0 / (span + 1.0)
 
 
 def block_length(span: float) -> int:
     """Rows after which a value has decayed by 1e-140."""
-    return math.ceil(_BLOCK_DECAY / -math.log(_weights(span)[1]))
+    return math.ceil(_BLOCK_DECAY / -math.log(_decay(span)))
 
 
-def _running_mean(value: str, span: float, place: Column, window: WindowSpec) -> Column:
-    """The unrolled sum over ``window``; ``place`` is the exponent, 0 at its origin."""
-    alpha, decay = _weights(span)
-    weight = F.when(F.col("_t") == 0, 1.0).otherwise(alpha)
+def _mean_over(value: str, span: float, place: Column, window: WindowSpec) -> Column:
+    """The mean along ``window``; ``place`` counts its rows, 0 at the exponent origin."""
+    decay = F.lit(_decay(span))
+    step = F.coalesce(F.col(value) - F.lag(value).over(window), F.lit(0.0))
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scaled = F.sum(F.col(value) * weight * F.pow(F.lit(decay), -place)).over(running)
-    return scaled * F.pow(F.lit(decay), place)
+    steps = F.sum(step * F.pow(decay, -place)).over(running)
+    return F.col(value) - steps * F.pow(decay, place + 1)
 
 
 def _blocked_mean(
@@ -54,7 +58,7 @@ def _blocked_mean(
     window = Window.partitionBy(*keys, "_block").orderBy("_t")
     return (
         df.withColumn("_block", F.explode(F.array(own, own + 1)))
-        .withColumn(out, _running_mean(value, span, place, window))
+        .withColumn(out, _mean_over(value, span, place, window))
         .where(F.col("_block") == own)
         .drop("_block")
     )
@@ -78,7 +82,7 @@ def ewm(
     df = df.withColumn("_t", F.row_number().over(series) - 1)
     for out, span in spans.items():
         if max_rows is not None and max_rows <= block_length(span):
-            df = df.withColumn(out, _running_mean(value, span, F.col("_t"), series))
+            df = df.withColumn(out, _mean_over(value, span, F.col("_t"), series))
         else:
             df = _blocked_mean(df, value, span, keys, out)
     return df.drop("_t")

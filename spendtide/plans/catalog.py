@@ -1,12 +1,13 @@
 """Named queries over the given tables, each through the public operators.
 
 Computed doubles are rounded so that another engine's sum order does not show:
-amounts to 3 places (their magnitude leaves 9 or more digits), scores to 6.
+amounts to 3 places (their magnitude leaves 9 or more digits), means and scores to 6.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, timedelta
 from uuid import uuid4
 
@@ -44,10 +45,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The processed day of each table. Orders look back one year, as a daily run does;
 # events span one month and lineitem looks back over everything, so both use the
 # whole table. The amounts of these tables are large, hence the suppression floors.
-ORDERS_RUN = JobConfig(run_date=date(1998, 6, 16), low_value_floor=2000.0)
-EVENTS_RUN = JobConfig(run_date=date(2024, 1, 31), low_value_floor=0.02, month_of=date(2024, 1, 1))
+ORDERS_RUN = JobConfig(run_date=date(1997, 8, 13), low_value_floor=10000.0)
+EVENTS_RUN = JobConfig(run_date=date(2024, 1, 31), low_value_floor=0.1)
 LINEITEM_RUN = JobConfig(run_date=date(2001, 11, 5), lookback_months=120, low_value_floor=1000.0)
+# A year with days on which no service has data.
+GAP_RUN = JobConfig(run_date=date(1998, 6, 16))
 SMOKE_RUN = JobConfig(run_date=date(1998, 6, 13))
+# The corrected variant of every switchable behaviour.
+STRICT_RUN = replace(
+    ORDERS_RUN, gap_fill="per_service", signal_scope="service", macd_sign="standard",
+    suppress_on="service_total", low_value_floor=300000.0, two_sided=True,
+    drop_empty_tag=True, message_tag_spikes=True,
+)
 
 # Where the stored events table ends before its second, overlapping load.
 EVENTS_SPLIT = date(2024, 1, 23)
@@ -60,10 +69,8 @@ AMOUNTS = (
 
 def _fixed(df: DataFrame) -> DataFrame:
     """Round the double columns; adding 0.0 turns a negative zero into zero."""
-    def places(name: str) -> int | None:
-        if name in AMOUNTS or name.endswith(("_min", "_max", "_mean")):
-            return 3
-        return 6
+    def places(name: str) -> int:
+        return 3 if name in AMOUNTS or name.endswith(("_min", "_max")) else 6
 
     return df.select(*[
         (F.round(f"`{n}`", places(n)) + F.lit(0.0)).alias(n) if t == "double" else F.col(f"`{n}`")
@@ -324,16 +331,18 @@ def _alerts(spark: SparkSession, folder: str, source, cfg: JobConfig) -> daily_j
 
 RUNS = {
     "": (orders_as_costs, ORDERS_RUN),
+    "_strict": (orders_as_costs, STRICT_RUN),
     "_events": (events_as_costs, EVENTS_RUN),
     "_lineitem": (lineitem_as_costs, LINEITEM_RUN),
 }
+SUMMARY_RUNS = {k: run for k, run in RUNS.items() if k != "_strict"}
 
 
 def _alert_frame(frame: str, source, cfg: JobConfig) -> Query:
     return lambda spark, folder: _fixed(getattr(_alerts(spark, folder, source, cfg), frame))
 
 
-def _daily_spend(source, cfg: JobConfig) -> Query:
+def _daily_spend(source) -> Query:
     return lambda spark, folder: _fixed(daily_spend(source(spark, folder)))
 
 
@@ -476,6 +485,7 @@ def queries() -> dict[str, Query]:
         "daily_by_service_all": daily_by_service_all,
         "enriched_fact": _enriched(orders_as_costs),
         "enriched_fact_events": _enriched(events_as_costs),
+        "spike_alerts_svc_gaps": _alert_frame("svc_spike_alerts", orders_as_costs, GAP_RUN),
         "top_alerts": top_alerts,
         "message_text": message_text,
         "message_payload": message_payload,
@@ -489,12 +499,13 @@ def queries() -> dict[str, Query]:
         named[f"trend_alerts{suffix}"] = _alert_frame("trend_alerts", source, cfg)
         named[f"spike_alerts_svc{suffix}"] = _alert_frame("svc_spike_alerts", source, cfg)
         named[f"spike_alerts_tag{suffix}"] = _alert_frame("tag_spike_alerts", source, cfg)
-        named[f"daily_spend{suffix}"] = _daily_spend(source, cfg)
-        named[f"mtd_by_service{suffix}"] = _mtd(source, cfg)
-        named[f"daily_by_service{suffix}"] = _daily_by_service(source, cfg)
         named[f"series_macd{suffix}"] = _series_macd(source, cfg)
         named[f"series_spike{suffix}"] = _series_spike(source, cfg)
-        named[f"series_summary{suffix}"] = _series_summary(source, cfg)
         named[f"message_rows{suffix}"] = _message_rows(source, cfg)
         named[f"message_blocks{suffix}"] = _message_blocks(source, cfg)
+    for suffix, (source, cfg) in SUMMARY_RUNS.items():
+        named[f"daily_spend{suffix}"] = _daily_spend(source)
+        named[f"mtd_by_service{suffix}"] = _mtd(source, cfg)
+        named[f"daily_by_service{suffix}"] = _daily_by_service(source, cfg)
+        named[f"series_summary{suffix}"] = _series_summary(source, cfg)
     return named
