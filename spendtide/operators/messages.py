@@ -194,14 +194,12 @@ def _section_block(text: Column, url: Column) -> Column:
 
 def to_blocks(rows: DataFrame, base_url: str = "") -> DataFrame:
     """One JSON block per label (rank 0) and per message row, in message order."""
-    place = ("section_no", "label_no")
-    headers = rows.select(*place, "label").distinct().select(
-        *place, F.lit(0).alias("rank"), _header_block(F.col("label")).alias("block")
-    )
     url = F.concat(F.lit(f"{base_url}/"), F.col("link"), F.lit(".html"))
-    return headers.unionByName(
-        rows.select(*place, "rank", _section_block(F.col("text"), url).alias("block"))
-    )
+    own = F.struct("rank", _section_block(F.col("text"), url).alias("block"))
+    header = F.struct(F.lit(0).alias("rank"), _header_block(F.col("label")).alias("block"))
+    # A label's first row brings its header along.
+    blocks = F.when(F.col("rank") == 1, F.array(header, own)).otherwise(F.array(own))
+    return rows.select("section_no", "label_no", F.inline(blocks))
 
 
 def message_text(blocks: DataFrame) -> DataFrame:

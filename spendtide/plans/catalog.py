@@ -35,7 +35,7 @@ from spendtide.operators.trend import (
     FAST, MACD, SIGNAL, SLOW, cross_flag, macd, signal, trend_lines, trend_series,
 )
 from spendtide.plans import daily_job
-from spendtide.plans.materialize import work_folder
+from spendtide.plans.materialize import materialize, work_folder
 from spendtide.schema import COST_EXTRACT, COST_FACT, RAW_PAGES
 from spendtide.sources import facts, landing
 from spendtide.sources.adapters import events_as_costs, lineitem_as_costs, orders_as_costs
@@ -284,14 +284,18 @@ def cube(spark: SparkSession, folder: str) -> DataFrame:
 # -- calendar and trend ---------------------------------------------------------
 
 
+def _stored_svc_day(spark: SparkSession, folder: str, source=orders_as_costs) -> DataFrame:
+    return materialize(rollup(source(spark, folder), "svc", "day"), "svc_day")
+
+
 def _gap_fill(mode: str) -> Query:
-    return lambda spark, folder: _fixed(
-        gap_fill(rollup(orders_as_costs(spark, folder), "svc", "day"), mode)
-    )
+    return lambda spark, folder: _fixed(gap_fill(_stored_svc_day(spark, folder), mode))
 
 
 def _filled(spark: SparkSession, folder: str, source=orders_as_costs) -> DataFrame:
-    return gap_fill(rollup(source(spark, folder), "svc", "day"))
+    """The service series of a whole table; the small rollup is stored, as its
+    users read it several times."""
+    return gap_fill(_stored_svc_day(spark, folder, source))
 
 
 def _ewm(name: str, span: int) -> Query:
@@ -326,7 +330,7 @@ def trend_testing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _alerts(spark: SparkSession, folder: str, source, cfg: JobConfig) -> daily_job.Alerts:
-    return daily_job.alerts(source(spark, folder), cfg)
+    return daily_job.Alerts(source(spark, folder), cfg)
 
 
 RUNS = {
@@ -369,8 +373,9 @@ def daily_by_service_all(spark: SparkSession, folder: str) -> DataFrame:
 def _enriched(source) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         costs = source(spark, folder)
-        lines = trend_lines(gap_fill(rollup(costs, "svc", "day")))
-        return _fixed(enriched_fact(costs, lines))
+        stored = materialize(daily_cube(costs), "daily_cube")
+        lines = trend_lines(gap_fill(materialize(rollup(stored, "svc", "day"), "svc_day")))
+        return _fixed(enriched_fact(costs, lines, stored))
 
     return query
 

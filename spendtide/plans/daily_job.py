@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
+from functools import cached_property, partial
 
 from dateutil.relativedelta import relativedelta
 from pyspark.sql import DataFrame, SparkSession
@@ -25,19 +26,6 @@ from spendtide.plans.materialize import materialize, work_folder
 from spendtide.sources import facts, landing, sinks
 
 
-@dataclass(frozen=True)
-class Alerts:
-    """Series and alerts of one day, all lazy."""
-
-    trend_testing: DataFrame
-    trend_alerts: DataFrame
-    tag_spike_testing: DataFrame
-    tag_spike_alerts: DataFrame
-    svc_spike_testing: DataFrame
-    svc_spike_alerts: DataFrame
-    svc_day: DataFrame
-
-
 def lookback_days(as_of: date, months: int) -> int:
     """Days in the trailing window: the longest a daily series can be."""
     return (as_of - (as_of - relativedelta(months=months))).days + 1
@@ -51,65 +39,89 @@ def load_costs(spark: SparkSession, cfg: JobConfig) -> None:
     facts.merge_fact(batch, cfg.fact_path, first, last, cfg.compact)
 
 
-def service_days(costs: DataFrame, cfg: JobConfig) -> DataFrame:
-    """The gap-filled service series of the trailing window."""
-    return gap_fill(
-        rollup(lookback_window(costs, cfg.as_of, cfg.lookback_months), "svc", "day"), cfg.gap_fill
-    )
+Keep = Callable[[DataFrame, str], DataFrame]
 
 
-def service_lines(svc_day: DataFrame, cfg: JobConfig) -> DataFrame:
-    return trend_lines(
-        svc_day, cfg.fast_span, cfg.slow_span, cfg.signal_span, cfg.signal_scope,
-        cfg.macd_sign, lookback_days(cfg.as_of, cfg.lookback_months),
-    )
+def lazily(df: DataFrame, name: str) -> DataFrame:
+    """A ``Keep`` that stores nothing."""
+    return df
 
 
-def alerts(
-    costs: DataFrame,
-    cfg: JobConfig,
-    keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
-) -> Alerts:
-    """All alert frames from the fact or its daily cube.
+class Alerts:
+    """Series and alerts of one day, from the fact or its daily cube.
 
-    The service series and its trend feed several frames each. ``keep`` may store
-    them (one row per service and day); by default everything stays lazy.
+    Each frame is built when first asked for. Those that feed several others pass
+    through ``keep``, by default a stored table: they have one row per service and
+    day, while computing them again would mean reading the fact again.
     """
-    window = lookback_window(costs, cfg.as_of, cfg.lookback_months)
-    svc_day = keep(service_days(costs, cfg), "svc_day")
-    trend = keep(trend_series(service_lines(svc_day, cfg)), "trend")
-    svc_scores = service_scores(svc_day)
-    scores_by_tag = tag_scores(rollup(window, "svc_tag", "day"))
 
-    def low(*keys: str) -> DataFrame:
-        return low_value_keys(window, cfg.as_of, cfg.low_value_floor, keys, cfg.suppress_on)
+    def __init__(self, costs: DataFrame, cfg: JobConfig, keep: Keep = materialize) -> None:
+        self._window = lookback_window(costs, cfg.as_of, cfg.lookback_months)
+        self._cfg = cfg
+        self._keep = keep
+
+    @cached_property
+    def svc_day(self) -> DataFrame:
+        """Gap-filled daily spend per service."""
+        sums = self._keep(rollup(self._window, "svc", "day"), "svc_day")
+        return gap_fill(sums, self._cfg.gap_fill)
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        """``svc_day`` with means, MACD and signal."""
+        cfg = self._cfg
+        return trend_lines(
+            self.svc_day, cfg.fast_span, cfg.slow_span, cfg.signal_span, cfg.signal_scope,
+            cfg.macd_sign, lookback_days(cfg.as_of, cfg.lookback_months),
+        )
 
-    def spikes(scores: DataFrame, score: str) -> DataFrame:
-        return detect_spikes(scores, score, cfg.as_of, cfg.z_in, cfg.two_sided)
+    @cached_property
+    def trend_testing(self) -> DataFrame:
+        return self._keep(trend_series(self.lines), "trend")
 
-    def without_low(found: DataFrame) -> DataFrame:
-        return anti_suppress(found, low("SERVICE"), ["SERVICE"]).drop("STARTDATE")
+    @cached_property
+    def trend_alerts(self) -> DataFrame:
+        return self._without_low(detect_crossings(self.trend_testing, self._cfg.as_of))
 
-    tag_spikes = anti_suppress(
-        spikes(scores_by_tag, TAG_SCORE), low("SERVICE", "TAG"), ["SERVICE", "TAG"]
-    )
-    return Alerts(
-        trend_testing=trend,
-        trend_alerts=without_low(detect_crossings(trend, cfg.as_of)),
-        tag_spike_testing=scores_by_tag,
-        tag_spike_alerts=tagged(tag_spikes, cfg.drop_empty_tag),
-        svc_spike_testing=svc_scores,
-        svc_spike_alerts=without_low(spikes(svc_scores, SVC_SCORE)),
-        svc_day=svc_day,
-    )
+    @cached_property
+    def svc_spike_testing(self) -> DataFrame:
+        return service_scores(self.svc_day)
+
+    @cached_property
+    def svc_spike_alerts(self) -> DataFrame:
+        return self._without_low(self._spikes(self.svc_spike_testing, SVC_SCORE))
+
+    @cached_property
+    def tag_spike_testing(self) -> DataFrame:
+        return tag_scores(rollup(self._window, "svc_tag", "day"))
+
+    @cached_property
+    def tag_spike_alerts(self) -> DataFrame:
+        keys = ("SERVICE", "TAG")
+        found = anti_suppress(
+            self._spikes(self.tag_spike_testing, TAG_SCORE), self._low(*keys), keys
+        )
+        return tagged(found, self._cfg.drop_empty_tag)
+
+    def _spikes(self, scores: DataFrame, score: str) -> DataFrame:
+        return detect_spikes(
+            scores, score, self._cfg.as_of, self._cfg.z_in, self._cfg.two_sided
+        )
+
+    def _low(self, *keys: str) -> DataFrame:
+        # Reads one day only: the date filter prunes the scan.
+        cfg = self._cfg
+        return low_value_keys(self._window, cfg.as_of, cfg.low_value_floor, keys, cfg.suppress_on)
+
+    def _without_low(self, found: DataFrame) -> DataFrame:
+        return anti_suppress(found, self._low("SERVICE"), ["SERVICE"]).drop("STARTDATE")
 
 
-def enriched(fact: DataFrame, cfg: JobConfig, cube: DataFrame | None = None) -> DataFrame:
-    """The trailing window of the fact with all statistics."""
+def enriched(fact: DataFrame, cfg: JobConfig, keep: Keep = materialize) -> DataFrame:
+    """The trailing window of the fact with all statistics, in two reads of it."""
     window = lookback_window(fact, cfg.as_of, cfg.lookback_months)
-    costs = window if cube is None else cube
-    lines = service_lines(service_days(costs, cfg), cfg)
-    return enriched_fact(window, lines, cube, cfg.iso_year)
+    cube = keep(daily_cube(window), "daily_cube")
+    return enriched_fact(window, Alerts(cube, cfg, keep).lines, cube, cfg.iso_year)
 
 
 def summaries(costs: DataFrame, cfg: JobConfig) -> Summary:
@@ -139,14 +151,14 @@ def run(spark: SparkSession, cfg: JobConfig) -> RunResult:
     """
     if cfg.load_data and cfg.landing_path:
         load_costs(spark, cfg)
-    folder = work_folder(spark)
+    keep = partial(materialize, folder=work_folder(spark))
     fact = lookback_window(
         facts.read_fact(spark, cfg.fact_path), cfg.as_of, cfg.lookback_months
     )
-    cube = materialize(daily_cube(fact), "daily_cube", folder)
+    cube = keep(daily_cube(fact), "daily_cube")
 
     summary = summaries(cube, cfg)
-    found = alerts(cube, cfg, keep=lambda df, name: materialize(df, name, folder))
+    found = Alerts(cube, cfg, keep)
     rows = message_rows(spark, found, cfg)
     message = messages.message_text(messages.to_blocks(rows, cfg.base_url))
 

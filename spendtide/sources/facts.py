@@ -62,7 +62,7 @@ def merged(history: DataFrame, batch: DataFrame, compact: str = "distinct") -> D
     one. ``latest`` lets the batch replace every (SERVICE, TAG, STARTDATE) it has.
     """
     if compact == "latest":
-        fresh = batch.select(*[F.col(k).alias(f"new_{k}") for k in KEYS])
+        fresh = batch.select(*[F.col(k).alias(f"new_{k}") for k in KEYS]).distinct()
         same = (
             F.col("SERVICE").eqNullSafe(F.col("new_SERVICE"))
             & F.col("TAG").eqNullSafe(F.col("new_TAG"))
