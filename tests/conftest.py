@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -15,9 +16,10 @@ def local_session() -> SparkSession:
         .appName("spendtide-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
-        .config("spark.sql.warehouse.dir", "/tmp/spendtide-warehouse")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spendtide-tests-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
