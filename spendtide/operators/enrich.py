@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendtide.functions.dates import year_week
-from spendtide.operators.rollups import daily_cube, rollup
+from spendtide.operators.rollups import rollup
 
 
 def _with_stats(df: DataFrame, value: str, window, prefix: str, score_of: str | None = None):
@@ -39,16 +39,17 @@ def _service_weeks(svc_week: DataFrame) -> DataFrame:
 def _tag_days(cube: DataFrame) -> DataFrame:
     """Per service, tag and day: day and week scores and moments of the tag.
 
-    All windows start with (SERVICE, TAG), so one exchange serves them. A week's sum
-    stands on each of its days; only the first of them enters the week statistics.
+    The first window partitions by (SERVICE, TAG) and the others refine that, so one
+    exchange serves all. A week's sum stands on each of its days; only the first of
+    them enters the week statistics.
     """
     tag = Window.partitionBy("SERVICE", "TAG")
     week = Window.partitionBy("SERVICE", "TAG", "yearWK")
     first_of_week = F.row_number().over(week.orderBy("STARTDATE")) == 1
-    days = cube.withColumn("week_usd", F.sum("USD").over(week)).withColumn(
+    days = _with_stats(cube, "USD", tag, "svc_tag_day")
+    days = days.withColumn("week_usd", F.sum("USD").over(week)).withColumn(
         "week_once", F.when(first_of_week, F.col("week_usd"))
     )
-    days = _with_stats(days, "USD", tag, "svc_tag_day")
     days = _with_stats(days, "week_once", tag, "svc_tag_wk", score_of="week_usd")
     stats = [c for c in days.columns if c.startswith("svc_tag_")]
     # Untagged rows belong to no tag series.
@@ -58,41 +59,43 @@ def _tag_days(cube: DataFrame) -> DataFrame:
     )
 
 
-def enriched_fact(
-    fact: DataFrame,
-    lines: DataFrame,
-    cube: DataFrame | None = None,
-    iso_year: bool = False,
-) -> DataFrame:
-    """Every fact row with the statistics of its service and tag at day and week grain.
+KEYS = ("SERVICE", "TAG", "STARTDATE")
+
+
+def key_stats(cube: DataFrame, lines: DataFrame, iso_year: bool = False) -> DataFrame:
+    """All statistics of each (SERVICE, TAG, STARTDATE) of the daily cube.
 
     ``lines`` are the ``trend_lines`` of the gap-filled service series.
-    All right sides depend on (SERVICE, TAG, STARTDATE) only, so they meet on the
-    daily cube first and the fact is joined, and shuffled, once instead of once per
-    statistic. The keys are unique there: no row is lost or repeated. A key with
-    very many rows is split by adaptive skew handling, which a left join permits
-    on the fact's side.
     """
-    cube = (daily_cube(fact) if cube is None else cube).select(
-        "SERVICE", "TAG", "STARTDATE", "USD",
-        year_week(F.col("STARTDATE"), iso_year).alias("yearWK"),
+    cube = cube.select(
+        *KEYS, "USD", year_week(F.col("STARTDATE"), iso_year).alias("yearWK")
     )
     weeks = rollup(cube, "svc", "week", iso_year)
-    stats = (
+    return (
         _tag_days(cube)
         .join(_service_days(lines), ["SERVICE", "STARTDATE"], "left")
         .join(_service_weeks(weeks), ["SERVICE", "yearWK"], "left")
         .drop("yearWK")
     )
-    keys = ("SERVICE", "TAG", "STARTDATE")
-    right = stats.withColumnsRenamed({k: f"stat_{k}" for k in keys})
+
+
+def with_key_stats(fact: DataFrame, stats: DataFrame, iso_year: bool = False) -> DataFrame:
+    """Every fact row with the statistics of its keys.
+
+    All of them depend on (SERVICE, TAG, STARTDATE) only, so the fact is joined once
+    instead of once per statistic. The keys are unique in ``stats``: no row is lost
+    or repeated. A stored ``stats`` has a known size, by which Spark either
+    broadcasts it and leaves the fact unshuffled, or sorts both sides; there
+    adaptive skew handling splits a key with very many fact rows.
+    """
+    right = stats.withColumnsRenamed({k: f"stat_{k}" for k in KEYS})
     same = (
         (F.col("SERVICE") == F.col("stat_SERVICE"))
         & (F.col("STARTDATE") == F.col("stat_STARTDATE"))
         & F.col("TAG").eqNullSafe(F.col("stat_TAG"))
     )
     left = fact.select(
-        *keys, "DAY", "WEEK", "MONTH", "YEAR", "USD",
+        *KEYS, "DAY", "WEEK", "MONTH", "YEAR", "USD",
         year_week(F.col("STARTDATE"), iso_year).alias("yearWK"),
     )
-    return left.join(right, same, "left").drop(*[f"stat_{k}" for k in keys])
+    return left.join(right, same, "left").drop(*[f"stat_{k}" for k in KEYS])

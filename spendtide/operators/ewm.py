@@ -88,24 +88,32 @@ def ewm(
     return df.drop("_t")
 
 
-def ewm_across(df: DataFrame, value: str, span: float, out: str, day: str, within: str) -> DataFrame:
-    """Add one mean that runs through all rows in (``day``, ``within``) order.
+def with_position(df: DataFrame, day: str, within: str, out: str) -> DataFrame:
+    """Add the row's place, from 0, in (``day``, ``within``) order.
 
-    The position of a row is its rank within the day plus the rows of all earlier
-    days, so nothing is sorted as a whole: days rank in parallel, the running count
-    has one row per day, and blocks of bounded length take the mean in parallel.
+    It is the rank within the day plus the rows of all earlier days, so nothing is
+    sorted as a whole: days rank in parallel and the running count has one row per
+    calendar day, whatever the number of rows.
     """
     per_day = df.groupBy(day).agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per calendar day, so this unpartitioned window stays small.
     earlier = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_day.select(
         day, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")
     )
     rank = F.row_number().over(Window.partitionBy(day).orderBy(within)) - 1
-    placed = (
+    return (
         df.withColumn("_rank", rank)
         .join(offsets, day)
-        .withColumn("_t", F.col("_offset") + F.col("_rank"))
+        .withColumn(out, F.col("_offset") + F.col("_rank"))
         .drop("_rank", "_offset")
     )
-    return _blocked_mean(placed, value, span, [], out).drop("_t")
+
+
+def ewm_along(df: DataFrame, value: str, span: float, out: str, position: str) -> DataFrame:
+    """Add one mean that runs through all rows in ``position`` order.
+
+    Blocks of bounded length are the partitions, so the rows spread evenly however
+    many there are.
+    """
+    numbered = df.withColumnRenamed(position, "_t")
+    return _blocked_mean(numbered, value, span, [], out).withColumnRenamed("_t", position)

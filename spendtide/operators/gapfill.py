@@ -29,7 +29,11 @@ def gap_fill(svc_day: DataFrame, mode: str = "global") -> DataFrame:
 def _global_fillers(svc_day: DataFrame) -> DataFrame:
     # One row per calendar day, so the unpartitioned window is bounded by the
     # length of the calendar (366 rows a year), whatever the fact's size.
-    per_day = svc_day.groupBy("STARTDATE").agg(F.max("SERVICE").alias("SERVICE"))
+    # Taking USD along keeps this branch's input equal to the unfilled series, so
+    # that both sides of the union read one exchange and the fact is scanned once.
+    per_day = svc_day.groupBy("STARTDATE").agg(
+        F.max(F.struct("SERVICE", "USD"))["SERVICE"].alias("SERVICE")
+    )
     following = F.lead("STARTDATE").over(Window.orderBy("STARTDATE"))
     return (
         per_day.withColumn("next_day", following)

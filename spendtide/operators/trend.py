@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendtide.functions.dates import add_date_parts
-from spendtide.operators.ewm import ewm, ewm_across
+from spendtide.operators.ewm import ewm, ewm_along, with_position
 
 FAST, SLOW = "svc_day_usd_12ewm", "svc_day_usd_26ewm"
 MACD, SIGNAL = "svc_day_usd_macd", "svc_day_usd_9ewm"
+PLACE = "place"
 
 
 def macd(
@@ -29,6 +30,11 @@ def macd(
     return means.withColumn(MACD, difference if sign == "slow_minus_fast" else -difference)
 
 
+def with_place(svc_day: DataFrame) -> DataFrame:
+    """Add the row's place in (date, service) order."""
+    return with_position(svc_day, "STARTDATE", "SERVICE", PLACE)
+
+
 def signal(
     df: DataFrame, span: int = 9, scope: str = "global", max_rows: int | None = None
 ) -> DataFrame:
@@ -39,7 +45,8 @@ def signal(
     """
     if scope == "service":
         return ewm(df, MACD, {SIGNAL: span}, ["SERVICE"], "STARTDATE", max_rows)
-    return ewm_across(df, MACD, span, SIGNAL, day="STARTDATE", within="SERVICE")
+    placed = df if PLACE in df.columns else with_place(df)
+    return ewm_along(placed, MACD, span, SIGNAL, PLACE).drop(PLACE)
 
 
 def cross_flag(df: DataFrame) -> DataFrame:
@@ -68,6 +75,9 @@ def trend_lines(
 
     ``max_rows`` bounds the days of a service where the caller knows them.
     """
+    if signal_scope == "global":
+        # Places are counted on the bare series, not on the result of the means.
+        svc_day = with_place(svc_day)
     lines = macd(svc_day, fast_span, slow_span, macd_sign, max_rows)
     return signal(lines, signal_span, signal_scope, max_rows)
 

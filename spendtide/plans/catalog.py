@@ -21,7 +21,7 @@ from spendtide.functions.dates import (
 from spendtide.functions.numbers import amount, round2
 from spendtide.functions.text import SPIKE_PREFIX, chart_name, chart_title, clean_tag
 from spendtide.operators import messages, series
-from spendtide.operators.enrich import enriched_fact
+from spendtide.operators.enrich import key_stats, with_key_stats
 from spendtide.operators.ewm import ewm
 from spendtide.operators.gapfill import calendar_days, gap_fill
 from spendtide.operators.rollups import daily_cube, rollup
@@ -36,7 +36,7 @@ from spendtide.operators.trend import (
 )
 from spendtide.plans import daily_job
 from spendtide.plans.materialize import materialize, work_folder
-from spendtide.schema import COST_EXTRACT, COST_FACT, RAW_PAGES
+from spendtide.schema import COST_EXTRACT
 from spendtide.sources import facts, landing
 from spendtide.sources.adapters import events_as_costs, lineitem_as_costs, orders_as_costs
 
@@ -162,8 +162,8 @@ def low_value_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as page texts of one group each, parsed with the landing schema."""
-    one = F.struct(
+    """Orders landed as page files, one page with one group per line, and read back."""
+    group = F.struct(
         F.array(F.col("o_orderpriority"), F.concat(F.lit("Name$"), "o_orderstatus")).alias("Keys"),
         F.create_map(
             F.lit("UnblendedCost"),
@@ -176,11 +176,10 @@ def _pages(spark: SparkSession, folder: str) -> DataFrame:
     period = F.struct(
         day.cast("string").alias("Start"), F.date_add(day, 1).cast("string").alias("End")
     )
-    result = F.struct(period.alias("TimePeriod"), F.array(one).alias("Groups"))
-    text = F.to_json(F.struct(F.array(result).alias("ResultsByTime")))
-    return _orders(spark, folder).select(
-        F.from_json(text, RAW_PAGES.simpleString()).alias("page")
-    ).select("page.*")
+    result = F.struct(period.alias("TimePeriod"), F.array(group).alias("Groups"))
+    path = f"{work_folder(spark)}/pages-{uuid4().hex}"
+    _orders(spark, folder).select(F.array(result).alias("ResultsByTime")).write.json(path)
+    return landing.read_cost_pages(spark, path, multi_line=False)
 
 
 def flatten_cost_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,18 +283,18 @@ def cube(spark: SparkSession, folder: str) -> DataFrame:
 # -- calendar and trend ---------------------------------------------------------
 
 
-def _stored_svc_day(spark: SparkSession, folder: str, source=orders_as_costs) -> DataFrame:
-    return materialize(rollup(source(spark, folder), "svc", "day"), "svc_day")
+def _filled(
+    spark: SparkSession, folder: str, source=orders_as_costs, mode: str = "global"
+) -> DataFrame:
+    """The service series of a whole table, stored: what follows reads it repeatedly."""
+    sums = rollup(source(spark, folder), "svc", "day")
+    if mode == "per_service":
+        sums = materialize(sums, "svc_sums")
+    return materialize(gap_fill(sums, mode), "svc_day")
 
 
 def _gap_fill(mode: str) -> Query:
-    return lambda spark, folder: _fixed(gap_fill(_stored_svc_day(spark, folder), mode))
-
-
-def _filled(spark: SparkSession, folder: str, source=orders_as_costs) -> DataFrame:
-    """The service series of a whole table; the small rollup is stored, as its
-    users read it several times."""
-    return gap_fill(_stored_svc_day(spark, folder, source))
+    return lambda spark, folder: _fixed(_filled(spark, folder, mode=mode))
 
 
 def _ewm(name: str, span: int) -> Query:
@@ -374,8 +373,10 @@ def _enriched(source) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         costs = source(spark, folder)
         stored = materialize(daily_cube(costs), "daily_cube")
-        lines = trend_lines(gap_fill(materialize(rollup(stored, "svc", "day"), "svc_day")))
-        return _fixed(enriched_fact(costs, lines, stored))
+        days = materialize(gap_fill(rollup(stored, "svc", "day")), "svc_day")
+        lines = materialize(trend_lines(days), "lines")
+        stats = materialize(key_stats(stored, lines), "key_stats")
+        return _fixed(with_key_stats(costs, stats))
 
     return query
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spendtide.config import JobConfig
 from spendtide.functions.dates import lookback_window
 from spendtide.operators import messages, series
-from spendtide.operators.enrich import enriched_fact
+from spendtide.operators.enrich import key_stats, with_key_stats
 from spendtide.operators.gapfill import gap_fill
 from spendtide.operators.rollups import daily_cube, rollup
 from spendtide.operators.spikes import (
@@ -63,21 +63,25 @@ class Alerts:
     @cached_property
     def svc_day(self) -> DataFrame:
         """Gap-filled daily spend per service."""
-        sums = self._keep(rollup(self._window, "svc", "day"), "svc_day")
-        return gap_fill(sums, self._cfg.gap_fill)
+        sums = rollup(self._window, "svc", "day")
+        if self._cfg.gap_fill == "per_service":
+            # The first and last day are read apart from the series.
+            sums = self._keep(sums, "svc_sums")
+        return self._keep(gap_fill(sums, self._cfg.gap_fill), "svc_day")
 
     @cached_property
     def lines(self) -> DataFrame:
         """``svc_day`` with means, MACD and signal."""
         cfg = self._cfg
-        return trend_lines(
+        lines = trend_lines(
             self.svc_day, cfg.fast_span, cfg.slow_span, cfg.signal_span, cfg.signal_scope,
             cfg.macd_sign, lookback_days(cfg.as_of, cfg.lookback_months),
         )
+        return self._keep(lines, "lines")
 
     @cached_property
     def trend_testing(self) -> DataFrame:
-        return self._keep(trend_series(self.lines), "trend")
+        return trend_series(self.lines)
 
     @cached_property
     def trend_alerts(self) -> DataFrame:
@@ -121,7 +125,8 @@ def enriched(fact: DataFrame, cfg: JobConfig, keep: Keep = materialize) -> DataF
     """The trailing window of the fact with all statistics, in two reads of it."""
     window = lookback_window(fact, cfg.as_of, cfg.lookback_months)
     cube = keep(daily_cube(window), "daily_cube")
-    return enriched_fact(window, Alerts(cube, cfg, keep).lines, cube, cfg.iso_year)
+    stats = keep(key_stats(cube, Alerts(cube, cfg, keep).lines, cfg.iso_year), "key_stats")
+    return with_key_stats(window, stats, cfg.iso_year)
 
 
 def summaries(costs: DataFrame, cfg: JobConfig) -> Summary:

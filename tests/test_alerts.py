@@ -5,7 +5,7 @@ import pytest
 
 from frames import DAY0, costs, rows
 from spendtide.config import JobConfig
-from spendtide.operators.enrich import enriched_fact
+from spendtide.operators.enrich import key_stats, with_key_stats
 from spendtide.operators.gapfill import gap_fill
 from spendtide.operators.rollups import daily_cube, rollup
 from spendtide.operators.spikes import detect_spikes
@@ -80,7 +80,7 @@ def test_enriched_keeps_every_row_once(spark):
         ("a", "x", 8, 2), (None, "x", 1, 4),
     ])
     lines = trend_lines(gap_fill(rollup(fact)))
-    got = enriched_fact(fact, lines)
+    got = with_key_stats(fact, key_stats(daily_cube(fact), lines))
     assert got.count() == fact.count()
     assert len(got.columns) == 9 + 16 + 4
     by_key = {(r.SERVICE, r.TAG, r.STARTDATE): r for r in got.collect()}

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from spendtide.operators.gapfill import gap_fill
 from spendtide.operators.rollups import daily_cube, rollup
 from spendtide.operators.stats import zscore
 from spendtide.operators.trend import trend_lines
@@ -53,3 +54,10 @@ def test_service_chain_shares_one_exchange(spark):
     assert exchanges(zscore(day, ["SERVICE"], "z")) == 2
     lines = trend_lines(day, signal_scope="service", max_rows=367)
     assert exchanges(zscore(lines, ["SERVICE"], "z")) == 2
+
+
+def test_gap_fill_reads_the_fact_once(spark):
+    filled = gap_fill(rollup(orders_as_costs(spark, FOLDER)))
+    filled.collect()
+    final = plan(filled).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final

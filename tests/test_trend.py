@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from frames import DAY0, pandas_gap_fill, pandas_trend, rows, series
-from spendtide.operators.ewm import block_length, ewm, ewm_across
+from spendtide.operators.ewm import block_length, ewm, ewm_along, with_position
 from spendtide.operators.gapfill import gap_fill
 from spendtide.operators.trend import (
     FAST, MACD, SIGNAL, SLOW, cross_flag, detect_crossings, macd, trend_lines, trend_series,
@@ -46,9 +46,11 @@ def test_ewm_matches_pandas_with_and_without_blocks(spark, span, days, bound):
     assert (days > block_length(span)) == (span in (2, 9))
 
 
-def test_ewm_across_many_services_matches_one_pandas_pass(spark):
+def test_mean_across_many_services_matches_one_pandas_pass(spark):
     raw = _random_rows(40, 120, seed=5, missing=0.2)
-    got = _sorted(ewm_across(series(spark, raw), "USD", 9, "y", "STARTDATE", "SERVICE"))
+    placed = with_position(series(spark, raw), "STARTDATE", "SERVICE", "n")
+    got = _sorted(ewm_along(placed, "USD", 9, "y", "n"))
+    assert list(got.n) == list(range(len(got)))
     want = _pandas(raw).sort_values(["STARTDATE", "SERVICE"]).USD.ewm(span=9, adjust=False).mean()
     assert len(got) > 2 * block_length(9)
     np.testing.assert_allclose(got.y, want, rtol=1e-12, atol=1e-11)
