@@ -39,6 +39,7 @@ class JobConfig:
     private_channel: str = "private"
     base_url: str = ""
     landing_path: str | None = None
+    multi_line_pages: bool = True
     fact_path: str | None = None
     output_path: str | None = None
 

@@ -13,12 +13,13 @@ from spendtide.functions.text import (
 )
 from spendtide.operators.spikes import SVC_SCORE, TAG_SCORE
 
-# Section keys and labels of the message.
+# Section keys, labels and texts of the message.
 SUMMARY_SECTION, SUMMARY_LABEL = "awsSummary", "AWS Services Summary"
 TREND_SECTION = "awsTrends"
 TREND_UP, TREND_DOWN = "Upward Trending AWS Services", "Downward Trending AWS Services"
 SPIKE_SECTION = "awsSvcSpikes"
 SPIKE_UP, SPIKE_DOWN = "Spike up in AWS Services", "Spike down in AWS Services"
+DAILY_TEXT, MONTH_TEXT = "Daily Spend x Service", "Month to Date Spend x Service"
 TAG_SECTION = "awsTagSpikes"
 TAG_UP, TAG_DOWN = "Spike up in AWS Service Tags", "Spike down in AWS Service Tags"
 
@@ -94,8 +95,8 @@ def summary_rows(spark: SparkSession, as_of: date) -> DataFrame:
     """The two links to the summary charts."""
     stamp = f"_{as_of:%Y%m%d}"
     links = [
-        (1, "Daily Spend x Service", DAILY_CHART + stamp),
-        (2, "Month to Date Spend x Service", MONTH_CHART + stamp),
+        (1, DAILY_TEXT, DAILY_CHART + stamp),
+        (2, MONTH_TEXT, MONTH_CHART + stamp),
     ]
     return spark.createDataFrame(
         [(1, SUMMARY_SECTION, 1, SUMMARY_LABEL, n, text, link) for n, text, link in links],

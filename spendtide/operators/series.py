@@ -15,6 +15,9 @@ from spendtide.functions.text import (
 from spendtide.operators.summary import Summary
 from spendtide.operators.trend import MACD, SIGNAL
 
+# Titles of the summary charts.
+MONTH_TITLE, DAILY_TITLE = "Month to Date Spend by Service", "Daily Spend x Service"
+
 
 def of_alerted(series: DataFrame, alerts: DataFrame) -> DataFrame:
     """Rows of the services that have an alert."""
@@ -82,14 +85,14 @@ def summary_series(summary: Summary, as_of: date) -> DataFrame:
     spend = round2(F.col("TOTAL_SPEND")).alias("TOTAL_SPEND")
     month = summary.total_by_service.select(
         F.lit(MONTH_CHART + stamp).alias("chart_id"),
-        F.lit("Month to Date Spend by Service").alias("chart_title"),
+        F.lit(MONTH_TITLE).alias("chart_title"),
         F.lit(None).cast("date").alias("DATE"),
         "SERVICE",
         spend,
     )
     daily = summary.daily_by_service.select(
         F.lit(DAILY_CHART + stamp).alias("chart_id"),
-        F.lit("Daily Spend x Service").alias("chart_title"),
+        F.lit(DAILY_TITLE).alias("chart_title"),
         F.to_date("DATE_STR", "yyyyMMdd").alias("DATE"),
         "SERVICE",
         spend,

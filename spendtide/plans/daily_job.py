@@ -34,8 +34,11 @@ def lookback_days(as_of: date, months: int) -> int:
 def load_costs(spark: SparkSession, cfg: JobConfig) -> None:
     """Merge the landed pages of the overlap window into the fact table."""
     first, last = landing.overlap_window(cfg.as_of, cfg.overlap_days, cfg.end_inclusive)
-    pages = landing.read_cost_pages(spark, cfg.landing_path)
+    pages = landing.read_cost_pages(spark, cfg.landing_path, cfg.multi_line_pages)
     batch = landing.landed_costs(pages, first, last, cfg.double_strip_tag)
+    if cfg.compact == "latest":
+        # The keys of the batch are read apart from its rows: parse the pages once.
+        batch = materialize(batch, "batch")
     facts.merge_fact(batch, cfg.fact_path, first, last, cfg.compact)
 
 

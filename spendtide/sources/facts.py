@@ -51,7 +51,8 @@ def overwrite_fact(df: DataFrame, path: str) -> None:
 
 def _replace_days(df: DataFrame, path: str) -> None:
     # New files are staged and take the place of the touched days at commit, after
-    # the old ones were read.
+    # the old ones were read. A run that fails in the middle of that is repeated from
+    # the landed pages.
     _write(df, path, "overwrite", "dynamic")
 
 

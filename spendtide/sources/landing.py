@@ -29,7 +29,8 @@ def read_cost_pages(spark: SparkSession, path: str, multi_line: bool = True) ->
     """All landed pages under ``path``.
 
     ``multi_line`` reads one page per file; with one page per line (False) large
-    files are split between tasks.
+    files are split between tasks. Pages may lie in ``day=yyyy-MM-dd`` folders, of
+    which a load then opens only those of its window.
     """
     return spark.read.schema(RAW_PAGES).option("multiLine", multi_line).json(path)
 
@@ -90,9 +91,16 @@ def landed_costs(
     double_strip_tag: bool = False,
 ) -> DataFrame:
     """Fact rows of the landed pages, limited to ``first`` to ``last`` where given."""
-    fact = to_fact(normalize_columns(flatten_cost_pages(pages, double_strip_tag)))
-    if first is not None:
-        fact = fact.where(F.col("STARTDATE") >= F.lit(first))
-    if last is not None:
-        fact = fact.where(F.col("STARTDATE") <= F.lit(last))
-    return fact
+    flat = normalize_columns(
+        flatten_cost_pages(_within(pages, "day", first, last), double_strip_tag)
+    )
+    return _within(to_fact(flat), "STARTDATE", first, last)
+
+
+def _within(df: DataFrame, day: str, first: date | None, last: date | None) -> DataFrame:
+    """Rows from ``first`` to ``last`` by the column ``day``, if there is one."""
+    if day in df.columns and first is not None:
+        df = df.where(F.col(day) >= F.lit(first))
+    if day in df.columns and last is not None:
+        df = df.where(F.col(day) <= F.lit(last))
+    return df

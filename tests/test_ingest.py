@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import DAY0, costs, rows
+from spendtide.__main__ import main, parse
 from spendtide.config import JobConfig
 from spendtide.functions.text import clean_tag
 from spendtide.plans.daily_job import load_costs, run
@@ -50,6 +51,25 @@ def test_pages_become_fact_rows(spark, pages):
     assert rows(fact.select("METRIC", "GRANULARITY", "UNIT").distinct(), "*") == [("UnblendedCost", "DAILY", "USD")]
 
 
+def test_day_folders_are_pruned(spark, tmp_path):
+    for d in (D1, D2):
+        folder = tmp_path / f"day={d}"
+        folder.mkdir()
+        (folder / "1.json").write_text(page((d, [("a", "t", "1")])))
+    pages = landing.read_cost_pages(spark, str(tmp_path))
+    fact = landing.landed_costs(pages, D2, D2)
+    scan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in scan
+    assert rows(fact, "STARTDATE") == [(D2,)]
+
+
+def test_command_line():
+    cfg = parse(["--run-date", "2024-05-23", "--no-load-data", "--z-in", "2", "--gap-fill", "per_service"])
+    assert cfg == JobConfig(run_date=date(2024, 5, 23), load_data=False, z_in=2.0, gap_fill="per_service")
+    with pytest.raises(SystemExit):
+        main(["--run-date", "2024-05-23"])
+
+
 def test_tag_prefix(spark):
     df = spark.createDataFrame([("Name$production",), ("Name$abc",), ("Name$",), (None,)], "t string")
     got = rows(df.select(clean_tag(F.col("t")), clean_tag(F.col("t"), True)), "*")

@@ -3,6 +3,8 @@ from datetime import date
 
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from frames import costs, rows, series
@@ -66,3 +68,14 @@ def test_amounts(spark):
     got = [r[0] for r in df.orderBy("i").select(amount(F.col("t"))).collect()]
     assert got[:3] == [1.2345e-06, 1e-07, -3.5] and got[3:] == [None, None, None]
     assert not any(isinstance(v, float) and math.isnan(v) for v in got)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(-10**6, 10**6), min_size=2, max_size=60))
+def test_scores_have_mean_zero_and_deviation_one(spark, cents):
+    df = zscore(series(spark, [("a", i, v / 100) for i, v in enumerate(cents)]), ["SERVICE"], "z")
+    z = [r.z for r in df.collect()]
+    if len(set(cents)) == 1:
+        assert set(z) == {None}
+    else:
+        assert abs(np.mean(z)) < 1e-7 and abs(np.std(z, ddof=1) - 1) < 1e-7
