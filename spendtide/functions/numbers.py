@@ -11,9 +11,13 @@ def round2(value: Column) -> Column:
     return F.rint(value * 100) / 100
 
 
+def without_nan(value: Column) -> Column:
+    return F.nanvl(value, F.lit(None).cast("double"))
+
+
 def amount(text: Column) -> Column:
     """Amount text to double; unreadable text and NaN become NULL."""
-    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
+    return without_nan(text.try_cast("double"))
 
 
 def total(value: str) -> Column:
@@ -21,13 +25,15 @@ def total(value: str) -> Column:
     return F.coalesce(F.sum(value), F.lit(0.0))
 
 
-def zscore_over(value: Column, window: WindowSpec) -> Column:
+def zscore_over(value: Column, window: WindowSpec, scored: Column | None = None) -> Column:
     """Standard score with the sample deviation, NULL for constant groups.
 
-    Constancy is tested on the values, since rounding noise in the deviation of
-    equal values would give a huge score. NaN must not appear: Spark orders it
-    above every number, so an undefined score would pass a ``>=`` filter.
+    ``scored`` is what gets the score where that is not ``value`` itself, the base of
+    mean and deviation. Constancy is tested on the values, since rounding noise in the
+    deviation of equal values would give a huge score. NaN must not appear: Spark
+    orders it above every number, so an undefined score would pass a ``>=`` filter.
     """
     varies = F.max(value).over(window) > F.min(value).over(window)
     spread = F.nullif(F.stddev_samp(value).over(window), F.lit(0.0))
-    return F.when(varies, (value - F.avg(value).over(window)) / spread)
+    scored = value if scored is None else scored
+    return F.when(varies, without_nan((scored - F.avg(value).over(window)) / spread))

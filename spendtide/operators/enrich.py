@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from spendtide.functions.dates import year_week
+from spendtide.functions.numbers import zscore_over
 from spendtide.operators.rollups import rollup
 
 
-def _with_stats(df: DataFrame, value: str, window, prefix: str, score_of: str | None = None):
-    """Score and moments of ``value`` over ``window``; ``value`` may be NULL on
-    rows that repeat a period, ``score_of`` is then the value those rows score."""
-    x, scored = F.col(value), F.col(score_of or value)
-    low, high = F.min(x).over(window), F.max(x).over(window)
-    mean = F.avg(x).over(window)
-    spread = F.nullif(F.stddev_samp(x).over(window), F.lit(0.0))
+def _with_stats(
+    df: DataFrame, value: str, window: WindowSpec, prefix: str, scored: str | None = None
+) -> DataFrame:
+    """Score and moments of ``value``; it may be NULL on rows that repeat a period,
+    whose score is then that of ``scored``."""
+    x = F.col(value)
     return df.withColumns({
-        f"{prefix}_zscore": F.when(high > low, (scored - mean) / spread),
-        f"{prefix}_usd_min": low,
-        f"{prefix}_usd_max": high,
-        f"{prefix}_usd_mean": mean,
+        f"{prefix}_zscore": zscore_over(x, window, F.col(scored) if scored else None),
+        f"{prefix}_usd_min": F.min(x).over(window),
+        f"{prefix}_usd_max": F.max(x).over(window),
+        f"{prefix}_usd_mean": F.avg(x).over(window),
     })
 
 
@@ -50,7 +50,7 @@ def _tag_days(cube: DataFrame) -> DataFrame:
     days = days.withColumn("week_usd", F.sum("USD").over(week)).withColumn(
         "week_once", F.when(first_of_week, F.col("week_usd"))
     )
-    days = _with_stats(days, "week_once", tag, "svc_tag_wk", score_of="week_usd")
+    days = _with_stats(days, "week_once", tag, "svc_tag_wk", scored="week_usd")
     stats = [c for c in days.columns if c.startswith("svc_tag_")]
     # Untagged rows belong to no tag series.
     return days.select(

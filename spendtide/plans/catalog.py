@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from spendtide.config import JobConfig
 from spendtide.functions.dates import (
-    add_date_parts, date_from_parts, date_key, in_month, lookback_window, year_week,
+    add_date_parts, date_from_parts, date_key, lookback_window, year_week,
 )
 from spendtide.functions.numbers import amount, round2
 from spendtide.functions.text import SPIKE_PREFIX, chart_name, chart_title, clean_tag

@@ -163,7 +163,8 @@ def run(spark: SparkSession, cfg: JobConfig) -> RunResult:
     fact = lookback_window(
         facts.read_fact(spark, cfg.fact_path), cfg.as_of, cfg.lookback_months
     )
-    cube = keep(daily_cube(fact), "daily_cube")
+    # Ordered by day, so that reads of a month or a day skip row groups.
+    cube = keep(daily_cube(fact).sortWithinPartitions("STARTDATE"), "daily_cube")
 
     summary = summaries(cube, cfg)
     found = Alerts(cube, cfg, keep)
@@ -172,14 +173,16 @@ def run(spark: SparkSession, cfg: JobConfig) -> RunResult:
 
     if cfg.output_path:
         out = cfg.output_path
-        sinks.write_table(summary.total_by_service, f"{out}/total_by_service")
-        sinks.write_table(summary.daily_by_service, f"{out}/daily_by_service")
-        sinks.write_table(found.trend_alerts, f"{out}/trend_alerts")
-        sinks.write_table(found.svc_spike_alerts, f"{out}/svc_spike_alerts")
-        sinks.write_table(found.tag_spike_alerts, f"{out}/tag_spike_alerts")
+        sinks.write_table(summary.total_by_service, f"{out}/total_by_service", "SERVICE")
+        sinks.write_table(
+            summary.daily_by_service, f"{out}/daily_by_service", "DATE_STR", "SERVICE"
+        )
+        sinks.write_table(found.trend_alerts, f"{out}/trend_alerts", "SERVICE")
+        sinks.write_table(found.svc_spike_alerts, f"{out}/svc_spike_alerts", "SERVICE")
+        sinks.write_table(found.tag_spike_alerts, f"{out}/tag_spike_alerts", "SERVICE", "TAG")
         sinks.write_series(
             series.macd_series(found.trend_testing, found.trend_alerts, cfg.as_of),
-            f"{out}/charts/trend"
+            f"{out}/charts/trend",
         )
         sinks.write_series(
             series.spike_series(
@@ -190,6 +193,6 @@ def run(spark: SparkSession, cfg: JobConfig) -> RunResult:
         sinks.write_series(
             series.summary_series(summary, cfg.as_of), f"{out}/charts/summary"
         )
-        sinks.write_table(rows, f"{out}/message_rows")
+        sinks.write_table(rows, f"{out}/message_rows", "section_no", "label_no", "rank")
         sinks.write_messages(message, f"{out}/messages", cfg.channel)
     return RunResult(summary, found, rows, message)

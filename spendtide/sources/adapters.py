@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendtide.functions.dates import add_date_parts
+from spendtide.functions.numbers import without_nan
 from spendtide.schema import COST_FACT, COST_METRIC
 
 
@@ -18,7 +19,7 @@ def as_costs(df: DataFrame, service: Column, tag: Column, day: Column, usd: Colu
         F.lit("DAILY").alias("GRANULARITY"),
         F.to_date(day).alias("STARTDATE"),
         F.date_add(F.to_date(day), 1).alias("ENDDATE"),
-        usd.cast("double").alias("USD"),
+        without_nan(usd.cast("double")).alias("USD"),
         F.lit("USD").alias("UNIT"),
     )
     return add_date_parts(costs).select(*COST_FACT.names)

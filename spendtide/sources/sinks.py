@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_table(df: DataFrame, path: str, *order: str) -> None:
+    """A result table in the given row order."""
+    (df.orderBy(*order) if order else df).write.mode("overwrite").parquet(path)
 
 
 def write_series(df: DataFrame, path: str) -> None:

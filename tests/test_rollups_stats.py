@@ -50,9 +50,17 @@ def test_zscore_is_null_where_undefined(spark):
     assert zscore(df, ["SERVICE"], "z").where(F.col("z") >= 1).count() == 1
 
 
+def test_not_a_number_never_alerts(spark):
+    fact = costs(spark, [("a", "x", 0, 1), ("a", "x", 1, float("nan")), ("a", "x", 2, 3)])
+    assert rows(rollup(fact), "USD") == [(0.0,), (1.0,), (3.0,)]
+    endless = series(spark, [("a", 0, 1), ("a", 1, 2), ("a", 2, float("inf"))])
+    assert rows(zscore(endless, ["SERVICE"], "z"), "z") == [(None,)] * 3
+
+
 def test_moments(spark):
     df = series(spark, [("a", 0, 1), ("a", 1, 2), ("a", 2, 6)])
-    assert rows(moments(df, ["SERVICE"], "svc_day"), "svc_day_usd_min", "svc_day_usd_max", "svc_day_usd_mean") == [(1.0, 6.0, 3.0)]
+    got = moments(df, ["SERVICE"], "svc_day")
+    assert rows(got, "svc_day_usd_min", "svc_day_usd_max", "svc_day_usd_mean") == [(1.0, 6.0, 3.0)]
 
 
 def test_round2_follows_scaled_half_even(spark):
