@@ -37,7 +37,7 @@ from spendtide.operators.trend import (
 from spendtide.plans import daily_job
 from spendtide.plans.materialize import materialize, work_folder
 from spendtide.schema import COST_EXTRACT
-from spendtide.sources import facts, landing
+from spendtide.sources import facts, landing, sinks
 from spendtide.sources.adapters import events_as_costs, lineitem_as_costs, orders_as_costs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,24 +161,27 @@ def low_value_totals(spark: SparkSession, folder: str) -> DataFrame:
 # -- ingest and storage ---------------------------------------------------------
 
 
-def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders landed as page files, one page with one group per line, and read back."""
+def _land(costs: DataFrame, path: str) -> None:
+    """Write cost rows as page files, one page with one group per line."""
     group = F.struct(
-        F.array(F.col("o_orderpriority"), F.concat(F.lit("Name$"), "o_orderstatus")).alias("Keys"),
+        F.array(F.col("SERVICE"), F.concat(F.lit("Name$"), "TAG")).alias("Keys"),
         F.create_map(
             F.lit("UnblendedCost"),
-            F.struct(
-                F.col("o_totalprice").cast("string").alias("Amount"), F.lit("USD").alias("Unit")
-            ),
+            F.struct(F.col("USD").cast("string").alias("Amount"), F.lit("USD").alias("Unit")),
         ).alias("Metrics"),
     )
-    day = F.to_date("o_orderdate")
     period = F.struct(
-        day.cast("string").alias("Start"), F.date_add(day, 1).cast("string").alias("End")
+        F.col("STARTDATE").cast("string").alias("Start"),
+        F.col("ENDDATE").cast("string").alias("End"),
     )
     result = F.struct(period.alias("TimePeriod"), F.array(group).alias("Groups"))
+    costs.select(F.array(result).alias("ResultsByTime")).write.json(path)
+
+
+def _pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders landed as page files and read back."""
     path = f"{work_folder(spark)}/pages-{uuid4().hex}"
-    _orders(spark, folder).select(F.array(result).alias("ResultsByTime")).write.json(path)
+    _land(orders_as_costs(spark, folder), path)
     return landing.read_cost_pages(spark, path, multi_line=False)
 
 
@@ -448,6 +451,26 @@ def message_payload(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored_charts(spark: SparkSession, folder: str) -> DataFrame:
+    """The spike charts written one folder each, and read back."""
+    charts = _series_spike(lineitem_as_costs, LINEITEM_RUN)(spark, folder)
+    path = f"{work_folder(spark)}/charts-{uuid4().hex}"
+    sinks.write_series(charts, path)
+    return spark.read.schema(charts.schema).parquet(path)
+
+
+def daily_run_events(spark: SparkSession, folder: str) -> DataFrame:
+    """A whole run: all events landed as pages, loaded, alerted on and reported."""
+    base = f"{work_folder(spark)}/run-{uuid4().hex}"
+    cfg = replace(
+        EVENTS_RUN, overlap_days=30, multi_line_pages=False,
+        landing_path=f"{base}/pages", fact_path=f"{base}/fact", output_path=f"{base}/out",
+    )
+    _land(events_as_costs(spark, folder), cfg.landing_path)
+    daily_job.run(spark, cfg)
+    return spark.read.schema(messages.MESSAGE_ROWS).parquet(f"{cfg.output_path}/message_rows")
+
+
 def spikes_flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Services whose spend on a day is at least one deviation above their year."""
     return _alert_frame("svc_spike_alerts", orders_as_costs, SMOKE_RUN)(spark, folder)
@@ -493,6 +516,8 @@ def queries() -> dict[str, Query]:
         "enriched_fact_events": _enriched(events_as_costs),
         "spike_alerts_svc_gaps": _alert_frame("svc_spike_alerts", orders_as_costs, GAP_RUN),
         "top_alerts": top_alerts,
+        "stored_charts": stored_charts,
+        "daily_run_events": daily_run_events,
         "message_text": message_text,
         "message_payload": message_payload,
     }

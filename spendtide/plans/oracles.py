@@ -22,6 +22,8 @@ FACTS = {
         CAST(l_shipdate AS DATE) AS STARTDATE, l_extendedprice AS USD FROM lineitem""",
 }
 FACTS["_strict"] = FACTS[""]
+# A load drops repeated rows.
+FACTS["_loaded_events"] = f"SELECT DISTINCT * FROM ({FACTS['_events']})"
 
 PARTS = """CAST(year(STARTDATE) AS INTEGER) AS YEAR, CAST(month(STARTDATE) AS INTEGER) AS MONTH,
     CAST(day(STARTDATE) AS INTEGER) AS DAY"""
@@ -386,6 +388,9 @@ def _series_and_trend() -> dict[str, str]:
         "enriched_fact": _enriched(""),
         "enriched_fact_events": _enriched("_events"),
         "spike_alerts_svc_gaps": _spike_rows("", c.GAP_RUN),
+        "stored_charts": _series_spike("_lineitem", c.LINEITEM_RUN),
+        "daily_run_events": f"""{_message_rows("_loaded_events", c.EVENTS_RUN)}
+            SELECT {MESSAGE} FROM message""",
         "message_text": f"""{_message_rows("", c.ORDERS_RUN)}, {BLOCKS}
             SELECT '[' || string_agg(block, ',' ORDER BY section_no, label_no, "rank") || ']' AS blocks
             FROM blocks""",
