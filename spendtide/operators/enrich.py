@@ -9,6 +9,8 @@ from spendtide.functions.dates import year_week
 from spendtide.functions.numbers import zscore_over
 from spendtide.operators.rollups import rollup
 
+KEYS = ("SERVICE", "TAG", "STARTDATE")
+
 
 def _with_stats(
     df: DataFrame, value: str, window: WindowSpec, prefix: str, scored: str | None = None
@@ -54,29 +56,29 @@ def _tag_days(cube: DataFrame) -> DataFrame:
     stats = [c for c in days.columns if c.startswith("svc_tag_")]
     # Untagged rows belong to no tag series.
     return days.select(
-        "SERVICE", "TAG", "STARTDATE", "yearWK",
-        *[F.when(F.col("TAG").isNotNull(), F.col(c)).alias(c) for c in stats],
+        *KEYS, *[F.when(F.col("TAG").isNotNull(), F.col(c)).alias(c) for c in stats]
     )
 
 
-KEYS = ("SERVICE", "TAG", "STARTDATE")
+def service_stats(cube: DataFrame, lines: DataFrame, iso_year: bool = False) -> DataFrame:
+    """All statistics of each (SERVICE, STARTDATE).
 
+    ``lines`` are the ``trend_lines`` of the gap-filled service series.
+    """
+    week = year_week(F.col("STARTDATE"), iso_year)
+    weeks = _service_weeks(rollup(cube, "svc", "week", iso_year))
+    days = _service_days(lines).withColumn("yearWK", week)
+    return days.join(weeks, ["SERVICE", "yearWK"], "left").drop("yearWK")
 
-def key_stats(cube: DataFrame, lines: DataFrame, iso_year: bool = False) -> DataFrame:
+
+def key_stats(cube: DataFrame, of_services: DataFrame, iso_year: bool = False) -> DataFrame:
     """All statistics of each (SERVICE, TAG, STARTDATE) of the daily cube.
 
-    ``lines`` are the ``trend_lines`` of the gap-filled service series.
+    ``of_services`` is ``service_stats``, small where the cube may be large; stored,
+    it has a known size and can reach the cube without another shuffle.
     """
-    cube = cube.select(
-        *KEYS, "USD", year_week(F.col("STARTDATE"), iso_year).alias("yearWK")
-    )
-    weeks = rollup(cube, "svc", "week", iso_year)
-    return (
-        _tag_days(cube)
-        .join(_service_days(lines), ["SERVICE", "STARTDATE"], "left")
-        .join(_service_weeks(weeks), ["SERVICE", "yearWK"], "left")
-        .drop("yearWK")
-    )
+    cube = cube.select(*KEYS, "USD", year_week(F.col("STARTDATE"), iso_year).alias("yearWK"))
+    return _tag_days(cube).join(of_services, ["SERVICE", "STARTDATE"], "left")
 
 
 def with_key_stats(fact: DataFrame, stats: DataFrame, iso_year: bool = False) -> DataFrame:

@@ -21,7 +21,6 @@ from spendtide.functions.dates import (
 from spendtide.functions.numbers import amount, round2
 from spendtide.functions.text import SPIKE_PREFIX, chart_name, chart_title, clean_tag
 from spendtide.operators import messages, series
-from spendtide.operators.enrich import key_stats, with_key_stats
 from spendtide.operators.ewm import ewm
 from spendtide.operators.gapfill import calendar_days, gap_fill
 from spendtide.operators.rollups import daily_cube, rollup
@@ -378,8 +377,7 @@ def _enriched(source) -> Query:
         stored = materialize(daily_cube(costs), "daily_cube")
         days = materialize(gap_fill(rollup(stored, "svc", "day")), "svc_day")
         lines = materialize(trend_lines(days), "lines")
-        stats = materialize(key_stats(stored, lines), "key_stats")
-        return _fixed(with_key_stats(costs, stats))
+        return _fixed(daily_job.enrich(costs, stored, lines))
 
     return query
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spendtide.config import JobConfig
 from spendtide.functions.dates import lookback_window
 from spendtide.operators import messages, series
-from spendtide.operators.enrich import key_stats, with_key_stats
+from spendtide.operators.enrich import key_stats, service_stats, with_key_stats
 from spendtide.operators.gapfill import gap_fill
 from spendtide.operators.rollups import daily_cube, rollup
 from spendtide.operators.spikes import (
@@ -124,12 +124,24 @@ class Alerts:
         return anti_suppress(found, self._low("SERVICE"), ["SERVICE"]).drop("STARTDATE")
 
 
+def enrich(
+    fact: DataFrame,
+    cube: DataFrame,
+    lines: DataFrame,
+    iso_year: bool = False,
+    keep: Keep = materialize,
+) -> DataFrame:
+    """The fact with all statistics, given its stored cube and trend lines."""
+    of_services = keep(service_stats(cube, lines, iso_year), "service_stats")
+    stats = keep(key_stats(cube, of_services, iso_year), "key_stats")
+    return with_key_stats(fact, stats, iso_year)
+
+
 def enriched(fact: DataFrame, cfg: JobConfig, keep: Keep = materialize) -> DataFrame:
     """The trailing window of the fact with all statistics, in two reads of it."""
     window = lookback_window(fact, cfg.as_of, cfg.lookback_months)
     cube = keep(daily_cube(window), "daily_cube")
-    stats = keep(key_stats(cube, Alerts(cube, cfg, keep).lines, cfg.iso_year), "key_stats")
-    return with_key_stats(window, stats, cfg.iso_year)
+    return enrich(window, cube, Alerts(cube, cfg, keep).lines, cfg.iso_year, keep)
 
 
 def summaries(costs: DataFrame, cfg: JobConfig) -> Summary:

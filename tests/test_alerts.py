@@ -5,13 +5,12 @@ import pytest
 
 from frames import DAY0, costs, rows
 from spendtide.config import JobConfig
-from spendtide.operators.enrich import key_stats, with_key_stats
 from spendtide.operators.gapfill import gap_fill
 from spendtide.operators.rollups import daily_cube, rollup
 from spendtide.operators.spikes import detect_spikes
 from spendtide.operators.suppress import anti_suppress, low_value_keys, tagged
 from spendtide.operators.trend import trend_lines
-from spendtide.plans.daily_job import Alerts, enriched, lazily
+from spendtide.plans.daily_job import Alerts, enrich, enriched, lazily
 
 LAST = DAY0 + timedelta(days=9)
 CFG = JobConfig(run_date=LAST + timedelta(days=1))
@@ -80,7 +79,7 @@ def test_enriched_keeps_every_row_once(spark):
         ("a", "x", 8, 2), (None, "x", 1, 4),
     ])
     lines = trend_lines(gap_fill(rollup(fact)))
-    got = with_key_stats(fact, key_stats(daily_cube(fact), lines))
+    got = enrich(fact, daily_cube(fact), lines, keep=lazily)
     assert got.count() == fact.count()
     assert len(got.columns) == 9 + 16 + 4
     by_key = {(r.SERVICE, r.TAG, r.STARTDATE): r for r in got.collect()}

@@ -152,7 +152,12 @@ def test_stream_appends_each_page_once(spark, pages, tmp_path):
     assert rows(facts.read_fact(spark, table).where("STARTDATE = '2024-05-21'"), "SERVICE", "USD") == [
         ("b", None), ("c", 3.0),
     ]
-    assert facts.read_fact(spark, table).count() == 5
+    landed = facts.read_fact(spark, table)
+    assert landed.count() == 5
+    # The streamed table is merged like any other batch.
+    facts.merge_fact(landed, str(tmp_path / "fact"), D1, D2)
+    facts.merge_fact(landed, str(tmp_path / "fact"), D1, D2)
+    assert rows(facts.read_fact(spark, str(tmp_path / "fact")), "*") == rows(landed, "*")
 
 
 class _Session:

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from spendtide.operators.enrich import key_stats
 from spendtide.operators.gapfill import gap_fill
 from spendtide.operators.rollups import daily_cube, rollup
 from spendtide.operators.stats import zscore
@@ -61,3 +62,22 @@ def test_gap_fill_reads_the_fact_once(spark):
     filled.collect()
     final = plan(filled).split("Initial Plan")[0]
     assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_tag_statistics_share_one_exchange(spark):
+    cube = daily_cube(orders_as_costs(spark, FOLDER))
+    of_services = spark.createDataFrame([], "SERVICE string, STARTDATE date, x double")
+    tags = key_stats(cube, of_services).select("SERVICE", "TAG", "svc_tag_day_zscore", "svc_tag_wk_zscore")
+    text = plan(tags)
+    assert len(re.findall(r"Exchange hashpartitioning\(SERVICE#\d+, TAG#\d+, \d+\)", text)) == 1
+    assert "yearWK#" not in "".join(re.findall(r"Exchange hashpartitioning.*", text))
+
+
+def test_stored_statistics_leave_the_fact_unshuffled_while_small(spark):
+    text = plan(catalog.queries()["enriched_fact"](spark, FOLDER))
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in plan(catalog.queries()["enriched_fact"](spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
