@@ -1,16 +1,18 @@
 """Shapes of the physical plans."""
 
 import re
+from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from spendtide.operators.enrich import key_stats
 from spendtide.operators.gapfill import gap_fill
 from spendtide.operators.rollups import daily_cube, rollup
 from spendtide.operators.stats import zscore
 from spendtide.operators.trend import trend_lines
-from spendtide.plans import catalog
-from spendtide.sources.adapters import events_as_costs, orders_as_costs
+from spendtide.plans import catalog, daily_job
+from spendtide.sources.adapters import as_costs, events_as_costs, orders_as_costs
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -38,7 +40,7 @@ def test_window_predicate_and_columns_reach_the_scan(spark):
 
 
 def test_month_predicate_passes_the_aggregation(spark):
-    text = plan(catalog.daily_job.summaries(
+    text = plan(daily_job.summaries(
         orders_as_costs(spark, FOLDER), catalog.ORDERS_RUN
     ).total_by_service)
     assert "GreaterThanOrEqual(o_orderdate,1997-08-01" in text
@@ -81,3 +83,35 @@ def test_stored_statistics_leave_the_fact_unshuffled_while_small(spark):
         assert "SortMergeJoin" in plan(catalog.queries()["enriched_fact"](spark, FOLDER))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_key_is_split_when_statistics_are_large(spark):
+    """Two thirds of the fact under one (service, tag, day), with both sides sorted."""
+    rows = spark.range(300_000, numPartitions=8)
+    hot = F.col("id") % 3 < 2
+    fact = as_costs(
+        rows,
+        F.when(hot, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 50)),
+        F.when(hot, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 7)),
+        F.when(hot, F.lit(date(2024, 1, 1))).otherwise(
+            F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 90).cast("int"))
+        ),
+        F.xxhash64("id") / 1e15,
+    )
+    lines = trend_lines(gap_fill(rollup(fact)), signal_scope="service")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "400k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = daily_job.enrich(fact, daily_cube(fact), lines)
+        assert joined.toArrow().num_rows == 300_000
+        assert "SortMergeJoin(skew=true)" in plan(joined).split("Initial Plan")[0]
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
