@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date
 from functools import cached_property, partial
 
-from dateutil.relativedelta import relativedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from spendtide.config import JobConfig
@@ -26,9 +24,9 @@ from spendtide.plans.materialize import materialize, work_folder
 from spendtide.sources import facts, landing, sinks
 
 
-def lookback_days(as_of: date, months: int) -> int:
-    """Days in the trailing window: the longest a daily series can be."""
-    return (as_of - (as_of - relativedelta(months=months))).days + 1
+def most_days(months: int) -> int:
+    """No window of this many months has more days, first and last included."""
+    return 31 * months + 1
 
 
 def load_costs(spark: SparkSession, cfg: JobConfig) -> None:
@@ -78,7 +76,7 @@ class Alerts:
         cfg = self._cfg
         lines = trend_lines(
             self.svc_day, cfg.fast_span, cfg.slow_span, cfg.signal_span, cfg.signal_scope,
-            cfg.macd_sign, lookback_days(cfg.as_of, cfg.lookback_months),
+            cfg.macd_sign, most_days(cfg.lookback_months),
         )
         return self._keep(lines, "lines")
 
