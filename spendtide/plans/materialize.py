@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one in local mode only."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="spendtide-")
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    """The shared folder that the session names in ``spark.checkpoint.dir``."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return shared
+
+
+def name_work_folder(spark: SparkSession) -> None:
+    """Name a folder beside the warehouse's tables where the session has none."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        spark.sparkContext.setCheckpointDir(f"{warehouse}/_work")
+
+
+def new_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A path under the work folder that nothing else uses."""
+    return f"{(folder or work_folder(spark)).rstrip('/')}/{name}-{uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` as parquet and read it back, with a lineage of one scan."""
     spark = df.sparkSession
-    path = f"{folder or work_folder(spark)}/{name}-{uuid4().hex}"
+    path = new_path(spark, name, folder)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -161,8 +161,13 @@ def test_stream_appends_each_page_once(spark, pages, tmp_path):
 
 
 class _Session:
-    def __init__(self, **settings):
-        self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+    """A session without a checkpoint folder."""
+
+    def __init__(self):
+        self.conf, self.sparkContext = {}, self
+
+    def getCheckpointDir(self):
+        return None
 
 
 def test_work_folder(spark):
@@ -170,9 +175,8 @@ def test_work_folder(spark):
     kept = materialize(spark.range(5), "five")
     assert work_folder(spark) == shared and shared in kept.inputFiles()[0]
     assert kept.count() == 5
-    assert "spendtide-" in work_folder(_Session(spark_master="local[2]"))
     with pytest.raises(ValueError):
-        work_folder(_Session(spark_master="yarn"))
+        work_folder(_Session())
 
 
 def test_daily_run_end_to_end(spark, tmp_path):
