@@ -5,18 +5,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spendtide.llm import exact_dedup, license_scan, oracles, simhash
+from spendtide.llm import (
+    decontaminate,
+    exact_dedup,
+    license_scan,
+    oracles,
+    quality,
+    sentencepieces,
+    simhash,
+)
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepieces.encode(_documents(spark, folder), check=True)
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, folder))
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return quality.classify(_documents(spark, folder), labels)
+
+
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = decontaminate.matches(_documents(spark, folder), benchmark)
+    similarity = F.round(1 - F.col("edits") / F.col("item_words"), 6)
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "edits", "item_words",
+        similarity.alias("similarity"), "last_word",
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, folder))
 
