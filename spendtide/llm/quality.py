@@ -32,7 +32,7 @@ from spendtide.llm.texts import drop_rows, map_texts, with_key
 from spendtide.plans.materialize import materialize
 
 BUCKETS, SIZE, NGRAMS = 1 << 17, 8, (2, 3, 4)
-TRAINING_ROWS, EPOCHS, BATCH, RATE = 6000, 12, 64, 0.5
+TRAINING_ROWS, STEPS, BATCH, RATE = 6000, 1200, 64, 0.5
 KEEP_FROM = 0.3
 _REPEAT, _REPEAT_WEIGHT = b"\x00repeat", 16
 
@@ -130,36 +130,37 @@ def feature_counts(docs: DataFrame, text_col: str, keep: dict[str, str]) -> Data
 
 def fit(
     features: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray,
-    epochs: int = EPOCHS, seed: int = 0,
+    steps: int = STEPS, seed: int = 0,
 ) -> Model:
-    """Gradient descent on the cross entropy, a few documents a step, falling rate."""
+    """Gradient descent on the cross entropy, some documents a step, falling rate."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / SIZE, 1 / SIZE, (BUCKETS, SIZE)).astype(np.float32)
     weights, biases = np.zeros((SIZE, 2), np.float32), np.zeros(2, np.float32)
     if len(set(labels.tolist())) < 2:
         return Model(vectors, weights, biases)
     shares = [c / max(1.0, c.sum()) for c in counts]
-    steps = epochs * -(-len(labels) // BATCH)
-    done = 0
-    for _ in range(epochs):
-        order = rng.permutation(len(labels))
-        for start in range(0, len(labels), BATCH):
-            rows = order[start : start + BATCH]
-            rate = RATE * (1 - done / steps)
-            done += 1
-            flat = np.concatenate([features[r] for r in rows])
-            share = np.concatenate([shares[r] for r in rows])
-            owner = np.repeat(np.arange(len(rows)), [len(features[r]) for r in rows])
-            means = np.zeros((len(rows), SIZE), np.float32)
-            np.add.at(means, owner, vectors[flat] * share[:, None])
-            out = means @ weights + biases
-            out = np.exp(out - out.max(axis=1, keepdims=True))
-            error = out / out.sum(axis=1, keepdims=True)
-            error[np.arange(len(rows)), labels[rows]] -= 1
-            back = error @ weights.T
-            weights -= rate * means.T @ error / len(rows) * 4
-            biases -= rate * error.sum(axis=0) / len(rows)
-            np.subtract.at(vectors, flat, rate * back[owner] * share[:, None])
+    order = np.empty(0, np.int64)
+    for step in range(steps):
+        if len(order) < BATCH:  # every document comes once before any comes again
+            order = np.concatenate([order, rng.permutation(len(labels))])
+        rows, order = order[:BATCH], order[BATCH:]
+        rate = RATE * (1 - step / steps)
+        flat = np.concatenate([features[r] for r in rows])
+        share = np.concatenate([shares[r] for r in rows]).astype(np.float32)
+        owner = np.repeat(np.arange(len(rows)), [len(features[r]) for r in rows])
+        parts = vectors[flat]
+        means = np.stack(
+            [np.bincount(owner, parts[:, k] * share, len(rows)) for k in range(SIZE)], axis=1
+        )
+        out = means @ weights + biases
+        out = np.exp(out - out.max(axis=1, keepdims=True))
+        error = out / out.sum(axis=1, keepdims=True)
+        error[np.arange(len(rows)), labels[rows]] -= 1
+        back = rate * error @ weights.T
+        weights -= (4 * rate / len(rows) * means.T @ error).astype(np.float32)
+        biases -= (rate / len(rows) * error.sum(axis=0)).astype(np.float32)
+        for k in range(SIZE):
+            vectors[:, k] -= np.bincount(flat, back[owner, k] * share, BUCKETS).astype(np.float32)
     return Model(vectors, weights, biases)
 
 

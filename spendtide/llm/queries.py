@@ -15,6 +15,7 @@ from spendtide.llm import (
     quality,
     sentencepieces,
     simhash,
+    substring_dedup,
 )
 
 
@@ -49,6 +50,10 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, folder))
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_passages(_documents(spark, folder)).drop("check")
+
+
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.license_scan(_documents(spark, folder))
 
