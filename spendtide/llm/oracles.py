@@ -69,5 +69,38 @@ FROM l
 """
 
 
+def _second(text: str) -> str:
+    number = f"('0x' || substr(md5({text}), 1, 8))::BIGINT"
+    return f"make_timestamp((1704067200 + {number} % 31536000) * 1000000)"
+
+
+_HOST = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)"
+_RULES = (
+    "list_transform(range(1, len(string_split(host, '.')) + 1),"
+    " lambda k: array_to_string(list_slice(string_split(host, '.'), k, NULL), '.'))"
+)
+
+OP10 = f"""
+WITH p AS (SELECT page_id, url, nullif(trim(lower({_HOST}), '.'), '') AS host,
+                  {_second('url')} AS fetched_at FROM pages),
+k AS (SELECT *, unnest({_RULES}) AS rule FROM p),
+e AS (SELECT rule, rule || '#' || n AS seed
+      FROM (SELECT DISTINCT rule FROM k), (VALUES (0), (1), (2)) v(n)),
+d AS (SELECT rule, {_second('seed')} AS since,
+             ('0x' || substr(md5(seed), 9, 1))::INT AS digit FROM e),
+a AS (SELECT rule, since, max(CASE WHEN digit < 5 THEN 'block' WHEN digit < 9 THEN 'allow' END)
+             AS action FROM d GROUP BY ALL),
+i AS (SELECT *, lead(since) OVER (PARTITION BY rule ORDER BY since) AS until FROM a),
+f AS (SELECT page_id, arg_max(i, length(i.rule)) AS best
+      FROM k JOIN i ON k.rule = i.rule AND since <= fetched_at
+           AND (until IS NULL OR fetched_at < until) AND action IS NOT NULL
+      GROUP BY page_id)
+SELECT page_id, url, host, strftime(fetched_at, '%Y-%m-%d %H:%M:%S') AS fetched_at,
+       best.rule AS rule, best.action AS action,
+       strftime(best.since, '%Y-%m-%d %H:%M:%S') AS since
+FROM p LEFT JOIN f USING (page_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7, "op9_license_scan": OP9}
+    return {"op7_exact_dedup": OP7, "op9_license_scan": OP9, "op10_url_filter": OP10}

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendtide.llm import (
     decontaminate,
     exact_dedup,
+    html_blocks,
     license_scan,
     oracles,
     quality,
     sentencepieces,
     simhash,
     substring_dedup,
+    token_counts,
+    url_filter,
 )
+from spendtide.plans.materialize import materialize, new_path
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,6 +35,10 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, folder))
 
 
+def op3_html_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return html_blocks.extract(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     return quality.classify(_documents(spark, folder), labels)
@@ -46,6 +54,27 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents under two tokenizer versions, then without their copies, then with
+    word counts revised to words with a letter or digit; the second batch comes twice."""
+    docs = _documents(spark, folder)
+    plain = token_counts.counted_words(docs)
+    counts = materialize(plain.unionByName(token_counts.counted(docs, "pieces")), "counts")
+    kept = exact_dedup.exact_dedup(docs).select("doc_id", "kept")
+    gone = counts.join(kept.where("not kept"), "doc_id")
+    lettered = F.filter(F.split("text", r"[ \t\n\x0B\f\r]+"), lambda w: w.rlike(r"[\p{L}\p{Nd}]"))
+    left = docs.join(kept.where("kept"), "doc_id").select(
+        "doc_id", F.coalesce(F.size(lettered), F.lit(0)).alias("new_tokens")
+    )
+    pairs = counts.where("version = 'words'").withColumnRenamed("tokens", "old_tokens")
+    rollup = token_counts.Rollup(spark, new_path(spark, "token-totals"))
+    rollup.apply("insert", token_counts.inserts(counts))
+    for _ in range(2):
+        rollup.apply("copies", token_counts.deletes(gone))
+    rollup.apply("lettered", token_counts.revisions(pairs.join(left, "doc_id")))
+    return rollup.totals()
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, folder))
 
@@ -58,6 +87,29 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.license_scan(_documents(spark, folder))
 
 
+def _dated(text: Column) -> Column:
+    """A second of the year 2024 that the text's MD5 names."""
+    seconds = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % 31_536_000
+    return F.timestamp_seconds(F.lit(1_704_067_200) + seconds)
+
+
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's url against a list that has three dated entries for each domain of the
+    pages; times and actions come from MD5."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", _dated(F.col("url")))
+    names = pages.select(F.explode(url_filter.domains(url_filter.host(F.col("url")))).alias("rule"))
+    entry = names.distinct().withColumn("n", F.explode(F.array(*map(F.lit, range(3)))))
+    seed = F.concat_ws("#", "rule", "n")
+    digit = F.conv(F.substring(F.md5(seed.cast("binary")), 9, 1), 16, 10).cast("int")
+    action = F.when(digit < 5, "block").when(digit < 9, "allow")
+    entries = entry.select("rule", action.alias("action"), _dated(seed).alias("at"))
+    found = url_filter.verdicts(captures, entries)
+    return found.withColumns(
+        {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("fetched_at", "since")}
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
