@@ -77,7 +77,7 @@ def _second(text: str) -> str:
 _HOST = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)"
 _RULES = (
     "list_transform(range(1, len(string_split(host, '.')) + 1),"
-    " lambda k: array_to_string(list_slice(string_split(host, '.'), k, NULL), '.'))"
+    " lambda k: array_to_string(list_slice(string_split(host, '.'), k, 1000000), '.'))"
 )
 
 OP10 = f"""
