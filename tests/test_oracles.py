@@ -4,9 +4,12 @@ from functools import cache
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import difference, tables
 
+from spendtide.plans.catalog import queries
+from spendtide.plans.oracles import oracle_sql
+
 FOLDER = "/root/testdata/sf0.001"
 
 
