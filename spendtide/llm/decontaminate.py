@@ -42,7 +42,7 @@ from spendtide.llm.texts import as_bytes, drop_rows, slices
 from spendtide.plans.materialize import materialize
 
 SIMILARITY, RECALL, SAMPLED, BLOCK = 0.8, 0.99, 3, 5000
-_TRIALS, _MOST_TABLES, _GRAM = 40, 512, 3
+_TRIALS, _MOST_TABLES, _GRAM = 200, 512, 3
 
 _BLANKS = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)
@@ -249,9 +249,8 @@ def search(
         lead = np.unique(diagonals[dense])
         if not len(lead):
             continue
-        reach = np.searchsorted(lead, diagonals, "right") - 1
-        near = diagonals[(reach >= 0) & (diagonals - lead[np.maximum(reach, 0)] <= 2 * edits)]
-        near = np.unique(near)
+        # The first of them is at most the edits away from the copy's start.
+        near = np.unique(lead[:, None] + np.arange(-edits, edits + 1))
         shifted = near[:, None] + np.arange(size)
         inside = (shifted >= 0) & (shifted < len(words))
         windows = np.where(inside, words[np.clip(shifted, 0, len(words) - 1)], 0)

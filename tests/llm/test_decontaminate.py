@@ -1,0 +1,122 @@
+"""Benchmark passages: edit distance, recall on edited copies, and edge cases."""
+
+import random
+
+import duckdb
+import numpy as np
+import pytest
+
+from spendtide.llm import decontaminate as d
+
+from test_dedup import documents
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def plain_distance(item, text):
+    """Least edit distance of ``item`` to any stretch of ``text``."""
+    row = [0] * (len(text) + 1)
+    for k, word in enumerate(item, 1):
+        new = [k]
+        for j, other in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (word != other)))
+        row = new
+    return min(row)
+
+
+def test_distance():
+    rng = random.Random(3)
+    for _ in range(300):
+        item = [rng.randrange(5) for _ in range(rng.randrange(1, 70))]
+        text = [rng.randrange(5) for _ in range(rng.randrange(0, 90))]
+        edits = rng.randrange(0, 20)
+        truth, found = plain_distance(item, text), d.distance_within(item, text, edits)
+        assert (found[0] if found else None) == (truth if truth <= edits and text else None)
+
+
+def edited(words, edits, rng):
+    words = list(words)
+    for _ in range(edits):
+        at = rng.randrange(len(words))
+        kind = rng.randrange(3)
+        if kind == 0:
+            words.insert(at, f"new{rng.random()}")
+        elif kind == 1:
+            del words[at]
+        else:
+            words[at] = f"other{rng.random()}"
+    return words
+
+
+@pytest.fixture(scope="module")
+def benchmark_rows():
+    return duckdb.sql(f"SELECT item_id, text FROM '{FOLDER}/benchmark.parquet'").fetchall()
+
+
+def test_recall_and_truth(benchmark_rows):
+    """Copies with the largest number of edits anywhere in a text, against brute force."""
+    rng = random.Random(1)
+    items = d.Items.build([(k, t.encode()) for k, t in benchmark_rows], d.SIMILARITY)
+    prose = [r[0] for r in duckdb.sql(
+        f"SELECT text FROM '{FOLDER}/documents.parquet' WHERE doc_id % 9 = 0").fetchall()]
+    hits = wanted = 0
+    for round_ in range(6):
+        texts, planted = [], []
+        for k, words in enumerate(items.words):
+            edits = d.edits_allowed(len(words)) if round_ else 0
+            body = edited(d.words_of(benchmark_rows[k][1].encode()), edits, rng)
+            around = d.words_of(rng.choice(prose).encode())[: rng.randrange(0, 200)]
+            at = rng.choice([0, len(around), rng.randrange(len(around) + 1)])
+            body = [w if isinstance(w, bytes) else w.encode() for w in body]
+            texts.append(around[:at] + body + around[at:])
+            planted.append(k)
+        sizes = np.array([len(t) for t in texts])
+        flat = np.array([items.codes.get(w, 0) for t in texts for w in t])
+        starts = np.cumsum(sizes) - sizes
+        found = d.search(items, flat, starts, d.SIMILARITY)
+        best = {}
+        for doc, k, edits, last in found:
+            best[doc, k] = min(best.get((doc, k), 99), edits)
+            assert 0 <= last < sizes[doc]
+        for (doc, k), edits in best.items():
+            text = [items.codes.get(w, -1 - n) for n, w in enumerate(texts[doc])]
+            assert plain_distance(items.words[k].tolist(), text) == edits
+        for doc, k in enumerate(planted):
+            wanted += 1
+            hits += (doc, k) in best
+            if not round_:
+                assert best.get((doc, k)) == 0
+    assert hits >= 0.98 * wanted
+
+
+def test_matches(spark, benchmark_rows):
+    item = benchmark_rows[0][1]
+    words = item.split()
+    rows = [
+        (1, f"Before that, {item} and after"), (2, item.upper().replace(" ", " ** ")),
+        (3, " ".join(words[: len(words) // 2])), (4, None), (5, ""), (None, item),
+        (6, "nothing here " * 5000), (7, item), (7, item), (8, "no " * 4000 + item + " no" * 4000),
+        (9, " ".join(words[:7] + ["added"] + words[7:])),
+    ]
+    bench = spark.createDataFrame(
+        [(*r, "x") for r in benchmark_rows] + [(900, None, "x"), (901, "", "x"), (902, "?!", "x")],
+        "item_id long, text string, check string",
+    )
+    found = d.matches(documents(spark, rows), bench).collect()
+    of_item = sorted((-1 if r.id is None else r.id, r.edits) for r in found if r.item == 0)
+    assert of_item == [(-1, 0), (1, 0), (2, 0), (7, 0), (7, 0), (8, 0), (9, 1)]
+    assert {r.item for r in found} == {0}
+    kept = d.drop_contaminated(documents(spark, rows), bench)
+    assert kept.columns == documents(spark, []).columns
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6]
+    assert d.matches(documents(spark, []), bench).isEmpty()
+    assert d.matches(documents(spark, rows), bench.limit(0)).isEmpty()
+
+
+def test_blocks_of_items(spark, monkeypatch, benchmark_rows):
+    monkeypatch.setattr(d, "BLOCK", 7)
+    bench = spark.createDataFrame(benchmark_rows, "item_id long, text string")
+    docs = documents(spark, [(k, t) for k, t in benchmark_rows])
+    assert {(r.id, r.item) for r in d.matches(docs, bench).collect()} >= {
+        (k, k) for k, _ in benchmark_rows
+    }
