@@ -36,6 +36,9 @@ LABELLED = (
     (90, 0.1, 120, 0.05, 30, 0.0, 1, 1), (6, 0.0, 30, 0.4, 50, 0.0, 1, 1),
     (1, 0.0, 2, 0.0, 1, 0.0, 1, 1), (50, 0.0, 3, 1.0, 40, 0.0, 1, 1),
     (3, 1.0, 25, 0.0, 5, 1.0, 1, 1), (20, 0.0, 200, 0.0, 9, 0.0, 1, 1),
+    (0, 0.0, 4, 0.0, 0, 0.0, 1, 1), (0, 0.0, 1, 0.0, 2, 0.0, 1, 1),
+    (0, 0.0, 150, 0.0, 0, 0.0, 1, 1), (1, 1.0, 2, 1.0, 1, 1.0, 1, 1),
+    (0, 0.0, 3, 1.0, 0, 0.0, 1, 1), (4, 1.0, 30, 0.9, 3, 1.0, 1, 1),
     (0, 0.0, 1, 1.0, 1, 1.0, -1, 0), (1, 1.0, 1, 1.0, 9, 0.0, -1, 0),
     (1, 1.0, 9, 0.0, 10, 0.0, -1, 0), (4, 0.0, 60, 0.0, 80, 0.0, -1, 0),
     (70, 0.0, 12, 0.0, 0, 0.0, -1, 0), (60, 0.0, 35, 0.0, 40, 0.0, -1, 0),
@@ -67,12 +70,13 @@ _PART = frozenset(
 _AWAY = frozenset("nav footer aside form menu dialog search".split())
 _AWAY_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 _AWAY_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement banner breadcrumb breadcrumbs comment comments"
-    " consent cookie cookies disclaimer discussion disqus footer gdpr login menu modal nav"
+    "ad ads adv advert adverts advertisement banner breadcrumb breadcrumbs"
+    " consent cookie cookies disclaimer footer gdpr login menu modal nav"
     " navbar navigation newsletter notice notification pagination popup promo promoted promotion"
-    " recommended related replies reply respond share sharing sidebar signup social sponsor"
+    " recommended related share sharing sidebar signup social sponsor"
     " sponsored subscribe subscription tags toolbar topbar widget widgets".split()
 )
+_COMMENT_WORDS = frozenset("comment comments discussion disqus replies reply respond".split())
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*(?:/>|>.*?(?:</\1\s*>|\Z))"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>",
@@ -90,7 +94,8 @@ class Block:
 
 
 def _part(tag: str, attributes: str, inside: int) -> int:
-    """What the element says about its text: 1 article, -1 something else, 0 nothing."""
+    """What an element says about its text: 1 article, -1 something else, -2 the readers'
+    comments, 0 nothing. ``inside`` is what holds around it."""
     words, role = set(), ""
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
@@ -98,10 +103,12 @@ def _part(tag: str, attributes: str, inside: int) -> int:
             role = value.strip()
         else:
             words |= set(re.split(r"[^a-z]+", value))
+    if words & _COMMENT_WORDS:
+        return -2
     if tag in _AWAY or role in _AWAY_ROLES or words & _AWAY_WORDS:
         return -1
     if tag in ("article", "main") or role in ("main", "article"):
-        return 1 if inside >= 0 else -1  # an article among comments is a comment
+        return 1 if inside != -2 else -2  # an article among comments is a comment
     if tag == "header" or words & {"header", "masthead"}:
         return 0 if inside == 1 else -1
     return 0
@@ -122,7 +129,7 @@ def blocks(page: str) -> list[Block]:
         if whole:
             count = len(whole.split())
             linked = len(unescape(" ".join(t for t, is_link in text if is_link)).split())
-            found.append(Block(whole, count, min(1.0, linked / count), inside()))
+            found.append(Block(whole, count, min(1.0, linked / count), max(-1, inside())))
         text.clear()
 
     for token in _TOKEN.finditer(page):
