@@ -11,21 +11,22 @@ values, it is exact where the series rests: a constant series is its own mean, a
 means of different spans meet exactly once they have settled, so rounding noise
 cannot make their lines cross.
 
-b^-k leaves the double range after a few thousand rows. Longer series are cut into
-blocks with their own exponent origin, and each block also reads the rows of the
-block before it. A block is long enough to decay by 1e-140, so rows further back
-cannot change a double.
+b^-k leaves the double range after a few thousand rows, so a series is cut into blocks
+with an exponent origin each. What a block ends with is carried on exactly: the lag at a
+row is the block's own lag plus the carried one times its decay since.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 _BLOCK_DECAY = 140 * math.log(10)
+#: Blocks after which even the largest double has decayed below the smallest.
+_DEEP = 6
 
 
 def _decay(span: float) -> float:
@@ -39,53 +40,50 @@ def block_length(span: float) -> int:
     return math.ceil(_BLOCK_DECAY / -math.log(_decay(span)))
 
 
-def _mean_over(value: str, span: float, place: Column, window: WindowSpec) -> Column:
-    """The mean along ``window``; ``place`` counts its rows, 0 at the exponent origin."""
-    decay = F.lit(_decay(span))
-    step = F.coalesce(F.col(value) - F.lag(value).over(window), F.lit(0.0))
+def _own_lag(step: Column, place: Column, decay: float, window: WindowSpec) -> Column:
+    """The lag from the steps along ``window``; ``place`` counts its rows from 0."""
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = F.sum(step * F.pow(decay, -place)).over(running)
-    return F.col(value) - steps * F.pow(decay, place + 1)
+    return F.sum(step * F.pow(F.lit(decay), -place)).over(running) * F.pow(F.lit(decay), place + 1)
 
 
-def _blocked_mean(
-    df: DataFrame, value: str, span: float, keys: Sequence[str], out: str
-) -> DataFrame:
-    """Mean along the row number ``_t`` within ``keys``, for any number of rows."""
-    length = block_length(span)
-    own = F.floor(F.col("_t") / length)
-    place = F.col("_t") - (F.col("_block") - 1) * length
-    window = Window.partitionBy(*keys, "_block").orderBy("_t")
-    return (
-        df.withColumn("_block", F.explode(F.array(own, own + 1)))
-        .withColumn(out, _mean_over(value, span, place, window))
-        .where(F.col("_block") == own)
-        .drop("_block")
-    )
+def _after_block(decay: float) -> Callable[[Column, Column], Column]:
+    """The lag at a block's end from the one before the block and the block's own."""
+    return lambda lag, own: lag * F.lit(decay) + own
 
 
 def ewm(
-    df: DataFrame,
-    value: str,
-    spans: dict[str, float],
-    keys: Sequence[str],
-    order: str,
-    max_rows: int | None = None,
+    df: DataFrame, value: str, spans: dict[str, float], keys: Sequence[str], order: str
 ) -> DataFrame:
     """Add one mean per ``spans`` entry (name to span) along ``order`` within ``keys``.
 
-    ``value`` must not be NULL. ``max_rows`` is an upper bound of a key's rows where
-    the caller knows one (the days of the lookback): a series that fits one block
-    needs a single sort for all spans.
+    ``value`` must not be NULL. All spans share the blocks, so the series is sorted once
+    to number it and once by block; a row sees one number per block before it.
     """
     series = Window.partitionBy(*keys).orderBy(order)
-    df = df.withColumn("_t", F.row_number().over(series) - 1)
+    length = min(map(block_length, spans.values()))
+    block = Window.partitionBy(*keys, "_block").orderBy("_t")
+    before = Window.partitionBy(*keys).orderBy("_block", "_t").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    place, x = F.col("_t") % length, F.col(value)
+    df = df.withColumns({
+        "_t": F.row_number().over(series) - 1,
+        "_step": F.coalesce(x - F.lag(value).over(series), F.lit(0.0)),
+    }).withColumn("_block", F.floor(F.col("_t") / length))
+    df = df.withColumns({
+        f"_lag_{out}": _own_lag(F.col("_step"), place, _decay(span), block)
+        for out, span in spans.items()
+    })
+    df = df.withColumns({
+        f"_ends_{out}": F.collect_list(F.when(place == length - 1, F.col(f"_lag_{out}"))).over(before)
+        for out in spans
+    })
     for out, span in spans.items():
-        if max_rows is not None and max_rows <= block_length(span):
-            df = df.withColumn(out, _mean_over(value, span, F.col("_t"), series))
-        else:
-            df = _blocked_mean(df, value, span, keys, out)
-    return df.drop("_t")
+        decay = _decay(span)
+        carried = F.aggregate(f"_ends_{out}", F.lit(0.0), _after_block(decay**length))
+        lag = F.col(f"_lag_{out}") + carried * F.pow(F.lit(decay), place + 1)
+        df = df.withColumn(out, x - lag).drop(f"_lag_{out}", f"_ends_{out}")
+    return df.drop("_t", "_step", "_block")
 
 
 def with_position(df: DataFrame, day: str, within: str, out: str) -> DataFrame:
@@ -113,7 +111,38 @@ def ewm_along(df: DataFrame, value: str, span: float, out: str, position: str) -
     """Add one mean that runs through all rows in ``position`` order.
 
     Blocks of bounded length are the partitions, so the rows spread evenly however
-    many there are.
+    many there are. What is carried into a block comes from the ``_DEEP`` blocks before
+    it; an older lag has decayed below the smallest double, so nothing is cut.
     """
-    numbered = df.withColumnRenamed(position, "_t")
-    return _blocked_mean(numbered, value, span, [], out).withColumnRenamed("_t", position)
+    decay, length = _decay(span), block_length(span)
+    place, block = F.col(position) % length, Window.partitionBy("_block").orderBy(position)
+    step = F.coalesce(F.col(value) - F.lag(value).over(block), F.lit(0.0))
+    df = df.withColumn("_block", F.floor(F.col(position) / length))
+    df = df.withColumn("_own", step).withColumn("_own", _own_lag(F.col("_own"), place, decay, block))
+
+    ends = df.groupBy("_block").agg(
+        F.max_by("_own", position).alias("lag"),
+        F.min_by(value, position).alias("first"),
+        F.max_by(value, position).alias("last"),
+    )
+    seen = ends.select(
+        F.struct("_block", "lag", "first", "last").alias("end"),
+        F.explode(F.sequence(F.col("_block"), F.col("_block") + _DEEP)).alias("_block"),
+    )
+    start = F.struct(F.lit(0.0).alias("into"), F.lit(0.0).alias("lag"),
+                     F.lit(None).cast("double").alias("last"))
+
+    def follow(state: Column, end: Column) -> Column:
+        step = F.coalesce(end["first"] - state["last"], F.lit(0.0))
+        into = state["into"] * F.lit(decay**length) + state["lag"] + step
+        return F.struct(into.alias("into"), end["lag"].alias("lag"), end["last"].alias("last"))
+
+    carried = (
+        seen.groupBy("_block").agg(F.sort_array(F.collect_list("end")).alias("ends"))
+        .where(F.get(F.reverse("ends"), F.lit(0))["_block"] == F.col("_block"))
+        .select("_block", F.aggregate("ends", start, follow)["into"].alias("_into"))
+    )
+    lag = F.col("_own") + F.col("_into") * F.pow(F.lit(decay), place + 1)
+    return df.join(carried, "_block").withColumn(out, F.col(value) - lag).drop(
+        "_block", "_own", "_into"
+    )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spendtide.functions.dates import add_date_parts
 from spendtide.operators.ewm import ewm, ewm_along, with_position
 
+# Output column names.
 FAST, SLOW = "svc_day_usd_12ewm", "svc_day_usd_26ewm"
 MACD, SIGNAL = "svc_day_usd_macd", "svc_day_usd_9ewm"
 PLACE = "place"
@@ -20,12 +21,9 @@ def macd(
     fast_span: int = 12,
     slow_span: int = 26,
     sign: str = "slow_minus_fast",
-    max_rows: int | None = None,
 ) -> DataFrame:
     """Add both means of USD and their difference, per service in date order."""
-    means = ewm(
-        svc_day, "USD", {FAST: fast_span, SLOW: slow_span}, ["SERVICE"], "STARTDATE", max_rows
-    )
+    means = ewm(svc_day, "USD", {FAST: fast_span, SLOW: slow_span}, ["SERVICE"], "STARTDATE")
     difference = F.col(SLOW) - F.col(FAST)
     return means.withColumn(MACD, difference if sign == "slow_minus_fast" else -difference)
 
@@ -35,16 +33,14 @@ def with_place(svc_day: DataFrame) -> DataFrame:
     return with_position(svc_day, "STARTDATE", "SERVICE", PLACE)
 
 
-def signal(
-    df: DataFrame, span: int = 9, scope: str = "global", max_rows: int | None = None
-) -> DataFrame:
+def signal(df: DataFrame, span: int = 9, scope: str = "global") -> DataFrame:
     """Add the mean of the MACD.
 
     ``global`` runs one mean through all services in (date, service) order;
     ``service`` restarts it for each service.
     """
     if scope == "service":
-        return ewm(df, MACD, {SIGNAL: span}, ["SERVICE"], "STARTDATE", max_rows)
+        return ewm(df, MACD, {SIGNAL: span}, ["SERVICE"], "STARTDATE")
     placed = df if PLACE in df.columns else with_place(df)
     return ewm_along(placed, MACD, span, SIGNAL, PLACE).drop(PLACE)
 
@@ -69,17 +65,13 @@ def trend_lines(
     signal_span: int = 9,
     signal_scope: str = "global",
     macd_sign: str = "slow_minus_fast",
-    max_rows: int | None = None,
 ) -> DataFrame:
-    """Add means, MACD and signal to a (SERVICE, STARTDATE, USD) series.
-
-    ``max_rows`` bounds the days of a service where the caller knows them.
-    """
+    """Add means, MACD and signal to a (SERVICE, STARTDATE, USD) series."""
     if signal_scope == "global":
         # Places are counted on the bare series, not on the result of the means.
         svc_day = with_place(svc_day)
-    lines = macd(svc_day, fast_span, slow_span, macd_sign, max_rows)
-    return signal(lines, signal_span, signal_scope, max_rows)
+    lines = macd(svc_day, fast_span, slow_span, macd_sign)
+    return signal(lines, signal_span, signal_scope)
 
 
 def trend_series(lines: DataFrame) -> DataFrame:

@@ -24,11 +24,6 @@ from spendtide.plans.materialize import materialize, work_folder
 from spendtide.sources import facts, landing, sinks
 
 
-def most_days(months: int) -> int:
-    """No window of this many months has more days, first and last included."""
-    return 31 * months + 1
-
-
 def load_costs(spark: SparkSession, cfg: JobConfig) -> None:
     """Merge the landed pages of the overlap window into the fact table."""
     first, last = landing.overlap_window(cfg.as_of, cfg.overlap_days, cfg.end_inclusive)
@@ -76,7 +71,7 @@ class Alerts:
         cfg = self._cfg
         lines = trend_lines(
             self.svc_day, cfg.fast_span, cfg.slow_span, cfg.signal_span, cfg.signal_scope,
-            cfg.macd_sign, most_days(cfg.lookback_months),
+            cfg.macd_sign,
         )
         return self._keep(lines, "lines")
 

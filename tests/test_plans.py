@@ -10,7 +10,7 @@ from spendtide.operators.enrich import key_stats
 from spendtide.operators.gapfill import gap_fill
 from spendtide.operators.rollups import daily_cube, rollup
 from spendtide.operators.stats import zscore
-from spendtide.operators.trend import trend_lines
+from spendtide.operators.trend import macd, trend_lines
 from spendtide.plans import catalog, daily_job
 from spendtide.sources.adapters import as_costs, events_as_costs, orders_as_costs
 
@@ -55,8 +55,10 @@ def test_rollup_aggregates_before_its_only_shuffle(spark):
 def test_service_chain_shares_one_exchange(spark):
     day = rollup(orders_as_costs(spark, FOLDER))
     assert exchanges(zscore(day, ["SERVICE"], "z")) == 2
-    lines = trend_lines(day, signal_scope="service", max_rows=367)
+    lines = trend_lines(day, signal_scope="service")
     assert exchanges(zscore(lines, ["SERVICE"], "z")) == 2
+    means = plan(macd(day))  # both spans share the sorts of the numbering and of the blocks
+    assert len(re.findall(r" Sort \[", means)) == 2 and "Generate" not in means
 
 
 def test_gap_fill_reads_the_fact_once(spark):
