@@ -32,7 +32,7 @@ from spendtide.llm.texts import drop_rows, map_texts, with_key
 from spendtide.plans.materialize import materialize
 
 BUCKETS, SIZE, NGRAMS = 1 << 17, 8, (2, 3, 4)
-TRAINING_ROWS, STEPS, BATCH, RATE = 6000, 1200, 64, 0.5
+TRAINING_ROWS, STEPS, BATCH, RATE = 4000, 1000, 64, 0.5
 KEEP_FROM = 0.3
 _REPEAT, _REPEAT_WEIGHT = b"\x00repeat", 16
 
@@ -104,7 +104,8 @@ def held_out(id_column: Column) -> Column:
 
 
 def feature_counts(docs: DataFrame, text_col: str, keep: dict[str, str]) -> DataFrame:
-    """``keep`` with the distinct features of each text and how often each occurs."""
+    """``keep`` with the distinct features of each text and how often each occurs, as the
+    bytes of 32-bit numbers."""
 
     def work(texts: list[bytes]) -> dict[str, pa.Array]:
         words = Words()
@@ -118,14 +119,14 @@ def feature_counts(docs: DataFrame, text_col: str, keep: dict[str, str]) -> Data
             size = begin[number + 1] - begin[number]
             at = np.repeat(begin[number] - np.cumsum(size) + size, size) + np.arange(size.sum())
             own, where = np.unique(flat[at], return_inverse=True)
-            features.append(own.astype(np.int32))
-            counts.append(np.bincount(where, np.repeat(times, size)).astype(np.float32))
+            features.append(own.astype(np.int32).tobytes())
+            times = np.bincount(where, np.repeat(times, size))
+            counts.append(times.astype(np.float32).tobytes())
         return {
-            "features": pa.array(features, pa.list_(pa.int32())),
-            "counts": pa.array(counts, pa.list_(pa.float32())),
+            "features": pa.array(features, pa.binary()), "counts": pa.array(counts, pa.binary())
         }
 
-    return map_texts(docs, text_col, keep, work, "features array<int>, counts array<float>")
+    return map_texts(docs, text_col, keep, work, "features binary, counts binary")
 
 
 def fit(
@@ -188,8 +189,8 @@ def train(
     found = feature_counts(chosen, "text", {"key": "key", "label": "label"})
     held = sorted(found.limit(2 * rows).toLocalIterator(), key=lambda r: r.key)
     return fit(
-        [np.array(r.features, np.int64) for r in held],
-        [np.array(r.counts, np.float32) for r in held],
+        [np.frombuffer(r.features, np.int32) for r in held],
+        [np.frombuffer(r.counts, np.float32) for r in held],
         np.array([r.label for r in held], np.int64),
     )
 
