@@ -28,18 +28,20 @@ class JobConfig:
     low_value_floor: float = 0.01
     lookback_months: int = 12
     overlap_days: int = 7
-    top_n: int = 999
+    top_n: int | None = None
     fast_span: int = 12
     slow_span: int = 26
     signal_span: int = 9
-    chart_rows: int = 365
+    chart_rows: int | None = None
     load_data: bool = True
     public: bool = True
     public_channel: str = "public"
     private_channel: str = "private"
     base_url: str = ""
     landing_path: str | None = None
-    multi_line_pages: bool = True
+    rejected_path: str | None = None
+    reject_tolerance: int = 0
+    require_all_days: bool = True
     fact_path: str | None = None
     output_path: str | None = None
 

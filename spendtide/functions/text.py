@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 # The tag prefix and the name formats that messages and charts share.
@@ -26,6 +26,15 @@ def without_blanks(text: Column) -> Column:
     return F.replace(text, F.lit(" "), F.lit(""))
 
 
+def chart_key(service: Column) -> Column:
+    """The service without blanks. Of services that then have the same name, all but the
+    first get a mark of their own; a window over the frame's rows finds them."""
+    bare = without_blanks(service)
+    first = F.min(service).over(Window.partitionBy(bare))
+    marked = F.concat(bare, F.lit("-"), F.substring(F.md5(service.cast("binary")), 1, 8))
+    return F.when(service == first, bare).otherwise(marked)
+
+
 def chart_name(prefix: str, service: Column, as_of: date) -> Column:
     return F.concat(F.lit(prefix), without_blanks(service), F.lit(f"_{as_of:%Y%m%d}"))
 

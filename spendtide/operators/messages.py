@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendtide.functions.text import (
-    DAILY_CHART, MONTH_CHART, SPIKE_PREFIX, TAG_SPIKE_PREFIX, TREND_PREFIX, without_blanks,
+    DAILY_CHART, MONTH_CHART, SPIKE_PREFIX, TAG_SPIKE_PREFIX, TREND_PREFIX, chart_key,
 )
 from spendtide.operators.spikes import SVC_SCORE, TAG_SCORE
 
@@ -34,7 +34,11 @@ MESSAGE_ROWS = T.StructType([
 ])
 
 
-def top_alerts(alerts: DataFrame, score: str, n: int = 999, ties: Column | str = "SERVICE") -> DataFrame:
+#: Blocks that one message may have.
+MESSAGE_BLOCKS = 50
+
+
+def top_alerts(alerts: DataFrame, score: str, n: int, ties: Column | str = "SERVICE") -> DataFrame:
     """The ``n`` alerts with the highest score; ``ties`` makes the choice repeatable."""
     return alerts.orderBy(F.desc_nulls_last(score), ties).limit(n)
 
@@ -50,19 +54,20 @@ def alert_rows(
     low: float,
     prefix: str,
     as_of: date,
-    top_n: int = 999,
+    top_n: int | None = None,
     label_kind: str = "service",
     text: Column | None = None,
 ) -> DataFrame:
     """Rows of one alert section: up at ``high`` or more, down at ``low`` or less.
 
     Scores between the two are dropped. The text is the service (or ``text``), or the
-    alert's date for ``label_kind="date"``, whose link carries no name.
+    alert's date for ``label_kind="date"``, whose link carries no name. All alerts are
+    reported, or with ``top_n`` that many of the highest scores.
     """
     stamp = F.lit(f"{as_of:%Y%m%d}")
     if label_kind == "service":
         shown = F.col("SERVICE") if text is None else text
-        link = F.concat(F.lit(prefix), without_blanks(shown), F.lit("_"), stamp)
+        link = F.concat(F.lit(prefix), chart_key(shown), F.lit("_"), stamp)
     elif label_kind == "date":
         shown = F.date_format("date", "yyyy-MM-dd")
         link = F.concat(F.lit(prefix), stamp)
@@ -70,14 +75,13 @@ def alert_rows(
         raise ValueError("label_kind must be 'service' or 'date'")
 
     label_no = F.when(F.col("_score") >= F.lit(high), 1).when(F.col("_score") <= F.lit(low), 2)
-    # At most top_n rows are left here, so ranking them within a label is cheap.
+    # One row per alerted service (and tag): a day's alerts, not its costs.
     ranked = Window.partitionBy("label_no").orderBy(F.desc("_score"), "text", "link")
+    found = alerts.select(F.col(score).alias("_score"), shown.alias("text"), link.alias("link"))
+    if top_n is not None:
+        found = top_alerts(found, "_score", top_n, "text")
     return (
-        top_alerts(
-            alerts.select(F.col(score).alias("_score"), shown.alias("text"), link.alias("link")),
-            "_score", top_n, "text",
-        )
-        .withColumn("label_no", label_no)
+        found.withColumn("label_no", label_no)
         .where(F.col("label_no").isNotNull())
         .select(
             F.lit(section_no).alias("section_no"),
@@ -98,27 +102,31 @@ def summary_rows(spark: SparkSession, as_of: date) -> DataFrame:
         (1, DAILY_TEXT, DAILY_CHART + stamp),
         (2, MONTH_TEXT, MONTH_CHART + stamp),
     ]
-    return spark.createDataFrame(
-        [(1, SUMMARY_SECTION, 1, SUMMARY_LABEL, n, text, link) for n, text, link in links],
-        MESSAGE_ROWS,
-    )
+    rows = [
+        F.struct(*[
+            F.lit(value).alias(field.name)
+            for value, field in zip((1, SUMMARY_SECTION, 1, SUMMARY_LABEL, *link), MESSAGE_ROWS)
+        ])
+        for link in links
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def trend_rows(alerts: DataFrame, as_of: date, top_n: int = 999) -> DataFrame:
+def trend_rows(alerts: DataFrame, as_of: date, top_n: int | None = None) -> DataFrame:
     return alert_rows(
         alerts, "crossFlag", 2, TREND_SECTION, TREND_UP, TREND_DOWN, 1, -1,
         TREND_PREFIX, as_of, top_n,
     )
 
 
-def spike_rows(alerts: DataFrame, as_of: date, z_in: float = 1.0, top_n: int = 999) -> DataFrame:
+def spike_rows(alerts: DataFrame, as_of: date, z_in: float = 1.0, top_n: int | None = None) -> DataFrame:
     return alert_rows(
         alerts, SVC_SCORE, 3, SPIKE_SECTION, SPIKE_UP, SPIKE_DOWN, float(z_in), -float(z_in),
         SPIKE_PREFIX, as_of, top_n,
     )
 
 
-def tag_spike_rows(alerts: DataFrame, as_of: date, z_in: float = 1.0, top_n: int = 999) -> DataFrame:
+def tag_spike_rows(alerts: DataFrame, as_of: date, z_in: float = 1.0, top_n: int | None = None) -> DataFrame:
     """Optional section: tag spikes are not part of the usual message."""
     return alert_rows(
         alerts, TAG_SCORE, 4, TAG_SECTION, TAG_UP, TAG_DOWN, float(z_in), -float(z_in),
@@ -133,7 +141,7 @@ def build_messages(
     svc_spike_alerts: DataFrame,
     as_of: date,
     z_in: float = 1.0,
-    top_n: int = 999,
+    top_n: int | None = None,
     tag_spike_alerts: DataFrame | None = None,
 ) -> DataFrame:
     """All message rows; a section or label without alerts has none."""
@@ -148,7 +156,7 @@ def build_messages(
 
 
 def to_payload(rows: DataFrame) -> DataFrame:
-    """One row per section with its label-to-links map; ``top_n`` bounds each list."""
+    """One row per section with its label-to-links map, as long as the day's alerts."""
     links = F.sort_array(F.collect_list(F.struct("rank", "text", "link")))
     labels = rows.groupBy("section_no", "section", "label_no", "label").agg(
         F.transform(
@@ -203,8 +211,35 @@ def to_blocks(rows: DataFrame, base_url: str = "") -> DataFrame:
     return rows.select("section_no", "label_no", F.inline(blocks))
 
 
+def message_pages(blocks: DataFrame, size: int = MESSAGE_BLOCKS) -> DataFrame:
+    """The blocks as numbered messages (message_no from 1, blocks) of ``size`` at most.
+
+    A block's place is its rank within the label behind all blocks of earlier labels, so
+    only the labels' counts, some handful of rows, are ordered as a whole.
+    """
+    labels = blocks.groupBy("section_no", "label_no").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("section_no", "label_no").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = labels.select(
+        "section_no", "label_no", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset")
+    )
+    place = F.col("offset") + F.col("rank")
+    listed = F.sort_array(F.collect_list(F.struct("place", "block")))
+    return (
+        blocks.join(offsets, ["section_no", "label_no"])
+        .select("block", place.alias("place"))
+        .groupBy((F.floor(F.col("place") / size) + 1).cast("int").alias("message_no"))
+        .agg(listed.alias("listed"))
+        .select("message_no", _json_array(F.col("listed")).alias("blocks"))
+    )
+
+
+def _json_array(listed: Column) -> Column:
+    body = F.array_join(F.transform(listed, lambda b: b["block"]), ",")
+    return F.concat(F.lit("["), body, F.lit("]"))
+
+
 def message_text(blocks: DataFrame) -> DataFrame:
-    """The block list as one JSON array; ``top_n`` per section bounds its length."""
+    """All blocks as one JSON array in one row, for short block lists; a run sends
+    ``message_pages``."""
     ordered = F.sort_array(F.collect_list(F.struct("section_no", "label_no", "rank", "block")))
-    body = F.array_join(F.transform(ordered, lambda b: b["block"]), ",")
-    return blocks.agg(F.concat(F.lit("["), body, F.lit("]")).alias("blocks"))
+    return blocks.agg(_json_array(ordered).alias("blocks"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from spendtide.functions.dates import date_key
 from spendtide.functions.numbers import round2
 from spendtide.functions.text import (
-    DAILY_CHART, MONTH_CHART, SPIKE_PREFIX, TREND_PREFIX, chart_name, chart_title,
+    DAILY_CHART, MONTH_CHART, SPIKE_PREFIX, TREND_PREFIX, chart_key, chart_name, chart_title,
 )
 from spendtide.operators.summary import Summary
 from spendtide.operators.trend import MACD, SIGNAL
@@ -20,8 +20,9 @@ MONTH_TITLE, DAILY_TITLE = "Month to Date Spend by Service", "Daily Spend x Serv
 
 
 def of_alerted(series: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Rows of the services that have an alert."""
-    return series.join(alerts.select("SERVICE").distinct(), "SERVICE", "left_semi")
+    """Rows of the services that have an alert, with the charts' names for them."""
+    alerted = alerts.select("SERVICE").distinct()
+    return series.join(alerted.withColumn("_key", chart_key(F.col("SERVICE"))), "SERVICE")
 
 
 def macd_series(
@@ -33,7 +34,7 @@ def macd_series(
 ) -> DataFrame:
     """Rounded MACD and signal lines of every service with a trend alert."""
     return of_alerted(trend, alerts).select(
-        chart_name(TREND_PREFIX, F.col("SERVICE"), as_of).alias("chart_id"),
+        chart_name(TREND_PREFIX, F.col("_key"), as_of).alias("chart_id"),
         chart_title(F.col("SERVICE"), region, title).alias("chart_title"),
         date_key(F.col("date")).alias("DATE"),
         round2(F.col(MACD)).alias("MACD"),
@@ -46,22 +47,29 @@ def spike_series(
     alerts: DataFrame,
     as_of: date,
     z_in: float = 1.0,
-    last_rows: int = 365,
+    last_rows: int | None = None,
     region: Column | None = None,
     title: str | None = None,
 ) -> DataFrame:
-    """Bars of the latest rows of every service with a spike alert.
+    """Bars of every service with a spike alert, all of them or the ``last_rows`` latest;
+    ``left_out`` is the number of a service's rows that are not charted.
 
     Mean and threshold are those of the charted, rounded bars, and a bar is red
     strictly above the threshold, so the colours can differ from the alerts.
     """
     latest_first = Window.partitionBy("SERVICE").orderBy(F.desc("STARTDATE"))
     charted = Window.partitionBy("SERVICE")
+    bars = of_alerted(svc_day, alerts)
+    if last_rows is None:
+        bars = bars.withColumn("left_out", F.lit(0))
+    else:
+        bars = (
+            bars.withColumn("_n", F.row_number().over(latest_first))
+            .withColumn("left_out", F.greatest(F.lit(0), F.max("_n").over(charted) - last_rows))
+            .where(F.col("_n") <= last_rows)
+        )
     bars = (
-        of_alerted(svc_day, alerts)
-        .withColumn("_n", F.row_number().over(latest_first))
-        .where(F.col("_n") <= last_rows)
-        .withColumn("USD", round2(F.col("USD")))
+        bars.withColumn("USD", round2(F.col("USD")))
         .withColumn("mean_line", F.avg("USD").over(charted))
         .withColumn(
             "threshold_line",
@@ -69,13 +77,14 @@ def spike_series(
         )
     )
     return bars.select(
-        chart_name(SPIKE_PREFIX, F.col("SERVICE"), as_of).alias("chart_id"),
+        chart_name(SPIKE_PREFIX, F.col("_key"), as_of).alias("chart_id"),
         chart_title(F.col("SERVICE"), region, title).alias("chart_title"),
         date_key(F.col("STARTDATE")).alias("DATE"),
         "USD",
         "mean_line",
         "threshold_line",
         F.when(F.col("USD") > F.col("threshold_line"), "red").otherwise("blue").alias("colour"),
+        "left_out",
     )
 
 

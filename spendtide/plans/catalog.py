@@ -9,9 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, timedelta
-from uuid import uuid4
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendtide.config import JobConfig
@@ -34,7 +34,7 @@ from spendtide.operators.trend import (
     FAST, MACD, SIGNAL, SLOW, cross_flag, macd, signal, trend_lines, trend_series,
 )
 from spendtide.plans import daily_job
-from spendtide.plans.materialize import materialize, work_folder
+from spendtide.plans.materialize import materialize, new_path
 from spendtide.schema import COST_EXTRACT
 from spendtide.sources import facts, landing, sinks
 from spendtide.sources.adapters import events_as_costs, lineitem_as_costs, orders_as_costs
@@ -160,8 +160,8 @@ def low_value_totals(spark: SparkSession, folder: str) -> DataFrame:
 # -- ingest and storage ---------------------------------------------------------
 
 
-def _land(costs: DataFrame, path: str) -> None:
-    """Write cost rows as page files, one page with one group per line."""
+def _as_pages(costs: DataFrame) -> DataFrame:
+    """Cost rows as pages with one group each."""
     group = F.struct(
         F.array(F.col("SERVICE"), F.concat(F.lit("Name$"), "TAG")).alias("Keys"),
         F.create_map(
@@ -174,14 +174,72 @@ def _land(costs: DataFrame, path: str) -> None:
         F.col("ENDDATE").cast("string").alias("End"),
     )
     result = F.struct(period.alias("TimePeriod"), F.array(group).alias("Groups"))
-    costs.select(F.array(result).alias("ResultsByTime")).write.json(path)
+    return costs.select("TAG", F.array(result).alias("ResultsByTime"))
+
+
+def _land(costs: DataFrame, path: str) -> None:
+    """Write cost rows as page files, one page with one group per line."""
+    _as_pages(costs).drop("TAG").write.json(path)
 
 
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
     """Orders landed as page files and read back."""
-    path = f"{work_folder(spark)}/pages-{uuid4().hex}"
+    path = new_path(spark, "pages")
     _land(orders_as_costs(spark, folder), path)
-    return landing.read_cost_pages(spark, path, multi_line=False)
+    return landing.read_cost_pages(spark, path)
+
+
+def _landed_text(spark: SparkSession, pages: DataFrame, text: Column) -> DataFrame:
+    """Pages landed as files with ``text`` for each and read back."""
+    path = new_path(spark, "pages")
+    pages.select(text.alias("value")).write.text(path)
+    return landing.read_cost_pages(spark, path)
+
+
+def pages_mixed_forms(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders landed in every layout, by status: one page on a line, indented pages one
+    after the other in a file, and two pages on a line."""
+    pages = _as_pages(orders_as_costs(spark, folder))
+    page = F.struct("ResultsByTime")
+    line, indented = F.to_json(page), F.to_json(page, {"pretty": "true"})
+    text = (
+        F.when(F.col("TAG") == "F", line)
+        .when(F.col("TAG") == "O", indented)
+        .otherwise(F.concat(line, F.lit(" "), F.lit('{"ResultsByTime":[]}')))
+    )
+    return landing.landed_costs(_landed_text(spark, pages, text))
+
+
+def rejected_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders landed with those of one status cut off and those of another without
+    results: what the load rejects, counted by reason."""
+    pages = _as_pages(orders_as_costs(spark, folder))
+    line = F.to_json(F.struct("ResultsByTime"))
+    text = (
+        F.when(F.col("TAG") == "P", F.substring(line, 1, 40))
+        .when(F.col("TAG") == "F", F.lit('{"NextPageToken":"x"}'))
+        .otherwise(line)
+    )
+    bad = landing.rejected(_landed_text(spark, pages, text))
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+def rejected_amounts(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with grouped digits in the amounts of one status: rejected, not counted as 0."""
+    costs = orders_as_costs(spark, folder)
+    grouped = F.when(F.col("TAG") == "P", F.format_number("USD", 2)).otherwise(F.col("USD").cast("string"))
+    path = new_path(spark, "pages")
+    _land(costs.withColumn("USD", grouped), path)
+    pages = landing.read_cost_pages(spark, path)
+    bad = landing.rejected(pages).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+    good = landing.landed_costs(pages).agg(F.count(F.lit(1)).alias("records"))
+    return bad.unionByName(good.select(F.lit("loaded").alias("reason"), "records"))
+
+
+def missing_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of a month that no landed page reports on."""
+    last = GAP_RUN.as_of
+    return landing.missing_days(_pages(spark, folder), last - timedelta(days=30), last)
 
 
 def flatten_cost_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -226,7 +284,7 @@ def compact_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_merge(spark: SparkSession, folder: str) -> DataFrame:
     """Store events, append an overlapping load, compact, merge again, read back."""
-    path = f"{work_folder(spark)}/stored_merge-{uuid4().hex}"
+    path = new_path(spark, "stored_merge")
     costs = events_as_costs(spark, folder)
     day = F.col("STARTDATE")
     first = EVENTS_SPLIT - timedelta(days=7)
@@ -449,24 +507,69 @@ def message_payload(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def message_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The message with all tag spikes, in numbered parts of seven blocks."""
+    blocks = _message_blocks(orders_as_costs, STRICT_RUN)(spark, folder)
+    return messages.message_pages(blocks, 7)
+
+
+def date_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Alert rows that carry the date instead of the service."""
+    found = _alerts(spark, folder, orders_as_costs, ORDERS_RUN).svc_spike_alerts
+    return messages.alert_rows(
+        found, SVC_SCORE, 3, "spikes", "up", "down", ORDERS_RUN.z_in, -ORDERS_RUN.z_in,
+        SPIKE_PREFIX, ORDERS_RUN.as_of, label_kind="date",
+    )
+
+
 def stored_charts(spark: SparkSession, folder: str) -> DataFrame:
-    """The spike charts written one folder each, and read back."""
-    charts = _series_spike(lineitem_as_costs, LINEITEM_RUN)(spark, folder)
-    path = f"{work_folder(spark)}/charts-{uuid4().hex}"
-    sinks.write_series(charts, path)
-    return spark.read.schema(charts.schema).parquet(path)
+    """The spike charts written, and read back."""
+    cfg = LINEITEM_RUN
+    charts = _series_spike(lineitem_as_costs, cfg)(spark, folder)
+    path = new_path(spark, "charts")
+    sinks.write_series(charts, path, cfg.as_of)
+    return sinks.read_of_day(spark, path, cfg.as_of, charts.schema)
+
+
+def _run_twice(spark: SparkSession, folder: str, dates: int = 2) -> str:
+    """All events landed as pages; runs of the last days. The folder of the outputs."""
+    base = new_path(spark, "run")
+    _land(events_as_costs(spark, folder), f"{base}/pages")
+    for back in reversed(range(dates)):
+        daily_job.run(spark, replace(
+            EVENTS_RUN, run_date=EVENTS_RUN.run_date - timedelta(days=back), overlap_days=29 - back,
+            landing_path=f"{base}/pages", fact_path=f"{base}/fact", output_path=f"{base}/out",
+        ))
+    return f"{base}/out"
 
 
 def daily_run_events(spark: SparkSession, folder: str) -> DataFrame:
     """A whole run: all events landed as pages, loaded, alerted on and reported."""
-    base = f"{work_folder(spark)}/run-{uuid4().hex}"
-    cfg = replace(
-        EVENTS_RUN, overlap_days=30, multi_line_pages=False,
-        landing_path=f"{base}/pages", fact_path=f"{base}/fact", output_path=f"{base}/out",
+    out = _run_twice(spark, folder, 1)
+    return sinks.read_of_day(spark, f"{out}/message_rows", EVENTS_RUN.as_of, messages.MESSAGE_ROWS)
+
+
+def two_runs_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages, charts and alerts of two runs, all read back after the second: for each
+    table and processed day the number of rows, and the links that have a chart."""
+    out = _run_twice(spark, folder)
+    tables = [
+        "total_by_service", "daily_by_service", "trend_alerts", "svc_spike_alerts",
+        "tag_spike_alerts", "charts/trend", "charts/spike", "charts/summary", "message_rows",
+    ]
+    counts = [
+        spark.read.parquet(f"{out}/{name}").groupBy("as_of").agg(F.count(F.lit(1)).alias("records"))
+        .select(F.lit(name).alias("name"), "as_of", "records")
+        for name in tables
+    ]
+    links = spark.read.parquet(f"{out}/message_rows").select("link", "as_of")
+    charts = [spark.read.parquet(f"{out}/{n}").select("chart_id") for n in tables if "charts/" in n]
+    known = reduce(DataFrame.unionByName, charts).distinct()
+    linked = links.join(known, links.link == known.chart_id).groupBy("as_of").agg(
+        F.count(F.lit(1)).alias("records")
     )
-    _land(events_as_costs(spark, folder), cfg.landing_path)
-    daily_job.run(spark, cfg)
-    return spark.read.schema(messages.MESSAGE_ROWS).parquet(f"{cfg.output_path}/message_rows")
+    counts.append(linked.select(F.lit("links with a chart").alias("name"), "as_of", "records"))
+    return reduce(DataFrame.unionByName, counts)
 
 
 def spikes_flagship(spark: SparkSession, folder: str) -> DataFrame:
@@ -487,6 +590,10 @@ def queries() -> dict[str, Query]:
         "low_value_keys": low_value_tags,
         "low_value_totals": low_value_totals,
         "flatten_cost_pages": flatten_cost_pages,
+        "pages_mixed_forms": pages_mixed_forms,
+        "rejected_pages": rejected_pages,
+        "rejected_amounts": rejected_amounts,
+        "missing_days": missing_days,
         "overlap_load": overlap_load,
         "export_headers": export_headers,
         "calendar_days": calendar,
@@ -516,6 +623,10 @@ def queries() -> dict[str, Query]:
         "top_alerts": top_alerts,
         "stored_charts": stored_charts,
         "daily_run_events": daily_run_events,
+        "two_runs_events": two_runs_events,
+        "message_pages": message_pages,
+        "date_labels": date_labels,
+        "series_spike_365": _series_spike(lineitem_as_costs, replace(LINEITEM_RUN, chart_rows=365)),
         "message_text": message_text,
         "message_payload": message_payload,
     }

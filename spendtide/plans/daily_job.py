@@ -25,13 +25,25 @@ from spendtide.sources import facts, landing, sinks
 
 
 def load_costs(spark: SparkSession, cfg: JobConfig) -> None:
-    """Merge the landed pages of the overlap window into the fact table."""
+    """Merge the landed pages of the overlap window into the fact table.
+
+    What cannot be read is stored under ``rejected_path`` (by default beside the fact),
+    by processed day. More than ``reject_tolerance`` such records, or a day of the window
+    that no page reports on, stop the load before the fact is touched.
+    """
     first, last = landing.overlap_window(cfg.as_of, cfg.overlap_days, cfg.end_inclusive)
-    pages = landing.read_cost_pages(spark, cfg.landing_path, cfg.multi_line_pages)
+    pages = materialize(landing.read_cost_pages(spark, cfg.landing_path, first, last), "pages")
+    bad = landing.rejected(pages, cfg.double_strip_tag)
+    path = cfg.rejected_path or f"{cfg.fact_path.rstrip('/')}-rejected"
+    sinks.write_of_day(bad, path, cfg.as_of)
+    count = sinks.read_of_day(spark, path, cfg.as_of, bad.schema).count()
+    if count > cfg.reject_tolerance:
+        raise ValueError(f"{count} landed records cannot be read; see {path}")
+    if cfg.require_all_days:
+        missing = [r.STARTDATE for r in landing.missing_days(pages, first, last).collect()]
+        if missing:
+            raise ValueError(f"no page reports on {', '.join(map(str, sorted(missing)))}")
     batch = landing.landed_costs(pages, first, last, cfg.double_strip_tag)
-    if cfg.compact == "latest":
-        # The keys of the batch are read apart from its rows: parse the pages once.
-        batch = materialize(batch, "batch")
     facts.merge_fact(batch, cfg.fact_path, first, last, cfg.compact)
 
 
@@ -174,30 +186,34 @@ def run(spark: SparkSession, cfg: JobConfig) -> RunResult:
     summary = summaries(cube, cfg)
     found = Alerts(cube, cfg, keep)
     rows = message_rows(spark, found, cfg)
-    message = messages.message_text(messages.to_blocks(rows, cfg.base_url))
+    message = messages.message_pages(messages.to_blocks(rows, cfg.base_url))
 
     if cfg.output_path:
-        out = cfg.output_path
-        sinks.write_table(summary.total_by_service, f"{out}/total_by_service", "SERVICE")
-        sinks.write_table(
-            summary.daily_by_service, f"{out}/daily_by_service", "DATE_STR", "SERVICE"
-        )
-        sinks.write_table(found.trend_alerts, f"{out}/trend_alerts", "SERVICE")
-        sinks.write_table(found.svc_spike_alerts, f"{out}/svc_spike_alerts", "SERVICE")
-        sinks.write_table(found.tag_spike_alerts, f"{out}/tag_spike_alerts", "SERVICE", "TAG")
-        sinks.write_series(
-            series.macd_series(found.trend_testing, found.trend_alerts, cfg.as_of),
-            f"{out}/charts/trend",
-        )
-        sinks.write_series(
-            series.spike_series(
-                found.svc_day, found.svc_spike_alerts, cfg.as_of, cfg.z_in, cfg.chart_rows
-            ),
-            f"{out}/charts/spike",
-        )
-        sinks.write_series(
-            series.summary_series(summary, cfg.as_of), f"{out}/charts/summary"
-        )
-        sinks.write_table(rows, f"{out}/message_rows", "section_no", "label_no", "rank")
-        sinks.write_messages(message, f"{out}/messages", cfg.channel)
+        write_outputs(spark, cfg, RunResult(summary, found, rows, message))
     return RunResult(summary, found, rows, message)
+
+
+def write_outputs(spark: SparkSession, cfg: JobConfig, result: RunResult) -> None:
+    """All tables of a run, each in the processed day's folder of its own table.
+
+    A repeated run replaces its own day; other days keep their charts and messages.
+    """
+    found, summary = result.alerts, result.summary
+    write = partial(sinks.write_of_day, as_of=cfg.as_of)
+    out = cfg.output_path
+    write(summary.total_by_service, f"{out}/total_by_service", order=["SERVICE"])
+    write(summary.daily_by_service, f"{out}/daily_by_service", order=["DATE_STR", "SERVICE"])
+    write(found.trend_alerts, f"{out}/trend_alerts", order=["SERVICE"])
+    write(found.svc_spike_alerts, f"{out}/svc_spike_alerts", order=["SERVICE"])
+    write(found.tag_spike_alerts, f"{out}/tag_spike_alerts", order=["SERVICE", "TAG"])
+    charts = {
+        "trend": series.macd_series(found.trend_testing, found.trend_alerts, cfg.as_of),
+        "spike": series.spike_series(
+            found.svc_day, found.svc_spike_alerts, cfg.as_of, cfg.z_in, cfg.chart_rows
+        ),
+        "summary": series.summary_series(summary, cfg.as_of),
+    }
+    for kind, chart in charts.items():
+        sinks.write_series(chart, f"{out}/charts/{kind}", cfg.as_of)
+    write(result.message_rows, f"{out}/message_rows", order=["section_no", "label_no", "rank"])
+    sinks.write_messages(result.message, f"{out}/messages", cfg.channel, cfg.as_of)

@@ -7,10 +7,10 @@ enrichment is nine left joins.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, timedelta
 
 from spendtide.config import JobConfig
-from spendtide.operators import messages as m
 from spendtide.plans import catalog as c
 
 FACTS = {
@@ -165,37 +165,35 @@ def _rank(label: str, order: str) -> str:
 
 def _message_rows(suffix: str, cfg: JobConfig) -> str:
     stamp = f"{cfg.as_of:%Y%m%d}"
-    # Alerts beyond the 999 highest of a section are not reported; a tag section
-    # could have that many.
     order = "z DESC, text, link"
     tags = f"""
-        UNION ALL SELECT 4, '{m.TAG_SECTION}', CASE WHEN z >= {cfg.z_in} THEN 1 ELSE 2 END, text, link, z
+        UNION ALL SELECT 4, 'awsTagSpikes', CASE WHEN z >= {cfg.z_in} THEN 1 ELSE 2 END, text, link, z
         FROM (SELECT z, SERVICE || ' / ' || TAG AS text,
             'amz_tag_' || replace(SERVICE || ' / ' || TAG, ' ', '') || '_{stamp}' AS link
-            FROM tag_spikes ORDER BY z DESC, text LIMIT 999)""" if cfg.message_tag_spikes else ""
+            FROM tag_spikes)""" if cfg.message_tag_spikes else ""
     return f"""{_alerts(suffix, cfg)},
     alert_lines AS (
-        SELECT 2 AS section_no, '{m.TREND_SECTION}' AS section,
+        SELECT 2 AS section_no, 'awsTrends' AS section,
             CASE WHEN crossFlag >= 1 THEN 1 ELSE 2 END AS label_no, SERVICE AS text,
             'amz_' || replace(SERVICE, ' ', '') || '_{stamp}' AS link, CAST(crossFlag AS DOUBLE) AS z
         FROM trend_alerts
         UNION ALL
-        SELECT 3, '{m.SPIKE_SECTION}', CASE WHEN z >= {cfg.z_in} THEN 1 ELSE 2 END, SERVICE,
+        SELECT 3, 'awsSvcSpikes', CASE WHEN z >= {cfg.z_in} THEN 1 ELSE 2 END, SERVICE,
             'amz_tot_' || replace(SERVICE, ' ', '') || '_{stamp}', z FROM svc_spikes{tags}),
     message AS (
-        SELECT 1 AS section_no, '{m.SUMMARY_SECTION}' AS section, 1 AS label_no,
-            '{m.SUMMARY_LABEL}' AS label, 1 AS "rank", 'Daily Spend x Service' AS text,
+        SELECT 1 AS section_no, 'awsSummary' AS section, 1 AS label_no,
+            'AWS Services Summary' AS label, 1 AS "rank", 'Daily Spend x Service' AS text,
             'amz_dailySpendxService_{stamp}' AS link
         UNION ALL
-        SELECT 1, '{m.SUMMARY_SECTION}', 1, '{m.SUMMARY_LABEL}', 2, 'Month to Date Spend x Service',
+        SELECT 1, 'awsSummary', 1, 'AWS Services Summary', 2, 'Month to Date Spend x Service',
             'amz_mtdSpendxService_{stamp}'
         UNION ALL
         SELECT section_no, section, label_no,
-            CASE WHEN section_no = 2 AND label_no = 1 THEN '{m.TREND_UP}'
-                WHEN section_no = 2 THEN '{m.TREND_DOWN}'
-                WHEN section_no = 3 AND label_no = 1 THEN '{m.SPIKE_UP}'
-                WHEN section_no = 3 THEN '{m.SPIKE_DOWN}'
-                WHEN label_no = 1 THEN '{m.TAG_UP}' ELSE '{m.TAG_DOWN}' END,
+            CASE WHEN section_no = 2 AND label_no = 1 THEN 'Upward Trending AWS Services'
+                WHEN section_no = 2 THEN 'Downward Trending AWS Services'
+                WHEN section_no = 3 AND label_no = 1 THEN 'Spike up in AWS Services'
+                WHEN section_no = 3 THEN 'Spike down in AWS Services'
+                WHEN label_no = 1 THEN 'Spike up in AWS Service Tags' ELSE 'Spike down in AWS Service Tags' END,
             {_rank("section_no, label_no", order)}, text, link FROM alert_lines)"""
 
 
@@ -286,15 +284,17 @@ def _enriched(suffix: str) -> str:
 
 def _series_spike(suffix: str, cfg: JobConfig) -> str:
     return f"""{_spikes_only(suffix, cfg)},
-    bars AS (SELECT SERVICE, STARTDATE, {_r2("USD")} AS USD FROM filled
-        WHERE SERVICE IN (SELECT SERVICE FROM svc_spikes)
-        QUALIFY row_number() OVER (PARTITION BY SERVICE ORDER BY STARTDATE DESC) <= {cfg.chart_rows}),
+    bars AS (SELECT SERVICE, STARTDATE, {_r2("USD")} AS USD,
+            greatest(0, count(*) OVER (PARTITION BY SERVICE) - {cfg.chart_rows or 10**9}) AS left_out
+        FROM filled WHERE SERVICE IN (SELECT SERVICE FROM svc_spikes)
+        QUALIFY row_number() OVER (PARTITION BY SERVICE ORDER BY STARTDATE DESC) <= {cfg.chart_rows or 10**9}),
     stats AS (SELECT SERVICE, avg(USD) AS mean, avg(USD) + {cfg.z_in} * stddev_samp(USD) AS cut
         FROM bars GROUP BY SERVICE)
     SELECT 'amz_tot_' || replace(SERVICE, ' ', '') || '_{cfg.as_of:%Y%m%d}' AS chart_id,
         SERVICE AS chart_title, strftime(STARTDATE, '%Y%m%d') AS "DATE", {_r("USD")} AS USD,
         {_r("mean")} AS mean_line, {_r("cut")} AS threshold_line,
-        CASE WHEN USD > cut THEN 'red' ELSE 'blue' END AS colour
+        CASE WHEN USD > cut THEN 'red' ELSE 'blue' END AS colour,
+        CAST(left_out AS INTEGER) AS left_out
     FROM bars JOIN stats USING (SERVICE)"""
 
 
@@ -337,6 +337,16 @@ def _tables() -> dict[str, str]:
         "flatten_cost_pages": costs,
         "overlap_load": f"""{costs} WHERE STARTDATE BETWEEN
             {_day(run.as_of - timedelta(days=run.overlap_days))} AND {_day(run.as_of)}""",
+        "pages_mixed_forms": costs,
+        "rejected_pages": """SELECT CASE o_orderstatus WHEN 'P' THEN 'malformed page'
+            ELSE 'no results in page' END AS reason, count(*) AS records
+            FROM orders WHERE o_orderstatus IN ('P', 'F') GROUP BY 1""",
+        "rejected_amounts": """SELECT CASE WHEN o_orderstatus = 'P' AND o_totalprice >= 1000
+                THEN 'unreadable amount' ELSE 'loaded' END AS reason, count(*) AS records
+            FROM orders GROUP BY 1""",
+        "missing_days": f"""SELECT CAST(d AS DATE) AS STARTDATE FROM (SELECT unnest(generate_series(
+                {_day(c.GAP_RUN.as_of - timedelta(days=30))}, {_day(c.GAP_RUN.as_of)}, INTERVAL 1 DAY)) AS d)
+            WHERE CAST(d AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)""",
         "export_headers": costs,
         "calendar_days": f"WITH {_fact('')}, {CALENDAR} SELECT STARTDATE FROM cal",
         "compact_distinct": f"""SELECT DISTINCT * FROM (
@@ -394,12 +404,52 @@ def _series_and_trend() -> dict[str, str]:
         "message_text": f"""{_message_rows("", c.ORDERS_RUN)}, {BLOCKS}
             SELECT '[' || string_agg(block, ',' ORDER BY section_no, label_no, "rank") || ']' AS blocks
             FROM blocks""",
+        "two_runs_events": " UNION ALL ".join(_outputs(back) for back in (0, 1)),
+        "message_pages": f"""{_message_rows("_strict", c.STRICT_RUN)}, {BLOCKS},
+            numbered AS (SELECT block, row_number() OVER (ORDER BY section_no, label_no, "rank") - 1 AS n
+                FROM blocks)
+            SELECT CAST(n // 7 + 1 AS INTEGER) AS message_no,
+                '[' || string_agg(block, ',' ORDER BY n) || ']' AS blocks FROM numbered GROUP BY 1""",
+        "date_labels": f"""{_spikes_only("", c.ORDERS_RUN)}
+            SELECT 3::INTEGER AS section_no, 'spikes' AS section, 1::INTEGER AS label_no, 'up' AS label,
+                {_rank("1", "z DESC")} AS "rank", '{c.ORDERS_RUN.as_of:%Y-%m-%d}' AS text,
+                'amz_tot_{c.ORDERS_RUN.as_of:%Y%m%d}' AS link FROM svc_spikes""",
+        "series_spike_365": _series_spike("_lineitem", replace(c.LINEITEM_RUN, chart_rows=365)),
         "message_payload": f"""{_message_rows("", c.ORDERS_RUN)}
             SELECT section, label, string_agg(text || '|' || link, ';' ORDER BY "rank") AS links
             FROM message GROUP BY section, label""",
     }
 
 
+def _earlier(days: int) -> JobConfig:
+    return replace(c.EVENTS_RUN, run_date=c.EVENTS_RUN.run_date - timedelta(days=days))
+
+
+def _outputs(back: int) -> str:
+    """Rows of every output table of the run ``back`` days before the last."""
+    cfg = _earlier(back)
+    events = "_loaded_events"
+    alerts = f"{_alerts(events, cfg)} SELECT count(*) AS n FROM"
+    charted = f"{_alerts(events, cfg)} SELECT count(*) AS n FROM filled WHERE SERVICE IN"
+    month = _month(events, cfg)
+    counts = {
+        "total_by_service": f"{month} SELECT count(DISTINCT SERVICE) AS n FROM month",
+        "daily_by_service": f"{month} SELECT count(*) AS n FROM month",
+        "trend_alerts": f"{alerts} trend_alerts",
+        "svc_spike_alerts": f"{alerts} svc_spikes",
+        "tag_spike_alerts": f"{alerts} tag_spikes",
+        "charts/trend": f"{charted} (SELECT SERVICE FROM trend_alerts)",
+        "charts/spike": f"{charted} (SELECT SERVICE FROM svc_spikes)",
+        "charts/summary": f"{month} SELECT count(*) + count(DISTINCT SERVICE) AS n FROM month",
+        "message_rows": f"{_message_rows(events, cfg)} SELECT count(*) AS n FROM message",
+        "links with a chart": f"{_message_rows(events, cfg)} SELECT count(*) AS n FROM message",
+    }
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS name, {_day(cfg.as_of)} AS as_of, n AS records FROM ({sql}) WHERE n > 0"""
+        for name, sql in counts.items()
+    )
+
+
 def _spike_rows(suffix: str, cfg: JobConfig) -> str:
     return f"""{_spikes_only(suffix, cfg)} SELECT SERVICE, {PARTS}, {_r("z", 6)} AS svc_day_zscore,
         STARTDATE AS "date" FROM svc_spikes"""

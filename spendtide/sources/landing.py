@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from spendtide.functions.dates import add_date_parts
 from spendtide.functions.numbers import amount
@@ -25,14 +27,80 @@ EXPORT_HEADERS = {
 }
 
 
-def read_cost_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """All landed pages under ``path``.
+# Between two pages: an object ends and another begins without a comma. A page that was
+# cut off is told from the next one by a line that begins with an object.
+_NEXT_PAGE, _NEXT_LINE = r"(?<=\})\s*(?=\{)", r"\n(?=\{)"
+_PAGE = T.StructType([*RAW_PAGES.fields, T.StructField("_corrupt", T.StringType())])
 
-    ``multi_line`` reads one page per file; with one page per line (False) large
-    files are split between tasks. Pages may lie in ``day=yyyy-MM-dd`` folders, of
-    which a load then opens only those of its window.
+
+def text_lines(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
+    """Lines of all files under ``path`` with the file and the block they come from."""
+    return reader.text(path).select(
+        "*", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+
+
+def with_place(lines: DataFrame) -> DataFrame:
+    """(file, at, value) of ``text_lines``; ``at`` orders the lines of a file."""
+    return lines.select(
+        "file", F.struct("block", F.monotonically_increasing_id().alias("line")).alias("at"), "value"
+    )
+
+
+def _parsed(raw: DataFrame, problem: str) -> DataFrame:
+    """(file, raw) with the page, and ``problem`` where ``raw`` is none."""
+    page = F.from_json("raw", _PAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    raw = raw.where(F.trim("raw") != "").withColumn("page", page)
+    broken = F.col("page").isNull() | F.col("page._corrupt").isNotNull()
+    reason = F.when(broken, problem).when(F.col("page.ResultsByTime").isNull(), "no results in page")
+    return raw.withColumn("reason", reason)
+
+
+def parse_pages(lines: DataFrame) -> DataFrame:
+    """One row per page of ``with_place`` lines: its fields, file, and reason and raw text where
+    it cannot be read.
+
+    A file may have one page on a line, several on a line, pages over many lines, or all
+    of these. What is no page by itself is joined to the rest of its file, in order, and
+    cut into pages again; only such rests are gathered, one file in a row.
     """
-    return spark.read.schema(RAW_PAGES).option("multiLine", multi_line).json(path)
+    parts = lines.select("file", "at", F.explode(F.split("value", _NEXT_PAGE)).alias("raw"))
+    alone = _parsed(parts, "malformed page")
+    rest = (
+        alone.where("reason is not null").groupBy("file")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "raw"))).alias("rest"))
+        .select("file", F.array_join(F.col("rest.raw"), "\n").alias("raw"))
+    )
+    whole = _parsed(
+        rest.select("file", F.explode(F.split("raw", _NEXT_PAGE)).alias("raw")), "malformed page"
+    )
+    cut = _parsed(
+        whole.where("reason is not null")
+        .select("file", F.explode(F.split("raw", _NEXT_LINE)).alias("raw")),
+        "malformed page",
+    )
+    found = (
+        alone.drop("at").where("reason is null")
+        .unionByName(whole.where("reason is null"))
+        .unionByName(cut)
+    )
+    return found.select(
+        "file", "reason", F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"),
+        *[F.when(F.col("reason").isNull(), F.col(f"page.{n}")).alias(n) for n in RAW_PAGES.names],
+    )
+
+
+def read_cost_pages(
+    spark: SparkSession, path: str, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """All landed pages under ``path``, whatever their layout; see ``parse_pages``.
+
+    They may lie in ``day=yyyy-MM-dd`` folders, of which only those from ``first`` to
+    ``last`` are opened then.
+    """
+    lines = _within(text_lines(spark.read, path), "day", first, last)
+    return parse_pages(with_place(lines))
 
 
 def overlap_window(as_of: date, days: int = 7, end_inclusive: bool = True) -> tuple[date, date]:
@@ -47,11 +115,25 @@ def expected_days(spark: SparkSession, first: date, last: date) -> DataFrame:
     )
 
 
+def landed_days(pages: DataFrame) -> DataFrame:
+    """The days that the pages report on, those without spend as well."""
+    day = F.explode("ResultsByTime").alias("d")
+    return pages.select(day).select(
+        F.to_date("d.TimePeriod.Start", "yyyy-MM-dd").alias("STARTDATE")
+    ).where("STARTDATE is not null").distinct()
+
+
+def missing_days(pages: DataFrame, first: date, last: date) -> DataFrame:
+    """Days from ``first`` to ``last`` that no page reports on."""
+    wanted = expected_days(pages.sparkSession, first, last)
+    return wanted.join(landed_days(pages), "STARTDATE", "left_anti")
+
+
 def flatten_cost_pages(pages: DataFrame, double_strip_tag: bool = False) -> DataFrame:
     """One row per group of each day: the eight extracted columns.
 
-    A day spans from its start to the next day. Groups without the cost metric keep
-    a NULL amount.
+    A day spans from its start to the next day. Groups without the cost metric have a
+    NULL amount here, and are rejected later.
     """
     groups = pages.select(F.explode("ResultsByTime").alias("d")).select(
         F.to_date("d.TimePeriod.Start", "yyyy-MM-dd").alias("STARTDATE"),
@@ -86,15 +168,41 @@ def to_fact(extract: DataFrame) -> DataFrame:
     return add_date_parts(typed).select(*COST_FACT.names)
 
 
+def _reason() -> Column:
+    """Why an extracted row cannot become a fact row; NULL where it can."""
+    return (
+        F.when(F.col("STARTDATE").isNull(), "no readable day")
+        .when(F.col("USD").isNull(), "no amount")
+        .when(amount(F.col("USD")).isNull(), "unreadable amount")
+    )
+
+
+def rejected(pages: DataFrame, double_strip_tag: bool = False) -> DataFrame:
+    """What a load cannot read: (file, reason, raw) of pages and of rows in them."""
+    days = pages.select("file", F.explode("ResultsByTime").alias("d"))
+    rows = flatten_cost_pages(pages, double_strip_tag).where(_reason().isNotNull())
+    return (
+        pages.where("reason is not null").select("file", "reason", "raw")
+        .unionByName(rows.select(
+            F.lit(None).cast("string").alias("file"), _reason().alias("reason"),
+            F.to_json(F.struct(*rows.columns)).alias("raw"),
+        ))
+        .unionByName(days.where("d.Groups is null").select(
+            "file", F.lit("no groups").alias("reason"), F.to_json("d").alias("raw"),
+        ))
+    )
+
+
 def landed_costs(
     pages: DataFrame, first: date | None = None, last: date | None = None,
     double_strip_tag: bool = False,
 ) -> DataFrame:
-    """Fact rows of the landed pages, limited to ``first`` to ``last`` where given."""
-    flat = normalize_columns(
-        flatten_cost_pages(_within(pages, "day", first, last), double_strip_tag)
-    )
-    return _within(to_fact(flat), "STARTDATE", first, last)
+    """Fact rows of the landed pages, limited to ``first`` to ``last`` where given.
+
+    Rows that cannot be read are in ``rejected``, never in the fact as an amount of 0.
+    """
+    flat = normalize_columns(flatten_cost_pages(pages, double_strip_tag))
+    return _within(to_fact(flat.where(_reason().isNull())), "STARTDATE", first, last)
 
 
 def _within(df: DataFrame, day: str, first: date | None, last: date | None) -> DataFrame:

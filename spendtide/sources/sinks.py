@@ -1,27 +1,42 @@
-"""Output tables of a run."""
+"""Output tables of a run, one folder per processed day in each."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _folder(path: str, as_of: date) -> str:
+    return f"{path.rstrip('/')}/as_of={as_of:%Y-%m-%d}"
 
 
-def write_table(df: DataFrame, path: str, *order: str) -> None:
-    """A result table in the given row order."""
-    (df.orderBy(*order) if order else df).write.mode("overwrite").parquet(path)
+def write_of_day(df: DataFrame, path: str, as_of: date, order: Sequence[str] = ()) -> None:
+    """A result table of one processed day, in the given row order."""
+    df = df.orderBy(*order) if order else df
+    df.write.mode("overwrite").parquet(_folder(path, as_of))
 
 
-def write_series(df: DataFrame, path: str) -> None:
-    """Chart series, one folder per chart."""
+def read_of_day(spark: SparkSession, path: str, as_of: date, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(_folder(path, as_of))
+
+
+def write_series(df: DataFrame, path: str, as_of: date) -> None:
+    """Chart series of one processed day, clustered by chart: a chart is found by the row
+    groups' statistics, and many small charts share a file."""
     (
-        df.hint("rebalance", "chart_id")
+        df.repartitionByRange("chart_id", "DATE")
         .sortWithinPartitions("chart_id", "DATE")
         .write.mode("overwrite")
-        .partitionBy("chart_id")
-        .parquet(path)
+        .parquet(_folder(path, as_of))
     )
 
 
-def write_messages(messages: DataFrame, path: str, channel: str) -> None:
+def write_messages(messages: DataFrame, path: str, channel: str, as_of: date) -> None:
     """Messages with the channel they are meant for, as JSON lines."""
-    messages.withColumn("channel", F.lit(channel)).write.mode("overwrite").json(path)
+    messages.withColumn("channel", F.lit(channel)).write.mode("overwrite").json(
+        _folder(path, as_of)
+    )

@@ -1,7 +1,7 @@
 """Newly landed pages to an append-only table, each file exactly once.
 
 The table is an input of the daily merge like any other batch; repeats from
-overlapping loads are dropped there, not in the stream, which stays stateless.
+overlapping loads are dropped there, not in the stream.
 """
 
 from __future__ import annotations
@@ -9,12 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from spendtide.schema import RAW_PAGES
-from spendtide.sources.landing import landed_costs
-
-
-def stream_cost_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    return spark.readStream.schema(RAW_PAGES).option("multiLine", multi_line).json(path)
+from spendtide.sources.landing import (
+    landed_costs, parse_pages, rejected, text_lines, with_place,
+)
 
 
 def append_landed(
@@ -23,17 +20,29 @@ def append_landed(
     table_path: str,
     checkpoint_path: str,
     double_strip_tag: bool = False,
+    rejected_path: str | None = None,
 ) -> StreamingQuery:
-    """Append the pages that arrived since the last call, then stop."""
-    costs = landed_costs(
-        stream_cost_pages(spark, landing_path), double_strip_tag=double_strip_tag
-    )
+    """Append the pages that arrived since the last call, then stop.
+
+    Each batch of files has a folder of its own, which a repeated batch writes over. What
+    cannot be read goes to ``rejected_path`` (by default beside the table).
+    """
+    rejected_path = rejected_path or f"{table_path.rstrip('/')}-rejected"
+
+    def load(lines: DataFrame, batch: int) -> None:
+        pages = parse_pages(with_place(lines))
+        costs = landed_costs(pages, double_strip_tag=double_strip_tag)
+        costs.write.mode("overwrite").partitionBy("STARTDATE").parquet(
+            f"{table_path}/landed_batch={batch}"
+        )
+        rejected(pages, double_strip_tag).write.mode("overwrite").parquet(
+            f"{rejected_path}/landed_batch={batch}"
+        )
+
     return (
-        costs.writeStream.format("parquet")
-        .partitionBy("STARTDATE")
-        .option("path", table_path)
+        text_lines(spark.readStream, landing_path)
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint_path)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

@@ -44,8 +44,10 @@ def _alerted(spark, *services):
 
 def test_spike_chart_has_the_latest_rows_and_strict_highlight(spark):
     svc_day = series(spark, [("long one", d, 1 + d % 2) for d in range(400)] + [("other", 0, 1)])
-    got = spike_series(svc_day, _alerted(spark, "long one", "long one"), AS_OF, z_in=1.0)
-    assert got.count() == 365
+    whole = spike_series(svc_day, _alerted(spark, "long one"), AS_OF)
+    assert whole.count() == 400 and {r.left_out for r in whole.collect()} == {0}
+    got = spike_series(svc_day, _alerted(spark, "long one", "long one"), AS_OF, z_in=1.0, last_rows=365)
+    assert got.count() == 365 and {r.left_out for r in got.collect()} == {35}
     first = got.agg(F.min("DATE")).first()[0]
     assert first == f"{DAY0 + timedelta(days=35):%Y%m%d}"
     assert {r.chart_id for r in got.collect()} == {"amz_tot_longone_20240110"}
@@ -140,3 +142,29 @@ def test_payload(spark):
     assert set(got["awsTrends"]) == {"Upward Trending AWS Services", "Downward Trending AWS Services"}
     first = got["awsSvcSpikes"]["Spike up in AWS Services"][0]
     assert (first.text, first.link) == (["S Two"], "amz_tot_STwo_20240110")
+
+
+def test_services_with_the_same_chart_name_keep_their_own_charts(spark):
+    svc_day = series(spark, [("A B", 0, 1), ("AB", 0, 2), ("C", 0, 3)])
+    alerts = _alerted(spark, "A B", "AB", "C")
+    charts = rows(spike_series(svc_day, alerts, AS_OF), "chart_id", "chart_title")
+    assert len({c for c, _ in charts}) == 3 and ("amz_tot_AB_20240110", "A B") in charts
+    links = messages.alert_rows(
+        alerts.withColumn("s", F.lit(2.0)), "s", 3, "x", "up", "down", 1, -1, "amz_tot_", AS_OF
+    )
+    assert rows(links, "link", "text") == charts
+
+
+def test_no_alert_is_cut_from_the_messages(spark):
+    alerts = spark.range(3000).selectExpr("concat('s', id) AS SERVICE", "double(id + 2) AS svc_day_zscore")
+    nothing = spark.createDataFrame([], "SERVICE string, crossFlag int")
+    built = messages.build_messages(spark, nothing, alerts, AS_OF)
+    pages = messages.message_pages(messages.to_blocks(built, "https://x")).collect()
+    assert sorted(p.message_no for p in pages) == list(range(1, len(pages) + 1))
+    blocks = [b for p in sorted(pages, key=lambda p: p.message_no) for b in json.loads(p.blocks)]
+    assert all(len(json.loads(p.blocks)) <= 50 for p in pages)
+    texts = [b["text"]["text"] for b in blocks if b["type"] == "section"]
+    assert texts[2:] == [f"s{n}" for n in reversed(range(3000))]
+    assert messages.alert_rows(
+        alerts, "svc_day_zscore", 3, "x", "up", "down", 1, -1, "p", AS_OF, top_n=7
+    ).count() == 7
