@@ -44,6 +44,7 @@ class JobConfig:
     require_all_days: bool = True
     fact_path: str | None = None
     output_path: str | None = None
+    write_enriched: bool = False
 
     end_inclusive: bool = True
     double_strip_tag: bool = False

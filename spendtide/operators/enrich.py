@@ -71,33 +71,31 @@ def service_stats(cube: DataFrame, lines: DataFrame, iso_year: bool = False) ->
     return days.join(weeks, ["SERVICE", "yearWK"], "left").drop("yearWK")
 
 
-def key_stats(cube: DataFrame, of_services: DataFrame, iso_year: bool = False) -> DataFrame:
-    """All statistics of each (SERVICE, TAG, STARTDATE) of the daily cube.
-
-    ``of_services`` is ``service_stats``, small where the cube may be large; stored,
-    it has a known size and can reach the cube without another shuffle.
-    """
+def tag_stats(cube: DataFrame, iso_year: bool = False) -> DataFrame:
+    """The statistics of each (SERVICE, TAG, STARTDATE) of the daily cube."""
     cube = cube.select(*KEYS, "USD", year_week(F.col("STARTDATE"), iso_year).alias("yearWK"))
-    return _tag_days(cube).join(of_services, ["SERVICE", "STARTDATE"], "left")
+    return _tag_days(cube)
 
 
-def with_key_stats(fact: DataFrame, stats: DataFrame, iso_year: bool = False) -> DataFrame:
-    """Every fact row with the statistics of its keys.
+def with_stats(
+    fact: DataFrame, of_services: DataFrame, of_tags: DataFrame, iso_year: bool = False
+) -> DataFrame:
+    """Every fact row with the statistics of its service, day and tag.
 
-    All of them depend on (SERVICE, TAG, STARTDATE) only, so the fact is joined once
-    instead of once per statistic. The keys are unique in ``stats``: no row is lost
-    or repeated. A stored ``stats`` has a known size, by which Spark either
-    broadcasts it and leaves the fact unshuffled, or sorts both sides; there
-    adaptive skew handling splits a key with very many fact rows.
+    Two joins on unique keys, so no row is lost or repeated. ``of_services`` has a row
+    per service and day; stored, it has a known size, by which Spark broadcasts it and
+    leaves the fact unshuffled. ``of_tags`` has eight narrow columns; where it is too
+    large for that, both sides are sorted and adaptive skew handling splits a key with
+    very many fact rows.
     """
-    right = stats.withColumnsRenamed({k: f"stat_{k}" for k in KEYS})
+    left = fact.select(
+        *KEYS, "DAY", "WEEK", "MONTH", "YEAR", "USD",
+        year_week(F.col("STARTDATE"), iso_year).alias("yearWK"),
+    ).join(of_services, ["SERVICE", "STARTDATE"], "left")
+    right = of_tags.withColumnsRenamed({k: f"stat_{k}" for k in KEYS})
     same = (
         (F.col("SERVICE") == F.col("stat_SERVICE"))
         & (F.col("STARTDATE") == F.col("stat_STARTDATE"))
         & F.col("TAG").eqNullSafe(F.col("stat_TAG"))
     )
-    left = fact.select(
-        *KEYS, "DAY", "WEEK", "MONTH", "YEAR", "USD",
-        year_week(F.col("STARTDATE"), iso_year).alias("yearWK"),
-    )
     return left.join(right, same, "left").drop(*[f"stat_{k}" for k in KEYS])

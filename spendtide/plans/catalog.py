@@ -49,6 +49,8 @@ EVENTS_RUN = JobConfig(run_date=date(2024, 1, 31), low_value_floor=0.1)
 LINEITEM_RUN = JobConfig(run_date=date(2001, 11, 5), lookback_months=120, low_value_floor=1000.0)
 # A year with days on which no service has data.
 GAP_RUN = JobConfig(run_date=date(1998, 6, 16))
+# All orders.
+WHOLE_RUN = JobConfig(run_date=date(2001, 8, 2), lookback_months=120)
 SMOKE_RUN = JobConfig(run_date=date(1998, 6, 13))
 # The corrected variant of every switchable behaviour.
 STRICT_RUN = replace(
@@ -291,11 +293,21 @@ def stored_merge(spark: SparkSession, folder: str) -> DataFrame:
     late = costs.where(day >= F.lit(first))
     facts.overwrite_fact(costs.where(day <= F.lit(EVENTS_SPLIT)), path)
     facts.append_fact(late, path)
-    facts.compact_fact(spark, path)
+    facts.compact_fact(spark, path, first, EVENTS_SPLIT)
     facts.merge_fact(late, path, first, EVENTS_RUN.as_of)
     return facts.read_fact(spark, path)
 
 
+def overwrite_existing(spark: SparkSession, folder: str) -> DataFrame:
+    """Overwrite a filled table with replaced days by restated rows and read back."""
+    path = new_path(spark, "overwritten")
+    costs = events_as_costs(spark, folder)
+    facts.append_fact(costs, path)
+    facts.merge_fact(costs, path, EVENTS_SPLIT, EVENTS_RUN.as_of)
+    facts.overwrite_fact(costs.withColumn("USD", F.col("USD") + 1.0), path)
+    return facts.read_fact(spark, path)
+
+
 # -- rollups, moments, scores ---------------------------------------------------
 
 SOURCES = {"": orders_as_costs, "_events": events_as_costs, "_lineitem": lineitem_as_costs}
@@ -429,15 +441,8 @@ def daily_by_service_all(spark: SparkSession, folder: str) -> DataFrame:
     return _fixed(daily_by_service(daily_spend(lineitem_as_costs(spark, folder))))
 
 
-def _enriched(source) -> Query:
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        costs = source(spark, folder)
-        stored = materialize(daily_cube(costs), "daily_cube")
-        days = materialize(gap_fill(rollup(stored, "svc", "day")), "svc_day")
-        lines = materialize(trend_lines(days), "lines")
-        return _fixed(daily_job.enrich(costs, stored, lines))
-
-    return query
+def _enriched(source, cfg: JobConfig) -> Query:
+    return lambda spark, folder: _fixed(daily_job.enriched(source(spark, folder), cfg))
 
 
 def _series_macd(source, cfg: JobConfig) -> Query:
@@ -600,6 +605,7 @@ def queries() -> dict[str, Query]:
         "compact_distinct": compact_distinct,
         "compact_latest": compact_latest,
         "stored_merge": stored_merge,
+        "overwrite_existing": overwrite_existing,
         "daily_cube": cube,
         "rollup_svc_week_iso": rollup_svc_week_iso,
         "zscore_svc_day_filled": zscore_svc_day_filled,
@@ -617,8 +623,8 @@ def queries() -> dict[str, Query]:
         "trend_testing": trend_testing,
         "total_by_service": total_by_service_all,
         "daily_by_service_all": daily_by_service_all,
-        "enriched_fact": _enriched(orders_as_costs),
-        "enriched_fact_events": _enriched(events_as_costs),
+        "enriched_fact": _enriched(orders_as_costs, WHOLE_RUN),
+        "enriched_fact_events": _enriched(events_as_costs, EVENTS_RUN),
         "spike_alerts_svc_gaps": _alert_frame("svc_spike_alerts", orders_as_costs, GAP_RUN),
         "top_alerts": top_alerts,
         "stored_charts": stored_charts,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spendtide.config import JobConfig
 from spendtide.functions.dates import lookback_window
 from spendtide.operators import messages, series
-from spendtide.operators.enrich import key_stats, service_stats, with_key_stats
+from spendtide.operators.enrich import service_stats, tag_stats, with_stats
 from spendtide.operators.gapfill import gap_fill
 from spendtide.operators.rollups import daily_cube, rollup
 from spendtide.operators.spikes import (
@@ -138,8 +138,8 @@ def enrich(
 ) -> DataFrame:
     """The fact with all statistics, given its stored cube and trend lines."""
     of_services = keep(service_stats(cube, lines, iso_year), "service_stats")
-    stats = keep(key_stats(cube, of_services, iso_year), "key_stats")
-    return with_key_stats(fact, stats, iso_year)
+    of_tags = keep(tag_stats(cube, iso_year), "tag_stats")
+    return with_stats(fact, of_services, of_tags, iso_year)
 
 
 def enriched(fact: DataFrame, cfg: JobConfig, keep: Keep = materialize) -> DataFrame:
@@ -215,5 +215,8 @@ def write_outputs(spark: SparkSession, cfg: JobConfig, result: RunResult) -> Non
     }
     for kind, chart in charts.items():
         sinks.write_series(chart, f"{out}/charts/{kind}", cfg.as_of)
+    if cfg.write_enriched:
+        fact = facts.read_fact(spark, cfg.fact_path)
+        write(enriched(fact, cfg), f"{out}/enriched_fact", order=["SERVICE", "TAG", "STARTDATE"])
     write(result.message_rows, f"{out}/message_rows", order=["section_no", "label_no", "rank"])
     sinks.write_messages(result.message, f"{out}/messages", cfg.channel, cfg.as_of)

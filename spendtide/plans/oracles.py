@@ -356,6 +356,8 @@ def _tables() -> dict[str, str]:
             SELECT * FROM ({costs}) WHERE STARTDATE < {back}
             UNION ALL SELECT * REPLACE (USD + 1.0 AS USD) FROM ({costs}) WHERE STARTDATE >= {back})""",
         "stored_merge": f"SELECT DISTINCT {COST_COLUMNS} FROM ({FACTS['_events']})",
+        "overwrite_existing": f"""SELECT * REPLACE (USD + 1.0 AS USD)
+            FROM (SELECT {COST_COLUMNS} FROM ({FACTS['_events']}))""",
         "daily_cube": f"""SELECT SERVICE, TAG, STARTDATE, {_r("sum(USD)")} AS USD,
             {_r("min(USD)", 6)} AS USD_MIN FROM ({FACTS['_events']}) GROUP BY ALL""",
         "rollup_svc_week_iso": f"""SELECT SERVICE,

@@ -158,10 +158,10 @@ def test_append_compact_overwrite(spark, tmp_path):
     facts.append_fact(week, path)
     facts.append_fact(costs(spark, [("a", "x", 6, 6), ("a", "x", 6, 66), ("a", "x", 7, 7)]), path)
     assert facts.read_fact(spark, path).count() == 10
-    facts.compact_fact(spark, path, DAY0 + timedelta(days=5))
+    facts.compact_fact(spark, path, DAY0 + timedelta(days=5), DAY0 + timedelta(days=9))
     once = rows(facts.read_fact(spark, path), "STARTDATE", "USD")
     assert len(once) == 9  # a restated amount stays beside the old one
-    facts.compact_fact(spark, path)
+    facts.compact_fact(spark, path, DAY0, DAY0 + timedelta(days=9))
     assert rows(facts.read_fact(spark, path), "STARTDATE", "USD") == once
     facts.overwrite_fact(costs(spark, [("z", "x", 0, 1)]), path)
     assert rows(facts.read_fact(spark, path), "SERVICE") == [("z",)]
@@ -184,6 +184,33 @@ def test_merge_is_idempotent_and_touches_its_days_only(spark, tmp_path):
     assert [(d.day, u) for d, u in latest if d.day == 5] == [(5, 2)]
 
 
+def test_a_load_that_breaks_off_leaves_the_old_days(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    last = DAY0 + timedelta(days=3)
+    facts.merge_fact(costs(spark, [("a", "x", d, 1) for d in range(4)]), path, DAY0, last)
+    facts.merge_fact(costs(spark, [("a", "x", 1, 5)]), path, DAY0, last)
+    before = rows(facts.read_fact(spark, path), "STARTDATE", "USD")
+    assert len(before) == 5
+    write = facts._write
+
+    def broken(df, *where):
+        write(df, *where)
+        raise OSError("lost after the new days were written")
+
+    monkeypatch.setattr(facts, "_write", broken)
+    with pytest.raises(OSError):
+        facts.merge_fact(costs(spark, [("a", "x", 2, 7)]), path, DAY0, last, compact="latest")
+    monkeypatch.undo()
+    assert rows(facts.read_fact(spark, path), "STARTDATE", "USD") == before
+    facts.merge_fact(costs(spark, [("a", "x", 2, 7)]), path, DAY0, last, compact="latest")
+    after = rows(facts.read_fact(spark, path), "STARTDATE", "USD")
+    assert [u for d, u in after if d.day == 3] == [7] and len(after) == 5
+    assert len(list((tmp_path / "fact" / "_versions").iterdir())) == 3
+    facts.drop_old_versions(spark, path)
+    assert len(list((tmp_path / "fact" / "_versions").iterdir())) == 1
+    assert rows(facts.read_fact(spark, path), "STARTDATE", "USD") == after
+
+
 def test_reading_days_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "fact")
     facts.append_fact(costs(spark, [("a", "x", d, 1) for d in range(9)]), path)
@@ -267,7 +294,7 @@ def test_daily_run_end_to_end(spark, tmp_path):
     assert sent.channel == "private" and json.loads(sent.blocks)[0]["type"] == "rich_text"
     assert sent.message_no == 1 and sent.as_of == day
     total = spark.read.parquet(str(out / "total_by_service")).where("SERVICE = 'Compute'").first()
-    may = spark.read.parquet(str(tmp_path / "fact")).where("SERVICE = 'Compute' AND MONTH = 5 AND YEAR = 2024")
+    may = facts.read_fact(spark, str(tmp_path / "fact")).where("SERVICE = 'Compute' AND MONTH = 5 AND YEAR = 2024")
     assert total.TOTAL_SPEND == pytest.approx(may.agg(F.sum("USD")).first()[0])
     # The run of another day leaves this day's outputs alone.
     kept = {p: p.stat().st_mtime_ns for p in out.rglob("as_of=2024-05-22/*.parquet")}

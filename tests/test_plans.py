@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from spendtide.operators.enrich import key_stats
+from spendtide.operators.enrich import tag_stats
 from spendtide.operators.gapfill import gap_fill
 from spendtide.operators.rollups import daily_cube, rollup
 from spendtide.operators.stats import zscore
@@ -70,8 +70,7 @@ def test_gap_fill_reads_the_fact_once(spark):
 
 def test_tag_statistics_share_one_exchange(spark):
     cube = daily_cube(orders_as_costs(spark, FOLDER))
-    of_services = spark.createDataFrame([], "SERVICE string, STARTDATE date, x double")
-    tags = key_stats(cube, of_services).select("SERVICE", "TAG", "svc_tag_day_zscore", "svc_tag_wk_zscore")
+    tags = tag_stats(cube).select("SERVICE", "TAG", "svc_tag_day_zscore", "svc_tag_wk_zscore")
     text = plan(tags)
     assert len(re.findall(r"Exchange hashpartitioning\(SERVICE#\d+, TAG#\d+, \d+\)", text)) == 1
     assert "yearWK#" not in "".join(re.findall(r"Exchange hashpartitioning.*", text))
