@@ -83,18 +83,20 @@ class Words:
             words[self.number[_REPEAT]] = b""
         marked = [f"<{w.decode('utf-8', 'replace')}>" for w in words]
         sizes = np.fromiter(map(len, marked), np.int64, len(marked))
-        chars = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
-        of = np.repeat(np.arange(len(words)), sizes)
+        chars = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32)
+        of = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
         for n in NGRAMS:
             if len(chars) < n:
                 continue
-            inside = np.flatnonzero(of[: len(of) - n + 1] == of[n - 1 :])
-            key = np.full(len(inside), n, np.uint64)
+            starts = len(of) - n + 1
+            key = np.full(starts, n, np.uint32)
             for k in range(n):
-                key = (key ^ chars[inside + k]) * np.uint64(0x9E3779B97F4A7C15)
-                key ^= key >> np.uint64(29)
-            owner.append(of[inside])
-            bucket.append((key % np.uint64(BUCKETS)).astype(np.int64))
+                key ^= chars[k : k + starts]
+                key *= np.uint32(0x9E3779B1)
+                key ^= key >> np.uint32(15)
+            inside = of[:starts] == of[n - 1 :]
+            owner.append(of[:starts][inside])
+            bucket.append((key[inside] % np.uint32(BUCKETS)).astype(np.int32))
         return np.concatenate(owner), np.concatenate(bucket)
 
 
@@ -126,7 +128,7 @@ def feature_counts(docs: DataFrame, text_col: str, keep: dict[str, str]) -> Data
             "features": pa.array(features, pa.binary()), "counts": pa.array(counts, pa.binary())
         }
 
-    return map_texts(docs, text_col, keep, work, "features binary, counts binary")
+    return map_texts(docs, text_col, keep, work, "features binary, counts binary", most=2 << 20)
 
 
 def fit(
@@ -210,7 +212,7 @@ def score(docs: DataFrame, model: Model, text_col: str, keep: dict[str, str]) ->
         )
         return {"score": pa.array(1 / (1 + np.exp(-(out + offset))))}
 
-    return map_texts(docs, text_col, keep, work, "score double", most=16 << 20)
+    return map_texts(docs, text_col, keep, work, "score double", most=4 << 20)
 
 
 def classify(

@@ -221,7 +221,7 @@ def _segment(pieces: Pieces, units: list[np.ndarray]) -> tuple[np.ndarray, np.nd
     many, parts, owners = np.zeros(len(units), np.int64), [], []
     for size in np.unique(sizes):
         group = np.flatnonzero(sizes == size)
-        most = max(1, (1 << 19) // int(size))
+        most = max(1, (1 << 17) // int(size))
         for start in range(0, len(group), most):
             at = group[start : start + most]
             ids, count = viterbi(pieces, np.stack([units[k] for k in at]))
@@ -317,7 +317,7 @@ def encode(
 
     schema = "piece_ids array<int>, " * ids + "n_pieces int" + ", round_trip boolean" * check
     keep = {"doc_id": "doc_id"} if keep is None else keep
-    return map_texts(docs, text_col, keep, work, schema, most=32 << 20)
+    return map_texts(docs, text_col, keep, work, schema, most=12 << 20)
 
 
 def decode(
