@@ -63,9 +63,11 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     kept = exact_dedup.exact_dedup(docs).select("doc_id", "kept")
     gone = counts.join(kept.where("not kept"), "doc_id")
     lettered = F.filter(F.split("text", r"[ \t\n\x0B\f\r]+"), lambda w: w.rlike(r"[\p{L}\p{Nd}]"))
-    left = docs.join(kept.where("kept"), "doc_id").select(
-        "doc_id", F.coalesce(F.size(lettered), F.lit(0)).alias("new_tokens")
+    # Counted before any join, so that no text is shuffled.
+    again = materialize(
+        docs.select("doc_id", F.coalesce(F.size(lettered), F.lit(0)).alias("new_tokens")), "recount"
     )
+    left = again.join(kept.where("kept"), "doc_id")
     pairs = counts.where("version = 'words'").withColumnRenamed("tokens", "old_tokens")
     rollup = token_counts.Rollup(spark, new_path(spark, "token-totals"))
     rollup.apply("insert", token_counts.inserts(counts))
