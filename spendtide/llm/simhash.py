@@ -146,7 +146,9 @@ def collisions(bucket: int, packed: np.ndarray, bits: int, radius: int = RADIUS)
 
 def links(fps: DataFrame) -> DataFrame:
     """Verified links (a, b) between the distinct, stored fingerprints ``fps`` (fp)."""
-    mean = (len(_ones) + len(_twos) / 2) * fps.count()
+    count = fps.count()
+    mean = (len(_ones) + len(_twos) / 2) * count
+    fps = fps.repartition(max(1, -(-count // _SLICE)), "fp")  # a slice emits far more than it is
     bits = max(12, int(np.ceil(np.log2(max(1, mean / BUCKET_VARIANTS)))))
 
     def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
