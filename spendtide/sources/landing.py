@@ -62,13 +62,16 @@ def parse_pages(lines: DataFrame) -> DataFrame:
     it cannot be read.
 
     A file may have one page on a line, several on a line, pages over many lines, or all
-    of these. What is no page by itself is joined to the rest of its file, in order, and
-    cut into pages again; only such rests are gathered, one file in a row.
+    of these. A part of a line that looks like a page is one, or is rejected; what does
+    not is joined to the rest of its file, in order, and cut into pages again. Only such
+    rests are gathered, one file in a row.
     """
     parts = lines.select("file", "at", F.explode(F.split("value", _NEXT_PAGE)).alias("raw"))
-    alone = _parsed(parts, "malformed page")
+    trimmed = F.trim("raw")
+    page = trimmed.startswith("{") & trimmed.endswith("}") & trimmed.contains('"ResultsByTime"')
+    alone = _parsed(parts.where(page), "malformed page")
     rest = (
-        alone.where("reason is not null").groupBy("file")
+        parts.where(~page & (trimmed != "")).groupBy("file")
         .agg(F.sort_array(F.collect_list(F.struct("at", "raw"))).alias("rest"))
         .select("file", F.array_join(F.col("rest.raw"), "\n").alias("raw"))
     )
@@ -81,7 +84,7 @@ def parse_pages(lines: DataFrame) -> DataFrame:
         "malformed page",
     )
     found = (
-        alone.drop("at").where("reason is null")
+        alone.drop("at")
         .unionByName(whole.where("reason is null"))
         .unionByName(cut)
     )
