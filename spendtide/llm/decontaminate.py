@@ -28,9 +28,9 @@ columns other than ids and texts are never read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import partial, reduce
+from functools import reduce
 from itertools import chain, islice, repeat
 
 import numpy as np
@@ -42,8 +42,10 @@ from spendtide.llm.texts import as_bytes, drop_rows, slices
 from spendtide.plans.materialize import materialize
 
 SIMILARITY, RECALL, SAMPLED, BLOCK = 0.8, 0.99, 3, 5000
-_TRIALS, _MOST_TABLES, _GRAM = 200, 512, 3
+_TRIALS, _MOST_TABLES, _GRAM, _WINDOWS = 200, 512, 3, 20_000
 
+#: Item ids of other types are returned as text.
+_ITEM_KINDS = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
 _BLANKS = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)
 )
@@ -62,38 +64,25 @@ def _gram(words: int, edits: int) -> int:
     return max(1, min(_GRAM, -(-(words - edits) // (edits + 1))))
 
 
-def embed(windows: np.ndarray, table: int) -> np.ndarray:
-    """Walks of equally long rows of word codes (not 0), 0 behind their end."""
-    rows, size = windows.shape
+def embed(windows: np.ndarray, sizes: np.ndarray, table: int) -> np.ndarray:
+    """Walks of rows of word codes (not 0); a row is ``sizes`` long, with 0 behind."""
+    rows, longest = windows.shape
     padded = np.concatenate([windows, np.zeros((rows, 1), windows.dtype)], axis=1)
-    at, out = np.zeros(rows, np.int64), np.empty((rows, 3 * size), windows.dtype)
+    at, out = np.zeros(rows, np.int64), np.empty((rows, 3 * longest), windows.dtype)
     every = np.arange(rows)
-    for step in range(3 * size):
+    for step in range(3 * longest):
         word = padded[every, at]
         out[:, step] = word
         salt = np.uint64((table * 0x9E3779B97F4A7C15 + step * 0xC2B2AE3D27D4EB4F) & (1 << 64) - 1)
         bit = ((word.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)) ^ salt
         bit = (bit ^ (bit >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-        at = np.minimum(at + (bit >> np.uint64(63)).astype(np.int64), size)
+        at = np.minimum(at + (bit >> np.uint64(63)).astype(np.int64), sizes)
     return out
 
 
 def sampled_places(size: int, table: int, sampled: int = SAMPLED) -> np.ndarray:
-    return np.random.default_rng([size, table]).choice(3 * size, min(sampled, 3 * size), False)
-
-
-def agrees(windows: np.ndarray, bucket: Callable[[int], np.ndarray], tables: int) -> np.ndarray:
-    """Which rows fall into the item's bucket, its sampled words, in one of the tables."""
-    left = np.arange(len(windows))
-    found = np.zeros(len(windows), bool)
-    for table in range(tables):
-        places = sampled_places(windows.shape[1], table)
-        same = (embed(windows[left], table)[:, places] == bucket(table)).all(1)
-        found[left[same]] = True
-        left = left[~same]
-        if not len(left):
-            break
-    return found
+    """Places of the walk of ``size`` words, as often the same one as there are too few."""
+    return np.random.default_rng([size, table]).choice(3 * size, sampled, replace=3 * size < sampled)
 
 
 def _edited(item: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
@@ -118,10 +107,10 @@ def tables_needed(item: np.ndarray, edits: int, recall: float = RECALL) -> int:
         return 1
     rng = np.random.default_rng([len(item), edits])
     left = np.stack([_edited(item, edits, rng) for _ in range(_TRIALS)])
-    row, allowed = item[None, :], int(_TRIALS * (1 - recall))
+    row, size, allowed = item[None, :], np.array([len(item)]), int(_TRIALS * (1 - recall))
     for table in range(_MOST_TABLES):
         places = sampled_places(len(item), table)
-        left = left[(embed(left, table) != embed(row, table))[:, places].any(1)]
+        left = left[(embed(left, size, table) != embed(row, size, table))[:, places].any(1)]
         if len(left) <= allowed:
             return table + 1
     return _MOST_TABLES
@@ -158,17 +147,37 @@ class Items:
     words: list[np.ndarray]
     codes: dict[bytes, int]
     tables: dict[int, int]
+    similarity: float
     grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(
         default_factory=dict
     )
-    buckets: dict[tuple[int, int], np.ndarray] = field(default_factory=dict)
-
-    def bucket(self, k: int, table: int) -> np.ndarray:
-        """The sampled words of item ``k`` in a table."""
-        if (k, table) not in self.buckets:
-            places = sampled_places(len(self.words[k]), table)
-            self.buckets[k, table] = embed(self.words[k][None, :], table)[:, places]
-        return self.buckets[k, table]
+    buckets: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
+
+    def bucket(self, table: int) -> tuple[np.ndarray, np.ndarray]:
+        """The sampled places and words of every item in a table, by item."""
+        if table not in self.buckets:
+            sizes = np.array([len(w) for w in self.words])
+            padded = np.zeros((len(sizes), sizes.max()), np.int64)
+            for row, own in zip(padded, self.words):
+                row[: len(own)] = own
+            places = np.stack([sampled_places(int(n), table) for n in sizes])
+            walks = embed(padded, sizes, table)
+            self.buckets[table] = places, np.take_along_axis(walks, places, axis=1)
+        return self.buckets[table]
+
+    def agree(self, who: np.ndarray, windows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Which windows fall into the bucket of their item in one of its tables."""
+        tables = np.array([self.tables[edits_allowed(int(n), self.similarity)] for n in sizes])
+        found = np.zeros(len(who), bool)
+        for table in range(max(tables, default=0)):
+            left = np.flatnonzero(~found & (tables > table))
+            if not len(left):
+                break
+            places, words = self.bucket(table)
+            walks = embed(windows[left], sizes[left], table)
+            sampled = np.take_along_axis(walks, places[who[left]], axis=1)
+            found[left] = (sampled == words[who[left]]).all(1)
+        return found
 
     @classmethod
     def build(cls, rows: list[tuple[object, bytes]], similarity: float) -> "Items":
@@ -178,7 +187,7 @@ class Items:
             if own := words_of(text):
                 ids.append(name)
                 words.append(np.array([codes.setdefault(w, len(codes) + 1) for w in own], np.int64))
-        made = cls(ids, words, codes, {})
+        made = cls(ids, words, codes, {}, similarity)
         found: dict[int, list[tuple[int, int, int]]] = {}
         for own in sorted(words, key=len):  # the shortest item with as many edits is the hardest
             edits = edits_allowed(len(own), similarity)
@@ -236,40 +245,61 @@ def search(
     ``words`` (0: a word that no item has), each from its entry of ``starts``."""
     who, where = _anchors(items, words)
     order = np.lexsort((where, who))
-    who, where, found = who[order], where[order], []
+    who, where = who[order], where[order]
     at = np.flatnonzero(np.diff(who, prepend=-1))
+    items_of, starts_of = [], []
     for lo, hi in zip(at, np.append(at[1:], len(who))):
         k = int(who[lo])
-        item, diagonals = items.words[k], where[lo:hi]
-        size, edits = len(item), edits_allowed(len(item), similarity)
+        diagonals, size = where[lo:hi], len(items.words[k])
+        edits = edits_allowed(size, similarity)
         gram = _gram(size, edits)
         least = max(1, size - gram + 1 - gram * edits)
         # Diagonals of one copy lie within twice the edits: is there such a stretch?
         dense = np.searchsorted(diagonals, diagonals + 2 * edits, "right") - np.arange(hi - lo) >= least
-        lead = np.unique(diagonals[dense])
-        if not len(lead):
-            continue
         # The first of them is at most the edits away from the copy's start.
+        lead = np.unique(diagonals[dense])
         near = np.unique(lead[:, None] + np.arange(-edits, edits + 1))
-        shifted = near[:, None] + np.arange(size)
-        inside = (shifted >= 0) & (shifted < len(words))
-        windows = np.where(inside, words[np.clip(shifted, 0, len(words) - 1)], 0)
-        windows = np.where(windows > 0, windows, (1 << 40) + shifted)  # unknown words all differ
-        near = near[agrees(windows, partial(items.bucket, k), items.tables[edits])]
-        if not len(near):
+        items_of.append(np.full(len(near), k))
+        starts_of.append(near)
+    if not sum(map(len, items_of)):
+        return []
+    who, near = np.concatenate(items_of), np.concatenate(starts_of)
+    sizes = np.array([len(w) for w in items.words])[who]
+    kept = np.concatenate([
+        _agreeing(items, who[k : k + _WINDOWS], near[k : k + _WINDOWS], sizes[k : k + _WINDOWS], words)
+        for k in range(0, len(who), _WINDOWS)
+    ])
+    who, near, found = who[kept], near[kept], []
+    cut = np.flatnonzero((np.diff(who) != 0) | (np.diff(near) > 1)) + 1
+    for own, part in zip(np.split(who, cut), np.split(near, cut)):
+        if not len(own):
             continue
-        for part in np.split(near, np.flatnonzero(np.diff(near) > 2 * edits + 1) + 1):
-            begin, end = max(0, int(part[0]) - edits), int(part[-1]) + size + edits
-            first = max(0, int(np.searchsorted(starts, begin, "right")) - 1)
-            last = int(np.searchsorted(starts, end, "left"))
-            for doc in range(first, last):  # a stretch may touch the next document
-                left = max(begin, int(starts[doc]))
-                right = min(end, int(starts[doc + 1]) if doc + 1 < len(starts) else len(words))
-                if best := distance_within(item.tolist(), words[left:right].tolist(), edits):
-                    found.append((doc, k, best[0], left - int(starts[doc]) + best[1] - 1))
+        item = items.words[own[0]]
+        edits = edits_allowed(len(item), similarity)
+        begin, end = max(0, int(part[0]) - edits), int(part[-1]) + len(item) + edits
+        first = max(0, int(np.searchsorted(starts, begin, "right")) - 1)
+        last = int(np.searchsorted(starts, end, "left"))
+        for doc in range(first, last):  # a stretch may touch the next document
+            left = max(begin, int(starts[doc]))
+            right = min(end, int(starts[doc + 1]) if doc + 1 < len(starts) else len(words))
+            if best := distance_within(item.tolist(), words[left:right].tolist(), edits):
+                found.append((doc, int(own[0]), best[0], left - int(starts[doc]) + best[1] - 1))
     return found
 
 
+def _agreeing(
+    items: Items, who: np.ndarray, near: np.ndarray, sizes: np.ndarray, words: np.ndarray
+) -> np.ndarray:
+    """Which windows of ``words`` that start at ``near`` agree with their item."""
+    place = np.arange(sizes.max(initial=1))
+    shifted = near[:, None] + place
+    inside = (shifted >= 0) & (shifted < len(words)) & (place < sizes[:, None])
+    windows = np.where(inside, words[np.clip(shifted, 0, len(words) - 1)], 0)
+    unknown = (windows == 0) & (place < sizes[:, None])
+    windows[unknown] = (1 << 40) + shifted[unknown]  # unknown words all differ
+    return items.agree(who, windows, sizes)
+
+
 def _block(docs: DataFrame, items: Items, item_type: str, similarity: float) -> DataFrame:
     kinds = dict(docs.dtypes)
     schema = (
@@ -280,7 +310,7 @@ def _block(docs: DataFrame, items: Items, item_type: str, similarity: float) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = items.codes.get
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text", 16 << 20):
                 texts = [words_of(t) for t in as_bytes(part.column("text"))]
                 sizes = np.array([len(t) for t in texts], np.int64)
                 starts = np.cumsum(sizes) - sizes
@@ -303,7 +333,7 @@ def _block(docs: DataFrame, items: Items, item_type: str, similarity: float) ->
                     ["id", "check", "item", "edits", "item_words", "last_word"],
                 )
 
-    item_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type]
+    item_kind = _ITEM_KINDS[item_type]
     return docs.mapInArrow(run, schema)
 
 
@@ -322,6 +352,9 @@ def matches(
         F.col(text_col).alias("text"),
     )
     item_type = dict(benchmark.dtypes)[item_col]
+    if item_type not in _ITEM_KINDS:
+        benchmark = benchmark.withColumn(item_col, F.col(item_col).cast("string"))
+        item_type = "string"
     found = []
     read = benchmark.select(item_col, text_col).toLocalIterator()
     while block := list(islice(read, BLOCK)):

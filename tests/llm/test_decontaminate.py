@@ -113,6 +113,13 @@ def test_matches(spark, benchmark_rows):
     assert d.matches(documents(spark, rows), bench.limit(0)).isEmpty()
 
 
+def test_a_slice_with_stray_runs_only(benchmark_rows):
+    items = d.Items.build([(k, t.encode()) for k, t in benchmark_rows], d.SIMILARITY)
+    words = items.words[0]
+    for text in (words[3:6], np.concatenate([words[3:6], np.zeros(90, np.int64), words[9:12]]), words[:0]):
+        assert d.search(items, text, np.array([0]), d.SIMILARITY) == []
+
+
 def test_blocks_of_items(spark, monkeypatch, benchmark_rows):
     monkeypatch.setattr(d, "BLOCK", 7)
     bench = spark.createDataFrame(benchmark_rows, "item_id long, text string")
