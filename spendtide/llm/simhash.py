@@ -173,7 +173,8 @@ def near_duplicates(
 
 
 def _with_components(marked: DataFrame) -> DataFrame:
-    """``marked`` (id, fp and others) with component_id."""
+    """``marked`` (id, fp and others) with root, which names the component, and
+    component_id."""
     rows = materialize(marked, "fingerprints")
     fps = materialize(rows.groupBy("fp").agg(F.min("id").alias("id")), "distinct-fingerprints")
     roots = components(links(fps.select("fp")))
@@ -182,7 +183,8 @@ def _with_components(marked: DataFrame) -> DataFrame:
     )
     known = materialize(known, "roots")
     least = materialize(known.groupBy("root").agg(F.min("id").alias("component_id")), "least-ids")
-    by_fp = materialize(known.join(least, "root").select("fp", "component_id"), "components")
+    by_fp = known.join(least, "root").select("fp", "root", "component_id")
+    by_fp = materialize(by_fp, "components")
     return rows.join(by_fp, "fp")
 
 
@@ -190,13 +192,9 @@ def drop_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS
 ) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were: of each component the
-    row with the smallest id, and one row where several have it."""
+    row with the smallest id, and one row where several have it or none has one."""
     keyed = with_key(docs, id_col, text_col)
     found = _with_components(fingerprints(keyed, "id", text_col, words, check="check"))
-    stays = (
-        found.where("id <=> component_id")
-        .groupBy("component_id")
-        .agg(F.min_by(F.struct("id", "check"), "check").alias("key"))
-        .select("key.*")
-    )
+    least = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "check"))
+    stays = found.groupBy("root").agg(least.alias("key")).select("key.id", "key.check")
     return keep_one(docs, materialize(stays, "first-of-component"), id_col, text_col)

@@ -163,3 +163,13 @@ def test_near_duplicates_edge_cases(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 6, 8]
     twice = documents(spark, [(1, "a b c d"), (1, "a b c d"), (None, "q r s"), (None, "q r s")])
     assert len(simhash.drop_near_duplicates(twice).collect()) == 2
+
+
+def test_components_without_an_id_of_their_own_stay_apart(spark):
+    texts = ["a b c d e f", "q r s t u v", "k l m n o p"]
+    rows = [(None, t) for t in texts] + [(1, "one two three four five"), (1, "six seven eight nine ten")]
+    rows += [(None, texts[0]), (None, "one two three four five"), (2, "eleven twelve thirteen")]
+    kept = simhash.drop_near_duplicates(documents(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted(
+        [(0, t) for t in texts] + [(k, t) for k, t in rows if k]
+    )
