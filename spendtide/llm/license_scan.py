@@ -2,8 +2,9 @@
 
 Two searches run over every whole text. Base phrases count the places where a phrase's
 words stand one after the other. Templates are found by an exact set-similarity join:
-a text block (a line) meets a template if it holds at least ``containment`` of the
-template's distinct words.
+a text block (a line and the next three, since headers wrap their sentences) meets a
+template if it holds at least ``containment`` of the template's distinct words. A block
+has the words of its first line, so whatever a line alone meets is met.
 
 The join orders words from rare to frequent over all documents. With ``need`` words to
 share, a meeting pair shares a word among the first ``size - need + 1`` of the template
@@ -56,6 +57,8 @@ TEMPLATES = (
 )
 
 CONTAINMENT = 0.8
+#: Neighbouring lines of a block.
+LINES = 4
 
 
 def _array(words: Sequence[str]) -> Column:
@@ -160,7 +163,10 @@ def license_scan(
         .otherwise(F.array().cast("array<string>")).alias("blocks"),
     )
     found = materialize(found, "license-words")
-    blocks = found.select("row", F.posexplode("blocks").alias("n", "block"))
+    joined = F.transform(
+        "blocks", lambda _, i: F.array_join(F.slice("blocks", i + 1, F.lit(LINES)), " ")
+    )
+    blocks = found.select("row", F.posexplode(joined).alias("n", "block"))
     met = (
         _meeting_blocks(blocks, templates, order, containment)
         .groupBy("row")

@@ -79,3 +79,19 @@ def test_tables(spark):
     found = l.license_scan(documents(spark, rows)).collect()
     assert len(found) == 5 and sum(r.labels == "mit" for r in found) == 3
     assert l.license_scan(documents(spark, [])).isEmpty()
+
+
+def test_templates_in_wrapped_and_commented_headers(spark):
+    texts = [
+        "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided",
+        " * Permission is hereby granted, free of charge, to any person obtaining a copy\r\n * of this software and"
+        " associated documentation files (the \"Software\"), to deal",
+        "// This program is free software; you can redistribute it and/or\n// modify it under the terms of the GNU"
+        "\n// General Public License as published by",
+        "x\n/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy",
+        "You may not\n use this file\n except in compliance\n with the License.",
+        "Redistribution and use in source\n" + "\n" * 4 + "and binary forms with or without modification are permitted",
+    ]
+    found = scan(spark, texts)
+    assert [found[k].labels for k in range(6)] == ["bsd", "mit", "gpl", "mpl-2", "apache-2", ""]
+    assert all(found[k].score == 1.0 for k in range(5)) and found[5].score == 0.0
