@@ -4,7 +4,8 @@ A page is cut into blocks at its block-level tags. A block has its words, the sh
 them inside links, and the same two figures of the block before and after it; and what it
 stands in: the innermost of its ancestors that is an article or main part (1), or a menu,
 header, footer, sidebar, form, notice, advert or the readers' comments (-1), by tag, role
-or the words of class and id, or neither (0). A decision tree keeps or drops the block. It
+or the words of class and id, or neither (0). Of body, article and main the words of class
+and id are not asked. A decision tree keeps or drops the block. It
 is grown from ``LABELLED``, a small table of blocks that were labelled by hand.
 
 Scripts, styles and other raw parts and comments are no text. Character references are
@@ -103,12 +104,16 @@ def _part(tag: str, attributes: str, inside: int) -> int:
             role = value.strip()
         else:
             words |= set(re.split(r"[^a-z]+", value))
+    if tag == "body":  # its classes and those of articles tell of the page, not of the text
+        return 0
+    if tag in ("article", "main") and role not in _AWAY_ROLES:
+        return 1 if inside != -2 else -2  # an article among comments is a comment
     if words & _COMMENT_WORDS:
         return -2
     if tag in _AWAY or role in _AWAY_ROLES or words & _AWAY_WORDS:
         return -1
-    if tag in ("article", "main") or role in ("main", "article"):
-        return 1 if inside != -2 else -2  # an article among comments is a comment
+    if role in ("main", "article"):
+        return 1 if inside != -2 else -2
     if tag == "header" or words & {"header", "masthead"}:
         return 0 if inside == 1 else -1
     return 0

@@ -67,3 +67,17 @@ def test_table(spark):
     assert all(r.n_chars == len(r.text) for r in found)
     assert found[2].text == "" and found[3].text == "" and found[2].page_id is None
     assert h.extract(pages.limit(0)).isEmpty()
+
+
+def test_classes_of_body_article_and_main_do_not_hide_them():
+    for page in (
+        f"<body class='single comments-open'><article><p>{PROSE}</p></article></body>",
+        f"<body><article class='post comments-open'><p>{PROSE}</p></article></body>",
+        f"<body><main class='has-sidebar'><p>{PROSE}</p></main></body>",
+        f"<body class='no-sidebar'><p>{PROSE}</p><p>{PROSE}</p></body>",
+        f"<body id=comments><article id=reply><p>{PROSE}</p></article></body>",
+    ):
+        assert set(h.main_texts([page])[0].split("\n\n")) == {PROSE}, page
+    for mark in ("<div class='comments'>", "<section id='replies'>", "<ul class='comment-list'>"):
+        page = f"<body><article class='post'><p>{PROSE}</p>{mark}<article class='comment'><p>Mine.</p></article>"
+        assert h.main_texts([page]) == [PROSE], mark
