@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendtide.llm import decontaminate, exact_dedup, quality, sentencepieces
-from spendtide.llm import near_copies as near
+from spendtide.llm import decontaminate, exact_dedup, quality, sentencepieces, simhash
 from spendtide.plans.materialize import materialize, name_work_folder
 
 
@@ -25,9 +24,9 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, a Jaccard similarity
-    of 0.8 or more), the one with the smallest id."""
-    return near.drop_near_copies(docs)
+    """One document of each group of near copies (fingerprints of three-word shingles that
+    differ in three bits at most), the one with the smallest id."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
