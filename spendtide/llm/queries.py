@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from spendtide.llm import (
     decontaminate,
     exact_dedup,
+    filter_audit,
     html_blocks,
+    importance,
     license_scan,
     oracles,
     quality,
@@ -19,6 +21,7 @@ from spendtide.llm import (
     substring_dedup,
     token_counts,
     url_filter,
+    warc,
 )
 from spendtide.plans.materialize import materialize, new_path
 
@@ -112,6 +115,21 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.filter_audit(
+        _documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    )
+
+
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return importance.importance_sample(_documents(spark, folder), benchmark)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -1,0 +1,137 @@
+"""WARC archives: plain records, one stream in, one member per record out, repeats."""
+
+import base64
+import gzip
+import hashlib
+import io
+import zlib
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from spendtide.llm import warc
+
+PAGES = "page_id long, url string, html string"
+
+
+def digest(payload):
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
+def plain_rows(pages, least=0):
+    first = {}
+    for key, _, html in pages:
+        payload = (html or "").encode()
+        order = (key is None, key or 0)
+        first[payload] = min(order, first.get(payload, order))
+    rows, done = [], set()
+    for key, _, html in pages:
+        payload = (html or "").encode()
+        row = (key, len(payload), digest(payload))
+        own = first[payload] == (key is None, key or 0) and payload not in done
+        if own or len(payload) < least:
+            done.add(payload)
+            rows.append((*row, "response", None))
+        else:
+            rows.append((*row, "revisit", None if first[payload][0] else first[payload][1]))
+    return Counter(rows)
+
+
+def stream(records):
+    out = zlib.compressobj(wbits=31)
+    return b"".join(map(out.compress, records)) + out.flush()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.binary(max_size=3000), max_size=8), st.booleans())
+def test_records_survive_the_rewriting(payloads, members):
+    records = [warc.response("a", n, str(n), f"http://x/{n}\r\n é", p) for n, p in enumerate(payloads)]
+    packed = b"".join(map(gzip.compress, records)) if members else stream(records)
+    found = list(warc.parse(pa.BufferReader(packed)))
+    assert [block.partition(b"\r\n\r\n")[2] for _, _, block in found] == payloads
+    for (version, headers, block), record in zip(found, records):
+        assert version == "WARC/1.1" and headers["WARC-Type"] == "response"
+        assert warc._lines(version, headers) + block + b"\r\n\r\n" == record
+
+
+def test_one_member_per_record_and_its_index(tmp_path):
+    (tmp_path / "in").mkdir(), (tmp_path / "out").mkdir()
+    payloads = [b"one", b"", b"one", b"x" * 3_000_000]
+    whole = stream([warc.response("a.warc.gz", n, str(n), None, p) for n, p in enumerate(payloads)])
+    (tmp_path / "in" / "a.warc.gz").write_bytes(whole)
+    refers = {2: (warc.record_id("a.warc.gz", 0), "0")}
+    entries = warc.normalise_archive(str(tmp_path / "in"), "a.warc.gz", f"file:{tmp_path}/out", refers)
+    data = (tmp_path / "out" / "a.warc.gz").read_bytes()
+    assert sum(e["length"] for e in entries) == len(data)
+    for entry, payload in zip(entries, payloads):
+        member = zlib.decompressobj(31)
+        record = member.decompress(data[entry["offset"] : entry["offset"] + entry["length"]])
+        assert member.eof and not member.unused_data
+        assert entry["record_id"].encode() in record
+        assert record.endswith(b"\r\n\r\n" if entry["type"] == "revisit" else payload + b"\r\n\r\n")
+    # Any reader of gzip sees the same records.
+    assert len(list(warc.parse(io.BytesIO(gzip.compress(gzip.decompress(data)))))) == 4
+    rows = list(warc.read_archive(str(tmp_path / "out"), "a.warc.gz"))
+    assert [r["payload"] for r in rows] == [b"one", b"", b"", payloads[3]]
+    assert [r["payload_bytes"] for r in rows] == [3, 0, 3, 3_000_000]
+    assert [(r["type"], r["refers_to"], r["refers_page"]) for r in rows] == [
+        ("response", None, None), ("response", None, None), ("revisit", rows[0]["record_id"], "0"),
+        ("response", None, None),
+    ]
+
+
+def test_broken_archives_are_errors(tmp_path):
+    record = warc.response("a", 0, "1", "u", b"payload" * 1000)
+    whole = stream([record, record])
+    with pytest.raises(ValueError, match="inside its gzip stream"):
+        list(warc.parse(io.BytesIO(whole[:-20])))
+    with pytest.raises(ValueError, match="inside a record"):
+        list(warc.parse(io.BytesIO(stream([record[:-50]]))))
+    (tmp_path / "a.warc.gz").write_bytes(stream([record.replace(b"payloadpayload", b"Payloadpayload", 1)]))
+    warc.normalise_archive(str(tmp_path), "a.warc.gz", str(tmp_path / "out") if (tmp_path / "out").mkdir() else f"{tmp_path}/out", {})
+    with pytest.raises(ValueError, match="not what its headers state"):
+        list(warc.read_archive(f"{tmp_path}/out", "a.warc.gz"))
+
+
+def rows_of(spark, pages, **more):
+    found = warc.archive_pages(spark.createDataFrame(pages, PAGES), **more)
+    assert found.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return Counter(tuple(r) for r in found.collect())
+
+
+def test_pages_against_plain_loops(spark, monkeypatch):
+    monkeypatch.setattr(warc, "HEAVY", 4)
+    hot = [(k, f"http://h/{k}", "hot") for k in range(40, 0, -1)]
+    cold = [(100 + k, None, f"page {k % 30} é" if k % 2 else "x" * k) for k in range(60)]
+    odd = [(None, None, None), (None, "u\nv", "hot"), (None, "w", "only null"), (None, "w", "only null"),
+           (200, "", ""), (200, "", ""), (201, "é", None), (300, "long", "y" * 2_000_000)]
+    assert rows_of(spark, hot + cold + odd) == plain_rows(hot + cold + odd)
+
+
+def test_short_payloads_stay_responses(spark):
+    pages = [(1, "a", "tiny"), (2, "b", "tiny"), (3, "c", "a longer page"), (4, "d", "a longer page")]
+    assert rows_of(spark, pages, least_bytes=5) == plain_rows(pages, 5)
+
+
+def test_many_archives_and_payloads_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_RECORDS", 3)
+    pages = [(k, f"http://h/{k}?a=b c", f"text {k}") for k in range(25)]
+    # One task, so that the lower limit holds in this process' copy of the function.
+    docs = spark.createDataFrame(pages, PAGES).coalesce(1)
+    records = warc.materialize(warc.write_whole(docs, f"{tmp_path}/whole"), "records")
+    index = warc.materialize(warc.normalise(records, f"{tmp_path}/whole", f"{tmp_path}/single"), "index")
+    found = warc.read_records(index, f"{tmp_path}/single").collect()
+    assert {(int(r.page), bytes(r.payload).decode()) for r in found} == {(k, t) for k, _, t in pages}
+    assert all(r.url == f"http://h/{r.page}?a=b c" for r in found)
+    assert index.count() == 25
+
+
+def test_empty_table_and_other_columns(spark):
+    assert rows_of(spark, []) == Counter()
+    pages = spark.createDataFrame([(1, "u", "a"), (2, "u", "a")], PAGES)
+    wide = pages.withColumns({c: F.lit(1) for c in ("id", "n", "archive", "digest", "payload", "key", "first")})
+    assert Counter(tuple(r) for r in warc.archive_pages(wide).collect()) == plain_rows([(1, "u", "a"), (2, "u", "a")])
