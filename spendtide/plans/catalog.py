@@ -308,6 +308,36 @@ def overwrite_existing(spark: SparkSession, folder: str) -> DataFrame:
     return facts.read_fact(spark, path)
 
 
+def append_after_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Store events, merge an overlapping load twice, append restated rows, read back."""
+    path = new_path(spark, "append_after_merge")
+    costs = events_as_costs(spark, folder)
+    facts.append_fact(costs, path)
+    for _ in range(2):
+        facts.merge_fact(costs, path, EVENTS_SPLIT, EVENTS_RUN.as_of)
+    restated = costs.where(F.col("STARTDATE") >= F.lit(EVENTS_SPLIT))
+    facts.append_fact(restated.withColumn("USD", F.col("USD") + 1.0), path)
+    return facts.read_fact(spark, path)
+
+
+def interleaved_writers(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads of the same days, of which the second begins and commits while the first
+    one is at work, which is then worked out again."""
+    path = new_path(spark, "interleaved")
+    costs = events_as_costs(spark, folder)
+    days = EVENTS_SPLIT, EVENTS_RUN.as_of
+    facts.append_fact(costs, path)
+    others = [costs.withColumn("USD", F.col("USD") + 2.0)]
+
+    def first_load(history: DataFrame) -> DataFrame:
+        if others:
+            facts.merge_fact(others.pop(), path, *days)
+        return facts.merged(history, costs.withColumn("USD", F.col("USD") + 1.0))
+
+    facts.replace_days(spark, path, *days, first_load)
+    return facts.read_fact(spark, path)
+
+
 # -- rollups, moments, scores ---------------------------------------------------
 
 SOURCES = {"": orders_as_costs, "_events": events_as_costs, "_lineitem": lineitem_as_costs}
@@ -577,6 +607,56 @@ def two_runs_events(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def _one_run(spark: SparkSession, folder: str, name: str) -> str:
+    """All events landed as pages and one run with every output; the path of one of them."""
+    base = new_path(spark, "run")
+    _land(events_as_costs(spark, folder), f"{base}/pages")
+    daily_job.run(spark, replace(
+        EVENTS_RUN, overlap_days=29, base_url="https://charts.example", write_enriched=True,
+        landing_path=f"{base}/pages", fact_path=f"{base}/fact", output_path=f"{base}/out",
+    ))
+    return f"{base}/out/{name}"
+
+
+def stored_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The messages of a run as posted, with their channel."""
+    path = _one_run(spark, folder, "messages")
+    return sinks.read_messages(spark, path, EVENTS_RUN.as_of)
+
+
+def stored_enriched(spark: SparkSession, folder: str) -> DataFrame:
+    """The enriched fact that a run has written."""
+    path = _one_run(spark, folder, "enriched_fact")
+    return _fixed(spark.read.parquet(path).drop("as_of"))
+
+
+def stored_enriched_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Where the rows of each key lie in the stored enriched fact: first and last place."""
+    path = _one_run(spark, folder, "enriched_fact")
+    keys = spark.read.parquet(path).select("SERVICE", "TAG", "STARTDATE").schema
+    placed = sinks.read_in_order(spark, path, EVENTS_RUN.as_of, keys)
+    return placed.groupBy("SERVICE", "TAG", "STARTDATE").agg(
+        F.min("place").alias("first_place"), F.max("place").alias("last_place")
+    )
+
+
+def stored_alert_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of every row in the stored alerts and summaries of a run."""
+    out = _one_run(spark, folder, "")
+    keys = {
+        "svc_spike_alerts": "SERVICE string", "tag_spike_alerts": "SERVICE string, TAG string",
+        "total_by_service": "SERVICE string", "daily_by_service": "DATE_STR string, SERVICE string",
+    }
+    found = [
+        sinks.read_in_order(spark, f"{out}{name}", EVENTS_RUN.as_of, kind).select(
+            F.lit(name).alias("name"), F.concat_ws("|", *[c.split()[0] for c in kind.split(", ")]).alias("key"),
+            "place",
+        )
+        for name, kind in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def spikes_flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Services whose spend on a day is at least one deviation above their year."""
     return _alert_frame("svc_spike_alerts", orders_as_costs, SMOKE_RUN)(spark, folder)
@@ -606,6 +686,12 @@ def queries() -> dict[str, Query]:
         "compact_latest": compact_latest,
         "stored_merge": stored_merge,
         "overwrite_existing": overwrite_existing,
+        "append_after_merge": append_after_merge,
+        "interleaved_writers": interleaved_writers,
+        "stored_messages": stored_messages,
+        "stored_enriched": stored_enriched,
+        "stored_enriched_order": stored_enriched_order,
+        "stored_alert_order": stored_alert_order,
         "daily_cube": cube,
         "rollup_svc_week_iso": rollup_svc_week_iso,
         "zscore_svc_day_filled": zscore_svc_day_filled,

@@ -308,6 +308,8 @@ def _tables() -> dict[str, str]:
     split, back = _day(c.ORDERS_SPLIT), _day(c.ORDERS_SPLIT - timedelta(days=7))
     month = run.summary_month.replace(day=1)
     costs = f"SELECT {COST_COLUMNS} FROM ({FACTS['']})"
+    events = f"SELECT {COST_COLUMNS} FROM ({FACTS['_events']})"
+    merged_days = f"STARTDATE BETWEEN {_day(c.EVENTS_SPLIT)} AND {_day(c.EVENTS_RUN.as_of)}"
     events_low = f"""FROM ({FACTS['_events']}) WHERE STARTDATE = {_day(c.EVENTS_RUN.as_of)}"""
     net = "l_extendedprice * (1 - l_discount) * (1 + l_tax)"
     return {
@@ -358,6 +360,15 @@ def _tables() -> dict[str, str]:
         "stored_merge": f"SELECT DISTINCT {COST_COLUMNS} FROM ({FACTS['_events']})",
         "overwrite_existing": f"""SELECT * REPLACE (USD + 1.0 AS USD)
             FROM (SELECT {COST_COLUMNS} FROM ({FACTS['_events']}))""",
+        "append_after_merge": f"""SELECT * FROM ({events}) WHERE NOT {merged_days}
+            UNION ALL SELECT DISTINCT * FROM ({events}) WHERE {merged_days}
+            UNION ALL SELECT * REPLACE (USD + 1.0 AS USD) FROM ({events})
+                WHERE STARTDATE >= {_day(c.EVENTS_SPLIT)}""",
+        "interleaved_writers": f"""SELECT * FROM ({events}) WHERE NOT {merged_days}
+            UNION ALL SELECT DISTINCT * FROM (
+                SELECT * FROM ({events}) WHERE {merged_days}
+                UNION ALL SELECT * REPLACE (USD + 1.0 AS USD) FROM ({events}) WHERE {merged_days}
+                UNION ALL SELECT * REPLACE (USD + 2.0 AS USD) FROM ({events}) WHERE {merged_days})""",
         "daily_cube": f"""SELECT SERVICE, TAG, STARTDATE, {_r("sum(USD)")} AS USD,
             {_r("min(USD)", 6)} AS USD_MIN FROM ({FACTS['_events']}) GROUP BY ALL""",
         "rollup_svc_week_iso": f"""SELECT SERVICE,
@@ -406,6 +417,19 @@ def _series_and_trend() -> dict[str, str]:
         "message_text": f"""{_message_rows("", c.ORDERS_RUN)}, {BLOCKS}
             SELECT '[' || string_agg(block, ',' ORDER BY section_no, label_no, "rank") || ']' AS blocks
             FROM blocks""",
+        "stored_messages": f"""{_message_rows("_loaded_events", c.EVENTS_RUN)}, {BLOCKS},
+            numbered AS (SELECT block, row_number() OVER (ORDER BY section_no, label_no, "rank") - 1 AS n
+                FROM blocks)
+            SELECT CAST(n // 50 + 1 AS INTEGER) AS message_no,
+                '[' || string_agg(block, ',' ORDER BY n) || ']' AS blocks, 'public' AS channel
+            FROM numbered GROUP BY 1""",
+        "stored_enriched": _enriched("_loaded_events"),
+        "stored_enriched_order": f"""WITH {_fact("_loaded_events")},
+            n AS (SELECT SERVICE, TAG, STARTDATE, count(*) AS n FROM fact GROUP BY ALL),
+            s AS (SELECT *, sum(n) OVER (ORDER BY SERVICE, TAG NULLS FIRST, STARTDATE) AS behind FROM n)
+            SELECT SERVICE, TAG, STARTDATE, CAST(behind - n AS BIGINT) AS first_place,
+                CAST(behind - 1 AS BIGINT) AS last_place FROM s""",
+        "stored_alert_order": _alert_order(),
         "two_runs_events": " UNION ALL ".join(_outputs(back) for back in (0, 1)),
         "message_pages": f"""{_message_rows("_strict", c.STRICT_RUN)}, {BLOCKS},
             numbered AS (SELECT block, row_number() OVER (ORDER BY section_no, label_no, "rank") - 1 AS n
@@ -452,6 +476,22 @@ def _outputs(back: int) -> str:
     )
 
 
+def _alert_order() -> str:
+    events, cfg = "_loaded_events", c.EVENTS_RUN
+    month = _month(events, cfg)
+    tables = {
+        "svc_spike_alerts": (_alerts(events, cfg), "svc_spikes", "SERVICE"),
+        "tag_spike_alerts": (_alerts(events, cfg), "tag_spikes", "SERVICE, TAG"),
+        "total_by_service": (month, "(SELECT DISTINCT SERVICE FROM month)", "SERVICE"),
+        "daily_by_service": (month, "month", "DATE_STR, SERVICE"),
+    }
+    return " UNION ALL ".join(
+        f"""SELECT * FROM ({sql} SELECT '{name}' AS name, concat_ws('|', {keys}) AS "key",
+            row_number() OVER (ORDER BY {keys}) - 1 AS place FROM {table})"""
+        for name, (sql, table, keys) in tables.items()
+    )
+
+
 def _spike_rows(suffix: str, cfg: JobConfig) -> str:
     return f"""{_spikes_only(suffix, cfg)} SELECT SERVICE, {PARTS}, {_r("z", 6)} AS svc_day_zscore,
         STARTDATE AS "date" FROM svc_spikes"""

@@ -1,124 +1,56 @@
-"""The cost fact table: parquet, one partition per day.
-
-Appends add files. Days are replaced without a moment at which they are gone: the new days
-are written as a version of their own, their rows are counted, and only then does one
-small commit file name that version as the holder of those days. Readers take each day
-from the last committed version that holds it, and from the appended files where none
-does. A run that breaks off before the commit leaves a version that nobody reads; the one
-that was replaced stays on disk until ``drop_old_versions``.
-"""
+"""The cost fact table: a table by day (see ``day_table``) of overlapping loads."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendtide.schema import COST_FACT
+from spendtide.sources.day_table import DayTable, within
 
 PARTITION = "STARTDATE"
 KEYS = ("SERVICE", "TAG", "STARTDATE")
 
 
-_VERSIONS, _COMMITS = "_versions", "_commits"
-_COMMIT_ROW = f"version string, {PARTITION} date, rows long, committed timestamp"
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+def fact_table(spark: SparkSession, path: str) -> DayTable:
+    return DayTable(spark, path, COST_FACT, PARTITION, ("SERVICE", "TAG"))
 
 
 def commits(spark: SparkSession, path: str) -> DataFrame:
-    """(version, STARTDATE, rows, committed) of all replaced days."""
-    where = f"{path}/{_COMMITS}"
-    if not _exists(spark, where):
-        return spark.createDataFrame([], _COMMIT_ROW)
-    return spark.read.schema(_COMMIT_ROW).parquet(where)
-
-
-def _holders(spark: SparkSession, path: str) -> DataFrame:
-    """(STARTDATE, holder): the version that holds each replaced day now."""
-    return commits(spark, path).groupBy(PARTITION).agg(
-        F.max_by("version", F.struct("committed", "version")).alias("holder")
-    )
-
-
-def _days(df: DataFrame, first: date | None, last: date | None) -> DataFrame:
-    if first is not None:
-        df = df.where(F.col(PARTITION) >= F.lit(first))
-    if last is not None:
-        df = df.where(F.col(PARTITION) <= F.lit(last))
-    return df
+    """(version, action, part, STARTDATE, rows): what each commit holds of each day."""
+    return fact_table(spark, path).commits()
 
 
 def read_fact(
     spark: SparkSession, path: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
     """The fact, or its days from ``first`` to ``last``, as a partition-pruned scan."""
-    plain = _days(spark.read.schema(COST_FACT).parquet(path).select(*COST_FACT.names), first, last)
-    if not _exists(spark, f"{path}/{_COMMITS}"):
-        return plain
-    # One row per replaced day: small, and its size is known.
-    holders = _days(_holders(spark, path), first, last)
-    held = spark.read.schema(f"{COST_FACT.toDDL()}, version string").parquet(f"{path}/{_VERSIONS}")
-    held = _days(held, first, last).join(
-        holders.withColumnRenamed("holder", "version"), [PARTITION, "version"], "left_semi"
-    )
-    plain = plain.join(holders, PARTITION, "left_anti")
-    return plain.select(*COST_FACT.names).unionByName(held.select(*COST_FACT.names))
-
-
-def _write(df: DataFrame, path: str, mode: str, replace: str) -> None:
-    # Rebalancing by day gives each partition few files of the advisory size and
-    # splits a day that is too large for one task.
-    (
-        df.select(*COST_FACT.names)
-        .hint("rebalance", PARTITION)
-        .sortWithinPartitions(PARTITION, "SERVICE", "TAG")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", replace)
-        .partitionBy(PARTITION)
-        .parquet(path)
-    )
-
-
-def append_fact(df: DataFrame, path: str) -> None:
-    _write(df, path, "append", "static")
+    return fact_table(spark, path).read(first, last)
+
+
+def append_fact(df: DataFrame, path: str, writer: str | None = None, batch: int | None = None) -> bool:
+    """Add rows; a ``writer``'s numbered batch is added once only."""
+    return fact_table(df.sparkSession, path).append(df, writer, batch)
 
 
 def overwrite_fact(df: DataFrame, path: str) -> None:
-    """Replace the whole table, its versions too; ``df`` must not read from it."""
-    _write(df, path, "overwrite", "static")
-
-
-def _replace_days(df: DataFrame, path: str, first: date, last: date) -> None:
-    """Make ``df`` the content of the days from ``first`` to ``last``, in one step."""
-    spark, version = df.sparkSession, uuid4().hex
-    where = f"{path}/{_VERSIONS}/version={version}"
-    _write(df, where, "error", "static")
-    stored = spark.read.schema(COST_FACT).parquet(where)
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(first), F.lit(last))).alias(PARTITION)
-    )
-    counts = days.join(stored.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("rows")), PARTITION, "left")
-    rows = counts.select(
-        F.lit(version).alias("version"), PARTITION, F.coalesce("rows", F.lit(0)).alias("rows"),
-        F.current_timestamp().alias("committed"),
-    )
-    rows.coalesce(1).write.mode("append").parquet(f"{path}/{_COMMITS}")
-
-
-def drop_old_versions(spark: SparkSession, path: str) -> None:
-    """Delete the versions that hold no day any more, and those never committed."""
-    kept = {r.holder for r in _holders(spark, path).select("holder").distinct().collect()}
-    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_VERSIONS}")
-    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for found in system.listStatus(root) if system.exists(root) else []:
-        if found.getPath().getName().removeprefix("version=") not in kept:
-            system.delete(found.getPath(), True)
+    """Replace the whole table; ``df`` may read from it."""
+    fact_table(df.sparkSession, path).overwrite(df)
+
+
+def replace_days(
+    spark: SparkSession, path: str, first: date, last: date, content: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Put ``content`` of the days from ``first`` to ``last`` in their place."""
+    fact_table(spark, path).replace_days(first, last, content)
+
+
+def drop_old_versions(spark: SparkSession, path: str, min_age_seconds: int = 0) -> None:
+    """Delete what no reader needs any more; see ``DayTable.drop_unread``."""
+    fact_table(spark, path).drop_unread(min_age_seconds)
 
 
 def merged(history: DataFrame, batch: DataFrame, compact: str = "distinct") -> DataFrame:
@@ -140,7 +72,7 @@ def merged(history: DataFrame, batch: DataFrame, compact: str = "distinct") -> D
 
 def compact_fact(spark: SparkSession, path: str, first: date, last: date) -> None:
     """Drop repeated rows of the table's days from ``first`` to ``last``."""
-    _replace_days(read_fact(spark, path, first, last).distinct(), path, first, last)
+    replace_days(spark, path, first, last, DataFrame.distinct)
 
 
 def merge_fact(
@@ -150,10 +82,5 @@ def merge_fact(
 
     Running it again with the same batch changes nothing.
     """
-    spark = batch.sparkSession
-    batch = batch.where(F.col(PARTITION).between(F.lit(first), F.lit(last)))
-    if not _exists(spark, path):
-        append_fact(batch.distinct(), path)
-        return
-    history = read_fact(spark, path, first, last)
-    _replace_days(merged(history, batch, compact), path, first, last)
+    batch = within(batch, PARTITION, first, last)
+    replace_days(batch.sparkSession, path, first, last, lambda history: merged(history, batch, compact))

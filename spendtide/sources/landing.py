@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
@@ -27,11 +27,18 @@ EXPORT_HEADERS = {
 }
 
 
-# Between two pages: an object ends and another begins without a comma. A page that was
-# cut off is told from the next one by a line that begins with an object.
-_NEXT_PAGE, _NEXT_LINE = r"(?<=\})\s*(?=\{)", r"\n(?=\{)"
 _PAGE = T.StructType([*RAW_PAGES.fields, T.StructField("_corrupt", T.StringType())])
 
+# A string of JSON cannot run over a line's end, so every line begins outside of one.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_TOKENS = f'{_STRING}|[^"]+|"'
+_BETWEEN_PAGES = r"\}\s*\{"
+#: A line that opens a page, by the key that only pages have, and one that may with the next.
+_KEY = r'^\s*"(ResultsByTime|NextPageToken)"\s*:'
+_OPENS, _BRACE = r'^\s*\{\s*"(ResultsByTime|NextPageToken)"\s*:', r"^\s*\{\s*$"
+#: Bytes of a file after which a page without an end is cut; Spark rows hold less than twice as much.
+PAGE_BYTES = 1 << 30
+
 
 def text_lines(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
     """Lines of all files under ``path`` with the file and the block they come from."""
@@ -48,46 +55,116 @@ def with_place(lines: DataFrame) -> DataFrame:
     )
 
 
-def _parsed(raw: DataFrame, problem: str) -> DataFrame:
-    """(file, raw) with the page, and ``problem`` where ``raw`` is none."""
+def _parsed(raw: DataFrame) -> DataFrame:
+    """(file, raw) with the page, and the reason where ``raw`` is none."""
     page = F.from_json("raw", _PAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    raw = raw.where(F.trim("raw") != "").withColumn("page", page)
+    raw = raw.withColumn("page", page)
     broken = F.col("page").isNull() | F.col("page._corrupt").isNotNull()
-    reason = F.when(broken, problem).when(F.col("page.ResultsByTime").isNull(), "no results in page")
+    reason = F.when(broken, "malformed page").when(
+        F.col("page.ResultsByTime").isNull(), "no results in page"
+    )
     return raw.withColumn("reason", reason)
 
 
+def _pieces(lines: DataFrame) -> DataFrame:
+    """(file, block, at, piece) of lines, cut between pages, and the braces that each piece
+    opens more than it closes; what stands in strings does not count."""
+    token = F.regexp_extract_all("value", F.lit(_TOKENS), F.lit(0))
+    cut = F.transform(
+        token, lambda t: F.when(t.rlike('^".+'), t).otherwise(F.regexp_replace(t, _BETWEEN_PAGES, "}\n{"))
+    )
+    bare = F.regexp_replace("piece", _STRING, "")
+
+    def count(sign: str) -> Column:
+        return F.length(bare) - F.length(F.replace(bare, F.lit(sign), F.lit("")))
+
+    return (
+        lines.select(
+            "file", "at.block", "at.line", F.posexplode(F.split(F.array_join(cut, ""), "\n")).alias("n", "piece")
+        )
+        .where(F.trim("piece") != "")
+        .select(
+            "file", "block", F.struct("line", "n").alias("at"), "piece",
+            (count("{") - count("}")).alias("opened"),
+        )
+    )
+
+
+def _pages_over_lines(lines: DataFrame) -> DataFrame:
+    """(file, raw) of the pages that run over several lines or share one.
+
+    A page begins where no brace is open, or at a page's own key, so that one that was cut
+    off ends there. Open braces are counted along each block of a file; what a block
+    begins with comes from the sums of the blocks before it, one row each. Pieces of a page
+    meet in one group, which holds nothing else.
+    """
+    along = Window.partitionBy("file", "block").orderBy("at")
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    blocks = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+
+    piece = F.col("piece")
+    own_key = piece.rlike(_OPENS) | (piece.rlike(_BRACE) & F.lead("piece").over(along).rlike(_KEY))
+    pieces = _pieces(lines).withColumns({
+        "before": F.sum("opened").over(so_far) - F.col("opened"),
+        "own_key": F.coalesce(own_key, F.lit(False)),
+    })
+    since = F.last(F.when(F.col("own_key"), F.col("before")), ignorenulls=True)
+    ends = pieces.groupBy("file", "block").agg(
+        F.sum("opened").alias("opened"),
+        F.max_by("before", F.when(F.col("own_key"), F.col("at"))).alias("page_at"),
+    )
+    offsets = ends.withColumn("offset", F.coalesce(F.sum("opened").over(blocks), F.lit(0)))
+    offsets = offsets.select(
+        "file", "block", "offset",
+        F.last(F.col("offset") + F.col("page_at"), ignorenulls=True).over(blocks).alias("base"),
+    )
+    depth = (
+        F.col("offset") + F.col("before")
+        - F.coalesce(F.col("offset") + F.col("since"), "base", F.lit(0))
+    )
+    pieces = (
+        pieces.withColumn("since", since.over(so_far))
+        .join(offsets, ["file", "block"])
+        .withColumn("starts", F.col("own_key") | (depth <= 0))
+    )
+    start = F.last(F.when(F.col("starts"), F.col("at")), ignorenulls=True).over(so_far)
+    parts = pieces.withColumn("start", start).groupBy("file", "block", "start").agg(
+        F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("pieces")
+    )
+    # What a block has before its first start belongs to the last start of an earlier block.
+    last_starts = parts.groupBy("file", "block").agg(F.max("start").alias("start"))
+    opener = F.when(F.col("start").isNotNull(), F.struct("block", "start"))
+    owners = last_starts.select(
+        "file", "block", F.last(opener, ignorenulls=True).over(blocks).alias("owner")
+    )
+    parts = parts.join(owners, ["file", "block"]).select(
+        "file", "block", F.array_join(F.col("pieces.piece"), "\n").alias("text"),
+        F.when(F.col("start").isNull(), F.col("owner"))
+        .otherwise(F.struct("block", "start")).alias("page"),
+    )
+    long = F.floor((F.col("block") - F.coalesce(F.col("page.block"), F.lit(0))) / PAGE_BYTES)
+    texts = F.sort_array(F.collect_list(F.struct("block", "text")))
+    return parts.groupBy("file", "page", long).agg(texts.alias("texts")).select(
+        "file", F.array_join(F.col("texts.text"), "\n").alias("raw")
+    )
+
+
 def parse_pages(lines: DataFrame) -> DataFrame:
     """One row per page of ``with_place`` lines: its fields, file, and reason and raw text where
     it cannot be read.
 
     A file may have one page on a line, several on a line, pages over many lines, or all
-    of these. A part of a line that looks like a page is one, or is rejected; what does
-    not is joined to the rest of its file, in order, and cut into pages again. Only such
-    rests are gathered, one file in a row.
+    of these. A line that can only be one page is read as such, where it stands; all
+    others are cut into pages by their braces.
     """
-    parts = lines.select("file", "at", F.explode(F.split("value", _NEXT_PAGE)).alias("raw"))
-    trimmed = F.trim("raw")
-    page = trimmed.startswith("{") & trimmed.endswith("}") & trimmed.contains('"ResultsByTime"')
-    alone = _parsed(parts.where(page), "malformed page")
-    rest = (
-        parts.where(~page & (trimmed != "")).groupBy("file")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "raw"))).alias("rest"))
-        .select("file", F.array_join(F.col("rest.raw"), "\n").alias("raw"))
-    )
-    whole = _parsed(
-        rest.select("file", F.explode(F.split("raw", _NEXT_PAGE)).alias("raw")), "malformed page"
-    )
-    cut = _parsed(
-        whole.where("reason is not null")
-        .select("file", F.explode(F.split("raw", _NEXT_LINE)).alias("raw")),
-        "malformed page",
-    )
-    found = (
-        alone.drop("at")
-        .unionByName(whole.where("reason is null"))
-        .unionByName(cut)
+    line = F.trim("value")
+    one_page = (
+        line.startswith("{") & line.endswith("}") & line.contains('"ResultsByTime"')
+        & ~line.rlike(_BETWEEN_PAGES)
     )
+    alone = lines.where(one_page).select("file", line.alias("raw"))
+    rest = _pages_over_lines(lines.where(~one_page & (line != "")))
+    found = _parsed(alone).unionByName(_parsed(rest))
     return found.select(
         "file", "reason", F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"),
         *[F.when(F.col("reason").isNull(), F.col(f"page.{n}")).alias(n) for n in RAW_PAGES.names],

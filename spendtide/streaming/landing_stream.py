@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from spendtide.sources.facts import append_fact
 from spendtide.sources.landing import (
     landed_costs, parse_pages, rejected, text_lines, with_place,
 )
@@ -24,17 +25,18 @@ def append_landed(
 ) -> StreamingQuery:
     """Append the pages that arrived since the last call, then stop.
 
-    Each batch of files has a folder of its own, which a repeated batch writes over. What
-    cannot be read goes to ``rejected_path`` (by default beside the table).
+    Each batch of files is one commit of the table; a repeated batch is known by its number
+    and adds nothing. What cannot be read goes to ``rejected_path`` (by default beside the
+    table), in a folder for each batch.
     """
     rejected_path = rejected_path or f"{table_path.rstrip('/')}-rejected"
 
     def load(lines: DataFrame, batch: int) -> None:
         pages = parse_pages(with_place(lines))
         costs = landed_costs(pages, double_strip_tag=double_strip_tag)
-        costs.write.mode("overwrite").partitionBy("STARTDATE").parquet(
-            f"{table_path}/landed_batch={batch}"
-        )
+        # A new checkpoint has a new id, and its batches are others.
+        query = lines.sparkSession.read.text(f"{checkpoint_path.rstrip('/')}/metadata").first().value
+        append_fact(costs, table_path, query, batch)
         rejected(pages, double_strip_tag).write.mode("overwrite").parquet(
             f"{rejected_path}/landed_batch={batch}"
         )

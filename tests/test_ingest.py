@@ -12,7 +12,7 @@ from spendtide.functions.text import clean_tag
 from spendtide.plans.daily_job import load_costs, run
 from spendtide.plans.materialize import materialize, work_folder
 from spendtide.schema import COST_FACT
-from spendtide.sources import facts, jdbc, landing
+from spendtide.sources import day_table, facts, jdbc, landing
 from spendtide.streaming.landing_stream import append_landed
 
 
@@ -171,14 +171,14 @@ def test_merge_is_idempotent_and_touches_its_days_only(spark, tmp_path):
     path = str(tmp_path / "fact")
     first, last = DAY0 + timedelta(days=3), DAY0 + timedelta(days=6)
     facts.merge_fact(costs(spark, [("a", "x", d, 1) for d in range(5)]), path, DAY0, last)
-    old = {p.name for p in (tmp_path / "fact" / "STARTDATE=2024-01-01").iterdir()}
+    old = set((tmp_path / "fact").glob("part=*/STARTDATE=2024-01-01/*"))
     batch = costs(spark, [("a", "x", d, 2 if d == 4 else 1) for d in range(2, 7)])
     facts.merge_fact(batch, path, first, last)
     once = rows(facts.read_fact(spark, path), "STARTDATE", "USD")
     assert [(d.day, u) for d, u in once] == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (5, 2), (6, 1), (7, 1)]
     facts.merge_fact(batch, path, first, last)
     assert rows(facts.read_fact(spark, path), "STARTDATE", "USD") == once
-    assert {p.name for p in (tmp_path / "fact" / "STARTDATE=2024-01-01").iterdir()} == old
+    assert old and set((tmp_path / "fact").glob("part=*/STARTDATE=2024-01-01/*")) == old
     facts.merge_fact(batch, path, first, last, compact="latest")
     latest = rows(facts.read_fact(spark, path), "STARTDATE", "USD")
     assert [(d.day, u) for d, u in latest if d.day == 5] == [(5, 2)]
@@ -191,13 +191,13 @@ def test_a_load_that_breaks_off_leaves_the_old_days(spark, tmp_path, monkeypatch
     facts.merge_fact(costs(spark, [("a", "x", 1, 5)]), path, DAY0, last)
     before = rows(facts.read_fact(spark, path), "STARTDATE", "USD")
     assert len(before) == 5
-    write = facts._write
+    write = day_table._write
 
     def broken(df, *where):
         write(df, *where)
         raise OSError("lost after the new days were written")
 
-    monkeypatch.setattr(facts, "_write", broken)
+    monkeypatch.setattr(day_table, "_write", broken)
     with pytest.raises(OSError):
         facts.merge_fact(costs(spark, [("a", "x", 2, 7)]), path, DAY0, last, compact="latest")
     monkeypatch.undo()
@@ -205,9 +205,11 @@ def test_a_load_that_breaks_off_leaves_the_old_days(spark, tmp_path, monkeypatch
     facts.merge_fact(costs(spark, [("a", "x", 2, 7)]), path, DAY0, last, compact="latest")
     after = rows(facts.read_fact(spark, path), "STARTDATE", "USD")
     assert [u for d, u in after if d.day == 3] == [7] and len(after) == 5
-    assert len(list((tmp_path / "fact" / "_versions").iterdir())) == 3
+    assert len(list((tmp_path / "fact").glob("part=*"))) == 4
+    facts.drop_old_versions(spark, path, min_age_seconds=3600)
+    assert len(list((tmp_path / "fact").glob("part=*"))) == 4
     facts.drop_old_versions(spark, path)
-    assert len(list((tmp_path / "fact" / "_versions").iterdir())) == 1
+    assert len(list((tmp_path / "fact").glob("part=*"))) == 1
     assert rows(facts.read_fact(spark, path), "STARTDATE", "USD") == after
 
 
