@@ -23,6 +23,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -32,13 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendtide.llm.texts import as_bytes, map_texts, slices
-from spendtide.operators.numbering import numbered
+from spendtide.operators.numbering import number_rows
 from spendtide.plans.materialize import materialize
 
 BUCKETS, LEAST_WORDS, PERCENT, SEED = 10_000, 20, 25, 7
 #: Most words of the dictionary, and most bytes of one.
 ENTRIES, LONGEST = 16_384, 64
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 #: Letters and digits stay, A-Z lower-cased, bytes of longer characters too; a blank else.
 WORD_BYTES = bytes(
@@ -153,6 +154,12 @@ class Dictionary:
         return words, np.bincount(owner, minlength=len(texts)), found[order]
 
 
+@lru_cache(maxsize=1)
+def dictionary_of(words: tuple[bytes, ...]) -> Dictionary:
+    """The dictionary, made once in each Python worker."""
+    return Dictionary(list(words))
+
+
 def frequent_words(docs: DataFrame, text_col: str = "text") -> list[bytes]:
     """At most ``ENTRIES`` words, the most frequent of those that make up at least one in
     ``ENTRIES`` of the words of some slice of texts; each slice names at most that many."""
@@ -180,12 +187,10 @@ def features(
 ) -> DataFrame:
     """(n_words, n_features, buckets) of every row beside the columns that ``keep`` names
     (new name to old); ``buckets`` holds two bytes a feature."""
-    made: list[Dictionary] = []
+    entries = tuple(words)
 
     def work(texts: list[bytes]) -> dict[str, pa.Array]:
-        if not made:
-            made.append(Dictionary(words))
-        n_words, n_features, found = made[0].buckets(texts)
+        n_words, n_features, found = dictionary_of(entries).buckets(texts)
         ends = np.append(0, np.cumsum(2 * n_features)).astype(np.int64)
         packed = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(found)]
@@ -274,7 +279,7 @@ def importance_sample(
     drawn = scored.where("may").count() * percent // 100
     order = [F.desc("may"), F.desc("score"), F.asc_nulls_last("id"), F.asc("tie")]
     place = F.col("place") + 1
-    return numbered(scored, order, "place").select(
+    return number_rows(scored, order, "place").select(
         F.col("id").alias(id_col), "n_features", "weight", "score",
         F.when(F.col("may") & (place <= drawn), place).alias("rank"),
     )

@@ -2,8 +2,11 @@
 
 import html
 import re
+import time
 
 import duckdb
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from spendtide.llm import html_blocks as h
 
@@ -36,7 +39,7 @@ def test_plain_pages_go_by_words_and_links():
 
 def test_broken_markup():
     assert h.main_texts(["", "<", "<p", "no tags", "<article>a < b &amp; c", "</div></p>", "<!-- x"]) == [
-        "", "", "", "", "a < b & c", "", ""
+        "", "", "", "no tags", "a < b & c", "", ""
     ]
     unclosed = f'<div class="ad"><article><p>{PROSE}</article>'
     assert h.main_texts([unclosed]) == [PROSE]
@@ -81,3 +84,87 @@ def test_classes_of_body_article_and_main_do_not_hide_them():
     for mark in ("<div class='comments'>", "<section id='replies'>", "<ul class='comment-list'>"):
         page = f"<body><article class='post'><p>{PROSE}</p>{mark}<article class='comment'><p>Mine.</p></article>"
         assert h.main_texts([page]) == [PROSE], mark
+
+
+def test_pages_that_hide_their_article():
+    two = f"<p>{PROSE}</p><p>{PROSE}</p>"
+    for page in (
+        f"<body><article><video-player src='a'></video-player><svg-icon></svg-icon>{two}</article>",
+        f"<body><article><button>Go{two}</article><footer><button>Other</button></footer>",
+        f"<body><div id=page class=has-sidebar>{two}</div>",
+        f"<body><div class='content no-ads'>{two}</div>",
+        f"<body><form action=x><nav><a href=/>Home</a></nav><div>{two}</div></form>",
+        f"<body><article><p>{PROSE}</p><section class='related-work'><p>{PROSE}</p></section></article>",
+        f"<body><article>{two}<p class='ad'>{PROSE}</p><p class=newsletter>Join</p></article>",
+        f"<body><nav><ul><li><a href=/>Home</a></ul><article>{two}</article>",
+        f"<body><article>{two}</article><aside><article><p>{PROSE} Other.</p></article></aside>",
+        f"<body><article>{two}</article><svg><title>Not text",
+    ):
+        assert h.main_texts([page]) == [f"{PROSE}\n\n{PROSE}"], page
+
+
+def test_marked_lines_and_cells():
+    page = (
+        "<article><p>It is <span class='ad'>buy <span>me</span> now</span>so.</p><ul><li>One<li class=ad>Buy<li>Two</ul>"
+        "<table><tr><td>a<td class=ad>b<td>c</table><p><b class=sponsored>Paid.</article>"
+    )
+    assert h.main_texts([page]) == ["It is so.\n\nOne\n\nTwo\n\na\n\nc"]
+
+
+def test_short_pages():
+    assert h.main_texts(["<p>Hello world, a short page.</p>"]) == ["Hello world, a short page."]
+    assert h.main_texts(["<h1>News</h1><p>It rained.</p><p>It stopped.</p>"]) == ["News\n\nIt rained.\n\nIt stopped."]
+
+
+def test_stray_quotes_in_tags():
+    page = "<article><p data-x=it's>a</p><p class=\"x\"\">b</p><p title='it's'>c</p><p/>d<br/>e<img alt='>'>f</article>"
+    assert h.main_texts([page]) == ["a\n\nb\n\nc\n\nd e f"]
+
+
+def test_any_bytes_in_linear_time():
+    for part in ("<svg ", "<svg>", "x <b ", "<div>", "<button>", "<!--", '<a b="', "</p>", "<p><span class=ad>", "<li>",
+                 "<td>", "<svg></svg", "<title>", "< ", "<script>", "<form class=ad><p>x", "<b class=ad>"):
+        start = time.perf_counter()
+        h.main_texts([part * (1_000_000 // len(part))])
+        assert time.perf_counter() - start < 6, part
+
+
+SIDE = [
+    "<nav><ul><li><a href=/a>Home</a><li><a href=/b>About us</a></ul></nav>",
+    "<div class='cookie-banner'>We use cookies. {p}</div>", "<aside class='sidebar'><h3>More</h3><p>{p}</p></aside>",
+    "<footer><p>{p}</p></footer>", "<form><label>Name</label><input name=x><p>{p}</p></form>",
+    "<section id=comments><h2>Comments</h2><div class=comment><p>{p}</p></div></section>",
+    "<div class='ad'>{p}</div>", "<script>if (a < b) document.write('<p>{p}</p>')</script>",
+    "<style>p > a {{ color: red }}</style>", "<!-- <p>{p}</p> -->", "<noscript><p>{p}</p></noscript>",
+    "<ul class='share-buttons'><li><a href=/s>Share</a></ul>", "<template><p>{p}</p></template>",
+]
+INNER = [
+    ("<p>{w}</p>", "{w}"), ("<p>{w}", "{w}"), ("<h2>{w}</h2>", "{w}"), ("<ul><li>{w}<li>{w}</ul>", "{w}\n\n{w}"),
+    ("<p>{w} <a href=/x>{w}</a>\n\t{w}.</p>", "{w} {w} {w}."), ("<p>{w}<br>{w}</p>", "{w} {w}"),
+    ("<blockquote><p>{w}</p></blockquote>", "{w}"), ("<p><em>{w}</em>&nbsp;&lt;b&gt;</p>", "{w} <b>"),
+    ("<table><tr><td>{w}</td><td>{w}</td></tr></table>", "{w} {w}"),
+    ("<figure><img src=x><figcaption>{w}</figcaption></figure>", "{w}"),
+]
+FRAMES = [
+    "<body>{b}<article>{a}</article>{c}</body>", "<body>{b}<main id=content>{a}</main>{c}",
+    "<body class='has-sidebar'>{b}<div id=wrap><article class='post comments-open'>{a}</article></div>{c}</body>",
+    "<body><div class='page with-sidebar'>{b}<main><article>{a}</article></main>{c}</div></body>",
+    "<body>{b}<div role=main>{a}</div>{c}</body>",
+]
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    st.lists(st.sampled_from(SIDE), max_size=5), st.lists(st.sampled_from(SIDE), max_size=5),
+    st.lists(st.tuples(st.sampled_from(INNER), st.integers(1, 30)), min_size=1, max_size=9), st.sampled_from(FRAMES),
+)
+def test_generated_layouts(before, after, inner, frame):
+    """The article of a page put together from known parts, by its own words."""
+    side = "Nothing of this belongs to the text at all, however long it is and whatever it says."
+    made, want = "", []
+    for k, ((tags, text), size) in enumerate(inner):
+        words = " ".join(f"w{k}x{n}" for n in range(size))
+        made += tags.format(w=words)
+        want.append(text.format(w=words))
+    page = frame.format(a=made, b="".join(b.format(p=side) for b in before), c="".join(c.format(p=side) for c in after))
+    assert h.main_texts([page]) == ["\n\n".join(want)]
