@@ -44,10 +44,12 @@ class JobConfig:
     require_all_days: bool = True
     fact_path: str | None = None
     output_path: str | None = None
+    state_path: str | None = None
     write_enriched: bool = False
 
     end_inclusive: bool = True
     double_strip_tag: bool = False
+    exact_amounts: bool = False
     gap_fill: str = "global"
     compact: str = "distinct"
     iso_year: bool = False

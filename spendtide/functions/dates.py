@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +36,13 @@ def date_from_parts(year: Column, month: Column, day: Column) -> Column:
     return F.make_date(year, month, day)
 
 
+def months_back(day: date, months: int) -> date:
+    """The day ``months`` before, or the last one of its month."""
+    years, month = divmod(day.year * 12 + day.month - 1 - months, 12)
+    last = (date(years + (month == 11), (month + 1) % 12 + 1, 1) - timedelta(days=1)).day
+    return date(years, month + 1, min(day.day, last))
+
+
 def lookback_window(
     df: DataFrame, as_of: date, months: int = 12, on: str = "STARTDATE"
 ) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def round2(value: Column) -> Column:
@@ -15,14 +16,18 @@ def without_nan(value: Column) -> Column:
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
-def amount(text: Column) -> Column:
-    """Amount text to double; unreadable text and NaN become NULL."""
-    return without_nan(text.try_cast("double"))
+#: Amounts whose sums do not depend on the order of the rows.
+EXACT = T.DecimalType(28, 12)
+
+
+def amount(text: Column, exact: bool = False) -> Column:
+    """Amount text to double, or to ``EXACT``; unreadable text and NaN become NULL."""
+    return text.try_cast(EXACT) if exact else without_nan(text.try_cast("double"))
 
 
 def total(value: str) -> Column:
-    """Sum that is 0 for a group without values."""
-    return F.coalesce(F.sum(value), F.lit(0.0))
+    """Sum that is 0 for a group without values, of the kind that sums of ``value`` are."""
+    return F.coalesce(F.sum(value), F.lit(0))
 
 
 def zscore_over(value: Column, window: WindowSpec, scored: Column | None = None) -> Column:

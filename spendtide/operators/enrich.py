@@ -49,7 +49,7 @@ def _tag_days(cube: DataFrame) -> DataFrame:
     week = Window.partitionBy("SERVICE", "TAG", "yearWK")
     first_of_week = F.row_number().over(week.orderBy("STARTDATE")) == 1
     days = _with_stats(cube, "USD", tag, "svc_tag_day")
-    days = days.withColumn("week_usd", F.sum("USD").over(week)).withColumn(
+    days = days.withColumn("week_usd", F.sum("summed").over(week).cast("double")).withColumn(
         "week_once", F.when(first_of_week, F.col("week_usd"))
     )
     days = _with_stats(days, "week_once", tag, "svc_tag_wk", scored="week_usd")
@@ -73,7 +73,11 @@ def service_stats(cube: DataFrame, lines: DataFrame, iso_year: bool = False) ->
 
 def tag_stats(cube: DataFrame, iso_year: bool = False) -> DataFrame:
     """The statistics of each (SERVICE, TAG, STARTDATE) of the daily cube."""
-    cube = cube.select(*KEYS, "USD", year_week(F.col("STARTDATE"), iso_year).alias("yearWK"))
+    usd = F.col("USD")
+    cube = cube.select(
+        *KEYS, usd.cast("double").alias("USD"), usd.alias("summed"),
+        year_week(F.col("STARTDATE"), iso_year).alias("yearWK"),
+    )
     return _tag_days(cube)
 
 
@@ -89,7 +93,7 @@ def with_stats(
     very many fact rows.
     """
     left = fact.select(
-        *KEYS, "DAY", "WEEK", "MONTH", "YEAR", "USD",
+        *KEYS, "DAY", "WEEK", "MONTH", "YEAR", F.col("USD").cast("double").alias("USD"),
         year_week(F.col("STARTDATE"), iso_year).alias("yearWK"),
     ).join(of_services, ["SERVICE", "STARTDATE"], "left")
     right = of_tags.withColumnsRenamed({k: f"stat_{k}" for k in KEYS})

@@ -46,65 +46,44 @@ def _own_lag(step: Column, place: Column, decay: float, window: WindowSpec) -> C
     return F.sum(step * F.pow(F.lit(decay), -place)).over(running) * F.pow(F.lit(decay), place + 1)
 
 
-def _after_block(decay: float) -> Callable[[Column, Column], Column]:
+def _after_block(decay: float, out: str) -> Callable[[Column, Column], Column]:
     """The lag at a block's end from the one before the block and the block's own."""
-    return lambda lag, own: lag * F.lit(decay) + own
+    return lambda lag, end: lag * F.pow(F.lit(decay), end["rows"]) + end[out]
 
 
 def ewm(
     df: DataFrame, value: str, spans: dict[str, float], keys: Sequence[str], order: str
 ) -> DataFrame:
-    """Add one mean per ``spans`` entry (name to span) along ``order`` within ``keys``.
+    """Add one mean per ``spans`` entry (name to span) along the date ``order`` within ``keys``.
 
-    ``value`` must not be NULL. All spans share the blocks, so the series is sorted once
-    to number it and once by block; a row sees one number per block before it.
+    ``value`` must not be NULL, and a key has one row a day. Blocks are stretches of the
+    calendar, so they hold no more rows than days and need no numbering; all windows follow
+    the same order of key, block and date, and the series is sorted once. A row sees one
+    entry per block before it.
     """
-    series = Window.partitionBy(*keys).orderBy(order)
     length = min(map(block_length, spans.values()))
-    block = Window.partitionBy(*keys, "_block").orderBy("_t")
-    before = Window.partitionBy(*keys).orderBy("_block", "_t").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    place, x = F.col("_t") % length, F.col(value)
+    series = Window.partitionBy(*keys).orderBy("_block", order)
+    block = Window.partitionBy(*keys, "_block").orderBy(order)
+    before = series.rowsBetween(Window.unboundedPreceding, -1)
+    place, x = F.col("_place"), F.col(value)
+    df = df.withColumn("_block", F.floor(F.unix_date(order) / length))
     df = df.withColumns({
-        "_t": F.row_number().over(series) - 1,
         "_step": F.coalesce(x - F.lag(value).over(series), F.lit(0.0)),
-    }).withColumn("_block", F.floor(F.col("_t") / length))
+        "_ends": F.lead("_block").over(series) != F.col("_block"),
+        "_place": F.row_number().over(block) - 1,
+    })
     df = df.withColumns({
         f"_lag_{out}": _own_lag(F.col("_step"), place, _decay(span), block)
         for out, span in spans.items()
     })
-    df = df.withColumns({
-        f"_ends_{out}": F.collect_list(F.when(place == length - 1, F.col(f"_lag_{out}"))).over(before)
-        for out in spans
-    })
+    end = F.struct((place + 1).alias("rows"), *[F.col(f"_lag_{out}").alias(out) for out in spans])
+    df = df.withColumn("_before", F.collect_list(F.when(F.col("_ends"), end)).over(before))
     for out, span in spans.items():
         decay = _decay(span)
-        carried = F.aggregate(f"_ends_{out}", F.lit(0.0), _after_block(decay**length))
+        carried = F.aggregate("_before", F.lit(0.0), _after_block(decay, out))
         lag = F.col(f"_lag_{out}") + carried * F.pow(F.lit(decay), place + 1)
-        df = df.withColumn(out, x - lag).drop(f"_lag_{out}", f"_ends_{out}")
-    return df.drop("_t", "_step", "_block")
-
-
-def with_position(df: DataFrame, day: str, within: str, out: str) -> DataFrame:
-    """Add the row's place, from 0, in (``day``, ``within``) order.
-
-    It is the rank within the day plus the rows of all earlier days, so nothing is
-    sorted as a whole: days rank in parallel and the running count has one row per
-    calendar day, whatever the number of rows.
-    """
-    per_day = df.groupBy(day).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_day.select(
-        day, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")
-    )
-    rank = F.row_number().over(Window.partitionBy(day).orderBy(within)) - 1
-    return (
-        df.withColumn("_rank", rank)
-        .join(offsets, day)
-        .withColumn(out, F.col("_offset") + F.col("_rank"))
-        .drop("_rank", "_offset")
-    )
+        df = df.withColumn(out, x - lag)
+    return df.drop("_block", "_step", "_ends", "_place", "_before", *[f"_lag_{out}" for out in spans])
 
 
 def ewm_along(df: DataFrame, value: str, span: float, out: str, position: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from spendtide.functions.text import (
     DAILY_CHART, MONTH_CHART, SPIKE_PREFIX, TAG_SPIKE_PREFIX, TREND_PREFIX, chart_key,
 )
+from spendtide.operators.numbering import number_rows
 from spendtide.operators.spikes import SVC_SCORE, TAG_SCORE
 
 # Section keys, labels and texts of the message.
@@ -34,8 +36,10 @@ MESSAGE_ROWS = T.StructType([
 ])
 
 
-#: Blocks that one message may have.
-MESSAGE_BLOCKS = 50
+#: Blocks and bytes that one message may have; a longer block has one of its own.
+MESSAGE_BLOCKS, MESSAGE_BYTES = 50, 100_000
+#: Links that one row of the nested payload may have.
+PAYLOAD_LINKS = 1000
 
 
 def top_alerts(alerts: DataFrame, score: str, n: int, ties: Column | str = "SERVICE") -> DataFrame:
@@ -43,7 +47,7 @@ def top_alerts(alerts: DataFrame, score: str, n: int, ties: Column | str = "SERV
     return alerts.orderBy(F.desc_nulls_last(score), ties).limit(n)
 
 
-def alert_rows(
+def alert_lines(
     alerts: DataFrame,
     score: str,
     section_no: int,
@@ -58,7 +62,7 @@ def alert_rows(
     label_kind: str = "service",
     text: Column | None = None,
 ) -> DataFrame:
-    """Rows of one alert section: up at ``high`` or more, down at ``low`` or less.
+    """Lines of one alert section: up at ``high`` or more, down at ``low`` or less.
 
     Scores between the two are dropped. The text is the service (or ``text``), or the
     alert's date for ``label_kind="date"``, whose link carries no name. All alerts are
@@ -75,8 +79,6 @@ def alert_rows(
         raise ValueError("label_kind must be 'service' or 'date'")
 
     label_no = F.when(F.col("_score") >= F.lit(high), 1).when(F.col("_score") <= F.lit(low), 2)
-    # One row per alerted service (and tag): a day's alerts, not its costs.
-    ranked = Window.partitionBy("label_no").orderBy(F.desc("_score"), "text", "link")
     found = alerts.select(F.col(score).alias("_score"), shown.alias("text"), link.alias("link"))
     if top_n is not None:
         found = top_alerts(found, "_score", top_n, "text")
@@ -88,13 +90,32 @@ def alert_rows(
             F.lit(section).alias("section"),
             "label_no",
             F.when(F.col("label_no") == 1, up_label).otherwise(down_label).alias("label"),
-            F.row_number().over(ranked).alias("rank"),
             "text",
             "link",
+            "_score",
         )
     )
 
 
+def ranked(lines: DataFrame) -> DataFrame:
+    """Message rows of alert lines, ranked within their label.
+
+    The lines are numbered in message order by ranges, so no task holds a label; the
+    labels' first places are a row for each label of a section.
+    """
+    order = ["section_no", "label_no", F.desc("_score"), "text", "link"]
+    placed = number_rows(lines, order, "place")
+    label = ["section_no", "label_no"]
+    firsts = placed.groupBy(*label).agg(F.min("place").alias("first"))
+    rank = (F.col("place") - F.col("first") + 1).cast("int")
+    return placed.join(F.broadcast(firsts), label).withColumn("rank", rank).select(*MESSAGE_ROWS.names)
+
+
+def alert_rows(*arguments, **more) -> DataFrame:
+    """Message rows of one alert section; see ``alert_lines``."""
+    return ranked(alert_lines(*arguments, **more))
+
+
 def summary_rows(spark: SparkSession, as_of: date) -> DataFrame:
     """The two links to the summary charts."""
     stamp = f"_{as_of:%Y%m%d}"
@@ -112,23 +133,23 @@ def summary_rows(spark: SparkSession, as_of: date) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def trend_rows(alerts: DataFrame, as_of: date, top_n: int | None = None) -> DataFrame:
-    return alert_rows(
+def trend_lines(alerts: DataFrame, as_of: date, top_n: int | None = None) -> DataFrame:
+    return alert_lines(
         alerts, "crossFlag", 2, TREND_SECTION, TREND_UP, TREND_DOWN, 1, -1,
         TREND_PREFIX, as_of, top_n,
     )
 
 
-def spike_rows(alerts: DataFrame, as_of: date, z_in: float = 1.0, top_n: int | None = None) -> DataFrame:
-    return alert_rows(
+def spike_lines(alerts: DataFrame, as_of: date, z_in: float = 1.0, top_n: int | None = None) -> DataFrame:
+    return alert_lines(
         alerts, SVC_SCORE, 3, SPIKE_SECTION, SPIKE_UP, SPIKE_DOWN, float(z_in), -float(z_in),
         SPIKE_PREFIX, as_of, top_n,
     )
 
 
-def tag_spike_rows(alerts: DataFrame, as_of: date, z_in: float = 1.0, top_n: int | None = None) -> DataFrame:
+def tag_spike_lines(alerts: DataFrame, as_of: date, z_in: float = 1.0, top_n: int | None = None) -> DataFrame:
     """Optional section: tag spikes are not part of the usual message."""
-    return alert_rows(
+    return alert_lines(
         alerts, TAG_SCORE, 4, TAG_SECTION, TAG_UP, TAG_DOWN, float(z_in), -float(z_in),
         TAG_SPIKE_PREFIX, as_of, top_n,
         text=F.concat_ws(" / ", "SERVICE", "TAG"),
@@ -145,25 +166,36 @@ def build_messages(
     tag_spike_alerts: DataFrame | None = None,
 ) -> DataFrame:
     """All message rows; a section or label without alerts has none."""
-    rows = (
-        summary_rows(spark, as_of)
-        .unionByName(trend_rows(trend_alerts, as_of, top_n))
-        .unionByName(spike_rows(svc_spike_alerts, as_of, z_in, top_n))
+    lines = trend_lines(trend_alerts, as_of, top_n).unionByName(
+        spike_lines(svc_spike_alerts, as_of, z_in, top_n)
     )
     if tag_spike_alerts is not None:
-        rows = rows.unionByName(tag_spike_rows(tag_spike_alerts, as_of, z_in, top_n))
-    return rows
-
-
-def to_payload(rows: DataFrame) -> DataFrame:
-    """One row per section with its label-to-links map, as long as the day's alerts."""
-    links = F.sort_array(F.collect_list(F.struct("rank", "text", "link")))
-    labels = rows.groupBy("section_no", "section", "label_no", "label").agg(
+        lines = lines.unionByName(tag_spike_lines(tag_spike_alerts, as_of, z_in, top_n))
+    return summary_rows(spark, as_of).unionByName(ranked(lines))
+
+
+def _with_offset(rows: DataFrame, keys: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """Add how many rows of earlier ``keys`` there are (of the same ``within``); ``keys``
+    are labels, of which there is a handful."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(*within).orderBy(*keys) if within else Window.orderBy(*keys)
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    return rows.join(offsets, list(keys))
+
+
+def to_payload(rows: DataFrame, links: int = PAYLOAD_LINKS) -> DataFrame:
+    """The nested payload: a label-to-links map per section, in numbered parts of ``links``
+    links at most."""
+    placed = _with_offset(rows, ["section_no", "label_no"], ["section_no"])
+    part = (F.floor((F.col("offset") + F.col("rank") - 1) / links) + 1).cast("int")
+    found = F.sort_array(F.collect_list(F.struct("rank", "text", "link")))
+    labels = placed.groupBy("section_no", "section", part.alias("part_no"), "label_no", "label").agg(
         F.transform(
-            links, lambda r: F.struct(F.array(r["text"]).alias("text"), r["link"].alias("link"))
+            found, lambda r: F.struct(F.array(r["text"]).alias("text"), r["link"].alias("link"))
         ).alias("links")
     )
-    return labels.groupBy("section_no", "section").agg(
+    return labels.groupBy("section_no", "section", "part_no").agg(
         F.map_from_entries(
             F.transform(
                 F.sort_array(F.collect_list(F.struct("label_no", "label", "links"))),
@@ -211,35 +243,42 @@ def to_blocks(rows: DataFrame, base_url: str = "") -> DataFrame:
     return rows.select("section_no", "label_no", F.inline(blocks))
 
 
-def message_pages(blocks: DataFrame, size: int = MESSAGE_BLOCKS) -> DataFrame:
-    """The blocks as numbered messages (message_no from 1, blocks) of ``size`` at most.
+def message_pages(
+    blocks: DataFrame, size: int = MESSAGE_BLOCKS, most_bytes: int = MESSAGE_BYTES
+) -> DataFrame:
+    """The blocks as numbered messages (message_no from 1, blocks) of ``size`` blocks and
+    ``most_bytes`` bytes at most; a block that is longer is a message of its own.
 
     A block's place is its rank within the label behind all blocks of earlier labels, so
-    only the labels' counts, some handful of rows, are ordered as a whole.
+    its group is known before anything is collected, and a group holds ``size`` blocks.
     """
-    labels = blocks.groupBy("section_no", "label_no").agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.orderBy("section_no", "label_no").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = labels.select(
-        "section_no", "label_no", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset")
-    )
     place = F.col("offset") + F.col("rank")
     listed = F.sort_array(F.collect_list(F.struct("place", "block")))
-    return (
-        blocks.join(offsets, ["section_no", "label_no"])
+    groups = (
+        _with_offset(blocks, ["section_no", "label_no"])
         .select("block", place.alias("place"))
-        .groupBy((F.floor(F.col("place") / size) + 1).cast("int").alias("message_no"))
+        .groupBy(F.floor(F.col("place") / size).alias("page"))
         .agg(listed.alias("listed"))
-        .select("message_no", _json_array(F.col("listed")).alias("blocks"))
+        .select("page", F.col("listed.block").alias("listed"))
     )
-
-
-def _json_array(listed: Column) -> Column:
-    body = F.array_join(F.transform(listed, lambda b: b["block"]), ",")
-    return F.concat(F.lit("["), body, F.lit("]"))
+    # Which part of its group each block goes to, by the bytes before it.
+    cuts = F.expr(f"""aggregate(
+        transform(listed, b -> octet_length(b) + 1L),
+        named_struct('part', 0, 'bytes', 0L, 'parts', cast(array() as array<int>)),
+        (a, b) -> if(a.bytes > 0 and a.bytes + b > {most_bytes}L,
+            named_struct('part', a.part + 1, 'bytes', b, 'parts', concat(a.parts, array(a.part + 1))),
+            named_struct('part', a.part, 'bytes', a.bytes + b, 'parts', concat(a.parts, array(a.part)))),
+        a -> a.parts)""")
+    groups = groups.withColumn("cuts", cuts).withColumn("last", F.element_at("cuts", -1))
+    parts = groups.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    own = F.expr("filter(listed, (b, k) -> cuts[k] = part)")
+    texts = parts.select(
+        "page", "part", F.concat(F.lit("["), F.array_join(own, ","), F.lit("]")).alias("blocks")
+    )
+    numbers = number_rows(texts, ["page", "part"], "place")
+    return numbers.select((F.col("place") + 1).cast("int").alias("message_no"), "blocks")
 
 
 def message_text(blocks: DataFrame) -> DataFrame:
-    """All blocks as one JSON array in one row, for short block lists; a run sends
-    ``message_pages``."""
-    ordered = F.sort_array(F.collect_list(F.struct("section_no", "label_no", "rank", "block")))
-    return blocks.agg(_json_array(ordered).alias("blocks"))
+    """The blocks as JSON arrays, one for each message; short block lists have one."""
+    return message_pages(blocks)

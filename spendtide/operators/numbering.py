@@ -1,40 +1,49 @@
-"""Numbers along a global order, without a global sort in one task."""
+"""Numbers along a global order, without a global sort in one task.
+
+Rows are dealt by ranges of the order, sorted in their range and numbered there; the ranges'
+sizes, one row each, give the offsets. A number counts only together with the sizes it was
+counted with, so the dealt rows must be stored between the two steps.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendtide.plans.materialize import materialize
 
+AT = "_at"
 #: Where ``monotonically_increasing_id`` keeps the partition: above the row's number in it.
 _ROW_BITS = 33
 
 
-def numbered(
-    df: DataFrame, order: Sequence[Column | str], out: str,
-    keep: Callable[[DataFrame, str], DataFrame] = materialize,
-) -> DataFrame:
-    """Add the row's place, from 0, in the order of ``order``.
+def dealt(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """``df`` by ranges of ``order``, each row with its range and number there in ``AT``.
 
-    Rows are dealt by ranges of the order, sorted in their range and numbered there; the
-    ranges' sizes, one row each, give the offsets. The numbered ranges must be stored
-    (``keep``), since a place counts only together with the sizes it was counted with.
     Rows that are equal in ``order`` share a range, so it should end in a column that
     tells them apart where there may be many.
     """
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = keep(placed.withColumn("_at", F.monotonically_increasing_id()), "numbered")
-    placed = placed.withColumn("_range", F.shiftright("_at", _ROW_BITS))
+    return placed.withColumn(AT, F.monotonically_increasing_id())
+
+
+def numbered(stored: DataFrame, out: str) -> DataFrame:
+    """The stored rows of ``dealt`` with their place in the order, from 0."""
+    placed = stored.withColumn("_range", F.shiftright(AT, _ROW_BITS))
     sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    place = F.col("_offset") + F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1)
+    place = F.col("_offset") + F.col(AT).bitwiseAND((1 << _ROW_BITS) - 1)
     # One row per range, as many as the shuffle has partitions.
     return (
         placed.join(F.broadcast(offsets), "_range")
         .withColumn(out, place)
-        .drop("_range", "_at", "_offset")
+        .drop("_range", AT, "_offset")
     )
+
+
+def number_rows(df: DataFrame, order: Sequence[Column | str], out: str, keep=materialize) -> DataFrame:
+    """Both steps, with ``df`` stored by ``keep`` in between."""
+    return numbered(keep(dealt(df, order), "dealt"), out)

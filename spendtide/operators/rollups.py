@@ -20,7 +20,7 @@ def daily_cube(costs: DataFrame) -> DataFrame:
     Every rollup, summary and suppression rule can be derived from it, so a run
     reads and shuffles the fact once. Sums combine map-side, so a key that holds
     much of the table reaches its reducer as one row per map task. Untagged (NULL)
-    rows are kept: service totals include them.
+    rows are kept: service totals include them. Exact amounts have exact sums here.
     """
     return (
         costs.where(F.col("SERVICE").isNotNull())
@@ -40,4 +40,5 @@ def rollup(
     keyed = costs.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     if grain == "week":
         keyed = keyed.withColumn(period, year_week(F.col("STARTDATE"), iso_year))
-    return keyed.groupBy(*keys, period).agg(total("USD").alias("USD"))
+    # Exact amounts are summed as such; only the sum becomes a double.
+    return keyed.groupBy(*keys, period).agg(total("USD").cast("double").alias("USD"))

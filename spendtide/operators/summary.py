@@ -21,7 +21,7 @@ class Summary:
 def daily_spend(costs: DataFrame) -> DataFrame:
     """Rounded spend per service and day, with date parts and key."""
     sums = costs.groupBy("SERVICE", "STARTDATE").agg(
-        round2(F.sum("USD")).alias("TOTAL_SPEND")
+        round2(F.sum("USD").cast("double")).alias("TOTAL_SPEND")
     )
     return add_date_parts(sums).select(
         "SERVICE", "STARTDATE", "DAY", "MONTH", "YEAR", "TOTAL_SPEND",

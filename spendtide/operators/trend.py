@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendtide.functions.dates import add_date_parts
-from spendtide.operators.ewm import ewm, ewm_along, with_position
+from spendtide.operators.ewm import ewm, ewm_along
+from spendtide.operators.numbering import dealt, number_rows
 
 # Output column names.
 FAST, SLOW = "svc_day_usd_12ewm", "svc_day_usd_26ewm"
@@ -28,9 +29,19 @@ def macd(
     return means.withColumn(MACD, difference if sign == "slow_minus_fast" else -difference)
 
 
+#: The order of the signal line that runs through all services.
+ORDER = ("STARTDATE", "SERVICE")
+
+
+def by_place(svc_day: DataFrame) -> DataFrame:
+    """The series in (date, service) order, to be stored and then ``numbered``."""
+    return dealt(svc_day, ORDER)
+
+
 def with_place(svc_day: DataFrame) -> DataFrame:
-    """Add the row's place in (date, service) order."""
-    return with_position(svc_day, "STARTDATE", "SERVICE", PLACE)
+    """Add the row's place in (date, service) order, which stores the series once; a day
+    with very many services is spread like any other rows."""
+    return number_rows(svc_day, ORDER, PLACE)
 
 
 def signal(df: DataFrame, span: int = 9, scope: str = "global") -> DataFrame:
@@ -66,8 +77,9 @@ def trend_lines(
     signal_scope: str = "global",
     macd_sign: str = "slow_minus_fast",
 ) -> DataFrame:
-    """Add means, MACD and signal to a (SERVICE, STARTDATE, USD) series."""
-    if signal_scope == "global":
+    """Add means, MACD and signal to a (SERVICE, STARTDATE, USD) series, which may have
+    its places already."""
+    if signal_scope == "global" and PLACE not in svc_day.columns:
         # Places are counted on the bare series, not on the result of the means.
         svc_day = with_place(svc_day)
     lines = macd(svc_day, fast_span, slow_span, macd_sign)

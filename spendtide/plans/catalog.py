@@ -16,14 +16,16 @@ from pyspark.sql import functions as F
 
 from spendtide.config import JobConfig
 from spendtide.functions.dates import (
-    add_date_parts, date_from_parts, date_key, lookback_window, year_week,
+    add_date_parts, date_from_parts, date_key, lookback_window, months_back, year_week,
 )
-from spendtide.functions.numbers import amount, round2
+from spendtide.functions.numbers import EXACT, amount, round2
 from spendtide.functions.text import SPIKE_PREFIX, chart_name, chart_title, clean_tag
 from spendtide.operators import messages, series
 from spendtide.operators.ewm import ewm
 from spendtide.operators.gapfill import calendar_days, gap_fill
-from spendtide.operators.rollups import daily_cube, rollup
+from spendtide.operators.moment_states import moments_of
+from spendtide.operators.numbering import numbered
+from spendtide.operators.rollups import LEVELS, daily_cube, rollup
 from spendtide.operators.spikes import SVC_SCORE, TAG_SCORE
 from spendtide.operators.stats import moments, zscore
 from spendtide.operators.summary import (
@@ -31,9 +33,10 @@ from spendtide.operators.summary import (
 )
 from spendtide.operators.suppress import low_value_keys
 from spendtide.operators.trend import (
-    FAST, MACD, SIGNAL, SLOW, cross_flag, macd, signal, trend_lines, trend_series,
+    FAST, MACD, PLACE, SIGNAL, SLOW, by_place, cross_flag, macd, signal, trend_lines, trend_series,
 )
 from spendtide.plans import daily_job
+from spendtide.plans.kept import KeptState
 from spendtide.plans.materialize import materialize, new_path
 from spendtide.schema import COST_EXTRACT
 from spendtide.sources import facts, landing, sinks
@@ -62,6 +65,7 @@ STRICT_RUN = replace(
 # Where the stored events table ends before its second, overlapping load.
 EVENTS_SPLIT = date(2024, 1, 23)
 ORDERS_SPLIT = date(1998, 6, 15)
+KEPT_SPLIT = date(1997, 7, 20)
 
 AMOUNTS = (
     "USD", "TOTAL_SPEND", "MACD", "9EWM", "mean_line", "threshold_line", FAST, SLOW, MACD, SIGNAL,
@@ -370,6 +374,61 @@ def _zscore(source, level: str, grain: str) -> Query:
     )
 
 
+def _kept(
+    spark: SparkSession, folder: str, source, split: date, levels: tuple[str, ...]
+) -> KeptState:
+    """The state of a fact that was loaded out of order: the late days first, with amounts
+    restated later, then all others; refreshed after each load."""
+    base = new_path(spark, "kept")
+    costs, path = source(spark, folder), f"{base}/fact"
+    late = F.col("STARTDATE") >= F.lit(split)
+    kept = KeptState(spark, path, f"{base}/state")
+    loads = [
+        lambda: facts.append_fact(costs.where(late).withColumn("USD", F.col("USD") * 2), path),
+        lambda: facts.replace_days(spark, path, split, date(2010, 1, 1), lambda _: costs),
+        lambda: facts.append_fact(costs.where(~late), path),
+    ]
+    for load in loads:
+        load()
+        for level in levels:
+            kept.refreshed_months(level)
+    return kept
+
+
+# A year of whole months with parts of two, and a single part of a month.
+KEPT = {
+    "": (orders_as_costs, KEPT_SPLIT, ORDERS_RUN),
+    "_events": (events_as_costs, EVENTS_SPLIT, EVENTS_RUN),
+}
+
+
+def _moments_kept(source, split: date, cfg: JobConfig, level: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        kept = _kept(spark, folder, source, split, (level,))
+        states = kept.states(level, months_back(cfg.as_of, cfg.lookback_months), cfg.as_of)
+        return _fixed(moments_of(states, LEVELS[level], f"{level}_day"))
+
+    return query
+
+
+def spike_alerts_tag_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """Tag spikes by moments that were kept while the fact was loaded out of order."""
+    cfg = ORDERS_RUN
+    kept = _kept(spark, folder, orders_as_costs, KEPT_SPLIT, ("svc_tag",))
+    since = months_back(cfg.as_of, cfg.lookback_months)
+    found = daily_job.Alerts(
+        kept.cube.read(since, cfg.as_of), cfg, tag_states=kept.states("svc_tag", since, cfg.as_of)
+    )
+    return _fixed(found.tag_spike_alerts)
+
+
+def zscore_svc_day_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of daily sums that do not depend on the order of the rows."""
+    costs = orders_as_costs(spark, folder).withColumn("USD", F.col("USD").cast(EXACT))
+    scored = zscore(rollup(costs, "svc", "day"), ["SERVICE"], SVC_SCORE, order="STARTDATE")
+    return _fixed(scored.withColumn("USD", round2(F.col("USD"))))
+
+
 def zscore_svc_day_filled(spark: SparkSession, folder: str) -> DataFrame:
     return _fixed(zscore(_filled(spark, folder), ["SERVICE"], SVC_SCORE))
 
@@ -395,6 +454,16 @@ def _filled(
     return materialize(gap_fill(sums, mode), "svc_day")
 
 
+def _placed(spark: SparkSession, folder: str, source=orders_as_costs) -> DataFrame:
+    """The same with each row's place in the order of days and services."""
+    filled = gap_fill(rollup(source(spark, folder), "svc", "day"))
+    return numbered(materialize(by_place(filled), "svc_day"), PLACE)
+
+
+def _series(scope: str) -> Query:
+    return _placed if scope == "global" else _filled
+
+
 def _gap_fill(mode: str) -> Query:
     return lambda spark, folder: _fixed(_filled(spark, folder, mode=mode))
 
@@ -413,18 +482,18 @@ def _macd(sign: str) -> Query:
 
 def _signal(scope: str) -> Query:
     return lambda spark, folder: _fixed(
-        signal(macd(_filled(spark, folder)), scope=scope).select("SERVICE", "STARTDATE", SIGNAL)
+        signal(macd(_series(scope)(spark, folder)), scope=scope).select("SERVICE", "STARTDATE", SIGNAL)
     )
 
 
 def _cross(scope: str, source=orders_as_costs) -> Query:
     return lambda spark, folder: cross_flag(
-        trend_lines(_filled(spark, folder, source), signal_scope=scope)
+        trend_lines(_series(scope)(spark, folder, source), signal_scope=scope)
     ).select("SERVICE", "STARTDATE", "crossFlag")
 
 
 def trend_testing(spark: SparkSession, folder: str) -> DataFrame:
-    return _fixed(trend_series(trend_lines(_filled(spark, folder))))
+    return _fixed(trend_series(trend_lines(_placed(spark, folder))))
 
 
 # -- alerts, summaries, charts, messages ----------------------------------------
@@ -530,10 +599,11 @@ def message_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def message_payload(spark: SparkSession, folder: str) -> DataFrame:
-    """The nested payload, with each label's links as text."""
-    nested = messages.to_payload(_message_rows(orders_as_costs, ORDERS_RUN)(spark, folder))
-    return nested.select("section", F.explode("labels").alias("label", "links")).select(
+    """The nested payload in parts of three links, with each label's links as text."""
+    nested = messages.to_payload(_message_rows(orders_as_costs, STRICT_RUN)(spark, folder), 3)
+    return nested.select("section", "part_no", F.explode("labels").alias("label", "links")).select(
         "section",
+        "part_no",
         "label",
         F.array_join(
             F.transform("links", lambda e: F.concat(F.get(e["text"], F.lit(0)), F.lit("|"), e["link"])),
@@ -584,6 +654,19 @@ def daily_run_events(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.read_of_day(spark, f"{out}/message_rows", EVENTS_RUN.as_of, messages.MESSAGE_ROWS)
 
 
+def daily_runs_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of two days that keep the cube and moments; the messages of the second."""
+    base = new_path(spark, "run")
+    _land(events_as_costs(spark, folder), f"{base}/pages")
+    for back in (1, 0):
+        daily_job.run(spark, replace(
+            EVENTS_RUN, run_date=EVENTS_RUN.run_date - timedelta(days=back), overlap_days=28 if back else 1,
+            landing_path=f"{base}/pages", fact_path=f"{base}/fact", output_path=f"{base}/out",
+            state_path=f"{base}/state", message_tag_spikes=True,
+        ))
+    return sinks.read_of_day(spark, f"{base}/out/message_rows", EVENTS_RUN.as_of, messages.MESSAGE_ROWS)
+
+
 def two_runs_events(spark: SparkSession, folder: str) -> DataFrame:
     """Messages, charts and alerts of two runs, all read back after the second: for each
     table and processed day the number of rows, and the links that have a chart."""
@@ -695,6 +778,7 @@ def queries() -> dict[str, Query]:
         "daily_cube": cube,
         "rollup_svc_week_iso": rollup_svc_week_iso,
         "zscore_svc_day_filled": zscore_svc_day_filled,
+        "zscore_svc_day_exact": zscore_svc_day_exact,
         "gap_fill_global": _gap_fill("global"),
         "gap_fill_per_service": _gap_fill("per_service"),
         "ewm12": _ewm(FAST, 12),
@@ -714,6 +798,8 @@ def queries() -> dict[str, Query]:
         "spike_alerts_svc_gaps": _alert_frame("svc_spike_alerts", orders_as_costs, GAP_RUN),
         "top_alerts": top_alerts,
         "stored_charts": stored_charts,
+        "spike_alerts_tag_kept": spike_alerts_tag_kept,
+        "daily_runs_kept": daily_runs_kept,
         "daily_run_events": daily_run_events,
         "two_runs_events": two_runs_events,
         "message_pages": message_pages,
@@ -722,6 +808,9 @@ def queries() -> dict[str, Query]:
         "message_text": message_text,
         "message_payload": message_payload,
     }
+    for level in LEVELS:
+        for suffix, (source, split, cfg) in KEPT.items():
+            named[f"moments_kept_{level}{suffix}"] = _moments_kept(source, split, cfg, level)
     for level, grain in LEVEL_GRAINS:
         for suffix, source in SOURCES.items():
             named[f"rollup_{level}_{grain}{suffix}"] = _rollup(source, level, grain)

@@ -7,19 +7,24 @@ from dataclasses import dataclass
 from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendtide.config import JobConfig
-from spendtide.functions.dates import lookback_window
+from spendtide.functions.dates import lookback_window, months_back
 from spendtide.operators import messages, series
 from spendtide.operators.enrich import service_stats, tag_stats, with_stats
 from spendtide.operators.gapfill import gap_fill
+from spendtide.operators.numbering import numbered
 from spendtide.operators.rollups import daily_cube, rollup
 from spendtide.operators.spikes import (
-    SVC_SCORE, TAG_SCORE, detect_spikes, service_scores, tag_scores,
+    SVC_SCORE, TAG_SCORE, detect_spikes, service_scores, tag_scores, tag_scores_by,
 )
 from spendtide.operators.summary import Summary, summarize
 from spendtide.operators.suppress import anti_suppress, low_value_keys, tagged
-from spendtide.operators.trend import detect_crossings, trend_lines, trend_series
+from spendtide.operators.trend import (
+    PLACE, by_place, detect_crossings, trend_lines, trend_series,
+)
+from spendtide.plans.kept import KeptState
 from spendtide.plans.materialize import materialize, work_folder
 from spendtide.sources import facts, landing, sinks
 
@@ -33,7 +38,7 @@ def load_costs(spark: SparkSession, cfg: JobConfig) -> None:
     """
     first, last = landing.overlap_window(cfg.as_of, cfg.overlap_days, cfg.end_inclusive)
     pages = materialize(landing.read_cost_pages(spark, cfg.landing_path, first, last), "pages")
-    bad = landing.rejected(pages, cfg.double_strip_tag)
+    bad = landing.rejected(pages, cfg.double_strip_tag, cfg.exact_amounts)
     path = cfg.rejected_path or f"{cfg.fact_path.rstrip('/')}-rejected"
     sinks.write_of_day(bad, path, cfg.as_of)
     count = sinks.read_of_day(spark, path, cfg.as_of, bad.schema).count()
@@ -43,7 +48,7 @@ def load_costs(spark: SparkSession, cfg: JobConfig) -> None:
         missing = [r.STARTDATE for r in landing.missing_days(pages, first, last).collect()]
         if missing:
             raise ValueError(f"no page reports on {', '.join(map(str, sorted(missing)))}")
-    batch = landing.landed_costs(pages, first, last, cfg.double_strip_tag)
+    batch = landing.landed_costs(pages, first, last, cfg.double_strip_tag, cfg.exact_amounts)
     facts.merge_fact(batch, cfg.fact_path, first, last, cfg.compact)
 
 
@@ -63,26 +68,41 @@ class Alerts:
     day, while computing them again would mean reading the fact again.
     """
 
-    def __init__(self, costs: DataFrame, cfg: JobConfig, keep: Keep = materialize) -> None:
+    def __init__(
+        self, costs: DataFrame, cfg: JobConfig, keep: Keep = materialize,
+        tag_states: DataFrame | None = None,
+    ) -> None:
+        """``tag_states`` are the moments of each service and tag over the whole window,
+        where they are known; then only the day itself is rolled up by tag."""
         self._window = lookback_window(costs, cfg.as_of, cfg.lookback_months)
+        self._tag_states = tag_states
         self._cfg = cfg
         self._keep = keep
 
     @cached_property
-    def svc_day(self) -> DataFrame:
-        """Gap-filled daily spend per service."""
+    def _stored_days(self) -> DataFrame:
         sums = rollup(self._window, "svc", "day")
         if self._cfg.gap_fill == "per_service":
             # The first and last day are read apart from the series.
             sums = self._keep(sums, "svc_sums")
-        return self._keep(gap_fill(sums, self._cfg.gap_fill), "svc_day")
+        filled = gap_fill(sums, self._cfg.gap_fill)
+        # The store that the series needs anyway gives the places of a global signal line.
+        return self._keep(by_place(filled) if self._cfg.signal_scope == "global" else filled, "svc_day")
+
+    @cached_property
+    def svc_day(self) -> DataFrame:
+        """Gap-filled daily spend per service."""
+        return self._stored_days.select("SERVICE", "STARTDATE", "USD")
 
     @cached_property
     def lines(self) -> DataFrame:
         """``svc_day`` with means, MACD and signal."""
         cfg = self._cfg
+        days = self.svc_day
+        if cfg.signal_scope == "global":
+            days = numbered(self._stored_days, PLACE)
         lines = trend_lines(
-            self.svc_day, cfg.fast_span, cfg.slow_span, cfg.signal_span, cfg.signal_scope,
+            days, cfg.fast_span, cfg.slow_span, cfg.signal_span, cfg.signal_scope,
             cfg.macd_sign,
         )
         return self._keep(lines, "lines")
@@ -110,9 +130,11 @@ class Alerts:
     @cached_property
     def tag_spike_alerts(self) -> DataFrame:
         keys = ("SERVICE", "TAG")
-        found = anti_suppress(
-            self._spikes(self.tag_spike_testing, TAG_SCORE), self._low(*keys), keys
-        )
+        scores = self.tag_spike_testing
+        if self._tag_states is not None:
+            day = self._window.where(F.col("STARTDATE") == F.lit(self._cfg.as_of))
+            scores = tag_scores_by(self._tag_states, rollup(day, "svc_tag", "day"))
+        found = anti_suppress(self._spikes(scores, TAG_SCORE), self._low(*keys), keys)
         return tagged(found, self._cfg.drop_empty_tag)
 
     def _spikes(self, scores: DataFrame, score: str) -> DataFrame:
@@ -171,20 +193,29 @@ class RunResult:
 def run(spark: SparkSession, cfg: JobConfig) -> RunResult:
     """One daily run. The fact is read once, into the materialised daily cube.
 
+    With ``state_path`` the cube and the tags' monthly moments are kept there from run to
+    run, and only the days that changed since the last run are read from the fact.
+
     Outputs are written under ``output_path`` where it is set; delivery of the
     message table is left to whatever watches it.
     """
     if cfg.load_data and cfg.landing_path:
         load_costs(spark, cfg)
     keep = partial(materialize, folder=work_folder(spark))
-    fact = lookback_window(
-        facts.read_fact(spark, cfg.fact_path), cfg.as_of, cfg.lookback_months
-    )
-    # Ordered by day, so that reads of a month or a day skip row groups.
-    cube = keep(daily_cube(fact).sortWithinPartitions("STARTDATE"), "daily_cube")
+    since = months_back(cfg.as_of, cfg.lookback_months)
+    tag_states = None
+    if cfg.state_path:
+        kept = KeptState(spark, cfg.fact_path, cfg.state_path, cfg.exact_amounts)
+        kept.refreshed_months("svc_tag")
+        cube = kept.cube.read(since, cfg.as_of)
+        tag_states = kept.states("svc_tag", since, cfg.as_of)
+    else:
+        fact = facts.read_fact(spark, cfg.fact_path, since, cfg.as_of, cfg.exact_amounts)
+        # Ordered by day, so that reads of a month or a day skip row groups.
+        cube = keep(daily_cube(fact).sortWithinPartitions("STARTDATE"), "daily_cube")
 
     summary = summaries(cube, cfg)
-    found = Alerts(cube, cfg, keep)
+    found = Alerts(cube, cfg, keep, tag_states)
     rows = message_rows(spark, found, cfg)
     message = messages.message_pages(messages.to_blocks(rows, cfg.base_url))
 
@@ -216,7 +247,7 @@ def write_outputs(spark: SparkSession, cfg: JobConfig, result: RunResult) -> Non
     for kind, chart in charts.items():
         sinks.write_series(chart, f"{out}/charts/{kind}", cfg.as_of)
     if cfg.write_enriched:
-        fact = facts.read_fact(spark, cfg.fact_path)
+        fact = facts.read_fact(spark, cfg.fact_path, exact=cfg.exact_amounts)
         write(enriched(fact, cfg), f"{out}/enriched_fact", order=["SERVICE", "TAG", "STARTDATE"])
     write(result.message_rows, f"{out}/message_rows", order=["section_no", "label_no", "rank"])
     sinks.write_messages(result.message, f"{out}/messages", cfg.channel, cfg.as_of)

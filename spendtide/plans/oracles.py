@@ -414,9 +414,11 @@ def _series_and_trend() -> dict[str, str]:
         "stored_charts": _series_spike("_lineitem", c.LINEITEM_RUN),
         "daily_run_events": f"""{_message_rows("_loaded_events", c.EVENTS_RUN)}
             SELECT {MESSAGE} FROM message""",
-        "message_text": f"""{_message_rows("", c.ORDERS_RUN)}, {BLOCKS}
-            SELECT '[' || string_agg(block, ',' ORDER BY section_no, label_no, "rank") || ']' AS blocks
-            FROM blocks""",
+        "message_text": f"""{_message_rows("", c.ORDERS_RUN)}, {BLOCKS},
+            numbered AS (SELECT block, row_number() OVER (ORDER BY section_no, label_no, "rank") - 1 AS n
+                FROM blocks)
+            SELECT CAST(n // 50 + 1 AS INTEGER) AS message_no,
+                '[' || string_agg(block, ',' ORDER BY n) || ']' AS blocks FROM numbered GROUP BY 1""",
         "stored_messages": f"""{_message_rows("_loaded_events", c.EVENTS_RUN)}, {BLOCKS},
             numbered AS (SELECT block, row_number() OVER (ORDER BY section_no, label_no, "rank") - 1 AS n
                 FROM blocks)
@@ -441,9 +443,15 @@ def _series_and_trend() -> dict[str, str]:
                 {_rank("1", "z DESC")} AS "rank", '{c.ORDERS_RUN.as_of:%Y-%m-%d}' AS text,
                 'amz_tot_{c.ORDERS_RUN.as_of:%Y%m%d}' AS link FROM svc_spikes""",
         "series_spike_365": _series_spike("_lineitem", replace(c.LINEITEM_RUN, chart_rows=365)),
-        "message_payload": f"""{_message_rows("", c.ORDERS_RUN)}
-            SELECT section, label, string_agg(text || '|' || link, ';' ORDER BY "rank") AS links
-            FROM message GROUP BY section, label""",
+        "message_payload": f"""{_message_rows("_strict", c.STRICT_RUN)},
+            placed AS (SELECT *, CAST((row_number() OVER (PARTITION BY section_no
+                ORDER BY label_no, "rank") - 1) // 3 + 1 AS INTEGER) AS part_no FROM message)
+            SELECT section, part_no, label, string_agg(text || '|' || link, ';' ORDER BY "rank") AS links
+            FROM placed GROUP BY section, part_no, label""",
+        "zscore_svc_day_exact": f"""WITH day AS (SELECT SERVICE, STARTDATE,
+                CAST(sum(CAST(USD AS DECIMAL(28, 12))) AS DOUBLE) AS USD FROM ({FACTS['']}) GROUP BY ALL)
+            SELECT SERVICE, STARTDATE, {_r(_r2("USD"))} AS USD, {_r(_z("SERVICE"), 6)} AS svc_day_zscore
+            FROM day""",
     }
 
 
@@ -535,8 +543,28 @@ def _runs() -> dict[str, str]:
     return named
 
 
+def _kept() -> dict[str, str]:
+    cfg = replace(c.EVENTS_RUN, message_tag_spikes=True)
+    named = {
+        "spike_alerts_tag_kept": f"""{_spikes_only("", c.ORDERS_RUN)}
+            SELECT SERVICE, TAG, {PARTS}, {_r("z", 6)} AS svc_tag_day_zscore, STARTDATE AS "date"
+            FROM tag_spikes""",
+        "daily_runs_kept": f"{_message_rows('_loaded_events', cfg)} SELECT {MESSAGE} FROM message",
+    }
+    for level in ("svc", "svc_tag"):
+        keys = "SERVICE" if level == "svc" else "SERVICE, TAG"
+        where = "" if level == "svc" else "WHERE TAG IS NOT NULL"
+        for suffix, (_, _, cfg) in c.KEPT.items():
+            named[f"moments_kept_{level}{suffix}"] = f"""WITH {_fact(suffix, cfg)},
+                rolled AS (SELECT {keys}, STARTDATE, sum(USD) AS USD FROM fact {where} GROUP BY ALL)
+                SELECT {keys}, {_r("min(USD)")} AS {level}_day_usd_min,
+                    {_r("max(USD)")} AS {level}_day_usd_max, {_r("avg(USD)", 6)} AS {level}_day_usd_mean
+                FROM rolled GROUP BY {keys}"""
+    return named
+
+
 def oracle_sql() -> dict[str, str]:
-    named = _tables() | _series_and_trend() | _runs()
+    named = _tables() | _series_and_trend() | _runs() | _kept()
     for level, grain in c.LEVEL_GRAINS:
         for suffix in c.SOURCES:
             keys, period, rolled = _rolled(suffix, level, grain)

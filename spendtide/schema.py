@@ -2,6 +2,8 @@
 
 from pyspark.sql import types as T
 
+from spendtide.functions.numbers import EXACT
+
 COST_METRIC = "UnblendedCost"
 
 RAW_PAGES = T.StructType([
@@ -37,3 +39,10 @@ COST_FACT = T.StructType([
     T.StructField(f.name, T.DoubleType() if f.name == "USD" else f.dataType)
     for f in COST_EXTRACT
 ] + [T.StructField(part, T.IntegerType()) for part in ("DAY", "WEEK", "MONTH", "YEAR")])
+
+
+def cost_fact(exact: bool = False) -> T.StructType:
+    """``COST_FACT``, with amounts of exact sums where ``exact``."""
+    return T.StructType([
+        T.StructField(f.name, EXACT) if exact and f.name == "USD" else f for f in COST_FACT
+    ])

@@ -127,9 +127,10 @@ class Log:
                 raise FileExistsError(str(target)) from error
             raise
 
-    def commits(self) -> list[tuple[int, Commit]]:
-        names = [n for n in self._names() if n.endswith(".json")]
-        return [(int(n.split(".")[0]), Commit(**self._read(n))) for n in names]
+    def commits(self, since: int = 0) -> list[tuple[int, Commit]]:
+        """The commits behind number ``since``, with their numbers."""
+        numbers = [int(n.split(".")[0]) for n in self._names() if n.endswith(".json")]
+        return [(n, Commit(**self._read(f"{n:020d}.json"))) for n in numbers if n > since]
 
     def state(self) -> State:
         """The table as of now: the last written state and the commits since."""

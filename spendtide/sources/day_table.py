@@ -39,6 +39,17 @@ def within(df: DataFrame, day: str, first: date | None, last: date | None) -> Da
     return df
 
 
+def joined(stretches: list[tuple[date, date]]) -> list[tuple[date, date]]:
+    """Stretches of days without those that overlap or follow each other."""
+    found: list[tuple[date, date]] = []
+    for first, last in sorted(stretches):
+        if found and first.toordinal() <= found[-1][1].toordinal() + 1:
+            found[-1] = found[-1][0], max(found[-1][1], last)
+        else:
+            found.append((first, last))
+    return found
+
+
 @dataclass(frozen=True)
 class DayTable:
     """The table of ``schema`` at ``path``, in parts by its date column ``day``; files are
@@ -72,9 +83,9 @@ class DayTable:
         state = self._log().state()
         if not state.version:
             raise FileNotFoundError(f"no table at {self.path}")
-        return self._scan(state, first, last)
+        return self.scan(state, first, last)
 
-    def _scan(self, state: State, first: date | None = None, last: date | None = None) -> DataFrame:
+    def scan(self, state: State, first: date | None = None, last: date | None = None) -> DataFrame:
         """The folders of the days from ``first`` to ``last``; no other one is even listed."""
         held = [
             f"{self.path}/part={part}/{self.day}={d}"
@@ -128,8 +139,29 @@ class DayTable:
         state = log.state()
         log.commit(state, Commit("overwrite", *self._store(df)), lambda _: False)
 
+    def batch_of(self, writer: str) -> int:
+        """The last batch that ``writer`` has committed; 0 if none."""
+        return self._log().state().batches.get(writer, 0)
+
+    def changes(self, since: int) -> tuple[State, list[tuple[date, date]]]:
+        """The table as of now, and the stretches of days that commits behind number
+        ``since`` touched, apart from each other and in order."""
+        state = self._log().state()
+        found = []
+        for version, commit in self._log().commits(since):
+            if version > state.version:
+                continue
+            if commit.action == "overwrite":
+                found.append((date.min, date.max))
+            if commit.action == "replace":
+                found.append((date.fromisoformat(commit.first), date.fromisoformat(commit.last)))
+            days = [date.fromisoformat(d) for d in commit.rows if d != _NO_DAY]
+            found += [(d, d) for d in days]
+        return state, joined(found)
+
     def replace_days(
-        self, first: date, last: date, content: Callable[[DataFrame], DataFrame]
+        self, first: date, last: date, content: Callable[[DataFrame], DataFrame],
+        writer: str | None = None, batch: int | None = None,
     ) -> None:
         """Put ``content`` of the days from ``first`` to ``last`` in their place.
 
@@ -138,9 +170,9 @@ class DayTable:
         log = self._log()
         for _ in range(ATTEMPTS):
             state = log.state()
-            made = content(self._scan(state, first, last))
+            made = content(self.scan(state, first, last))
             part, rows = self._store(within(made, self.day, first, last))
-            commit = Commit("replace", part, rows, str(first), str(last))
+            commit = Commit("replace", part, rows, str(first), str(last), writer, batch)
             if log.commit(state, commit, lambda c: c.touches(str(first), str(last))):
                 return
         raise RuntimeError(f"other writers changed {first} to {last} {ATTEMPTS} times")

@@ -8,15 +8,21 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendtide.schema import COST_FACT
+from spendtide.functions.numbers import EXACT
+from spendtide.schema import cost_fact
 from spendtide.sources.day_table import DayTable, within
 
 PARTITION = "STARTDATE"
 KEYS = ("SERVICE", "TAG", "STARTDATE")
 
 
-def fact_table(spark: SparkSession, path: str) -> DayTable:
-    return DayTable(spark, path, COST_FACT, PARTITION, ("SERVICE", "TAG"))
+def fact_table(spark: SparkSession, path: str, exact: bool = False) -> DayTable:
+    """The table at ``path``; ``exact`` tells the kind of its amounts."""
+    return DayTable(spark, path, cost_fact(exact), PARTITION, ("SERVICE", "TAG"))
+
+
+def _table_of(df: DataFrame, path: str) -> DayTable:
+    return fact_table(df.sparkSession, path, df.schema["USD"].dataType == EXACT)
 
 
 def commits(spark: SparkSession, path: str) -> DataFrame:
@@ -25,27 +31,29 @@ def commits(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fact(
-    spark: SparkSession, path: str, first: date | None = None, last: date | None = None
+    spark: SparkSession, path: str, first: date | None = None, last: date | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """The fact, or its days from ``first`` to ``last``, as a partition-pruned scan."""
-    return fact_table(spark, path).read(first, last)
+    return fact_table(spark, path, exact).read(first, last)
 
 
 def append_fact(df: DataFrame, path: str, writer: str | None = None, batch: int | None = None) -> bool:
     """Add rows; a ``writer``'s numbered batch is added once only."""
-    return fact_table(df.sparkSession, path).append(df, writer, batch)
+    return _table_of(df, path).append(df, writer, batch)
 
 
 def overwrite_fact(df: DataFrame, path: str) -> None:
     """Replace the whole table; ``df`` may read from it."""
-    fact_table(df.sparkSession, path).overwrite(df)
+    _table_of(df, path).overwrite(df)
 
 
 def replace_days(
-    spark: SparkSession, path: str, first: date, last: date, content: Callable[[DataFrame], DataFrame]
+    spark: SparkSession, path: str, first: date, last: date,
+    content: Callable[[DataFrame], DataFrame], exact: bool = False,
 ) -> None:
     """Put ``content`` of the days from ``first`` to ``last`` in their place."""
-    fact_table(spark, path).replace_days(first, last, content)
+    fact_table(spark, path, exact).replace_days(first, last, content)
 
 
 def drop_old_versions(spark: SparkSession, path: str, min_age_seconds: int = 0) -> None:
@@ -70,9 +78,11 @@ def merged(history: DataFrame, batch: DataFrame, compact: str = "distinct") -> D
     return history.unionByName(batch).distinct()
 
 
-def compact_fact(spark: SparkSession, path: str, first: date, last: date) -> None:
+def compact_fact(
+    spark: SparkSession, path: str, first: date, last: date, exact: bool = False
+) -> None:
     """Drop repeated rows of the table's days from ``first`` to ``last``."""
-    replace_days(spark, path, first, last, DataFrame.distinct)
+    replace_days(spark, path, first, last, DataFrame.distinct, exact)
 
 
 def merge_fact(
@@ -83,4 +93,4 @@ def merge_fact(
     Running it again with the same batch changes nothing.
     """
     batch = within(batch, PARTITION, first, last)
-    replace_days(batch.sparkSession, path, first, last, lambda history: merged(history, batch, compact))
+    _table_of(batch, path).replace_days(first, last, lambda history: merged(history, batch, compact))

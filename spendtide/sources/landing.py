@@ -100,31 +100,41 @@ def _pages_over_lines(lines: DataFrame) -> DataFrame:
     """
     along = Window.partitionBy("file", "block").orderBy("at")
     so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    blocks = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    in_file = Window.partitionBy("file").orderBy("block")
+    blocks = in_file.rowsBetween(Window.unboundedPreceding, -1)
 
     piece = F.col("piece")
-    own_key = piece.rlike(_OPENS) | (piece.rlike(_BRACE) & F.lead("piece").over(along).rlike(_KEY))
+    brace, key = piece.rlike(_BRACE), piece.rlike(_KEY)
     pieces = _pieces(lines).withColumns({
         "before": F.sum("opened").over(so_far) - F.col("opened"),
-        "own_key": F.coalesce(own_key, F.lit(False)),
+        "own_key": piece.rlike(_OPENS) | (brace & F.coalesce(F.lead(key).over(along), F.lit(False))),
+        "ends": F.lead("at").over(along).isNull(),
     })
-    since = F.last(F.when(F.col("own_key"), F.col("before")), ignorenulls=True)
     ends = pieces.groupBy("file", "block").agg(
         F.sum("opened").alias("opened"),
         F.max_by("before", F.when(F.col("own_key"), F.col("at"))).alias("page_at"),
+        F.max_by("before", "at").alias("end_at"),
+        F.max_by(brace, "at").alias("brace"), F.min_by(key, "at").alias("key"),
     )
-    offsets = ends.withColumn("offset", F.coalesce(F.sum("opened").over(blocks), F.lit(0)))
+    # A brace at a block's end opens a page if the next block begins with a page's key.
+    opens = F.col("brace") & F.coalesce(F.lead("key").over(in_file), F.lit(False))
+    offsets = ends.withColumns({
+        "offset": F.coalesce(F.sum("opened").over(blocks), F.lit(0)), "opens": opens,
+    })
+    page_at = F.when(F.col("opens"), F.col("end_at")).otherwise(F.col("page_at"))
     offsets = offsets.select(
-        "file", "block", "offset",
-        F.last(F.col("offset") + F.col("page_at"), ignorenulls=True).over(blocks).alias("base"),
+        "file", "block", "offset", "opens",
+        F.last(F.col("offset") + page_at, ignorenulls=True).over(blocks).alias("base"),
     )
+    since = F.last(F.when(F.col("own_key"), F.col("before")), ignorenulls=True)
     depth = (
         F.col("offset") + F.col("before")
         - F.coalesce(F.col("offset") + F.col("since"), "base", F.lit(0))
     )
     pieces = (
-        pieces.withColumn("since", since.over(so_far))
-        .join(offsets, ["file", "block"])
+        pieces.join(offsets, ["file", "block"])
+        .withColumn("own_key", F.col("own_key") | (F.col("opens") & F.col("ends")))
+        .withColumn("since", since.over(so_far))
         .withColumn("starts", F.col("own_key") | (depth <= 0))
     )
     start = F.last(F.when(F.col("starts"), F.col("at")), ignorenulls=True).over(so_far)
@@ -236,11 +246,11 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(EXPORT_HEADERS)
 
 
-def to_fact(extract: DataFrame) -> DataFrame:
+def to_fact(extract: DataFrame, exact: bool = False) -> DataFrame:
     """Extracted columns to the fact: dates and amounts typed, date parts added."""
     typed = extract.select(
         *[
-            amount(F.col(f.name)).alias("USD") if f.name == "USD"
+            amount(F.col(f.name), exact).alias("USD") if f.name == "USD"
             else F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
             for f in COST_EXTRACT
         ]
@@ -248,23 +258,23 @@ def to_fact(extract: DataFrame) -> DataFrame:
     return add_date_parts(typed).select(*COST_FACT.names)
 
 
-def _reason() -> Column:
+def _reason(exact: bool) -> Column:
     """Why an extracted row cannot become a fact row; NULL where it can."""
     return (
         F.when(F.col("STARTDATE").isNull(), "no readable day")
         .when(F.col("USD").isNull(), "no amount")
-        .when(amount(F.col("USD")).isNull(), "unreadable amount")
+        .when(amount(F.col("USD"), exact).isNull(), "unreadable amount")
     )
 
 
-def rejected(pages: DataFrame, double_strip_tag: bool = False) -> DataFrame:
+def rejected(pages: DataFrame, double_strip_tag: bool = False, exact: bool = False) -> DataFrame:
     """What a load cannot read: (file, reason, raw) of pages and of rows in them."""
     days = pages.select("file", F.explode("ResultsByTime").alias("d"))
-    rows = flatten_cost_pages(pages, double_strip_tag).where(_reason().isNotNull())
+    rows = flatten_cost_pages(pages, double_strip_tag).where(_reason(exact).isNotNull())
     return (
         pages.where("reason is not null").select("file", "reason", "raw")
         .unionByName(rows.select(
-            F.lit(None).cast("string").alias("file"), _reason().alias("reason"),
+            F.lit(None).cast("string").alias("file"), _reason(exact).alias("reason"),
             F.to_json(F.struct(*rows.columns)).alias("raw"),
         ))
         .unionByName(days.where("d.Groups is null").select(
@@ -275,14 +285,14 @@ def rejected(pages: DataFrame, double_strip_tag: bool = False) -> DataFrame:
 
 def landed_costs(
     pages: DataFrame, first: date | None = None, last: date | None = None,
-    double_strip_tag: bool = False,
+    double_strip_tag: bool = False, exact: bool = False,
 ) -> DataFrame:
     """Fact rows of the landed pages, limited to ``first`` to ``last`` where given.
 
     Rows that cannot be read are in ``rejected``, never in the fact as an amount of 0.
     """
     flat = normalize_columns(flatten_cost_pages(pages, double_strip_tag))
-    return _within(to_fact(flat.where(_reason().isNull())), "STARTDATE", first, last)
+    return _within(to_fact(flat.where(_reason(exact).isNull()), exact), "STARTDATE", first, last)
 
 
 def _within(df: DataFrame, day: str, first: date | None, last: date | None) -> DataFrame:

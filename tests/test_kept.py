@@ -1,0 +1,136 @@
+"""Moments kept from run to run against moments of all rows."""
+
+import random
+from datetime import date, timedelta
+
+import numpy as np
+import pytest
+
+from frames import DAY0, costs, rows
+from spendtide.functions.dates import months_back
+from spendtide.operators.moment_states import merged_states, score_by, value_states
+from spendtide.operators.rollups import rollup
+from spendtide.operators.stats import moments, zscore
+from spendtide.plans.kept import KeptState
+from spendtide.sources import facts
+from spendtide.sources.day_table import joined
+
+
+def day(n):
+    return DAY0 + timedelta(days=n)
+
+
+def close(ours, theirs):
+    assert len(ours) == len(theirs)
+    for a, b in zip(ours, theirs):
+        for x, y in zip(a, b, strict=True):
+            assert x == (pytest.approx(y, rel=1e-12, abs=1e-12) if isinstance(y, float) else y)
+
+
+def of_all(spark, path, level, first, last):
+    keys = ["SERVICE"] if level == "svc" else ["SERVICE", "TAG"]
+    sums = rollup(facts.read_fact(spark, path, first, last), level, "day")
+    found = moments(sums, keys, "m").join(
+        sums.groupBy(*keys).agg({"USD": "stddev_samp", "*": "count"}), keys
+    )
+    return rows(found, *keys, "m_usd_min", "m_usd_max", "m_usd_mean", "count(1)", "stddev_samp(USD)")
+
+
+def of_states(kept, level, first, last):
+    keys = ["SERVICE"] if level == "svc" else ["SERVICE", "TAG"]
+    states = kept.states(level, first, last).selectExpr("*", "sqrt(squares / nullif(n - 1, 0)) spread")
+    return rows(states, *keys, "low", "high", "mean", "n", "spread")
+
+
+@pytest.mark.parametrize("level", ["svc", "svc_tag"])
+def test_any_order_of_loads(spark, tmp_path, level):
+    rnd = random.Random(level)
+    path = str(tmp_path / "fact")
+    kept = KeptState(spark, path, str(tmp_path / "state"))
+
+    def some(first, last):
+        return costs(spark, [
+            (rnd.choice("ab"), rnd.choice(["x", "y", None]), d, round(rnd.gauss(100, 40), 2))
+            for d in range(first, last + 1) for _ in range(rnd.randint(0, 3))
+        ])
+
+    loads = [
+        lambda: facts.append_fact(some(60, 90), path),
+        lambda: facts.append_fact(some(0, 20), path),
+        lambda: facts.merge_fact(some(85, 95), path, day(85), day(95), "latest"),
+        lambda: facts.replace_days(spark, path, day(10), day(65), lambda _: some(30, 40)),
+        lambda: facts.append_fact(some(10, 130), path),
+        lambda: facts.overwrite_fact(some(5, 100), path),
+    ]
+    for load in loads:
+        load()
+        kept.refreshed_months(level)
+        for first, last in ((day(0), day(130)), (day(31), day(59)), (day(40), day(70)), (day(33), day(36))):
+            close(of_states(kept, level, first, last), of_all(spark, path, level, first, last))
+
+
+def test_only_touched_days_are_made_again(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    kept = KeptState(spark, path, str(tmp_path / "state"))
+    facts.append_fact(costs(spark, [("a", "x", d, d) for d in range(100)]), path)
+    kept.refreshed_months("svc")
+    facts.merge_fact(costs(spark, [("a", "x", d, 1) for d in range(70, 75)]), path, day(70), day(74))
+    kept.refreshed_months("svc")
+    last = max(r.version for r in kept.cube.commits().collect())
+    assert rows(kept.cube.commits().where(f"version = {last}"), "STARTDATE") == [(day(d),) for d in range(70, 75)]
+    months = kept.months("svc").commits()
+    last = max(r.version for r in months.collect())
+    assert rows(months.where(f"version = {last}"), "MONTH_START") == [(date(2024, 3, 1),)]
+    before = kept.cube.batch_of("source")
+    kept.refreshed_months("svc")
+    assert kept.cube.commits().agg({"version": "max"}).first()[0] == 2 and before == 2
+
+
+def test_refresh_that_breaks_off_is_done_again(spark, tmp_path, monkeypatch):
+    from spendtide.sources.day_table import DayTable
+
+    path = str(tmp_path / "fact")
+    kept = KeptState(spark, path, str(tmp_path / "state"))
+    facts.append_fact(costs(spark, [("a", "x", 1, 1), ("a", "x", 50, 2), ("a", "x", 99, 3)]), path)
+    replace, done = DayTable.replace_days, []
+
+    def broken(self, *where):
+        if len(done) == 2:
+            raise OSError("lost between two stretches")
+        done.append(1)
+        replace(self, *where)
+
+    monkeypatch.setattr(DayTable, "replace_days", broken)
+    with pytest.raises(OSError):
+        kept.refreshed()
+    monkeypatch.undo()
+    assert kept.cube.batch_of("source") == 0
+    kept.refreshed()
+    assert rows(kept.cube.read(), "STARTDATE", "USD") == [(day(1), 1), (day(50), 2), (day(99), 3)]
+
+
+def test_merged_states_do_not_cancel(spark):
+    values = [1e9 + k for k in (4, 7, 13, 16)]
+    frame = spark.createDataFrame([("a", v) for v in values] + [("b", 5.0)] * 3 + [("c", 1.0)], "k string, USD double")
+    found = {r.k: r for r in merged_states(value_states(frame, ["k"]), ["k"]).collect()}
+    assert found["a"].squares == pytest.approx(90.0) and found["a"].mean == 1e9 + 10
+    assert (found["b"].squares, found["b"].n, found["c"].n) == (0, 3, 1)
+
+
+def test_score_by_states_is_the_score_by_rows(spark):
+    rng = np.random.default_rng(1)
+    raw = [("a", float(v)) for v in rng.normal(50, 9, 40)] + [("flat", 2.0)] * 4 + [("one", 3.0)]
+    frame = spark.createDataFrame(raw, "k string, USD double")
+    ours = rows(score_by(merged_states(value_states(frame, ["k"]), ["k"]), frame, ["k"], "z"), "k", "USD", "z")
+    close(ours, rows(zscore(frame, ["k"], "z"), "k", "USD", "z"))
+
+
+def test_stretches_and_months():
+    days = [date(2024, 1, d) for d in range(1, 10)]
+    assert joined([(days[4], days[5]), (days[0], days[1]), (days[2], days[2]), (days[5], days[7])]) == [
+        (days[0], days[2]), (days[4], days[7]),
+    ]
+    assert months_back(date(2024, 3, 31), 1) == date(2024, 2, 29)
+    assert months_back(date(2024, 2, 29), 12) == date(2023, 2, 28)
+    assert months_back(date(2024, 1, 15), 120) == date(2014, 1, 15)
+    assert months_back(date(2024, 12, 31), 6) == date(2024, 6, 30)

@@ -168,3 +168,35 @@ def test_no_alert_is_cut_from_the_messages(spark):
     assert messages.alert_rows(
         alerts, "svc_day_zscore", 3, "x", "up", "down", 1, -1, "p", AS_OF, top_n=7
     ).count() == 7
+
+
+def test_messages_are_bounded_by_bytes(spark):
+    names = [f"s{n:02d}" + "é" * (n * 13 % 400) for n in range(40)] + ["x" * 5000]
+    alerts = spark.createDataFrame([(n, 99.0 - k) for k, n in enumerate(names)], "SERVICE string, svc_day_zscore double")
+    nothing = spark.createDataFrame([], "SERVICE string, crossFlag int")
+    blocks = messages.to_blocks(messages.build_messages(spark, nothing, alerts, AS_OF), "https://x")
+    pages = sorted(messages.message_pages(blocks, 7, 3000).collect(), key=lambda p: p.message_no)
+    assert [p.message_no for p in pages] == list(range(1, len(pages) + 1)) and len(pages) > 44 / 7 + 1
+    found = [json.loads(p.blocks) for p in pages]
+    assert all(len(b) == 1 or (len(b) <= 7 and len(p.blocks.encode()) <= 3000 + 2) for b, p in zip(found, pages))
+    assert [b["text"]["text"] for f in found for b in f if b["type"] == "section"][2:] == names
+
+
+def test_payload_comes_in_parts(spark):
+    parts = messages.to_payload(_messages(spark), 2).orderBy("section", "part_no").collect()
+    assert [(r.section, r.part_no, sum(map(len, r.labels.values()))) for r in parts] == [
+        ("awsSummary", 1, 2), ("awsSvcSpikes", 1, 2), ("awsSvcSpikes", 2, 1),
+        ("awsTrends", 1, 2), ("awsTrends", 2, 1),
+    ]
+
+
+def test_no_task_ranks_a_label(spark):
+    """Alerts of one label are numbered by ranges, and no window holds the label."""
+    alerts = spark.range(50_000).selectExpr("concat('s', id) AS SERVICE", "double(id + 2) AS z")
+    lines = messages.alert_lines(alerts, "z", 3, "x", "up", "down", 1, -1, "p", AS_OF)
+    text = messages.ranked(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in text and "label_no#" not in "".join(
+        line for line in text.splitlines() if "Window [" in line
+    )
+    found = messages.ranked(lines).where("rank <= 3")
+    assert rows(found, "rank", "text") == [(1, "s49999"), (2, "s49998"), (3, "s49997")]

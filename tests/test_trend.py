@@ -6,14 +6,18 @@ import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from frames import DAY0, pandas_gap_fill, pandas_trend, rows, series
-from spendtide.operators.ewm import block_length, ewm, ewm_along, with_position
+from spendtide.operators.ewm import block_length, ewm, ewm_along
 from spendtide.operators.gapfill import gap_fill
+from spendtide.operators.numbering import AT, dealt, number_rows, numbered
 from spendtide.operators.trend import (
     FAST, MACD, SIGNAL, SLOW, cross_flag, detect_crossings, macd, trend_lines, trend_series,
 )
 
+from spendtide.plans.materialize import materialize
+
 
 def _random_rows(services: int, days: int, seed: int, missing: float = 0.0) -> list[tuple]:
     rnd = random.Random(seed)
@@ -48,7 +52,7 @@ def test_ewm_matches_pandas_with_and_without_blocks(spark, span, days):
 
 def test_mean_across_many_services_matches_one_pandas_pass(spark):
     raw = _random_rows(400, 40, seed=5, missing=0.2)
-    placed = with_position(series(spark, raw), "STARTDATE", "SERVICE", "n")
+    placed = number_rows(series(spark, raw), ["STARTDATE", "SERVICE"], "n")
     got = _sorted(ewm_along(placed, "USD", 9, "y", "n"))
     assert list(got.n) == list(range(len(got)))
     want = _pandas(raw).sort_values(["STARTDATE", "SERVICE"]).USD.ewm(span=9, adjust=False).mean()
@@ -114,3 +118,34 @@ def test_mean_stays_between_extremes(spark, values, span):
     slack = 1e-9 * max(1.0, max(map(abs, values)))
     got = [r.y for r in df.collect()]
     assert min(values) - slack <= min(got) and max(got) <= max(values) + slack
+
+
+def test_sparse_series_carries_through_short_blocks(spark):
+    """A row every 400 days: blocks of the calendar hold a handful of rows each."""
+    raw = [("a", d, float(d % 7)) for d in range(0, 30_000, 400)] + [("b", 3, 1.0), ("b", 29_999, 5.0)]
+    got = _sorted(ewm(series(spark, raw), "USD", {"y": 9, "z": 26}, ["SERVICE"], "STARTDATE"))
+    by_service = _pandas(raw).sort_values(["STARTDATE", "SERVICE"]).groupby("SERVICE")["USD"]
+    for out, span in (("y", 9), ("z", 26)):
+        want = by_service.transform(lambda x, s=span: x.ewm(span=s, adjust=False).mean())
+        np.testing.assert_allclose(got[out], want, rtol=1e-12, atol=1e-11)
+
+
+def test_a_day_of_very_many_services_is_spread(spark):
+    """No task numbers a whole day: a million services of one day in ranges of even size."""
+    day = spark.range(1_000_000, numPartitions=8).select(
+        F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("SERVICE"),
+        F.lit(DAY0).alias("STARTDATE"), F.col("id").cast("double").alias("USD"),
+    )
+    stored = materialize(dealt(day, ["STARTDATE", "SERVICE"]), "dealt")
+    sizes = [r["count"] for r in stored.groupBy(F.shiftright(AT, 33)).count().collect()]
+    assert sum(sizes) == 1_000_000 and len(sizes) >= 4 and max(sizes) < 400_000
+    assert numbered(stored, "n").where("n <> USD").count() == 0
+
+
+def test_numbers_of_any_order(spark):
+    frame = spark.range(1000).select((F.col("id") % 7).alias("a"), F.col("id").alias("b"))
+    found = number_rows(frame.where("b > 3"), [F.desc("a"), "b"], "n").collect()
+    want = sorted(((k % 7, k) for k in range(4, 1000)), key=lambda r: (-r[0], r[1]))
+    assert [(r.a, r.b) for r in sorted(found, key=lambda r: r.n)] == want
+    assert sorted(r.n for r in found) == list(range(996))
+    assert number_rows(frame.limit(0), ["a", "b"], "n").collect() == []
