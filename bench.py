@@ -1,6 +1,7 @@
 """Headline queries, timed one after the other; prints one JSON line.
 
-Each query runs once to warm up and then five times; the median counts. Results go
+Each query runs once to warm up and then five times; the median counts, and the least and
+greatest time are printed beside it. Results go
 to the ``noop`` sink, so every row and column is computed. Stored intermediate
 tables are part of the time.
 """
@@ -61,7 +62,7 @@ def session() -> SparkSession:
 
 
 def main() -> None:
-    spark, queries, times = session(), catalog.queries(), {}
+    spark, queries, times, spread = session(), catalog.queries(), {}, {}
     for name in HEADLINE:
         taken = []
         for _ in range(RUNS + 1):
@@ -69,11 +70,13 @@ def main() -> None:
             queries[name](spark, FOLDER).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
         times[name] = round(statistics.median(taken[1:]), 4)
+        spread[name] = [round(min(taken[1:]), 4), round(max(taken[1:]), 4)]
     print(json.dumps({
         "metric": "headline queries, sum of medians",
         "value": round(sum(times.values()), 4),
         "unit": "sec",
         "queries": times,
+        "spread": spread,
         "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
         "cpus": int(CPUS),
         "shuffle_partitions": int(CPUS),
