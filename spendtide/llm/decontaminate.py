@@ -8,15 +8,17 @@ substitutions of the item.
 Item-sized windows of a document are embedded by CGK's random walk: a step writes the
 current word and moves on or not, as a random bit of (step, word) says, so that few edits
 become few differing places. Each of ``tables`` hash tables has a walk of its own and
-samples ``SAMPLED`` places; a window that agrees with the item in one table is a
-candidate, and an exact edit distance decides. ``tables`` is the smallest number that
+samples ``SAMPLED`` places; items are filed by their length and the words there, windows are
+looked up, an item in a window's bucket is a candidate, and an exact edit distance decides. ``tables`` is the smallest number that
 finds the share ``RECALL`` of copies with the largest number of edits, measured for
 each such number on the shortest item that has it, edited at random with a fixed seed;
 unedited copies always agree.
 
 A window can only reach an item if it shares enough of its word q-grams on neighbouring
 diagonals (an edit breaks q of them, so at least ``words - q + 1 - q * edits`` are left).
-Windows below that bound are not embedded. The bound loses nothing.
+Places where no item reaches that bound are not embedded; elsewhere windows of that item's
+length are, and all items are looked up. The bound loses nothing. It is tested in stretches
+of text with about ``ANCHORS`` shared q-grams each, which overlap by the longest item.
 
 Items are read in blocks of ``BLOCK``, each block a pass over the documents, so what a
 task gets is bounded however many items there are.
@@ -30,7 +32,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 from itertools import chain, islice, repeat
 
 import numpy as np
@@ -43,6 +45,8 @@ from spendtide.plans.materialize import materialize
 
 SIMILARITY, RECALL, SAMPLED, BLOCK = 0.8, 0.99, 3, 5000
 _TRIALS, _MOST_TABLES, _GRAM, _WINDOWS = 200, 512, 3, 20_000
+#: Shared q-grams that are held at a time, more only where one item-sized stretch has more.
+ANCHORS = 1_000_000
 
 #: Item ids of other types are returned as text.
 _ITEM_KINDS = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
@@ -113,7 +117,7 @@ def tables_needed(item: np.ndarray, edits: int, recall: float = RECALL) -> int:
         left = left[(embed(left, size, table) != embed(row, size, table))[:, places].any(1)]
         if len(left) <= allowed:
             return table + 1
-    return _MOST_TABLES
+    raise ValueError(f"{_MOST_TABLES} tables do not find {recall} of copies with {edits} edits")
 
 
 def distance_within(item: list[int], text: list[int], edits: int) -> tuple[int, int] | None:
@@ -151,33 +155,45 @@ class Items:
     grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(
         default_factory=dict
     )
-    buckets: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
-
-    def bucket(self, table: int) -> tuple[np.ndarray, np.ndarray]:
-        """The sampled places and words of every item in a table, by item."""
-        if table not in self.buckets:
-            sizes = np.array([len(w) for w in self.words])
-            padded = np.zeros((len(sizes), sizes.max()), np.int64)
-            for row, own in zip(padded, self.words):
-                row[: len(own)] = own
-            places = np.stack([sampled_places(int(n), table) for n in sizes])
-            walks = embed(padded, sizes, table)
-            self.buckets[table] = places, np.take_along_axis(walks, places, axis=1)
-        return self.buckets[table]
-
-    def agree(self, who: np.ndarray, windows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Which windows fall into the bucket of their item in one of its tables."""
-        tables = np.array([self.tables[edits_allowed(int(n), self.similarity)] for n in sizes])
-        found = np.zeros(len(who), bool)
-        for table in range(max(tables, default=0)):
-            left = np.flatnonzero(~found & (tables > table))
-            if not len(left):
-                break
-            places, words = self.bucket(table)
-            walks = embed(windows[left], sizes[left], table)
-            sampled = np.take_along_axis(walks, places[who[left]], axis=1)
-            found[left] = (sampled == words[who[left]]).all(1)
-        return found
+    buckets: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
+
+    @cached_property
+    def sizes(self) -> np.ndarray:
+        return np.array([len(w) for w in self.words], np.int64)
+
+    @cached_property
+    def by_size(self) -> dict[int, np.ndarray]:
+        """The items of each length."""
+        order = np.argsort(self.sizes, kind="stable")
+        sizes, first = np.unique(self.sizes[order], return_index=True)
+        return dict(zip(sizes.tolist(), np.split(order, first[1:])))
+
+    def table_count(self, size: int) -> int:
+        return self.tables[edits_allowed(size, self.similarity)]
+
+    def bucket(self, table: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The hash table of the items of ``size`` words: sorted keys, and their items."""
+        if (table, size) not in self.buckets:
+            own = self.by_size[size]
+            rows = np.stack([self.words[k] for k in own])
+            keys = _bucket_keys(embed(rows, np.full(len(own), size), table), size, table)
+            order = np.argsort(keys, kind="stable")
+            self.buckets[table, size] = keys[order], own[order]
+        return self.buckets[table, size]
+
+    def look_up(self, windows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item) of every item that stands in the bucket of a window, in any of the
+        tables of that length."""
+        found = []
+        for table in range(self.table_count(size)):
+            keys, own = self.bucket(table, size)
+            probe = _bucket_keys(embed(windows, np.full(len(windows), size), table), size, table)
+            lo, hi = np.searchsorted(keys, probe, "left"), np.searchsorted(keys, probe, "right")
+            many = hi - lo
+            entry = np.repeat(lo - np.cumsum(many) + many, many) + np.arange(many.sum())
+            found.append(np.stack([np.repeat(np.arange(len(windows)), many), own[entry]], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pairs[:, 0], pairs[:, 1]
 
     @classmethod
     def build(cls, rows: list[tuple[object, bytes]], similarity: float) -> "Items":
@@ -220,56 +236,100 @@ class Items:
         return np.where(known, key, -1)
 
 
-def _anchors(items: Items, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(item, diagonal) of every word run that an item and the text share."""
-    who, where = [], []
-    for gram, (unique, first, owner, offset) in items.grams.items():
-        keys = items.keys(words, gram)
-        at = np.flatnonzero(keys >= 0)
-        place = np.minimum(np.searchsorted(unique, keys[at]), len(unique) - 1)
-        hit = unique[place] == keys[at]
-        at, place = at[hit], place[hit]
-        many = first[place + 1] - first[place]
-        entry = np.repeat(first[place] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        who.append(owner[entry])
-        where.append(np.repeat(at, many) - offset[entry])
-    if not who:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(who), np.concatenate(where)
-
-
-def search(
-    items: Items, words: np.ndarray, starts: np.ndarray, similarity: float
-) -> list[tuple[int, int, int, int]]:
-    """(document, item, edits, last word) in documents that lie one after the other in
-    ``words`` (0: a word that no item has), each from its entry of ``starts``."""
-    who, where = _anchors(items, words)
+def _bucket_keys(walks: np.ndarray, size: int, table: int) -> np.ndarray:
+    """One number for the words of each walk at the table's sampled places."""
+    key = np.full(len(walks), size, np.uint64)
+    for place in sampled_places(size, table):
+        key = (key ^ walks[:, place].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key
+
+
+def _hits(items: Items, words: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of ``words`` whose run of ``gram`` words some item has, and its number."""
+    unique = items.grams[gram][0]
+    keys = items.keys(words, gram)
+    at = np.flatnonzero(keys >= 0)
+    place = np.minimum(np.searchsorted(unique, keys[at]), len(unique) - 1)
+    hit = unique[place] == keys[at]
+    return at[hit], place[hit]
+
+
+def _stretches(items: Items, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(item, diagonal) of the word runs that an item and the text share, in stretches of the
+    text that overlap by what one copy takes."""
+    hits = {gram: _hits(items, words, gram) for gram in items.grams}
+    at = np.concatenate([a for a, _ in hits.values()] or [np.empty(0, np.int64)])
+    many = np.concatenate(
+        [np.diff(items.grams[g][1])[place] for g, (_, place) in hits.items()] or [np.empty(0, np.int64)]
+    )
+    if not len(at):
+        return
+    order = np.argsort(at, kind="stable")
+    at, many = at[order], np.cumsum(many[order])
+    longest = int(items.sizes.max())
+    reach = longest + 2 * edits_allowed(longest, items.similarity) + 1
+    begin = int(at[0])
+    while begin <= at[-1]:
+        first = int(np.searchsorted(at, begin))
+        before = int(many[first - 1]) if first else 0
+        stop = int(at[min(int(np.searchsorted(many, before + ANCHORS)), len(at) - 1)])
+        end = max(stop, begin + 2 * reach)
+        who, where = [], []
+        for gram, (places, runs) in hits.items():
+            _, lead, owner, offset = items.grams[gram]
+            own = slice(*np.searchsorted(places, [begin, end + 1]))
+            place, run = places[own], runs[own]
+            count = lead[run + 1] - lead[run]
+            entry = np.repeat(lead[run] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            who.append(owner[entry])
+            where.append(np.repeat(place, count) - offset[entry])
+        yield np.concatenate(who), np.concatenate(where)
+        if end >= at[-1]:
+            return
+        begin = end - reach
+
+
+def _near(items: Items, who: np.ndarray, where: np.ndarray) -> dict[int, np.ndarray]:
+    """By length the starts of windows that can be within the edits of an item of it."""
     order = np.lexsort((where, who))
     who, where = who[order], where[order]
     at = np.flatnonzero(np.diff(who, prepend=-1))
-    items_of, starts_of = [], []
+    found: dict[int, list[np.ndarray]] = {}
     for lo, hi in zip(at, np.append(at[1:], len(who))):
-        k = int(who[lo])
-        diagonals, size = where[lo:hi], len(items.words[k])
-        edits = edits_allowed(size, similarity)
+        diagonals, size = where[lo:hi], len(items.words[int(who[lo])])
+        edits = edits_allowed(size, items.similarity)
         gram = _gram(size, edits)
         least = max(1, size - gram + 1 - gram * edits)
+        if hi - lo < least:
+            continue
         # Diagonals of one copy lie within twice the edits: is there such a stretch?
         dense = np.searchsorted(diagonals, diagonals + 2 * edits, "right") - np.arange(hi - lo) >= least
         # The first of them is at most the edits away from the copy's start.
         lead = np.unique(diagonals[dense])
-        near = np.unique(lead[:, None] + np.arange(-edits, edits + 1))
-        items_of.append(np.full(len(near), k))
-        starts_of.append(near)
-    if not sum(map(len, items_of)):
-        return []
-    who, near = np.concatenate(items_of), np.concatenate(starts_of)
-    sizes = np.array([len(w) for w in items.words])[who]
-    kept = np.concatenate([
-        _agreeing(items, who[k : k + _WINDOWS], near[k : k + _WINDOWS], sizes[k : k + _WINDOWS], words)
-        for k in range(0, len(who), _WINDOWS)
-    ])
-    who, near, found = who[kept], near[kept], []
+        if len(lead):
+            near = lead[:, None] + np.arange(-edits, edits + 1)
+            found.setdefault(size, []).append(np.unique(near))
+    return {size: np.unique(np.concatenate(starts)) for size, starts in found.items()}
+
+
+def search(
+    items: Items, words: np.ndarray, starts: np.ndarray, similarity: float
+) -> list[tuple[int, int, int, int]]:
+    """(document, item, edits, last word) in documents that lie one after the other in
+    ``words`` (0: a word that no item has), each from its entry of ``starts``."""
+    starts_of: dict[int, list[np.ndarray]] = {}
+    for who, where in _stretches(items, words):
+        for size, near in _near(items, who, where).items():
+            starts_of.setdefault(size, []).append(near)
+    pairs = [np.empty((0, 2), np.int64)]
+    for size, near in starts_of.items():
+        near = np.unique(np.concatenate(near))
+        for k in range(0, len(near), _WINDOWS):
+            window, item = items.look_up(_windows(words, near[k : k + _WINDOWS], size), size)
+            pairs.append(np.stack([item, near[k : k + _WINDOWS][window]], axis=1))
+    who, near = np.unique(np.concatenate(pairs), axis=0).T
+    found = []
     cut = np.flatnonzero((np.diff(who) != 0) | (np.diff(near) > 1)) + 1
     for own, part in zip(np.split(who, cut), np.split(near, cut)):
         if not len(own):
@@ -287,17 +347,15 @@ def search(
     return found
 
 
-def _agreeing(
-    items: Items, who: np.ndarray, near: np.ndarray, sizes: np.ndarray, words: np.ndarray
-) -> np.ndarray:
-    """Which windows of ``words`` that start at ``near`` agree with their item."""
-    place = np.arange(sizes.max(initial=1))
-    shifted = near[:, None] + place
-    inside = (shifted >= 0) & (shifted < len(words)) & (place < sizes[:, None])
+def _windows(words: np.ndarray, near: np.ndarray, size: int) -> np.ndarray:
+    """The windows of ``size`` words that start at ``near``; words that no item has, and
+    those beyond the text, all differ."""
+    shifted = near[:, None] + np.arange(size)
+    inside = (shifted >= 0) & (shifted < len(words))
     windows = np.where(inside, words[np.clip(shifted, 0, len(words) - 1)], 0)
-    unknown = (windows == 0) & (place < sizes[:, None])
-    windows[unknown] = (1 << 40) + shifted[unknown]  # unknown words all differ
-    return items.agree(who, windows, sizes)
+    unknown = windows == 0
+    windows[unknown] = (1 << 40) + shifted[unknown]
+    return windows
 
 
 def _block(docs: DataFrame, items: Items, item_type: str, similarity: float) -> DataFrame:

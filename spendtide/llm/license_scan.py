@@ -2,8 +2,8 @@
 
 Two searches run over every whole text. Base phrases count the places where a phrase's
 words stand one after the other. Templates are found by an exact set-similarity join:
-a text block (a line and the next three, since headers wrap their sentences) meets a
-template if it holds at least ``containment`` of the template's distinct words. A block
+a text block (a line with words and the next three such lines, since headers wrap their
+sentences and set them apart) meets a template if it holds at least ``containment`` of the template's distinct words. A block
 has the words of its first line, so whatever a line alone meets is met.
 
 The join orders words from rare to frequent over all documents. With ``need`` words to
@@ -57,7 +57,7 @@ TEMPLATES = (
 )
 
 CONTAINMENT = 0.8
-#: Neighbouring lines of a block.
+#: Neighbouring lines of a block, lines without a word left out.
 LINES = 4
 
 
@@ -159,7 +159,10 @@ def license_scan(
         "id",
         F.size("words").cast("long").alias("n_words"),
         *[_places(p).alias(f"at{k}") for k, (p, _) in enumerate(base)],
-        F.when(F.arrays_overlap("words", _array(sorted(rare))), F.split("plain", "\n"))
+        F.when(
+            F.arrays_overlap("words", _array(sorted(rare))),
+            F.filter(F.split("plain", "\n"), lambda line: F.trim(line) != ""),
+        )
         .otherwise(F.array().cast("array<string>")).alias("blocks"),
     )
     found = materialize(found, "license-words")

@@ -12,7 +12,7 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
-# The labels' templates, each counted against every line.
+# The labels' templates, each counted against every four lines.
 _TEMPLATES = [
     ("released under the mit license", "mit"),
     ("permission is hereby granted free of charge to any person obtaining a copy of this"
@@ -49,7 +49,10 @@ w AS (SELECT r, doc_id,
              list_filter(string_split_regex(text, '{_NO_WORD}'), lambda x: x <> '') AS w FROM d),
 p AS (SELECT r, doc_id, len(w) AS n_words, {_at('under', 'the', 'mit', 'license')} AS a,
              {_at('apache', 'license', 'version', '2')} AS b, {_at('cc', 'by', 'nc')} AS c FROM w),
-lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
+lists AS (SELECT r, list_filter(string_split(text, chr(10)),
+                               lambda x: regexp_replace(x, '{_NO_WORD}', '', 'g') <> '') AS l FROM d),
+lines AS (SELECT r, unnest(list_transform(range(1, len(l) + 1),
+                               lambda i: array_to_string(l[i:i + 3], ' '))) AS line FROM lists),
 sets AS (SELECT r, list_distinct(string_split_regex(line, '{_NO_WORD}')) AS words FROM lines),
 met AS (SELECT r, label, len(list_intersect(s.words, t.words)) / len(t.words) AS share
         FROM sets s, t WHERE len(list_intersect(s.words, t.words)) >= 0.8 * len(t.words)),

@@ -178,7 +178,8 @@ def train(
     """A model from the labelled rows of ``docs`` that are not held out.
 
     At most ``rows`` labelled ids are used, those with the smallest hash. An id with
-    labels of both kinds counts as the smaller one.
+    labels of both kinds counts as the smaller one, one with several texts as that with the
+    smallest hash.
     """
     picked = (
         labels.select(F.col(id_col).alias("key"), F.col(label_col).alias("label"))
@@ -187,9 +188,11 @@ def train(
         .orderBy(F.xxhash64("key"), "key").limit(rows)
     )
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
-    chosen = texts.join(F.broadcast(picked), "key")
+    chosen = texts.join(F.broadcast(picked), "key").groupBy("key", "label").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    )
     found = feature_counts(chosen, "text", {"key": "key", "label": "label"})
-    held = sorted(found.limit(2 * rows).toLocalIterator(), key=lambda r: r.key)
+    held = sorted(found.toLocalIterator(), key=lambda r: r.key)
     return fit(
         [np.frombuffer(r.features, np.int32) for r in held],
         [np.frombuffer(r.counts, np.float32) for r in held],

@@ -60,23 +60,41 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """All documents under two tokenizer versions, then without their copies, then with
     word counts revised to words with a letter or digit; the second batch comes twice."""
-    docs = _documents(spark, folder)
-    plain = token_counts.counted_words(docs)
-    counts = materialize(plain.unionByName(token_counts.counted(docs, "pieces")), "counts")
-    kept = exact_dedup.exact_dedup(docs).select("doc_id", "kept")
-    gone = counts.join(kept.where("not kept"), "doc_id")
-    lettered = F.filter(F.split("text", r"[ \t\n\x0B\f\r]+"), lambda w: w.rlike(r"[\p{L}\p{Nd}]"))
-    # Counted before any join, so that no text is shuffled.
-    again = materialize(
-        docs.select("doc_id", F.coalesce(F.size(lettered), F.lit(0)).alias("new_tokens")), "recount"
+    return _token_totals(spark, _documents(spark, folder))
+
+
+def _token_totals(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    text = F.col("text")
+    lettered = F.filter(F.split(text, r"[ \t\n\x0B\f\r]+"), lambda w: w.rlike(r"[\p{L}\p{Nd}]"))
+    rows = docs.select(
+        "doc_id", "source", "lang", "text", token_counts.word_count(text).alias("words"),
+        F.coalesce(F.size(lettered), F.lit(0)).cast("long").alias("lettered"),
+        exact_dedup.text_digest(text).alias("digest"),
+    )
+    # One pass over the texts. The stored number tells rows apart that are equal otherwise.
+    names = ("doc_id", "source", "lang", "words", "lettered", "digest")
+    counts = sentencepieces.encode(rows, keep={n: n for n in names}, ids=False)
+    counts = materialize(counts.withColumn("row", F.monotonically_increasing_id()), "counts")
+    # Of equal texts the row with the largest id stays, of rows with that id the last one.
+    digests = materialize(counts.select(F.struct("doc_id", "row").alias("id"), "digest"), "row-digests")
+    kept = exact_dedup.settle(digests).select(F.col("id.row").alias("row"), "kept")
+    counts = counts.join(kept, "row")
+
+    def of(version: str, tokens: str, rows: DataFrame = counts) -> DataFrame:
+        return rows.select(
+            "source", "lang", "kept", F.lit(version).alias("version"), F.col(tokens).cast("long").alias("tokens")
+        )
+
+    both = of("words", "words").unionByName(of("pieces", "n_pieces"))
+    left = counts.where("kept").select(
+        "source", "lang", F.lit("words").alias("version"), F.col("words").alias("old_tokens"),
+        F.col("lettered").alias("new_tokens"),
     )
-    left = again.join(kept.where("kept"), "doc_id")
-    pairs = counts.where("version = 'words'").withColumnRenamed("tokens", "old_tokens")
     rollup = token_counts.Rollup(spark, new_path(spark, "token-totals"))
-    rollup.apply("insert", token_counts.inserts(counts))
+    rollup.apply("insert", token_counts.inserts(both))
     for _ in range(2):
-        rollup.apply("copies", token_counts.deletes(gone))
-    rollup.apply("lettered", token_counts.revisions(pairs.join(left, "doc_id")))
+        rollup.apply("copies", token_counts.deletes(both.where("not kept")))
+    rollup.apply("lettered", token_counts.revisions(left))
     return rollup.totals()
 
 

@@ -12,7 +12,8 @@ be in none. What is left is segmented once per slice of documents and reused. Pi
 equal length in characters advance together: all substrings of one length are hashed at
 once and looked up in that length's sorted piece keys, with the characters compared after
 a hit; then every end place takes the best of its substrings over all rows at once and
-stores a backpointer. Of equal sums the longer last piece wins, as in the library.
+stores a backpointer. Of equal sums the longer last piece wins, as in the library. A very
+long word that cannot be cut advances alone, in blocks.
 
 The scores are the model's own and the result is the best path of the library's unigram
 lattice for them. A model of type BPE, as the public 32k one, was made for merges in order
@@ -43,6 +44,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK, _UNKNOWN_PENALTY = "▁", 10.0
 _BASE, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _FILTER_BITS, _LONG = 20, 32
+#: Characters of a unit from which on it advances alone, and of its blocks.
+_ALONE = 1 << 14
 
 
 def _codes(text: str) -> np.ndarray:
@@ -199,6 +202,63 @@ def viterbi(pieces: Pieces, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found, many
 
 
+def viterbi_alone(pieces: Pieces, codes: np.ndarray) -> np.ndarray:
+    """The numbers of the best pieces of one long unit; unknown characters as above.
+
+    Substrings are looked up in blocks of end places, which see as many characters before
+    them as the longest piece has; at each end the best of all lengths is taken at once.
+    What is kept of the whole unit is a backpointer and a number per character.
+    """
+    lengths = [n for n in sorted(pieces.by_length, reverse=True) if n > 1] + [1]
+    reach, size = max(lengths), len(codes)
+    step, number = np.zeros(size + 1, np.int16), np.zeros(size + 1, np.int32)
+    back = np.array(lengths)
+    tail = np.full(reach, -np.inf)  # the best sums of the places before the block
+    tail[-1] = 0
+    for begin in range(0, size, _ALONE):
+        end = min(begin + _ALONE, size)
+        first = max(0, begin - reach)
+        wide = codes[first:end].astype(np.uint64)
+        values = np.full((len(lengths), end - begin), -np.inf)
+        which = np.zeros((len(lengths), end - begin), np.int32)
+        key = np.zeros(len(wide), np.uint64)
+        for length in range(1, min(reach, len(wide)) + 1):
+            key = key[: len(wide) - length + 1] * _BASE + wide[length - 1 :] + np.uint64(1)
+            if length not in pieces.by_length:
+                continue
+            keys, ids, texts = pieces.by_length[length]
+            ends = np.arange(length, len(wide) + 1) - (begin - first)  # of each substring, in the block
+            maybe = np.flatnonzero(pieces.filters[length][_leading(key)] & (ends > 0))
+            place = np.minimum(np.searchsorted(keys, key[maybe]), len(keys) - 1)
+            hit = keys[place] == key[maybe]
+            maybe, place = maybe[hit], place[hit]
+            for k in range(length):
+                same = wide[maybe + k] == texts[place, k]
+                if not same.all():
+                    maybe, place = maybe[same], place[same]
+            row = lengths.index(length)
+            values[row, ends[maybe] - 1] = pieces.scores[ids[place]]
+            which[row, ends[maybe] - 1] = ids[place]
+        unknown = np.flatnonzero(np.isinf(values[-1]))
+        values[-1, unknown] = pieces.unknown_score
+        which[-1, unknown] = -1 - codes[begin:end][unknown].astype(np.int32)
+        best = np.concatenate([tail, np.empty(end - begin)])
+        rows = np.ascontiguousarray(values.T)
+        chosen = np.empty(end - begin, np.int64)
+        for k in range(end - begin):
+            offered = best[reach + k - back] + rows[k]
+            chosen[k] = top = offered.argmax()  # of equal sums the longest piece
+            best[reach + k] = offered[top]
+        step[begin + 1 : end + 1] = back[chosen]
+        number[begin + 1 : end + 1] = which[chosen, np.arange(end - begin)]
+        tail = best[-reach:]
+    found, at = [], size
+    while at > 0:
+        found.append(number[at])
+        at -= int(step[at])
+    return np.array(found[::-1], np.int64)
+
+
 def _units(pieces: Pieces, words: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
     """The words' characters, long words cut where no piece reaches; units of each word."""
     units, of_word = [], np.ones(len(words), np.int64)
@@ -221,6 +281,14 @@ def _segment(pieces: Pieces, units: list[np.ndarray]) -> tuple[np.ndarray, np.nd
     many, parts, owners = np.zeros(len(units), np.int64), [], []
     for size in np.unique(sizes):
         group = np.flatnonzero(sizes == size)
+        if size > _ALONE:
+            for k in group:
+                flat = viterbi_alone(pieces, units[k])
+                flat, owner = _spell(pieces, flat, np.full(len(flat), k))
+                many[k] = len(flat)
+                parts.append(flat)
+                owners.append(owner)
+            continue
         most = max(1, (1 << 17) // int(size))
         for start in range(0, len(group), most):
             at = group[start : start + most]

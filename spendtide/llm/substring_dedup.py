@@ -1,26 +1,29 @@
 """Passages that repeat across documents, by content-defined chunking.
 
 A gear hash rolls over a text's UTF-8: ``h = 2 h + G[byte]``; its low ``REACH`` bits depend
-on the last ``REACH`` bytes only. A chunk ends where those bits are the smallest within
-``RADIUS`` bytes on either side (the first of equal ones). So a boundary depends on the
-bytes around it and on nothing else: what is inserted before a passage moves its chunks,
-but cuts them alike, and all chunks inside it are whole but for those at its ends.
-
-Chunks are deduplicated by digest: of a digest that occurs in several documents the chunks
-of one document stay, the one with the smallest hash of id and text. Repeated chunks in a
-row make a passage; it counts from ``LEAST_WORDS`` words, so that a common line or phrase
-is none. A shared passage of more than 50 words is found with all but the words at its
-ends. What repeats inside one document only is not looked for. A digest has 64 bits; a
-passage is several chunks in a row, so chance collisions make none.
+on the last ``REACH`` bytes only. A chunk ends where no bits within ``RADIUS`` bytes on either
+side are smaller; of equal places closer than that to each other every one that is
+``RADIUS`` bytes behind the last cut is taken. So a boundary depends on the bytes around it
+and on nothing else: what is inserted before a passage moves its chunks, but cuts them
+alike, and all chunks inside it are whole but for those at its ends. Text that repeats
+after a few bytes is cut at the same place of its period again and again, wherever it
+begins, so its chunks are alike in every copy.
+
+Chunks are deduplicated by digest: of a digest that occurs more than once, in several
+documents or in one, one chunk stays, that of the document with the smallest hash of id and
+text and there the first. Repeated chunks in a row make a passage; it counts from
+``LEAST_WORDS`` words, so that a common line or phrase is none. A shared passage of more than
+50 words is found with all but the words at its ends. A digest has 64 bits; a passage is
+several chunks in a row, so chance collisions make none.
 
 Digests are first counted with partial sums. A second pass cuts the texts again (cheaper
 than to store all chunks) and joins them to the repeated digests in a sort-merge join,
-which Spark splits where one passage is very frequent. Only repeated chunks are gathered
-by document.
+which Spark splits where one passage is very frequent. Only repeated chunks are stored,
+and gathered by document.
 
-Defined results: null and empty texts have no chunks; rows that share an id are told apart
-by their text; rows that are equal in both are one document; an empty table gives an empty
-result; columns other than the id and the text are not read.
+Defined results: null and empty texts have no chunks; rows are documents, whatever their ids,
+so equal rows repeat each other; an empty table gives an empty result; columns other than
+the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -67,18 +70,26 @@ def boundaries(data: np.ndarray) -> np.ndarray:
     before[RADIUS:] = _window_least(sums, RADIUS)[:-RADIUS]
     for k in range(1, min(RADIUS, len(sums))):  # fewer bytes stand before the first places
         before[k] = sums[:k].min()
-    ends = np.flatnonzero((sums < before) & (sums <= after)) + 1
+    ends = np.flatnonzero((sums <= before) & (sums <= after)) + 1
+    if (np.diff(ends) < RADIUS).any():  # equal places
+        kept, last = [], -RADIUS
+        for end in ends.tolist():
+            if end - last >= RADIUS:
+                kept.append(end)
+                last = end
+        ends = np.array(kept)
     return ends if len(ends) and ends[-1] == len(data) else np.append(ends, len(data))
 
 
 def chunks(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, check, n, at, size, words, digest): the chunks of every text, from 0, by place
-    and size in bytes and the words that begin in them; ``check`` hashes id and text."""
+    """(id, check, row, n, at, size, words, digest): the chunks of every text, from 0, by
+    place and size in bytes and the words that begin in them; ``check`` hashes id and text,
+    ``row`` tells rows apart in this frame."""
     rows = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("check"),
-        F.col(text_col).cast("string").alias("text"),
+        F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"),
     )
     kind = dict(rows.dtypes)["id"]
     blank = np.zeros(256, bool)
@@ -109,33 +120,31 @@ def chunks(
                     [
                         part.column("id").take(pa.array(row)),
                         part.column("check").take(pa.array(row)),
+                        part.column("row").take(pa.array(row)),
                         pa.array(n.astype(np.int32)), pa.array(at.astype(np.int32)),
                         pa.array(np.concatenate(sizes or [at]).astype(np.int32)),
                         pa.array(np.concatenate(words or [at]).astype(np.int32)),
                         pa.array(hashes),
                     ],
-                    ["id", "check", "n", "at", "size", "words", "digest"],
+                    ["id", "check", "row", "n", "at", "size", "words", "digest"],
                 )
 
     return rows.mapInArrow(
         run,
-        f"id {kind}, check long, n int, at int, size int, words int, digest long",
+        f"id {kind}, check long, row long, n int, at int, size int, words int, digest long",
     )
 
 
 def repeated_chunks(found: DataFrame) -> DataFrame:
-    """The chunks whose digest occurs in several documents, with ``copies`` and whether
-    this document is the one where they stay."""
-    again = (
-        found.groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("copies"), F.min("check").alias("keeper"),
-             F.max("check").alias("other"))
-        .where("keeper <> other")
-    )
-    again = materialize(again.drop("other"), "repeated-digests")
-    return found.join(again, "digest").select(
-        "id", "check", "n", "at", "size", "words", "copies",
-        (F.col("check") == F.col("keeper")).alias("stays"),
+    """The chunks whose digest occurs again, with ``copies`` and whether this is the one
+    that stays; stored."""
+    again = found.groupBy("digest").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    again = materialize(again, "repeated-digests")
+    repeated = materialize(found.join(again, "digest"), "repeated-chunks")
+    place = F.struct("check", "row", "n")
+    first = materialize(repeated.groupBy("digest").agg(F.min(place).alias("first")), "first-chunks")
+    return repeated.join(first, "digest").select(
+        "id", "check", "row", "n", "at", "size", "words", "copies", (place == F.col("first")).alias("stays")
     )
 
 
@@ -145,13 +154,13 @@ def repeated_passages(
     """One row per repeated passage of each document: id, check, start and size in bytes,
     words, chunks, the most copies of one of its chunks, and ``kept_bytes``, how much of
     it stays here (0: all of it stands elsewhere and may go)."""
-    repeated = materialize(repeated_chunks(chunks(docs, id_col, text_col)), "repeated-chunks")
-    row = Window.partitionBy("id", "check").orderBy("n")
-    once = repeated.withColumn("last", F.lag("n").over(row)).where("last is null or last <> n")
-    runs = once.withColumn("run", F.col("n") - F.row_number().over(row))
+    repeated = repeated_chunks(chunks(docs, id_col, text_col))
+    along = Window.partitionBy("row").orderBy("n")
+    runs = repeated.withColumn("run", F.col("n") - F.row_number().over(along))
     return (
-        runs.groupBy("id", "check", "run")
+        runs.groupBy("row", "run")
         .agg(
+            F.first("id").alias("id"), F.first("check").alias("check"),
             F.min("at").alias("start"),
             F.max(F.col("at") + F.col("size")).alias("end"),
             F.sum("words").cast("int").alias("words"),

@@ -2,31 +2,45 @@
 
 A batch of changes inserts documents, deletes them, or revises their counts; its rows are
 signed: +1 document and +n tokens, -1 and -n, or 0 and the difference. Only the batch's
-sums by key are stored, in a folder of its own, and a total is the sum of its batches'
-sums, so totals never rescan documents.
+sums by key are stored, as a part of its own, and totals are sums of sums, so they never
+rescan documents.
 
-A batch is committed by its name. Its sums are written first, then one row in the table of
-commits; sums without a commit count for nothing and are written over when the batch is
-tried again, and a batch that is committed already is not applied again. Both folders lie
-in the store's path, which all executors and the driver share.
+A batch is committed by its name: its sums are written first, then one small file of that
+name that says where they are, which appears only if there is none yet. Sums without a
+commit count for nothing, and a batch that is committed already is not applied again. Every
+``FOLD`` commits the totals so far are written as one part, under the next number, with
+the names that are in it, so reading totals opens that part and fewer than ``FOLD`` others,
+however many batches there were. All files lie in the store's path, which all executors
+and the driver share.
 
 Defined results: a null source or language is a key of its own; a null text counts as an
 empty one with no tokens; a null old or new count counts as 0; an empty batch is committed
-without sums; an empty store has no totals; extra columns are never read.
+without sums; an empty store has no totals; extra columns are never read. Rows, not ids,
+are counted: those with a null or repeated id one by one.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendtide.llm import sentencepieces
+from spendtide.sources.commit_log import Log
 
 KEYS = ("source", "lang", "version")
 _SUMS = "source string, lang string, version string, docs long, tokens long"
-_COMMITS = "batch string, rows long"
+#: Commits after which the totals are written as one part.
+FOLD = 50
+
+
+def word_count(text: Column) -> Column:
+    """Runs of signs other than white space."""
+    text = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\f\r", "     ")
+    return F.size(F.array_remove(F.split(text, " "), "")).cast("long")
 
 
 def counted(docs: DataFrame, version: str, model: str = sentencepieces.MODEL) -> DataFrame:
@@ -41,11 +55,9 @@ def counted(docs: DataFrame, version: str, model: str = sentencepieces.MODEL) ->
 
 def counted_words(docs: DataFrame, version: str = "words") -> DataFrame:
     """The same with runs of signs other than white space as tokens."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    words = F.array_remove(F.split(F.translate(text, "\t\n\x0b\f\r", "     "), " "), "")
     return docs.select(
         "doc_id", "source", "lang", F.lit(version).alias("version"),
-        F.size(words).cast("long").alias("tokens"),
+        word_count(F.col("text")).alias("tokens"),
     )
 
 
@@ -74,38 +86,60 @@ class Rollup:
     spark: SparkSession
     path: str
 
-    def _exists(self, path: str) -> bool:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
+    def _state(self) -> tuple[str | None, set[str], dict[str, str], int]:
+        """The folded part, the names in it, the parts of other commits by name, and the
+        number of folds."""
+        log = Log(self.spark, self.path)
+        names = log.names()
+        folds = [n for n in names if n.endswith(".fold")]
+        folded = log.read(folds[-1]) if folds else {"part": None, "names": []}
+        known = set(folded["names"])
+        rest = {unquote(n.removesuffix(".batch")) for n in names if n.endswith(".batch")} - known
+        return folded["part"], known, {n: log.read(_file(n))["part"] for n in sorted(rest)}, len(folds)
 
     def commits(self) -> DataFrame:
-        path = f"{self.path}/commits"
-        if not self._exists(path):
-            return self.spark.createDataFrame([], _COMMITS)
-        return self.spark.read.schema(_COMMITS).parquet(path)
+        """The names of all committed batches."""
+        _, folded, rest, _ = self._state()
+        return self.spark.createDataFrame([(n,) for n in sorted(folded | set(rest))], "batch string")
+
+    def _write(self, sums: DataFrame) -> str:
+        part = f"sums/{uuid4().hex}"
+        sums.coalesce(1).write.parquet(f"{self.path}/{part}")
+        return part
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
         """Commit the signed ``changes``; False if the batch was committed before."""
-        if not self.commits().where(F.col("batch") == batch).isEmpty():
+        log = Log(self.spark, self.path)
+        if _file(batch) in log.names():
             return False
         sums = changes.groupBy(*KEYS).agg(
             F.sum("docs").cast("long").alias("docs"), F.sum("tokens").cast("long").alias("tokens")
         )
-        sums.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/sums/batch={batch}")
-        done = self.spark.range(1).select(
-            F.lit(batch).alias("batch"), F.lit(None).cast("long").alias("rows")
+        done = log.create(_file(batch), {"part": self._write(sums)})
+        if done:
+            self._fold()
+        return done
+
+    def _fold(self) -> None:
+        part, folded, rest, number = self._state()
+        if len(rest) >= FOLD:
+            whole = self._write(self._sums(part, rest))
+            content = {"part": whole, "names": sorted(folded | set(rest))}
+            Log(self.spark, self.path).create(f"{number + 1:020d}.fold", content)
+
+    def _sums(self, part: str | None, rest: dict[str, str]) -> DataFrame:
+        parts = [f"{self.path}/{p}" for p in [part, *rest.values()] if p]
+        if not parts:
+            return self.spark.createDataFrame([], _SUMS)
+        return self.spark.read.schema(_SUMS).parquet(*parts).groupBy(*KEYS).agg(
+            F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")
         )
-        done.write.mode("append").parquet(f"{self.path}/commits")
-        return True
 
     def totals(self) -> DataFrame:
         """Documents and tokens of every key, keys without either left out."""
-        if not self._exists(f"{self.path}/sums"):
-            return self.spark.createDataFrame([], _SUMS)
-        sums = self.spark.read.schema(f"{_SUMS}, batch string").parquet(f"{self.path}/sums")
-        return (
-            sums.join(self.commits().select("batch").distinct(), "batch", "left_semi")
-            .groupBy(*KEYS)
-            .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-            .where("docs <> 0 or tokens <> 0")
-        )
+        part, _, rest, _ = self._state()
+        return self._sums(part, rest).where("docs <> 0 or tokens <> 0")
+
+
+def _file(batch: str) -> str:
+    return f"{quote(batch, safe='')}.batch"

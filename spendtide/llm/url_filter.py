@@ -7,9 +7,13 @@ to the rules of its host and of every parent domain; the as-of join finds, for e
 them, the interval that holds the fetch time, and the longest domain with an action in
 force decides.
 
-Captures meet intervals by the domain itself in an ordinary join, in which Spark splits a
-frequent host, and one partial maximum per capture picks the verdict. A capture has as
-many candidate domains as its host has labels.
+Captures meet intervals by rule and day: a rule's day holds the intervals that begin on it
+and the one that is open at its start, which a running last value along the rule's days
+carries in. So a capture is compared with the entries of one day of each of its domains,
+however long the list of a domain is, and a frequent domain has a key for each day, which
+Spark splits further. Only domains that have entries are joined, and one partial maximum
+per capture picks the verdict. A capture has as many candidate domains as its host has
+labels.
 
 Defined results: of entries of a rule at the same time the one with the greatest action
 counts, NULL below all others; rules are compared without letter case and outer dots;
@@ -54,6 +58,32 @@ def intervals(entries: DataFrame) -> DataFrame:
     return one.withColumn("until", until).where("action is not null")
 
 
+def by_day(held: DataFrame, keys: DataFrame) -> DataFrame:
+    """(rule, day, list): the intervals that any day of ``keys`` (rule, day) or of the
+    intervals can ask for, in order of time."""
+    interval = F.struct("since", "until", "action")
+    own = held.groupBy("rule", F.to_date("since").alias("day")).agg(
+        F.sort_array(F.collect_list(interval)).alias("own"), F.max(interval).alias("last")
+    )
+    asked = keys.select("rule", "day").distinct().withColumns({
+        "own": F.lit(None).cast(own.schema["own"].dataType),
+        "last": F.lit(None).cast(own.schema["last"].dataType),
+    })
+    days = own.unionByName(asked).groupBy("rule", "day").agg(
+        F.any_value("own", True).alias("own"), F.any_value("last", True).alias("last")
+    )
+    earlier = Window.partitionBy("rule").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.last("last", ignorenulls=True).over(earlier)
+    none = F.array().cast(own.schema["own"].dataType)
+    return days.withColumn("carried", carried).select(
+        "rule", "day",
+        F.concat(
+            F.when(F.col("carried").isNotNull(), F.array("carried")).otherwise(none),
+            F.coalesce("own", none),
+        ).alias("list"),
+    )
+
+
 def verdicts(
     captures: DataFrame, entries: DataFrame,
     id_col: str = "page_id", url_col: str = "url", at_col: str = "fetched_at",
@@ -65,12 +95,24 @@ def verdicts(
         F.col(url_col).alias("url"), F.col(at_col).cast("timestamp").alias("fetched_at"),
     ).withColumn("host", host(F.col("url")))
     rows = materialize(rows, "captures")
-    keys = rows.where("host is not null and fetched_at is not null").select(
-        "row", "fetched_at", F.explode(domains(F.col("host"))).alias("rule")
-    )
     held = materialize(intervals(entries), "intervals")
-    in_force = keys.join(held, "rule").where(
-        "since <= fetched_at and (until is null or fetched_at < until)"
+    keys = (
+        rows.where("host is not null and fetched_at is not null")
+        .select("row", "fetched_at", F.explode(domains(F.col("host"))).alias("rule"))
+        .join(held.select("rule").distinct(), "rule", "left_semi")
+        .withColumn("day", F.to_date("fetched_at"))
+    )
+    keys = materialize(keys, "capture-domains")
+    active = F.filter(
+        "list",
+        lambda i: (i["since"] <= F.col("fetched_at"))
+        & (i["until"].isNull() | (F.col("fetched_at") < i["until"])),
+    )
+    in_force = (
+        keys.join(by_day(held, keys), ["rule", "day"])
+        .withColumn("entry", F.get(active, F.lit(0)))
+        .where("entry is not null")
+        .select("row", "rule", "entry.action", "entry.since")
     )
     best = in_force.groupBy("row").agg(
         F.max(F.struct(F.length("rule").alias("size"), "rule", "action", "since")).alias("best")

@@ -127,3 +127,46 @@ def test_blocks_of_items(spark, monkeypatch, benchmark_rows):
     assert {(r.id, r.item) for r in d.matches(docs, bench).collect()} >= {
         (k, k) for k, _ in benchmark_rows
     }
+
+
+def test_stretches_of_a_text_find_what_the_whole_does(benchmark_rows, monkeypatch):
+    """Few shared runs at a time: many copies of items that have a stem in common."""
+    rng = random.Random(8)
+    stem = [f"stem{k}" for k in range(12)]
+    rows = [(k, " ".join(stem + [f"w{rng.randrange(400)}" for _ in range(15)])) for k in range(60)]
+    items = d.Items.build([(k, t.encode()) for k, t in rows], d.SIMILARITY)
+    text = []
+    for k, t in rows:
+        text += edited(t.split(), rng.randrange(3), rng) + [f"x{rng.random()}"] * rng.randrange(9)
+    flat = np.array([items.codes.get(w.encode(), 0) for w in text])
+    whole = d.search(items, flat, np.array([0]), d.SIMILARITY)
+    assert {k for _, k, *_ in whole} == set(range(60))
+    monkeypatch.setattr(d, "ANCHORS", 50)
+    assert sorted(d.search(items, flat, np.array([0]), d.SIMILARITY)) == sorted(whole)
+    largest = max(len(w) for w, _ in d._stretches(items, flat))
+    assert largest < 60 * 12 * 12 * 6
+
+
+def test_candidates_come_from_the_buckets(benchmark_rows, monkeypatch):
+    """Without a bucket that holds it an item is not found, whatever it shares."""
+    items = d.Items.build([(k, t.encode()) for k, t in benchmark_rows], d.SIMILARITY)
+    monkeypatch.setattr(d.Items, "look_up", lambda self, windows, size: (np.empty(0, np.int64), np.empty(0, np.int64)))
+    assert d.search(items, items.words[0], np.array([0]), d.SIMILARITY) == []
+
+
+def test_query_against_all_pairs(spark):
+    """The query's rows on the smallest tables: every document against every item."""
+    from spendtide.llm.queries import op5_decontaminate
+    folder = FOLDER.replace("0.01", "0.001")
+    docs = duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet'").fetchall()
+    bench = duckdb.sql(f"SELECT item_id, text FROM '{folder}/benchmark.parquet'").fetchall()
+    want = {}
+    for key, text in docs:
+        words = d.words_of(text.encode())
+        for name, item in bench:
+            own = d.words_of(item.encode())
+            best = d.distance_within(own, words, d.edits_allowed(len(own)))
+            if best:
+                want[key, name] = (best[0], len(own))
+    found = {(r.doc_id, r.item_id): (r.edits, r.item_words) for r in op5_decontaminate(spark, folder).collect()}
+    assert found == want and len(want) >= 3

@@ -93,5 +93,13 @@ def test_templates_in_wrapped_and_commented_headers(spark):
         "Redistribution and use in source\n" + "\n" * 4 + "and binary forms with or without modification are permitted",
     ]
     found = scan(spark, texts)
-    assert [found[k].labels for k in range(6)] == ["bsd", "mit", "gpl", "mpl-2", "apache-2", ""]
-    assert all(found[k].score == 1.0 for k in range(5)) and found[5].score == 0.0
+    assert [found[k].labels for k in range(6)] == ["bsd", "mit", "gpl", "mpl-2", "apache-2", "bsd"]
+    assert all(found[k].score == 1.0 for k in range(6))
+
+
+def test_empty_lines_do_not_part_a_notice(spark):
+    words = "This work is licensed under the GNU General Public License version 3".split()
+    lines = [" ".join(words[k : k + 3]) for k in range(0, 12, 3)]
+    texts = ["\n\n".join(lines), "\n # \n\n*\n".join(lines), "\n".join(lines), "\nelse\n".join(lines)]
+    found = scan(spark, texts)
+    assert [found[k].labels for k in range(4)] == ["gpl-3", "gpl-3", "gpl-3", ""]

@@ -1,6 +1,9 @@
 """Viterbi pieces against the library's unigram lattice, and exact round trips."""
 
+import time
+
 import duckdb
+import numpy as np
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -82,3 +85,23 @@ def test_tables(spark):
     assert p.encode(documents(spark, [])).isEmpty()
     counts = p.encode(documents(spark, rows), ids=False)
     assert counts.columns == ["doc_id", "n_pieces"]
+
+
+def test_a_long_unit_advances_alone(monkeypatch):
+    """The same pieces in blocks as in one table, unknown characters and ties included."""
+    pieces, rng = p.Pieces.load(), np.random.default_rng(1)
+    for signs in ("abcdefgh", "aaaab", "漢字x🙂", "0123456789ABCDEF="):
+        codes = p._codes("".join(rng.choice(list(signs), 700)))
+        ids, many = p.viterbi(pieces, codes[None, :])
+        whole = ids[0, len(codes) - many[0] :].tolist()
+        for block in (3, 64, 10_000):
+            monkeypatch.setattr(p, "_ALONE", block)
+            assert p.viterbi_alone(pieces, codes).tolist() == whole, (signs, block)
+
+
+def test_a_very_long_word_in_bounded_time():
+    pieces, rng = p.Pieces.load(), np.random.default_rng(2)
+    word = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789+/"), 400_000))
+    start = time.perf_counter()
+    (ids,) = p.encode_texts(pieces, [f"so {word} long"])
+    assert time.perf_counter() - start < 20 and p.decode_ids(pieces, ids.tolist()) == f"so {word} long"
