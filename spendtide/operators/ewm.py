@@ -96,13 +96,17 @@ def ewm_along(df: DataFrame, value: str, span: float, out: str, position: str) -
     decay, length = _decay(span), block_length(span)
     place, block = F.col(position) % length, Window.partitionBy("_block").orderBy(position)
     step = F.coalesce(F.col(value) - F.lag(value).over(block), F.lit(0.0))
-    df = df.withColumn("_block", F.floor(F.col(position) / length))
+    # Never NULL, so the join below adds no filter to one of the two uses of the rows.
+    df = df.withColumn("_block", F.coalesce(F.floor(F.col(position) / length), F.lit(0)))
     df = df.withColumn("_own", step).withColumn("_own", _own_lag(F.col("_own"), place, decay, block))
 
+    # Taking the whole row along keeps this branch's input equal to the rows, so both read
+    # one exchange and what comes before it runs once.
     ends = df.groupBy("_block").agg(
-        F.max_by("_own", position).alias("lag"),
+        F.max_by(F.struct(*df.columns), position).alias("end"),
         F.min_by(value, position).alias("first"),
-        F.max_by(value, position).alias("last"),
+    ).select(
+        "_block", F.col("end._own").alias("lag"), "first", F.col(f"end.`{value}`").alias("last")
     )
     seen = ends.select(
         F.struct("_block", "lag", "first", "last").alias("end"),

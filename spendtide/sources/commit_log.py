@@ -85,19 +85,20 @@ class Log:
     def _path(self, name: str = ""):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self._folder}/{name}" if name else self._folder)
 
-    def _names(self) -> list[str]:
+    def names(self) -> list[str]:
+        """The log's files, in order."""
         if not self._fs.exists(self._path()):
             return []
         return sorted(f.getPath().getName() for f in self._fs.listStatus(self._path()))
 
-    def _read(self, name: str) -> dict:
+    def read(self, name: str) -> dict:
         stream = self._fs.open(self._path(name))
         try:
             return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _create(self, name: str, content: dict) -> bool:
+    def create(self, name: str, content: dict) -> bool:
         """Make the file, whole; False if there is one of that name."""
         hidden = self._path(f".{uuid4().hex}")
         stream = self._fs.create(hidden, True)
@@ -129,28 +130,28 @@ class Log:
 
     def commits(self, since: int = 0) -> list[tuple[int, Commit]]:
         """The commits behind number ``since``, with their numbers."""
-        numbers = [int(n.split(".")[0]) for n in self._names() if n.endswith(".json")]
-        return [(n, Commit(**self._read(f"{n:020d}.json"))) for n in numbers if n > since]
+        numbers = [int(n.split(".")[0]) for n in self.names() if n.endswith(".json")]
+        return [(n, Commit(**self.read(f"{n:020d}.json"))) for n in numbers if n > since]
 
     def state(self) -> State:
         """The table as of now: the last written state and the commits since."""
-        names = self._names()
+        names = self.names()
         written = [n for n in names if n.endswith(".state")]
-        state = State(**self._read(written[-1])) if written else State()
+        state = State(**self.read(written[-1])) if written else State()
         for name in names:
             if name.endswith(".json") and int(name.split(".")[0]) > state.version:
-                state = state.after(Commit(**self._read(name)))
+                state = state.after(Commit(**self.read(name)))
         return state
 
     def commit(self, state: State, commit: Commit, gives_way: Callable[[Commit], bool]) -> bool:
         """Add ``commit``, worked out from ``state``; False if a commit made since then is
         one that it gives way to."""
-        while not self._create(f"{state.version + 1:020d}.json", vars(commit)):
-            other = Commit(**self._read(f"{state.version + 1:020d}.json"))
+        while not self.create(f"{state.version + 1:020d}.json", vars(commit)):
+            other = Commit(**self.read(f"{state.version + 1:020d}.json"))
             if gives_way(other):
                 return False
             state = state.after(other)
         state = state.after(commit)
         if state.version % SNAPSHOT_EVERY == 0:
-            self._create(f"{state.version:020d}.state", vars(state))
+            self.create(f"{state.version:020d}.state", vars(state))
         return True

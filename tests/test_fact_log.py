@@ -138,7 +138,7 @@ def test_log_is_read_from_its_last_state(spark, tmp_path, monkeypatch):
 
 def test_a_number_is_taken_once(spark, tmp_path):
     log = Log(spark, str(tmp_path))
-    assert log._create("x.json", {"n": 1}) and not log._create("x.json", {"n": 2})
+    assert log.create("x.json", {"n": 1}) and not log.create("x.json", {"n": 2})
     assert json.loads((tmp_path / "_log" / "x.json").read_text()) == {"n": 1}
     # The way of other file systems: a rename that never overwrites.
     (tmp_path / "_log" / "a").write_text("a")
