@@ -179,7 +179,9 @@ def frequent_words(docs: DataFrame, text_col: str = "text") -> list[bytes]:
 
     text = docs.select(F.col(text_col).cast("string").alias("text"))
     counts = text.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(ENTRIES).collect()]
+    # Stored, so that the best of every partition meet in a task and not on the driver.
+    best = materialize(counts.orderBy(F.desc("n"), "word").limit(ENTRIES), "dictionary")
+    return [bytes(r.word) for r in best.orderBy(F.desc("n"), "word").collect()]
 
 
 def features(
