@@ -375,17 +375,18 @@ def _zscore(source, level: str, grain: str) -> Query:
 
 
 def _kept(
-    spark: SparkSession, folder: str, source, split: date, levels: tuple[str, ...]
+    spark: SparkSession, folder: str, source, split: date, cfg: JobConfig, levels: tuple[str, ...]
 ) -> KeptState:
-    """The state of a fact that was loaded out of order: the late days first, with amounts
-    restated later, then all others; refreshed after each load."""
+    """The state of a run's window of costs that was loaded out of order: the late days
+    first, with amounts restated later, then all others; refreshed after each load."""
     base = new_path(spark, "kept")
-    costs, path = source(spark, folder), f"{base}/fact"
+    costs = lookback_window(source(spark, folder), cfg.as_of, cfg.lookback_months)
+    path = f"{base}/fact"
     late = F.col("STARTDATE") >= F.lit(split)
     kept = KeptState(spark, path, f"{base}/state")
     loads = [
         lambda: facts.append_fact(costs.where(late).withColumn("USD", F.col("USD") * 2), path),
-        lambda: facts.replace_days(spark, path, split, date(2010, 1, 1), lambda _: costs),
+        lambda: facts.replace_days(spark, path, split, cfg.as_of, lambda _: costs),
         lambda: facts.append_fact(costs.where(~late), path),
     ]
     for load in loads:
@@ -404,7 +405,7 @@ KEPT = {
 
 def _moments_kept(source, split: date, cfg: JobConfig, level: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        kept = _kept(spark, folder, source, split, (level,))
+        kept = _kept(spark, folder, source, split, cfg, (level,))
         states = kept.states(level, months_back(cfg.as_of, cfg.lookback_months), cfg.as_of)
         return _fixed(moments_of(states, LEVELS[level], f"{level}_day"))
 
@@ -414,7 +415,7 @@ def _moments_kept(source, split: date, cfg: JobConfig, level: str) -> Query:
 def spike_alerts_tag_kept(spark: SparkSession, folder: str) -> DataFrame:
     """Tag spikes by moments that were kept while the fact was loaded out of order."""
     cfg = ORDERS_RUN
-    kept = _kept(spark, folder, orders_as_costs, KEPT_SPLIT, ("svc_tag",))
+    kept = _kept(spark, folder, orders_as_costs, KEPT_SPLIT, cfg, ("svc_tag",))
     since = months_back(cfg.as_of, cfg.lookback_months)
     found = daily_job.Alerts(
         kept.cube.read(since, cfg.as_of), cfg, tag_states=kept.states("svc_tag", since, cfg.as_of)

@@ -444,10 +444,10 @@ def _series_and_trend() -> dict[str, str]:
                 'amz_tot_{c.ORDERS_RUN.as_of:%Y%m%d}' AS link FROM svc_spikes""",
         "series_spike_365": _series_spike("_lineitem", replace(c.LINEITEM_RUN, chart_rows=365)),
         "message_payload": f"""{_message_rows("_strict", c.STRICT_RUN)},
-            placed AS (SELECT *, CAST((row_number() OVER (PARTITION BY section_no
+            parted AS (SELECT *, CAST((row_number() OVER (PARTITION BY section_no
                 ORDER BY label_no, "rank") - 1) // 3 + 1 AS INTEGER) AS part_no FROM message)
             SELECT section, part_no, label, string_agg(text || '|' || link, ';' ORDER BY "rank") AS links
-            FROM placed GROUP BY section, part_no, label""",
+            FROM parted GROUP BY section, part_no, label""",
         "zscore_svc_day_exact": f"""WITH day AS (SELECT SERVICE, STARTDATE,
                 CAST(sum(CAST(USD AS DECIMAL(28, 12))) AS DOUBLE) AS USD FROM ({FACTS['']}) GROUP BY ALL)
             SELECT SERVICE, STARTDATE, {_r(_r2("USD"))} AS USD, {_r(_z("SERVICE"), 6)} AS svc_day_zscore

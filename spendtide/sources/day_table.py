@@ -10,7 +10,8 @@ those days meanwhile; loads of other days, and appends, just follow each other.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 from uuid import uuid4
@@ -23,6 +24,8 @@ from spendtide.sources.commit_log import Commit, Log, State
 
 #: How often a load is worked out again when other writers change its days.
 ATTEMPTS = 10
+#: The first day that a change of the whole table is taken to touch; the last is ``date.max``.
+FIRST_DAY = date(1000, 1, 1)
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -39,6 +42,18 @@ def within(df: DataFrame, day: str, first: date | None, last: date | None) -> Da
     return df
 
 
+@contextmanager
+def _few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed while a scan is made; by default each by a task of its own."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(usual), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, usual)
+
+
 def joined(stretches: list[tuple[date, date]]) -> list[tuple[date, date]]:
     """Stretches of days without those that overlap or follow each other."""
     found: list[tuple[date, date]] = []
@@ -96,7 +111,8 @@ class DayTable:
         if not held:
             return self.spark.createDataFrame([], self.schema)
         kind = T.StructType([*self.schema.fields, T.StructField("part", T.StringType())])
-        found = self.spark.read.schema(kind).option("basePath", self.path).parquet(*held)
+        with _few_listing_tasks(self.spark):
+            found = self.spark.read.schema(kind).option("basePath", self.path).parquet(*held)
         return within(found, self.day, first, last).select(*self.schema.names)
 
     def _store(self, df: DataFrame) -> tuple[str, dict[str, int]]:
@@ -111,7 +127,8 @@ class DayTable:
         rows = rows.observe(sent, F.count(F.lit(1)).alias("rows"))
         where = f"{self.path}/part={part}"
         _write(rows.sortWithinPartitions(self.day, *self.order), where, self.day)
-        stored = self.spark.read.schema(self.schema).parquet(where)
+        with _few_listing_tasks(self.spark):
+            stored = self.spark.read.schema(self.schema).parquet(where)
         counts = stored.groupBy(self.day).agg(F.count(F.lit(1)).alias("rows")).collect()
         found = {_NO_DAY if r[0] is None else str(r[0]): r[1] for r in counts}
         if sum(found.values()) != sent.get.get("rows", 0):
@@ -152,7 +169,7 @@ class DayTable:
             if version > state.version:
                 continue
             if commit.action == "overwrite":
-                found.append((date.min, date.max))
+                found.append((FIRST_DAY, date.max))
             if commit.action == "replace":
                 found.append((date.fromisoformat(commit.first), date.fromisoformat(commit.last)))
             days = [date.fromisoformat(d) for d in commit.rows if d != _NO_DAY]
