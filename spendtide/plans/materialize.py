@@ -16,9 +16,15 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def name_work_folder(spark: SparkSession) -> None:
-    """Name a folder beside the warehouse's tables where the session has none."""
+    """Name a folder beside the warehouse's tables where the session has none.
+
+    A warehouse on a machine's own disk will do only where all tasks run on that machine.
+    """
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        one_machine = spark.sparkContext.master.split("[")[0] == "local"
+        if warehouse.startswith(("file:", "/")) and not one_machine:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         spark.sparkContext.setCheckpointDir(f"{warehouse}/_work")
 
 

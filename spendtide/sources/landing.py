@@ -165,7 +165,8 @@ def parse_pages(lines: DataFrame) -> DataFrame:
 
     A file may have one page on a line, several on a line, pages over many lines, or all
     of these. A line that can only be one page is read as such, where it stands; all
-    others are cut into pages by their braces.
+    others are cut into pages by their braces. Whether there are others is looked up
+    first, so pages on lines take one plain scan.
     """
     line = F.trim("value")
     one_page = (
@@ -173,8 +174,10 @@ def parse_pages(lines: DataFrame) -> DataFrame:
         & ~line.rlike(_BETWEEN_PAGES)
     )
     alone = lines.where(one_page).select("file", line.alias("raw"))
-    rest = _pages_over_lines(lines.where(~one_page & (line != "")))
-    found = _parsed(alone).unionByName(_parsed(rest))
+    rest = lines.where(~one_page & (line != ""))
+    found = _parsed(alone)
+    if not rest.isEmpty():
+        found = found.unionByName(_parsed(_pages_over_lines(rest)))
     return found.select(
         "file", "reason", F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"),
         *[F.when(F.col("reason").isNull(), F.col(f"page.{n}")).alias(n) for n in RAW_PAGES.names],
@@ -205,10 +208,15 @@ def expected_days(spark: SparkSession, first: date, last: date) -> DataFrame:
     )
 
 
+def _each_day() -> Column:
+    """The days of a page as ``d``, NULL for a page without: an inner explode would make
+    Spark ask below it whether there are any, by parsing every page once more."""
+    return F.explode_outer("ResultsByTime").alias("d")
+
+
 def landed_days(pages: DataFrame) -> DataFrame:
     """The days that the pages report on, those without spend as well."""
-    day = F.explode("ResultsByTime").alias("d")
-    return pages.select(day).select(
+    return pages.select(_each_day()).select(
         F.to_date("d.TimePeriod.Start", "yyyy-MM-dd").alias("STARTDATE")
     ).where("STARTDATE is not null").distinct()
 
@@ -225,7 +233,7 @@ def flatten_cost_pages(pages: DataFrame, double_strip_tag: bool = False) -> Data
     A day spans from its start to the next day. Groups without the cost metric have a
     NULL amount here, and are rejected later.
     """
-    groups = pages.select(F.explode("ResultsByTime").alias("d")).select(
+    groups = pages.select(_each_day()).select(
         F.to_date("d.TimePeriod.Start", "yyyy-MM-dd").alias("STARTDATE"),
         F.explode("d.Groups").alias("g"),
     )
@@ -269,7 +277,7 @@ def _reason(exact: bool) -> Column:
 
 def rejected(pages: DataFrame, double_strip_tag: bool = False, exact: bool = False) -> DataFrame:
     """What a load cannot read: (file, reason, raw) of pages and of rows in them."""
-    days = pages.select("file", F.explode("ResultsByTime").alias("d"))
+    days = pages.select("file", _each_day()).where("d is not null")
     rows = flatten_cost_pages(pages, double_strip_tag).where(_reason(exact).isNotNull())
     return (
         pages.where("reason is not null").select("file", "reason", "raw")

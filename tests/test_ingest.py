@@ -11,7 +11,7 @@ from spendtide.__main__ import main, parse
 from spendtide.config import JobConfig
 from spendtide.functions.text import clean_tag
 from spendtide.plans.daily_job import load_costs, run
-from spendtide.plans.materialize import materialize, work_folder
+from spendtide.plans.materialize import materialize, name_work_folder, work_folder
 from spendtide.schema import COST_FACT
 from spendtide.sources import day_table, facts, jdbc, landing
 from spendtide.streaming.landing_stream import append_landed
@@ -328,6 +328,25 @@ def test_work_folder(spark):
         work_folder(_Session())
 
 
+class _Cluster(_Session):
+    """One on a cluster, with the warehouse given."""
+
+    def __init__(self, warehouse):
+        self.conf, self.sparkContext, self.master = {"spark.sql.warehouse.dir": warehouse}, self, "spark://host:7077"
+
+    def setCheckpointDir(self, path):
+        self.named = path
+
+
+def test_no_work_folder_on_one_machine_of_a_cluster():
+    for warehouse in ("file:/tmp/warehouse", "/tmp/warehouse"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            name_work_folder(_Cluster(warehouse))
+    shared = _Cluster("hdfs://host/warehouse/")
+    name_work_folder(shared)
+    assert shared.named == "hdfs://host/warehouse/_work"
+
+
 def test_daily_run_end_to_end(spark, tmp_path):
     landed = tmp_path / "landing"
     landed.mkdir()

@@ -68,6 +68,11 @@ def test_gap_fill_reads_the_fact_once(spark):
     assert final.count("FileScan") == 1 and "ReusedExchange" in final
 
 
+def test_pages_on_lines_take_one_scan(spark):
+    text = plan(catalog.queries()["flatten_cost_pages"](spark, FOLDER))
+    assert text.count("FileScan text") == 1 and "Window" not in text and "Exchange" not in text
+
+
 def test_tag_statistics_share_one_exchange(spark):
     cube = daily_cube(orders_as_costs(spark, FOLDER))
     tags = tag_stats(cube).select("SERVICE", "TAG", "svc_tag_day_zscore", "svc_tag_wk_zscore")
