@@ -40,7 +40,8 @@ from spendtide.plans.materialize import materialize
 WORDS, RADIUS, SEED = 3, 3, 42
 #: Variants that one bucket holds in the mean, eight bytes each.
 BUCKET_VARIANTS = 4_000_000
-_SLICE = 16_384
+#: Fingerprints of a task that emits variants, and of those that it holds variants of.
+_TASK, _SLICE = 16_384, 4096
 _ODD = 0x9E3779B97F4A7C15
 _MIX, _UNMIX = np.uint64(_ODD), np.uint64(pow(_ODD, -1, 1 << 64))
 
@@ -148,7 +149,7 @@ def links(fps: DataFrame) -> DataFrame:
     """Verified links (a, b) between the distinct, stored fingerprints ``fps`` (fp)."""
     count = fps.count()
     mean = (len(_ones) + len(_twos) / 2) * count
-    fps = fps.repartition(max(1, -(-count // _SLICE)), "fp")  # a slice emits far more than it is
+    fps = fps.repartition(max(1, -(-count // _TASK)), "fp")  # a slice emits far more than it is
     bits = max(12, int(np.ceil(np.log2(max(1, mean / BUCKET_VARIANTS)))))
 
     def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
