@@ -8,8 +8,9 @@ counted with, so the dealt rows must be stored between the two steps.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendtide.plans.materialize import materialize
@@ -30,13 +31,17 @@ def dealt(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
 
 
 def numbered(stored: DataFrame, out: str) -> DataFrame:
-    """The stored rows of ``dealt`` with their place in the order, from 0."""
+    """The stored rows of ``dealt`` with their place in the order, from 0.
+
+    The ranges are counted at once: a number for each, as many as the shuffle has
+    partitions.
+    """
     placed = stored.withColumn("_range", F.shiftright(AT, _ROW_BITS))
-    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    sizes = sorted(placed.groupBy("_range").count().collect())
+    before = accumulate((size for _, size in sizes), initial=0)
+    offsets = [(which, offset) for (which, _), offset in zip(sizes, before)]
+    offsets = stored.sparkSession.createDataFrame(offsets, "_range long, _offset long")
     place = F.col("_offset") + F.col(AT).bitwiseAND((1 << _ROW_BITS) - 1)
-    # One row per range, as many as the shuffle has partitions.
     return (
         placed.join(F.broadcast(offsets), "_range")
         .withColumn(out, place)

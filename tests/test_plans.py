@@ -25,7 +25,11 @@ def exchanges(df) -> int:
     return len(re.findall(r" Exchange ", plan(df)))
 
 
-@pytest.mark.parametrize("name", list(catalog.queries()))
+# Plans that only read back what a run or a refresh has stored say nothing of its making.
+STORED = ("stored_messages", "stored_enriched", "stored_alert", "daily_runs_kept", "moments_kept")
+
+
+@pytest.mark.parametrize("name", [n for n in catalog.queries() if not n.startswith(STORED)])
 def test_no_python_and_no_pairing_joins(spark, name):
     text = plan(catalog.queries()[name](spark, FOLDER))
     for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEval"):
