@@ -38,6 +38,8 @@ _KEY = r'^\s*"(ResultsByTime|NextPageToken)"\s*:'
 _OPENS, _BRACE = r'^\s*\{\s*"(ResultsByTime|NextPageToken)"\s*:', r"^\s*\{\s*$"
 #: Bytes of a file after which a page without an end is cut; Spark rows hold less than twice as much.
 PAGE_BYTES = 1 << 30
+#: A part of a block has 2 ** 10 lines at most: a window keeps 4,096 rows as they are, more are spilled.
+PART_BITS = 10
 
 
 def text_lines(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
@@ -67,25 +69,27 @@ def _parsed(raw: DataFrame) -> DataFrame:
 
 
 def _pieces(lines: DataFrame) -> DataFrame:
-    """(file, block, at, piece) of lines, cut between pages, and the braces that each piece
-    opens more than it closes; what stands in strings does not count."""
+    """(file, block, part, at, piece) of lines, cut between pages, and the braces that each piece
+    opens more than it closes; what stands in strings does not count. A part of a block has
+    up to 2 ** ``PART_BITS`` lines."""
     token = F.regexp_extract_all("value", F.lit(_TOKENS), F.lit(0))
     cut = F.transform(
         token, lambda t: F.when(t.rlike('^".+'), t).otherwise(F.regexp_replace(t, _BETWEEN_PAGES, "}\n{"))
     )
+    cut = F.when(
+        F.col("value").rlike(_BETWEEN_PAGES), F.split(F.array_join(cut, ""), "\n")
+    ).otherwise(F.array("value"))
     bare = F.regexp_replace("piece", _STRING, "")
 
     def count(sign: str) -> Column:
         return F.length(bare) - F.length(F.replace(bare, F.lit(sign), F.lit("")))
 
     return (
-        lines.select(
-            "file", "at.block", "at.line", F.posexplode(F.split(F.array_join(cut, ""), "\n")).alias("n", "piece")
-        )
+        lines.select("file", "at.block", "at.line", F.posexplode(cut).alias("n", "piece"))
         .where(F.trim("piece") != "")
         .select(
-            "file", "block", F.struct("line", "n").alias("at"), "piece",
-            (count("{") - count("}")).alias("opened"),
+            "file", "block", F.shiftright("line", PART_BITS).alias("part"),
+            F.struct("line", "n").alias("at"), "piece", (count("{") - count("}")).alias("opened"),
         )
     )
 
@@ -94,14 +98,17 @@ def _pages_over_lines(lines: DataFrame) -> DataFrame:
     """(file, raw) of the pages that run over several lines or share one.
 
     A page begins where no brace is open, or at a page's own key, so that one that was cut
-    off ends there. Open braces are counted along each block of a file; what a block
-    begins with comes from the sums of the blocks before it, one row each. Pieces of a page
-    meet in one group, which holds nothing else.
+    off ends there. Open braces are counted along each part of a block of a file; what a
+    part begins with comes from the sums of the parts before it, one row each. Pieces of a
+    page meet in one group, which holds nothing else, those of a part as one text. Windows
+    over lines hold a part, so that only the sort before them takes memory by the block.
     """
-    along = Window.partitionBy("file", "block").orderBy("at")
+    place = ["file", "block", "part"]
+    along = Window.partitionBy(*place).orderBy("at")
     so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    in_file = Window.partitionBy("file").orderBy("block")
-    blocks = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    all_along = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    in_file = Window.partitionBy("file").orderBy("block", "part")
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
 
     piece = F.col("piece")
     brace, key = piece.rlike(_BRACE), piece.rlike(_KEY)
@@ -110,50 +117,49 @@ def _pages_over_lines(lines: DataFrame) -> DataFrame:
         "own_key": piece.rlike(_OPENS) | (brace & F.coalesce(F.lead(key).over(along), F.lit(False))),
         "ends": F.lead("at").over(along).isNull(),
     })
-    ends = pieces.groupBy("file", "block").agg(
-        F.sum("opened").alias("opened"),
+    ends = pieces.groupBy(*place).agg(
+        F.sum("opened").alias("opened"), F.min("before").alias("lowest"),
         F.max_by("before", F.when(F.col("own_key"), F.col("at"))).alias("page_at"),
         F.max_by("before", "at").alias("end_at"),
         F.max_by(brace, "at").alias("brace"), F.min_by(key, "at").alias("key"),
     )
-    # A brace at a block's end opens a page if the next block begins with a page's key.
+    # A brace at a part's end opens a page if the next part begins with a page's key.
     opens = F.col("brace") & F.coalesce(F.lead("key").over(in_file), F.lit(False))
     offsets = ends.withColumns({
-        "offset": F.coalesce(F.sum("opened").over(blocks), F.lit(0)), "opens": opens,
-    })
-    page_at = F.when(F.col("opens"), F.col("end_at")).otherwise(F.col("page_at"))
+        "offset": F.coalesce(F.sum("opened").over(earlier), F.lit(0)), "opens": opens,
+    }).withColumn("page_at", F.when(F.col("opens"), F.col("end_at")).otherwise(F.col("page_at")))
+    base = F.last(F.col("offset") + F.col("page_at"), ignorenulls=True).over(earlier)
+    offsets = offsets.withColumn("base", F.coalesce(base, F.lit(0)))
+    # What a part has before its first start belongs to the last start of an earlier part,
+    # which is named by its part alone.
+    has_start = F.col("page_at").isNotNull() | (F.col("offset") + F.col("lowest") <= F.col("base"))
+    at = F.lit(None).cast(pieces.schema["at"].dataType)
+    last_start = F.when(has_start, F.struct("block", "part", at.alias("start")))
     offsets = offsets.select(
-        "file", "block", "offset", "opens",
-        F.last(F.col("offset") + page_at, ignorenulls=True).over(blocks).alias("base"),
-    )
-    since = F.last(F.when(F.col("own_key"), F.col("before")), ignorenulls=True)
-    depth = (
-        F.col("offset") + F.col("before")
-        - F.coalesce(F.col("offset") + F.col("since"), "base", F.lit(0))
+        *place, "opens", (F.col("offset") - F.col("base")).alias("open"),
+        F.last(last_start, ignorenulls=True).over(earlier).alias("owner"),
     )
+    since = F.last(F.when(F.col("own_key"), F.col("before")), ignorenulls=True).over(so_far)
+    depth = F.col("before") - F.coalesce(F.col("since"), -F.col("open"))
+    start = F.when(F.col("starts"), F.col("at"))
+    # A hash join leaves the pieces in their order; its one row for each part is small.
     pieces = (
-        pieces.join(offsets, ["file", "block"])
+        pieces.join(offsets.hint("shuffle_hash"), place)
         .withColumn("own_key", F.col("own_key") | (F.col("opens") & F.col("ends")))
-        .withColumn("since", since.over(so_far))
+        .withColumn("since", since)
         .withColumn("starts", F.col("own_key") | (depth <= 0))
+        .withColumns({
+            "start": F.last(start, ignorenulls=True).over(so_far),
+            "last_start": F.last(start, ignorenulls=True).over(all_along),
+        })
     )
-    start = F.last(F.when(F.col("starts"), F.col("at")), ignorenulls=True).over(so_far)
-    parts = pieces.withColumn("start", start).groupBy("file", "block", "start").agg(
+    inner = F.when(F.col("start") != F.col("last_start"), F.col("start")).alias("start")
+    page = F.when(F.col("start").isNotNull(), F.struct("block", "part", inner)).otherwise(F.col("owner"))
+    parts = pieces.withColumn("page", page).groupBy(*place, "page").agg(
         F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("pieces")
-    )
-    # What a block has before its first start belongs to the last start of an earlier block.
-    last_starts = parts.groupBy("file", "block").agg(F.max("start").alias("start"))
-    opener = F.when(F.col("start").isNotNull(), F.struct("block", "start"))
-    owners = last_starts.select(
-        "file", "block", F.last(opener, ignorenulls=True).over(blocks).alias("owner")
-    )
-    parts = parts.join(owners, ["file", "block"]).select(
-        "file", "block", F.array_join(F.col("pieces.piece"), "\n").alias("text"),
-        F.when(F.col("start").isNull(), F.col("owner"))
-        .otherwise(F.struct("block", "start")).alias("page"),
-    )
+    ).select(*place, "page", F.array_join(F.col("pieces.piece"), "\n").alias("text"))
     long = F.floor((F.col("block") - F.coalesce(F.col("page.block"), F.lit(0))) / PAGE_BYTES)
-    texts = F.sort_array(F.collect_list(F.struct("block", "text")))
+    texts = F.sort_array(F.collect_list(F.struct("block", "part", "text")))
     return parts.groupBy("file", "page", long).agg(texts.alias("texts")).select(
         "file", F.array_join(F.col("texts.text"), "\n").alias("raw")
     )

@@ -125,6 +125,40 @@ def test_a_group_holds_one_page(spark, tmp_path, small_blocks):
     assert rows(raw.select(F.length("raw")).distinct(), "*") == [(len(one),)] and raw.count() == 200
 
 
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_pages_run_over_the_parts_of_a_block(spark, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(landing, "PART_BITS", bits)
+    test_pages_of_any_layout_in_small_blocks(spark, tmp_path, None)
+
+
+def _window_spills(plan):
+    """Bytes that each window of an executed plan has spilled."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _window_spills(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return _window_spills(plan.plan())
+    below = plan.children()
+    own = [plan.metrics().get("spillSize").get().value()] if kind == "WindowExec" else []
+    return own + [n for k in range(below.size()) for n in _window_spills(below.apply(k))]
+
+
+def test_windows_over_lines_do_not_grow_with_the_block(spark, tmp_path):
+    """A block of many lines: what no window keeps as it is would be spilled at once."""
+    one = page((D1, [(f"s{k}", "t", "1") for k in range(5)]))
+    (tmp_path / "1.json").write_text("\n".join([one] * 100))
+    assert 4096 < one.count("\n") * 100
+    spark.conf.set("spark.sql.windowExec.buffer.spill.threshold", "1000")
+    try:
+        lines = landing.with_place(landing.text_lines(spark.read, str(tmp_path)))
+        raw = landing._pages_over_lines(lines)
+        assert [r.raw for r in raw.collect()] == [one] * 100
+    finally:
+        spark.conf.unset("spark.sql.windowExec.buffer.spill.threshold")
+    spills = _window_spills(raw._jdf.queryExecution().executedPlan())
+    assert len(spills) > 3 and sum(spills) == 0
+
+
 def test_a_page_without_an_end_is_cut(spark, tmp_path, small_blocks, monkeypatch):
     monkeypatch.setattr(landing, "PAGE_BYTES", 1024)
     text = '{"ResultsByTime": [\n' + "1,\n" * 4000
